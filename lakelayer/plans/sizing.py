@@ -1,0 +1,20 @@
+"""Size checks before a broadcast.
+
+A side is broadcast only when a bounded probe proves it small: ``limit(n+1)``
+stops reading as soon as it has seen more than ``n`` rows, so the probe on a
+large table is cheap and the large table is then joined by a shuffle instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``F.broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
