@@ -1 +1,338 @@
-"""Queries that write and read back files (CDC runs, streams, partitioned tables)."""
+"""Queries that write and read back files (CDC runs, streams, partitioned tables).
+
+Scratch folders come from ``lakelayer.session.scratch_dir`` (under the session's
+``spark.checkpoint.dir``), a fresh one per call.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakelayer.functions import record_hash
+from lakelayer.operators.dedup import latest_per_key
+from lakelayer.operators.quality import expect_all_or_drop
+from lakelayer.operators.scd import (changed_ids, current_rows, ids_to_insert, new_ids, scd2_bootstrap,
+                                     scd2_hash_history, scd2_hash_merge)
+from lakelayer.plans.keys_batch import RULES, SCD1_SQL, SCD2_SQL, _STAGED_SQL, staged_events
+from lakelayer.plans.registry import query
+from lakelayer.plans.roles import table
+from lakelayer.session import scratch_dir
+from lakelayer.sinks.tables import read_generation, read_slice, replace_partitions, write_generation
+from lakelayer.sources.cdc import CdcSource, read_bronze, run_incremental
+from lakelayer.streaming.cdc_flow import CdcTarget, read_target, run_cdc_stream
+from lakelayer.streaming.ingest import file_stream, run_to_parquet
+from lakelayer.operators.dedup import first_seen
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+# ── incremental extract with files ───────────────────────────────────────────
+
+def _frame_source(df: DataFrame, name: str, cdc_col: str, from_date: str = "") -> CdcSource:
+    return CdcSource(table=name, cdc_col=cdc_col, read=lambda spark: df, from_date=from_date)
+
+
+@query("cdc_two_runs", oracle="SELECT * FROM orders")
+def q_cdc_two_runs(spark, d):
+    """Run 1 sees the table as of 1998-01-01, run 2 the whole table; bronze = all rows once."""
+    root = scratch_dir(spark, "cdc")
+    orders = table(spark, d, "orders")
+    early = orders.filter(F.col("o_orderdate") <= F.lit("1998-01-01").cast("timestamp_ntz"))
+    run_incremental(spark, [_frame_source(early, "orders", "o_orderdate")], root, stamp="run1")
+    run_incremental(spark, [_frame_source(orders, "orders", "o_orderdate")], root, stamp="run2")
+    return read_bronze(spark, root, "orders")
+
+
+_MULTI = (("orders", "o_orderdate", ""), ("lineitem", "l_shipdate", "1998-01-01"),
+          ("events", "ts", "2024-01-15"))
+
+
+@query("cdc_multi_table", oracle="""
+SELECT 'orders' AS table_name, count(*) AS rows, 'succeeded' AS status FROM orders
+UNION ALL SELECT 'lineitem', count(*), 'succeeded' FROM lineitem WHERE l_shipdate > TIMESTAMP '1998-01-01'
+UNION ALL SELECT 'events', count(*), 'succeeded' FROM events WHERE ts > TIMESTAMP '2024-01-15'""")
+def q_cdc_multi(spark, d):
+    root = scratch_dir(spark, "cdc")
+    srcs = [_frame_source(table(spark, d, t), t, c, f) for t, c, f in _MULTI]
+    return run_incremental(spark, srcs, root).select("table_name", "rows", "status")
+
+
+@query("cdc_run_audit", oracle="""
+SELECT 'orders' AS table_name, count(*) AS rows, 'succeeded' AS status,
+       CAST(max(o_orderdate) AS VARCHAR) AS new_watermark FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01'
+UNION ALL SELECT 'customer', 0, 'empty', '999999999999'""")
+def q_cdc_audit(spark, d):
+    root = scratch_dir(spark, "cdc")
+    srcs = [_frame_source(table(spark, d, "orders"), "orders", "o_orderdate", "2001-01-01"),
+            _frame_source(table(spark, d, "customer"), "customer", "c_custkey", "999999999999")]
+    audit = run_incremental(spark, srcs, root)
+    # the watermark text is Spark's cast; normalise to the same text the oracle prints
+    wm = F.when(F.col("table_name") == "orders",
+                F.date_format(F.col("new_watermark").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")) \
+        .otherwise(F.col("new_watermark"))
+    return audit.select("table_name", "rows", "status", wm.alias("new_watermark"))
+
+
+# ── bronze partitions ────────────────────────────────────────────────────────
+
+def _events_by_day(spark, d):
+    return table(spark, d, "events").withColumn("ingest_date", F.to_date("ts"))
+
+
+SLICE_DAY = "2024-01-15"
+
+
+@query("bronze_day_slice", oracle=f"""
+SELECT *, CAST(ts AS DATE) AS ingest_date FROM events WHERE CAST(ts AS DATE) = DATE '{SLICE_DAY}'""")
+def q_bronze_day_slice(spark, d):
+    path = scratch_dir(spark, "bronze")
+    replace_partitions(_events_by_day(spark, d), path, ["ingest_date"])
+    return read_slice(spark, path, "ingest_date", F.lit(SLICE_DAY).cast("date")).select(*EVENT_COLS, "ingest_date")
+
+
+@query("bronze_partition_replace", oracle=f"""
+SELECT event_id, ts, user_id, event_type,
+       CASE WHEN CAST(ts AS DATE) = DATE '{SLICE_DAY}' THEN value + 1 ELSE value END AS value,
+       props, CAST(ts AS DATE) AS ingest_date FROM events""")
+def q_bronze_replace(spark, d):
+    path = scratch_dir(spark, "bronze")
+    ev = _events_by_day(spark, d)
+    replace_partitions(ev, path, ["ingest_date"])
+    day = ev.filter(F.col("ingest_date") == F.lit(SLICE_DAY).cast("date")) \
+        .withColumn("value", F.col("value") + 1)
+    replace_partitions(day, path, ["ingest_date"])
+    return spark.read.parquet(path).select(*EVENT_COLS, "ingest_date")
+
+
+# ── hash-based SCD2 over daily snapshots ─────────────────────────────────────
+
+def daily_snapshots(spark, d) -> DataFrame:
+    """Last event per (user, day): the user's state on that day, with its record hash."""
+    ev = table(spark, d, "events").withColumn("ingest_date", F.to_date("ts"))
+    snap = latest_per_key(ev.select("user_id", "ingest_date", "ts", "event_type"),
+                          ["user_id", "ingest_date"], ["ts"]).drop("ts")
+    return snap.withColumn("record_hash", record_hash(snap))
+
+
+def _clock(day_col):
+    return F.to_timestamp(day_col)
+
+
+HASH_OUT = ["user_id", "event_type", "ingest_date", "effective_start_date", "effective_end_date",
+            "is_current", "record_version"]
+
+_DAYS_SQL = ("d AS (SELECT user_id, CAST(ts AS DATE) AS day, arg_max(event_type, ts) AS event_type "
+             "FROM events GROUP BY 1, 2)")
+HASH_HISTORY_SQL = f"""
+WITH {_DAYS_SQL},
+l AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY day) AS prev FROM d),
+s AS (SELECT user_id, day, event_type FROM l WHERE prev IS NULL OR prev <> event_type)
+SELECT user_id, event_type, day AS ingest_date, day AS effective_start_date,
+       CAST(lead(day) OVER w - INTERVAL 1 DAY AS DATE) AS effective_end_date,
+       lead(day) OVER w IS NULL AS is_current,
+       CAST(row_number() OVER w AS INTEGER) AS record_version
+FROM s WINDOW w AS (PARTITION BY user_id ORDER BY day)"""
+
+
+@query("scd2_hash_multi_day", oracle=HASH_HISTORY_SQL)
+def q_scd2_hash_multi(spark, d):
+    return scd2_hash_history(daily_snapshots(spark, d), "user_id", clock=_clock).select(*HASH_OUT)
+
+
+def hash_daily_loop(spark: SparkSession, snaps: DataFrame, key: str, root: str) -> DataFrame:
+    """Apply ``scd2_hash_merge`` day after day; each day's history is a written generation."""
+    bounds = snaps.agg(F.min("ingest_date").alias("s"), F.max("ingest_date").alias("e")).first()
+    silver = scd2_bootstrap(snaps)
+    if bounds["s"] is None:
+        return silver
+    day, gen = bounds["s"], 0
+    while day <= bounds["e"]:
+        batch = snaps.filter(F.col("ingest_date") == F.lit(day))
+        merged = scd2_hash_merge(silver, batch, key, F.lit(day), load_ts=_clock(F.lit(day)))
+        write_generation(spark, merged, root, gen)
+        silver = read_generation(spark, root, gen)
+        day, gen = day + _dt.timedelta(days=1), gen + 1
+    return silver
+
+
+@query("scd2_hash_daily", oracle=HASH_HISTORY_SQL)
+def q_scd2_hash_daily(spark, d):
+    root = scratch_dir(spark, "silver")
+    return hash_daily_loop(spark, daily_snapshots(spark, d), "user_id", root).select(*HASH_OUT)
+
+
+@query("scd2_current_view", oracle=f"""
+WITH {_DAYS_SQL},
+l AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY day) AS prev FROM d),
+s AS (SELECT user_id, day, event_type FROM l WHERE prev IS NULL OR prev <> event_type),
+v AS (SELECT user_id, event_type, CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INTEGER)
+             AS record_version, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS nxt FROM s)
+SELECT user_id, event_type, record_version FROM v WHERE nxt IS NULL""")
+def q_scd2_current(spark, d):
+    hist = scd2_hash_history(daily_snapshots(spark, d), "user_id", clock=_clock)
+    return current_rows(hist).select("user_id", "event_type", "record_version")
+
+
+CUTOFF = "2024-01-11"
+_CUT_SQL = f"""WITH {_DAYS_SQL},
+lastv AS (SELECT user_id, arg_max(event_type, day) AS event_type FROM d WHERE day < DATE '{CUTOFF}'
+          GROUP BY user_id),
+b AS (SELECT user_id, event_type FROM d WHERE day = DATE '{CUTOFF}'),
+chg AS (SELECT b.user_id FROM b JOIN lastv ON b.user_id = lastv.user_id WHERE b.event_type <> lastv.event_type),
+nw AS (SELECT DISTINCT user_id FROM b WHERE user_id NOT IN (SELECT user_id FROM d WHERE day < DATE '{CUTOFF}'))"""
+
+
+def _cut(spark, d):
+    snaps = daily_snapshots(spark, d)
+    cut = F.lit(CUTOFF).cast("date")
+    silver = scd2_hash_history(snaps.filter(F.col("ingest_date") < cut), "user_id", clock=_clock)
+    return silver, snaps.filter(F.col("ingest_date") == cut)
+
+
+@query("scd2_changed_ids", oracle=_CUT_SQL + " SELECT user_id FROM chg")
+def q_changed_ids(spark, d):
+    return changed_ids(*_cut(spark, d), "user_id")
+
+
+@query("scd2_new_ids", oracle=_CUT_SQL + " SELECT user_id FROM nw")
+def q_new_ids(spark, d):
+    return new_ids(*_cut(spark, d), "user_id")
+
+
+@query("scd2_ids_to_insert", oracle=_CUT_SQL + " SELECT user_id FROM chg UNION SELECT user_id FROM nw")
+def q_ids_to_insert(spark, d):
+    return ids_to_insert(*_cut(spark, d), "user_id")
+
+
+@query("scd2_empty_bootstrap", oracle="""
+SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint'
+                    WHEN 'DATE' THEN 'date' ELSE lower(column_type) END AS data_type, 0 AS n_rows
+FROM (DESCRIBE SELECT user_id, CAST(ts AS DATE) AS ingest_date, event_type, 'h' AS record_hash FROM events)
+UNION ALL SELECT * FROM (VALUES ('effective_start_date', 'date', 0), ('effective_end_date', 'date', 0),
+  ('is_current', 'boolean', 0), ('record_version', 'int', 0), ('silver_load_timestamp', 'timestamp', 0))""")
+def q_scd2_bootstrap(spark, d):
+    empty = scd2_bootstrap(daily_snapshots(spark, d))
+    n = empty.count()
+    return spark.createDataFrame([(f.name, f.dataType.simpleString(), n) for f in empty.schema.fields],
+                                 "column_name string, data_type string, n_rows long")
+
+
+# ── streams ──────────────────────────────────────────────────────────────────
+
+def _write_chunks(df: DataFrame, path: str, files: int) -> None:
+    df.repartition(files).write.mode("append").parquet(path)
+
+
+def _event_stream_source(spark, d, split_day: str | None = None, late_first: bool = False) -> tuple[str, list]:
+    """Events as bronze files written in two arrivals (by day), each arrival several files."""
+    src = scratch_dir(spark, "bronze-events")
+    ev = table(spark, d, "events")
+    if split_day is None:
+        return src, [ev]
+    cut = F.to_date("ts") < F.lit(split_day).cast("date")
+    early, late = ev.filter(cut), ev.filter(~cut)
+    return src, ([late, early] if late_first else [early, late])
+
+
+@query("stream_ingest_passthrough", oracle="SELECT * FROM events")
+def q_stream_passthrough(spark, d):
+    src, chunks = _event_stream_source(spark, d, "2024-01-15")
+    tgt, ck = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
+    schema = table(spark, d, "events").schema
+    for c in chunks:
+        _write_chunks(c, src, 3)
+        run_to_parquet(file_stream(spark, src, schema=schema, max_files_per_trigger=2), tgt, ck)
+    return spark.read.parquet(tgt)
+
+
+@query("stream_dedup_keys", oracle="SELECT DISTINCT user_id FROM events")
+def q_stream_dedup(spark, d):
+    src, chunks = _event_stream_source(spark, d, "2024-01-15")
+    tgt, ck = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
+    schema = table(spark, d, "events").schema
+    for c in chunks:
+        _write_chunks(c, src, 3)
+        s = first_seen(file_stream(spark, src, schema=schema, max_files_per_trigger=2), ["user_id"])
+        run_to_parquet(s, tgt, ck)
+    return spark.read.parquet(tgt).select("user_id")
+
+
+@query("expect_stream_drop", oracle=f"""
+WITH s AS ({_STAGED_SQL})
+SELECT * FROM s WHERE coalesce(user_id IS NOT NULL, false) AND coalesce(value >= 1.0, false)""")
+def q_expect_stream(spark, d):
+    src = scratch_dir(spark, "bronze-staged")
+    tgt, ck = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
+    staged = staged_events(spark, d)
+    _write_chunks(staged, src, 4)
+    s = expect_all_or_drop(file_stream(spark, src, schema=staged.schema, max_files_per_trigger=2), RULES)
+    run_to_parquet(s, tgt, ck)
+    return spark.read.parquet(tgt)
+
+
+@query("schema_evolution_add_columns", oracle="""
+SELECT event_id, ts, user_id, event_type, value, CASE WHEN event_id % 2 = 1 THEN props END AS props
+FROM events""")
+def q_schema_evolution(spark, d):
+    src, loc = scratch_dir(spark, "bronze-evolving"), scratch_dir(spark, "schema")
+    tgt, ck = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
+    ev = table(spark, d, "events")
+    odd = F.col("event_id") % 2 == 1
+    # first arrival has no props column; the second one brings it
+    _write_chunks(ev.filter(~odd).drop("props"), src, 2)
+    run_to_parquet(file_stream(spark, src, schema_location=loc), tgt, ck)
+    _write_chunks(ev.filter(odd), src, 2)
+    run_to_parquet(file_stream(spark, src, schema_location=loc), tgt, ck)
+    return spark.read.option("mergeSchema", True).parquet(tgt).select(*EVENT_COLS)
+
+
+_BAD = "CASE WHEN event_id % 10 = 0 THEN concat('bad-', cast(event_id as string)) ELSE cast(value as string) END"
+
+
+@query("rescued_data", oracle=f"""
+WITH r AS (SELECT event_id, ts, user_id, event_type, {_BAD.replace('cast(value as string)', 'CAST(value AS VARCHAR)')}
+           AS value_text, props FROM events)
+SELECT event_id, ts, user_id, event_type, TRY_CAST(value_text AS DOUBLE) AS value, props,
+       CASE WHEN TRY_CAST(value_text AS DOUBLE) IS NULL THEN '{{"value":"' || value_text || '"}}' END
+         AS _rescued_data
+FROM r""")
+def q_rescued(spark, d):
+    src = scratch_dir(spark, "bronze-drift")
+    tgt, ck = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
+    ev = table(spark, d, "events")
+    drift = ev.selectExpr("event_id", "ts", "user_id", "event_type", f"{_BAD} AS value", "props")
+    _write_chunks(drift, src, 3)
+    run_to_parquet(file_stream(spark, src, schema=drift.schema, rescue_as=ev.schema,
+                               max_files_per_trigger=2), tgt, ck)
+    return spark.read.parquet(tgt)
+
+
+def _cdc_stream(spark, d, scd_type: int, late_first: bool) -> DataFrame:
+    src, chunks = _event_stream_source(spark, d, "2024-01-15", late_first=late_first)
+    root, ck = scratch_dir(spark, "gold"), scratch_dir(spark, "ckpt")
+    schema = table(spark, d, "events").schema
+    t = CdcTarget(root=root, keys=("user_id",), sequence_by=("ts", "event_id") if scd_type == 1 else "ts",
+                  scd_type=scd_type)
+    for c in chunks:
+        _write_chunks(c, src, 3)
+        run_cdc_stream(file_stream(spark, src, schema=schema, max_files_per_trigger=2), t, ck)
+    return read_target(spark, t)
+
+
+@query("scd1_stream", oracle=SCD1_SQL)
+def q_scd1_stream(spark, d):
+    return _cdc_stream(spark, d, 1, late_first=False).select(*EVENT_COLS)
+
+
+@query("scd2_stream", oracle=SCD2_SQL)
+def q_scd2_stream(spark, d):
+    return _cdc_stream(spark, d, 2, late_first=False)
+
+
+@query("scd2_out_of_order", oracle=SCD2_SQL)
+def q_scd2_out_of_order(spark, d):
+    return _cdc_stream(spark, d, 2, late_first=True)
