@@ -14,7 +14,7 @@ from lakelayer.operators.star import JoinSpec, star_join
 from lakelayer.plans import gold, roles
 from lakelayer.plans.registry import query
 from lakelayer.plans.roles import role_sql, table
-from lakelayer.sources.bundles import RESOURCES
+from lakelayer.sources.bundles import request_urls
 from lakelayer.sources.cdc import effective_watermark, extract
 
 # ── gold models (role mapping in roles.py) ───────────────────────────────────
@@ -65,7 +65,9 @@ def q_gold_condition(spark, d):
     return gold.gold_condition(roles.condition(spark, d), roles.patient(spark, d), roles.encounter(spark, d))
 
 
-SUMMARY_SQL = f"""{_ROLES_CTE},
+def summary_sql(pat: str, enc: str, obs: str, cnd: str) -> str:
+    """Oracle text of the per-patient summary over four current-row queries."""
+    return f"""WITH pat AS ({pat}), enc AS ({enc}), obs AS ({obs}), cnd AS ({cnd}),
 ea AS (SELECT patient_id, count(encounter_id) AS total_encounters, min(period_start) AS first_encounter_date,
               max(period_start) AS last_encounter_date FROM enc GROUP BY patient_id),
 oa AS (SELECT patient_id, count(observation_id) AS total_observations FROM obs GROUP BY patient_id),
@@ -80,6 +82,10 @@ FROM pat LEFT JOIN ea ON pat.patient_id = ea.patient_id LEFT JOIN oa ON pat.pati
 LEFT JOIN ca ON pat.patient_id = ca.patient_id"""
 
 
+SUMMARY_SQL = summary_sql(role_sql("patient"), role_sql("encounter"), role_sql("observation"),
+                          role_sql("condition"))
+
+
 @query("gold_patient_health_summary", oracle=SUMMARY_SQL)
 def q_gold_summary(spark, d):
     return gold.build_gold(_silver(spark, d))["gold_patient_health_summary"]
@@ -296,11 +302,7 @@ FROM res, days""")
 def q_request_grid(spark, d):
     b = table(spark, d, "events").agg(F.min(F.to_date("ts")).alias("s"), F.max(F.to_date("ts")).alias("e"))
     days = b.select(F.explode(day_sequence(F.col("s"), F.date_add("e", 1))).alias("day"))
-    grid = days.select(F.explode(F.array(*[F.lit(r) for r in RESOURCES])).alias("resource"), "day")
-    return grid.select("resource", "day", F.format_string(
-        "%s/%s?_lastUpdated=ge%s&_lastUpdated=lt%s&_count=%d", F.lit(BASE_URL), F.col("resource"),
-        F.date_format("day", "yyyy-MM-dd"), F.date_format(F.date_add("day", 1), "yyyy-MM-dd"),
-        F.lit(50)).alias("url"))
+    return request_urls(days, BASE_URL)
 
 
 # ── dedup / CDC apply (batch) ────────────────────────────────────────────────

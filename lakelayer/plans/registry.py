@@ -29,4 +29,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from lakelayer.plans import keys_batch, keys_io  # noqa: F401
+    from lakelayer.plans import keys_batch, keys_clinical, keys_io  # noqa: F401

@@ -91,11 +91,13 @@ def read_generation(spark: SparkSession, root: str, gen: int | None = None, sche
 # ── raw pages ────────────────────────────────────────────────────────────────
 
 def write_raw_pages(pages: DataFrame, root: str) -> None:
-    """Bundle JSON text, one document per line, under ``resource=<R>/date=<D>``.
+    """Bundle JSON text, one document per line, under ``resource_name=<R>/date=<D>``.
 
-    ``pages`` has columns (resource, date, body). Only the (resource, date)
-    folders present are replaced, so reloading a day is idempotent.
+    ``pages`` has columns (resource, date, body); folders are
+    ``resource_name=<R>/date=<D>``. Only the folders present are replaced, so
+    reloading a day is idempotent.
     """
-    replace = pages.select(F.col("body").alias("value"), "resource", F.col("date").cast("string").alias("date"))
+    replace = pages.select(F.col("body").alias("value"), F.col("resource").alias("resource_name"),
+                           F.col("date").cast("string").alias("date"))
     (replace.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("resource", "date").text(root))
+     .partitionBy("resource_name", "date").text(root))

@@ -1,7 +1,7 @@
 """Paged JSON bundles: request grid, page scan, entries, page audit.
 
 Pages are stored as JSON documents (one bundle per line, or one per file with
-``multi_line``) under ``raw/resource=<R>/date=<D>/``; a single scan covers all
+``multi_line``) under ``raw/resource_name=<R>/date=<D>/``; a single scan covers all
 resources and days, partition columns come from the folder names.
 """
 
@@ -22,20 +22,25 @@ PAGE_SIZE = 50
 
 def request_grid(spark: SparkSession, base_url: str, start: str, end: str,
                  resources: Sequence[str] = RESOURCES, page_size: int = PAGE_SIZE) -> DataFrame:
-    """One request per (resource, day) for days in ``[start, end)``."""
+    """One request per (resource, day) for days in ``[start, end)`` (no join: two explodes)."""
     days = spark.range(1).select(F.explode(day_sequence(start, end)).alias("day"))
-    res = spark.createDataFrame([(r,) for r in resources], "resource string")
+    return request_urls(days, base_url, resources, page_size)
+
+
+def request_urls(days: DataFrame, base_url: str, resources: Sequence[str] = RESOURCES,
+                 page_size: int = PAGE_SIZE) -> DataFrame:
+    """Requests for every resource on every day of a ``day`` column."""
+    grid = days.select(F.explode(F.array(*[F.lit(r) for r in resources])).alias("resource"), "day")
     day_s = F.date_format("day", "yyyy-MM-dd")
     next_s = F.date_format(F.date_add("day", 1), "yyyy-MM-dd")
-    return (res.crossJoin(days)
-            .select("resource", "day",
-                    F.format_string("%s/%s?_lastUpdated=ge%s&_lastUpdated=lt%s&_count=%d", F.lit(base_url),
-                                    F.col("resource"), day_s, next_s, F.lit(page_size)).alias("url")))
+    return grid.select("resource", "day",
+                       F.format_string("%s/%s?_lastUpdated=ge%s&_lastUpdated=lt%s&_count=%d", F.lit(base_url),
+                                       F.col("resource"), day_s, next_s, F.lit(page_size)).alias("url"))
 
 
 def empty_pages(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], BUNDLE).select(
-        "*", F.lit(None).cast("string").alias("file_path"), F.lit(None).cast("string").alias("resource"),
+        "*", F.lit(None).cast("string").alias("file_path"), F.lit(None).cast("string").alias("resource_name"),
         F.lit(None).cast("date").alias("date"))
 
 
@@ -71,7 +76,7 @@ def page_info(pages: DataFrame) -> DataFrame:
 def entries(pages: DataFrame, keep: Sequence[str] = ("api_url",)) -> DataFrame:
     """One row per entry (a NULL or missing ``entry`` gives no rows)."""
     info = page_info(pages)
-    extra = [c for c in ("resource", "date") if c in pages.columns]
+    extra = [c for c in ("resource_name", "date") if c in pages.columns]
     return info.select(*keep, *extra, F.explode("entry").alias("e")).select(*keep, *extra, "e.resource")
 
 
@@ -81,7 +86,7 @@ def page_audit(pages: DataFrame, run_id: str, extraction_ts=None) -> DataFrame:
     ts = F.current_timestamp() if extraction_ts is None else F.to_timestamp(F.lit(extraction_ts))
     return info.select(
         F.lit(run_id).alias("run_id"),
-        F.col("resource").alias("resource_name"),
+        F.col("resource_name"),
         F.to_date("date").alias("ingest_date"),
         "page_number", "api_url", "records_on_page", "total_records",
         ts.alias("extraction_timestamp"),
@@ -94,5 +99,5 @@ def page_audit(pages: DataFrame, run_id: str, extraction_ts=None) -> DataFrame:
 def page_totals(pages: DataFrame) -> DataFrame:
     """Pages and records per (resource, day)."""
     info = page_info(pages)
-    return (info.groupBy(F.col("resource").alias("resource_name"), F.to_date("date").alias("ingest_date"))
+    return (info.groupBy(F.col("resource_name"), F.to_date("date").alias("ingest_date"))
             .agg(F.count(F.lit(1)).alias("pages"), F.sum("records_on_page").alias("records")))
