@@ -65,14 +65,19 @@ def q_gold_condition(spark, d):
     return gold.gold_condition(roles.condition(spark, d), roles.patient(spark, d), roles.encounter(spark, d))
 
 
-def summary_sql(pat: str, enc: str, obs: str, cnd: str) -> str:
-    """Oracle text of the per-patient summary over four current-row queries."""
+def summary_sql(pat: str, enc: str, obs: str, cnd: str, distinct_ids: bool = False) -> str:
+    """Oracle text of the per-patient summary over four current-row queries.
+
+    ``distinct_ids``: the facts went through bronze, which keeps one row per id
+    and day, so each id counts once.
+    """
+    dis = "DISTINCT " if distinct_ids else ""
     return f"""WITH pat AS ({pat}), enc AS ({enc}), obs AS ({obs}), cnd AS ({cnd}),
 ea AS (SELECT patient_id, count(encounter_id) AS total_encounters, min(period_start) AS first_encounter_date,
               max(period_start) AS last_encounter_date FROM enc GROUP BY patient_id),
-oa AS (SELECT patient_id, count(observation_id) AS total_observations FROM obs GROUP BY patient_id),
-ca AS (SELECT patient_id, count(condition_id) AS total_conditions,
-              count(CASE WHEN clinical_status = 'active' THEN 1 END) AS active_conditions
+oa AS (SELECT patient_id, count({dis}observation_id) AS total_observations FROM obs GROUP BY patient_id),
+ca AS (SELECT patient_id, count({dis}condition_id) AS total_conditions,
+              count({dis}CASE WHEN clinical_status = 'active' THEN condition_id END) AS active_conditions
        FROM cnd GROUP BY patient_id)
 SELECT pat.patient_id, family_name, given_name, gender, birth_date, city, state, country, active,
        coalesce(total_encounters, 0) AS total_encounters, first_encounter_date, last_encounter_date,

@@ -94,7 +94,7 @@ _PAT_FINAL = flat_sql("patient").replace(
 
 
 @query("medallion_end_to_end", oracle=summary_sql(_PAT_FINAL, flat_sql("encounter"), flat_sql("observation"),
-                                                  flat_sql("condition")))
+                                                  flat_sql("condition"), distinct_ids=True))
 def q_medallion(spark, d):
     ctx = Context(scratch_dir(spark, "medallion"))
     synth_raw(spark, d, ctx.raw(), "2024-01-01")

@@ -7,10 +7,11 @@ become visible through a small commit log written after the data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -70,11 +71,12 @@ def write_generation(spark: SparkSession, df: DataFrame, root: str, gen: int,
                      partition_cols: Sequence[str] = ()) -> str:
     """Write ``df`` as generation ``gen`` then commit it. Re-running the same ``gen`` is idempotent."""
     path = generation_path(root, gen)
-    w = df.write.mode("overwrite")
+    obs = Observation(f"gen_{gen}_{uuid.uuid4().hex[:8]}")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
-    rows = spark.read.parquet(path).count()
+    rows = int(obs.get.get("rows", 0) or 0)
     (spark.createDataFrame([(gen, rows)], "gen long, rows long").coalesce(1)
      .write.mode("overwrite").json(f"{commit_path(root)}/gen={gen:020d}"))
     return path
