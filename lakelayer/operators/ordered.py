@@ -1,12 +1,16 @@
 """Per-key ordered scans (previous / next row, running count) that survive hot keys.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; a key
-holding a third of the table then runs in one task. Here each key is cut into
+holding a third of the table then runs in one task. Here a hot key is cut into
 sub-ranges by a ``split`` column that grows with the order (for example the hour
-of a timestamp): the row-level window runs per (key, split), and the few rows
-that sit on the edge of a split are completed from a second window over one
-summary row per (key, split). Both windows and the join are ordinary shuffles on
-(key, split); nothing is collected.
+of a timestamp): the row-level window runs per (key, split), and the rows that
+sit on the edge of a split are completed from a second window over one summary
+row per (key, split) of the hot keys only.
+
+``route_hot_keys`` decides which keys are hot from one partial-aggregated count
+per key (at most ``max_hot`` keys come back to the driver: a checked bound);
+other keys keep ``split`` NULL and take the plain per-key window, so data
+without hot keys pays one cheap aggregate and nothing else.
 
 The order columns must be unique within a key (callers deduplicate first).
 """
@@ -20,6 +24,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPLIT = "_ll_split"
+HOT_FLAG = "_ll_hot"
+
+# A key with more rows than this is cut into sub-ranges (session conf
+# ``lakelayer.hotKeyRows`` overrides it); at most MAX_HOT keys are routed by list.
+HOT_KEY_ROWS = 2_000_000
+MAX_HOT = 10_000
+
+
+def route_hot_keys(df: DataFrame, keys: Sequence[str], split: Column | None,
+                   hot_rows: int | None = None, max_hot: int = MAX_HOT) -> tuple[DataFrame, Column | None]:
+    """(frame, split column) where only hot keys carry a split value.
+
+    Runs one aggregate (count per key, combined map-side). No hot key -> split
+    None (plain windows). Up to ``max_hot`` hot keys -> split only those (a
+    broadcast of that bounded key list). More -> split every key.
+    """
+    if split is None:
+        return df, None
+    keys = list(keys)
+    if hot_rows is None:
+        hot_rows = int(df.sparkSession.conf.get("lakelayer.hotKeyRows", str(HOT_KEY_ROWS)))
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ll_n")).filter(F.col("_ll_n") > hot_rows)
+           .select(*keys).limit(max_hot + 1).collect())
+    if not hot:
+        return df, None
+    if len(hot) > max_hot:
+        return df, split
+    if len(keys) == 1:
+        return df, F.when(F.col(keys[0]).isin([r[0] for r in hot]), split)
+    schema = T.StructType([df.schema[k] for k in keys])
+    hot_df = df.sparkSession.createDataFrame([tuple(r) for r in hot], schema).withColumn(HOT_FLAG, F.lit(True))
+    flagged = df.join(F.broadcast(hot_df), keys, "left")
+    return flagged, F.when(F.col(HOT_FLAG), split)
 
 
 def auto_split(df: DataFrame, seq: str) -> Column | None:
@@ -40,9 +77,12 @@ def auto_split(df: DataFrame, seq: str) -> Column | None:
 
 
 def _key_match(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
+    """Plain equality: the same expressions as the window partitioning, so the
+    big side keeps its partitioning and sort order. Rows whose split is NULL
+    (or whose key is NULL) need no edge and simply find none."""
     cond = None
     for c in cols:
-        e = left[c].eqNullSafe(right[c])
+        e = left[c] == right[c]
         cond = e if cond is None else cond & e
     return cond
 
@@ -81,7 +121,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if prev_cols:
         aggs.append(F.max(F.struct(*[F.col(o) for o in order],
                                    F.struct(*prev_cols).alias("v"))).alias("_ll_last"))
-    edges = base.groupBy(*keys, SPLIT).agg(*aggs)
+    edges = base.filter(F.col(SPLIT).isNotNull()).groupBy(*keys, SPLIT).agg(*aggs)
     we = Window.partitionBy(*keys).orderBy(SPLIT)
     sel = [*keys, SPLIT]
     if prev_cols:
@@ -115,10 +155,10 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     base = df.withColumn(SPLIT, split)
     w = Window.partitionBy(*keys, SPLIT).orderBy(*order).rowsBetween(*upto)
     base = base.withColumn("_ll_local", F.sum(value).over(w))
-    tot = base.groupBy(*keys, SPLIT).agg(F.sum(value).alias("_ll_tot"))
+    tot = base.filter(F.col(SPLIT).isNotNull()).groupBy(*keys, SPLIT).agg(F.sum(value).alias("_ll_tot"))
     we = Window.partitionBy(*keys).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, SPLIT, F.coalesce(F.sum("_ll_tot").over(we), F.lit(0)).alias("_ll_base"))
     b, t = base.alias("_ll_b"), tot.alias("_ll_t")
     joined = b.join(t, _key_match(b, t, [*keys, SPLIT]), "left")
     return joined.select(*[F.col(f"_ll_b.`{c}`") for c in df.columns],
-                         (F.col("_ll_b._ll_local") + F.col("_ll_t._ll_base")).alias(out))
+                         (F.col("_ll_b._ll_local") + F.coalesce(F.col("_ll_t._ll_base"), F.lit(0))).alias(out))

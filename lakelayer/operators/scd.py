@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelayer.operators.dedup import latest_per_key, tie_break
-from lakelayer.operators.ordered import auto_split, neighbours, running_sum
+from lakelayer.operators.ordered import HOT_FLAG, auto_split, neighbours, route_hot_keys, running_sum
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -79,7 +79,7 @@ def scd2_apply(changes: DataFrame, keys, sequence_by: str, track_except: Sequenc
                          tie=tie_break(valid, exclude=keys + [sequence_by]))
     one = one.withColumn("_ll_del", F.coalesce(F.expr(delete_when), F.lit(False))
                          if delete_when else F.lit(False))
-    sp = _split_for(one, sequence_by, split)
+    one, sp = route_hot_keys(one, keys, _split_for(one, sequence_by, split))
 
     if track_except is None:
         n = neighbours(one, keys, [sequence_by], next_cols=[sequence_by], split=sp)
@@ -195,10 +195,11 @@ def scd2_hash_history(snapshots: DataFrame, key: str, day_col: str = "ingest_dat
     """
     clock = clock or (lambda d: F.current_timestamp())
     cols = snapshots.columns
-    sp = _split_for(snapshots, day_col, split)
+    snapshots, sp = route_hot_keys(snapshots, [key], _split_for(snapshots, day_col, split))
     n = neighbours(snapshots, [key], [day_col], prev_cols=[hash_col], split=sp)
+    keep = cols + ([HOT_FLAG] if HOT_FLAG in snapshots.columns else [])
     starts = (n.filter(F.col("_prev_" + hash_col).isNull() | (F.col("_prev_" + hash_col) != F.col(hash_col)))
-              .select(*cols).withColumn("_ll_one", F.lit(1)))
+              .select(*keep).withColumn("_ll_one", F.lit(1)))
     v = neighbours(starts, [key], [day_col], next_cols=[day_col], split=sp)
     v = running_sum(v, [key], [day_col], "_ll_one", "_ll_ver", split=sp)
     nxt = F.col("_next_" + day_col)

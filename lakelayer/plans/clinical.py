@@ -48,12 +48,6 @@ class Context:
 
 # ── synthetic pages from the driver tables ───────────────────────────────────
 
-def _coding(code, display=None) -> Column:
-    return F.struct(F.struct(F.array(F.struct(code.alias("code"),
-                                              (display if display is not None else F.lit(None).cast("string"))
-                                              .alias("display"))).alias("coding")))
-
-
 def _concept(code, display=None) -> Column:
     return F.struct(F.array(F.struct(code.alias("code"),
                                       (display if display is not None else F.lit(None).cast("string"))
@@ -199,23 +193,21 @@ def _page_url(resource: Column, day: Column, page: Column) -> Column:
 def bundle_pages(resources: DataFrame, day: str) -> DataFrame:
     """Group resources into pages (bounded: one key range per page) and render the bundle JSON.
 
+    Each entry is rendered to JSON text before the shuffle, so only strings move.
     Pages whose number is a multiple of 17 carry no self link (the reader then
     uses the file path); a full page links to the next one.
     """
     d = F.lit(day).cast("date")
-    pages = (resources.groupBy("resource", "page")
-             .agg(F.sort_array(F.collect_list(F.struct(F.col("_k"), F.col("res").alias("resource"))))
-                  .alias("items")))
+    pages = (resources.select("resource", "page", F.to_json(F.struct(F.col("res").alias("resource"))).alias("ej"))
+             .groupBy("resource", "page").agg(F.collect_list("ej").alias("items")))
     n = F.size("items")
     self_link = F.struct(F.lit("self").alias("relation"), _page_url(F.col("resource"), d, F.col("page")).alias("url"))
     next_link = F.struct(F.lit("next").alias("relation"),
                          _page_url(F.col("resource"), d, F.col("page") + 1).alias("url"))
     links = F.filter(F.array(F.when(F.col("page") % 17 != 0, self_link), F.when(n >= PAGE_SIZE, next_link)),
                      lambda x: x.isNotNull())
-    body = F.to_json(F.struct(F.lit("Bundle").alias("resourceType"), n.cast("long").alias("total"),
-                              links.alias("link"),
-                              F.transform("items", lambda i: F.struct(i["resource"].alias("resource")))
-                              .alias("entry")))
+    body = F.concat(F.lit('{"resourceType":"Bundle","total":'), n.cast("string"), F.lit(',"link":'),
+                    F.to_json(links), F.lit(',"entry":['), F.array_join("items", ","), F.lit("]}"))
     return pages.select("resource", d.alias("date"), body.alias("body"))
 
 
@@ -245,10 +237,11 @@ def flat_sql(role: str) -> str:
 
 def bronze_frames(pages: DataFrame, extraction_ts: Column | None = None) -> dict[str, DataFrame]:
     """Flattened, hashed, per-day-deduplicated rows for each resource type (not yet written)."""
-    ents = entries(pages, keep=("api_url",))
     ts = F.current_timestamp() if extraction_ts is None else extraction_ts
     out = {}
     for r in RESOURCES:
+        # the raw folder is partitioned by resource: each type reads only its own pages
+        ents = entries(pages.filter(F.col("resource_name") == F.lit(r)), keep=("api_url",))
         flat = flatten(ents, r, keep=("api_url", "date"))
         flat = (flat.withColumn("ingest_date", F.to_date("date")).drop("date")
                 .withColumn("extraction_timestamp", ts).withColumn("bronze_load_timestamp", ts))

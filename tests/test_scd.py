@@ -133,3 +133,33 @@ def test_hash_history_equals_daily_loop(spark):
     loop = sorted(tuple(r) for r in _loop(spark, snaps, days).select(cols).collect())
     closed = sorted(tuple(r) for r in scd2_hash_history(snaps, "id", clock=_clock).select(cols).collect())
     assert loop == closed
+
+
+def test_hot_key_routing_matches_plain(spark):
+    rng = random.Random(9)
+    rows = [(0 if rng.random() < 0.6 else rng.randint(1, 20), 7 if rng.random() < 0.5 else 8,
+             T0 + dt.timedelta(seconds=i * 61), rng.choice("ab")) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k long, k2 int, seq timestamp_ntz, v string")
+    want = {}
+    for keys in (["k"], ["k", "k2"]):
+        for te in (None, ["seq"]):
+            want[(len(keys), te is None)] = sorted(
+                tuple(r) for r in scd2_apply(df, keys, "seq", track_except=te, split=None).collect())
+    spark.conf.set("lakelayer.hotKeyRows", "100")
+    try:
+        from lakelayer.operators.ordered import route_hot_keys
+        _, sp = route_hot_keys(df, ["k"], F.date_trunc("hour", "seq"))
+        assert sp is not None
+        for keys in (["k"], ["k", "k2"]):
+            for te in (None, ["seq"]):
+                got = sorted(tuple(r) for r in scd2_apply(df, keys, "seq", track_except=te).collect())
+                assert got == want[(len(keys), te is None)]
+        snaps = _snap(spark, [(f"id{i % 3}", rng.choice("pq"), dt.date(2024, 1, 1) + dt.timedelta(days=i // 3))
+                              for i in range(600)])
+        spark.conf.set("lakelayer.hotKeyRows", "50")
+        cols = ["id", "effective_start_date", "effective_end_date", "record_version", "is_current"]
+        a = sorted(tuple(r) for r in scd2_hash_history(snaps, "id", split=None).select(cols).collect())
+        b = sorted(tuple(r) for r in scd2_hash_history(snaps, "id").select(cols).collect())
+        assert a == b
+    finally:
+        spark.conf.unset("lakelayer.hotKeyRows")
