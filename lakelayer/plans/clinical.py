@@ -82,10 +82,24 @@ ENCOUNTER_FLAT_SQL = {
 }
 
 
+def _page(key: Column, per_page: int) -> Column:
+    return (key / per_page).cast("long")
+
+
+def _by_page(df: DataFrame, key: Column, per_page: int) -> DataFrame:
+    """Hash-partition the source rows by page before rendering them.
+
+    Grouping entries into pages needs this shuffle anyway; doing it first lets
+    the per-entry JSON rendering run on every task instead of on the scan tasks.
+    """
+    return df.repartition(_page(key, per_page))
+
+
 def patient_resources(spark: SparkSession, d: str) -> DataFrame:
     c, n, r = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
     k = F.col("c_custkey")
+    j = _by_page(j, k, PAGE_SIZE)
     name = F.when(k % 5 == 0, F.lit(None)).otherwise(F.array(F.struct(
         F.col("c_name").alias("family"),
         F.when(k % 3 == 0, F.array().cast("array<string>"))
@@ -105,13 +119,13 @@ def patient_resources(spark: SparkSession, d: str) -> DataFrame:
         telecom.alias("telecom"),
         F.array(F.struct(_concept(F.lit("en"), F.lit("English")).alias("language"))).alias("communication"),
         _role(PATIENT, "active").alias("active"))
-    return j.select(F.lit("Patient").alias("resource"), k.alias("_k"), (k / PAGE_SIZE).cast("long").alias("page"),
+    return j.select(F.lit("Patient").alias("resource"), k.alias("_k"), _page(k, PAGE_SIZE).alias("page"),
                     res.alias("res"))
 
 
 def encounter_resources(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
     k = F.col("o_orderkey")
+    o = _by_page(table(spark, d, "orders"), k, PAGE_SIZE)
     subject = F.when(k % 11 == 0, F.lit(None)).otherwise(F.struct(
         F.when(k % 13 == 0, F.concat(F.lit(f"{BASE_URL}/Patient/"), F.col("o_custkey").cast("string")))
         .otherwise(F.concat(F.lit("Patient/"), F.col("o_custkey").cast("string"))).alias("reference")))
@@ -124,7 +138,7 @@ def encounter_resources(spark: SparkSession, d: str) -> DataFrame:
         F.struct(_role(ENCOUNTER, "period_start").alias("start"),
                  F.lit(None).cast("string").alias("end")).alias("period"),
         F.struct(_role(ENCOUNTER, "service_provider").alias("display")).alias("serviceProvider"))
-    return o.select(F.lit("Encounter").alias("resource"), k.alias("_k"), (k / PAGE_SIZE).cast("long").alias("page"),
+    return o.select(F.lit("Encounter").alias("resource"), k.alias("_k"), _page(k, PAGE_SIZE).alias("page"),
                     res.alias("res"))
 
 
@@ -142,7 +156,7 @@ def _refs():
 
 
 def observation_resources(spark: SparkSession, d: str) -> DataFrame:
-    j = _line_orders(spark, d, False)
+    j = _by_page(_line_orders(spark, d, False), F.col("l_orderkey"), 8)
     subj, enc = _refs()
     day = _role(OBSERVATION, "effective_datetime")
     line2 = F.col("l_linenumber") == 2
@@ -159,11 +173,11 @@ def observation_resources(spark: SparkSession, d: str) -> DataFrame:
                          F.struct(F.col("l_discount").alias("value"), F.lit("%").alias("unit"))
                          .alias("valueQuantity"))).alias("component"))
     return j.select(F.lit("Observation").alias("resource"), F.col("l_orderkey").alias("_k"),
-                    (F.col("l_orderkey") / 8).cast("long").alias("page"), res.alias("res"))
+                    _page(F.col("l_orderkey"), 8).alias("page"), res.alias("res"))
 
 
 def condition_resources(spark: SparkSession, d: str) -> DataFrame:
-    j = _line_orders(spark, d, True)
+    j = _by_page(_line_orders(spark, d, True), F.col("l_orderkey"), PAGE_SIZE)
     subj, enc = _refs()
     res = F.struct(
         F.lit("Condition").alias("resourceType"), _role(CONDITION, "condition_id").alias("id"),
@@ -176,7 +190,7 @@ def condition_resources(spark: SparkSession, d: str) -> DataFrame:
         F.struct(_role(CONDITION, "onset_datetime").alias("start")).alias("onsetPeriod"),
         _concept(F.col("l_returnflag")).alias("severity"))
     return j.select(F.lit("Condition").alias("resource"), F.col("l_orderkey").alias("_k"),
-                    (F.col("l_orderkey") / PAGE_SIZE).cast("long").alias("page"), res.alias("res"))
+                    _page(F.col("l_orderkey"), PAGE_SIZE).alias("page"), res.alias("res"))
 
 
 RESOURCE_BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -199,7 +213,7 @@ def bundle_pages(resources: DataFrame, day: str) -> DataFrame:
     """
     d = F.lit(day).cast("date")
     pages = (resources.select("resource", "page", F.to_json(F.struct(F.col("res").alias("resource"))).alias("ej"))
-             .groupBy("resource", "page").agg(F.collect_list("ej").alias("items")))
+             .groupBy("resource", "page").agg(F.collect_list("ej").alias("items")))  # reuses _by_page
     n = F.size("items")
     self_link = F.struct(F.lit("self").alias("relation"), _page_url(F.col("resource"), d, F.col("page")).alias("url"))
     next_link = F.struct(F.lit("next").alias("relation"),
