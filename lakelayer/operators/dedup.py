@@ -54,6 +54,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return best.select("_ll_best._ll_row.*")
 
 
-def first_seen(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Any one row per key (``dropDuplicates``); on a stream the first one seen wins."""
+def first_seen(df: DataFrame, keys: Sequence[str], event_time: str | None = None,
+               delay: str | None = None) -> DataFrame:
+    """Any one row per key (``dropDuplicates``); on a stream the first one seen wins.
+
+    On a stream the key state is kept forever unless ``event_time`` and ``delay``
+    are given: then duplicates are dropped within the watermark delay and the
+    state of older keys is released (``dropDuplicatesWithinWatermark``).
+    """
+    if event_time and delay:
+        return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
     return df.dropDuplicates(list(keys))
