@@ -60,6 +60,28 @@ BUNDLE = T.StructType([
     _f("entry", T.ArrayType(T.StructType([_f("resource", RESOURCE)]))),
 ])
 
+# Fields each resource type reads (the rest of RESOURCE is never touched for it).
+_COMMON = ("resourceType", "id", "meta")
+READS = {
+    "Patient": _COMMON + ("name", "gender", "birthDate", "address", "telecom", "communication", "active"),
+    "Encounter": _COMMON + ("status", "class", "type", "subject", "period", "reasonCode", "serviceProvider"),
+    "Observation": _COMMON + ("status", "category", "code", "subject", "encounter", "effectiveDateTime",
+                              "effectivePeriod", "issued", "valueQuantity", "valueString",
+                              "valueCodeableConcept", "component"),
+    "Condition": _COMMON + ("clinicalStatus", "verificationStatus", "category", "code", "subject", "encounter",
+                            "onsetDateTime", "onsetPeriod", "abatementDateTime", "recordedDate", "severity"),
+}
+
+
+def bundle_schema(resource: str | None = None) -> T.StructType:
+    """Bundle schema; with a resource type, its entries carry only the fields that type reads."""
+    if resource is None:
+        return BUNDLE
+    res = T.StructType([f for f in RESOURCE.fields if f.name in READS[resource]])
+    return T.StructType([f if f.name != "entry" else
+                         _f("entry", T.ArrayType(T.StructType([_f("resource", res)]))) for f in BUNDLE.fields])
+
+
 # Resource names and their id columns.
 RESOURCES = ("Patient", "Encounter", "Observation", "Condition")
 ID_COLUMN = {"Patient": "patient_id", "Encounter": "encounter_id",

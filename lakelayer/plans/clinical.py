@@ -249,13 +249,17 @@ def flat_sql(role: str) -> str:
 
 # ── bronze / silver / gold ───────────────────────────────────────────────────
 
-def bronze_frames(pages: DataFrame, extraction_ts: Column | None = None) -> dict[str, DataFrame]:
-    """Flattened, hashed, per-day-deduplicated rows for each resource type (not yet written)."""
+def bronze_frames(pages, extraction_ts: Column | None = None) -> dict[str, DataFrame]:
+    """Flattened, hashed, per-day-deduplicated rows for each resource type (not yet written).
+
+    ``pages``: one DataFrame of all pages, or a function resource -> that type's pages.
+    """
     ts = F.current_timestamp() if extraction_ts is None else extraction_ts
     out = {}
     for r in RESOURCES:
         # the raw folder is partitioned by resource: each type reads only its own pages
-        ents = entries(pages.filter(F.col("resource_name") == F.lit(r)), keep=("api_url",))
+        mine = pages(r) if callable(pages) else pages.filter(F.col("resource_name") == F.lit(r))
+        ents = entries(mine, keep=("api_url",))
         flat = flatten(ents, r, keep=("api_url", "date"))
         flat = (flat.withColumn("ingest_date", F.to_date("date")).drop("date")
                 .withColumn("extraction_timestamp", ts).withColumn("bronze_load_timestamp", ts))
@@ -269,7 +273,7 @@ def bronze_frames(pages: DataFrame, extraction_ts: Column | None = None) -> dict
 
 def load_bronze(spark: SparkSession, ctx: Context, extraction_ts: Column | None = None) -> None:
     """All raw days and resource types in one scan; each (resource, day) partition replaced."""
-    frames = bronze_frames(read_pages(spark, ctx.raw()), extraction_ts)
+    frames = bronze_frames(lambda r: read_pages(spark, ctx.raw(), resource=r), extraction_ts)
     for r, df in frames.items():
         replace_partitions(df, ctx.bronze(r), ["ingest_date"])
 

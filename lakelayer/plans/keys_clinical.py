@@ -45,7 +45,9 @@ def q_bundle_parse(spark, d):
 
 def _flat(resource: str):
     def run(spark, d):
-        return flatten(entries(_pages(spark, d, [resource])), resource)
+        raw = scratch_dir(spark, "raw")
+        synth_raw(spark, d, raw, DAY, resources=[resource])
+        return flatten(entries(read_pages(spark, raw, resource=resource)), resource)
     return run
 
 
