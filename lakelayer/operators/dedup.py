@@ -51,7 +51,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     if tie is not None:
         fields.append(tie.alias("_ll_tie"))
     best = df.groupBy(*keys).agg(F.max(F.struct(*fields, carry.alias("_ll_row"))).alias("_ll_best"))
-    return best.select("_ll_best._ll_row.*")
+    # grouping columns pass through as they are, so the output keeps the
+    # aggregate's hash partitioning (a later window / join on them needs no shuffle)
+    return best.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_ll_best._ll_row.`{c}`").alias(c)
+                         for c in df.columns])
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], event_time: str | None = None,

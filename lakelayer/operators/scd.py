@@ -75,11 +75,15 @@ def scd2_apply(changes: DataFrame, keys, sequence_by: str, track_except: Sequenc
     keys = _as_list(keys)
     cols = changes.columns
     valid = changes.filter(_valid(changes, keys + [sequence_by]))
-    one = latest_per_key(valid, keys + [sequence_by], [],
-                         tie=tie_break(valid, exclude=keys + [sequence_by]))
+    tie = tie_break(valid, exclude=keys + [sequence_by])
+    valid, sp = route_hot_keys(valid, keys, _split_for(valid, sequence_by, split))
+    if sp is None:
+        # no hot key: one hash partitioning by key serves both the tie collapse
+        # (grouped by key + sequence) and the per-key window -> a single shuffle
+        valid = valid.repartition(*keys)
+    one = latest_per_key(valid, keys + [sequence_by], [], tie=tie)
     one = one.withColumn("_ll_del", F.coalesce(F.expr(delete_when), F.lit(False))
                          if delete_when else F.lit(False))
-    one, sp = route_hot_keys(one, keys, _split_for(one, sequence_by, split))
 
     if track_except is None:
         n = neighbours(one, keys, [sequence_by], next_cols=[sequence_by], split=sp)
