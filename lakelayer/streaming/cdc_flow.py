@@ -1,70 +1,82 @@
 """Streaming change application (SCD type 1 / type 2) with ``foreachBatch``.
 
-Per micro-batch:
-1. the batch is written to the change log under ``log/batch_id=<id>`` (overwrite,
-   so a retried batch replaces itself; this also cuts the lineage);
-2. the keys it touches are derived from that written copy;
-3. the new target = previous target without the touched keys
-   + the touched keys recomputed (SCD1: previous rows + batch, latest wins;
-   SCD2: every logged change of those keys, so late and out-of-order changes
-   land in the right place);
-4. the result is written as generation ``<id>`` and committed.
-The result after any split or order of batches equals the batch operator on
-all changes.
+Keys are spread over ``buckets`` hash buckets. Per micro-batch:
+1. the batch goes to the change log, partitioned by (bucket, batch_id), with
+   dynamic partition overwrite: a retried batch replaces its own files only;
+2. the buckets it touches are listed (at most ``buckets`` values);
+3. those buckets are recomputed from their log partitions alone (the folder
+   filter prunes every other bucket): SCD1 = latest change per key, SCD2 = the
+   full version history, so late and out-of-order changes land in place;
+4. the target's touched bucket partitions are replaced (dynamic overwrite);
+   untouched buckets are not read or written.
+The target is a pure function of the log, so a re-run batch gives the same
+table, and after any split or order of batches it equals the batch operator on
+all changes. Each touched bucket also gets one marker row, so a bucket whose
+keys were all deleted is still replaced (readers drop the markers).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayer.operators.scd import scd1_apply, scd2_apply
-from lakelayer.sinks.tables import latest_generation, read_generation, write_generation
+
+BUCKET = "_ll_bucket"
+MARKER = "_ll_marker"
 
 
 @dataclass(frozen=True)
 class CdcTarget:
-    root: str                     # target folder: data/, commits/, log/
+    root: str                     # target folder: data/ and log/
     keys: tuple[str, ...]
     sequence_by: str | tuple[str, ...]
     scd_type: int = 1
     track_except: tuple[str, ...] | None = None
     delete_when: str | None = None
+    buckets: int = 64
 
     @property
     def log(self) -> str:
         return f"{self.root.rstrip('/')}/log"
 
+    @property
+    def data(self) -> str:
+        return f"{self.root.rstrip('/')}/data"
+
 
 def _seq(t: CdcTarget) -> list[str]:
     return [t.sequence_by] if isinstance(t.sequence_by, str) else list(t.sequence_by)
 
 
+def _bucket(t: CdcTarget):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in t.keys]), F.lit(t.buckets)).cast("int")
+
+
 def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: int) -> None:
     """Apply one micro-batch (also usable directly for batch loads)."""
-    part = f"{t.log}/batch_id={batch_id}"
-    batch.write.mode("overwrite").parquet(part)
-    changes = spark.read.parquet(part)
+    (batch.withColumn(BUCKET, _bucket(t)).withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET, "batch_id").parquet(t.log))
+    log = spark.read.parquet(t.log)
+    touched = [r[0] for r in log.filter(F.col("batch_id") == batch_id).select(BUCKET).distinct().collect()]
+    if not touched:
+        return
+    changes = log.filter(F.col(BUCKET).isin(touched)).drop("batch_id", BUCKET)
     keys = list(t.keys)
-    touched = changes.select(*keys).distinct()
-
-    prev_gen = latest_generation(spark, t.root, before=batch_id)
-    prev = None if prev_gen is None else read_generation(spark, t.root, prev_gen)
-
     if t.scd_type == 1:
-        pending = changes if prev is None else \
-            changes.unionByName(prev.join(touched, keys, "left_semi"), allowMissingColumns=True)
-        fresh = scd1_apply(pending, keys, _seq(t), delete_when=t.delete_when)
+        fresh = scd1_apply(changes, keys, _seq(t), delete_when=t.delete_when)
     else:
-        logged = spark.read.parquet(t.log).drop("batch_id").join(touched, keys, "left_semi")
-        fresh = scd2_apply(logged, keys, t.sequence_by, track_except=t.track_except,
-                           delete_when=t.delete_when)
-    if prev is not None:
-        fresh = prev.join(touched, keys, "left_anti").unionByName(fresh, allowMissingColumns=True)
-    write_generation(spark, fresh, t.root, batch_id)
+        fresh = scd2_apply(changes, keys, t.sequence_by, track_except=t.track_except, delete_when=t.delete_when)
+    fresh = fresh.withColumn(BUCKET, _bucket(t)).withColumn(MARKER, F.lit(False))
+    markers = spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int").select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in fresh.schema.fields if f.name not in (BUCKET, MARKER)],
+        F.col(BUCKET), F.lit(True).alias(MARKER))
+    (fresh.unionByName(markers).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(t.data))
 
 
 def run_cdc_stream(stream: DataFrame, t: CdcTarget, checkpoint: str) -> int:
@@ -73,8 +85,6 @@ def run_cdc_stream(stream: DataFrame, t: CdcTarget, checkpoint: str) -> int:
     seen = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         apply_batch(spark, t, batch, batch_id)
         seen.append(batch_id)
 
@@ -85,4 +95,9 @@ def run_cdc_stream(stream: DataFrame, t: CdcTarget, checkpoint: str) -> int:
 
 
 def read_target(spark: SparkSession, t: CdcTarget) -> DataFrame | None:
-    return read_generation(spark, t.root)
+    """The current target table (None before the first batch)."""
+    try:
+        df = spark.read.parquet(t.data)
+    except AnalysisException:
+        return None
+    return df.filter(~F.col(MARKER)).drop(MARKER, BUCKET)

@@ -70,3 +70,20 @@ def test_preview_of_stream(spark, scratch):
     spark.range(30).write.parquet(src)
     s = file_stream(spark, src)
     assert preview(s, 5).count() == 5
+
+
+def test_bucketed_target_delete_and_retry(spark, scratch):
+    from lakelayer.streaming.cdc_flow import apply_batch
+    t = CdcTarget(root=scratch("tgt"), keys=("k",), sequence_by="seq", scd_type=1, delete_when="v = 'DEL'",
+                  buckets=1)
+    apply_batch(spark, t, spark.createDataFrame([(1, T0, "a"), (2, T0, "b")], SCHEMA), 0)
+    assert sorted(r.k for r in read_target(spark, t).collect()) == [1, 2]
+    dels = spark.createDataFrame([(1, T0 + dt.timedelta(hours=1), "DEL"), (2, T0 + dt.timedelta(hours=1), "DEL")],
+                                 SCHEMA)
+    apply_batch(spark, t, dels, 1)
+    assert read_target(spark, t).count() == 0             # the emptied bucket is still replaced
+    apply_batch(spark, t, dels, 1)                         # a retried batch id changes nothing
+    assert read_target(spark, t).count() == 0
+    late = spark.createDataFrame([(1, T0 + dt.timedelta(minutes=30), "late")], SCHEMA)
+    apply_batch(spark, t, late, 2)                         # older than the delete: still deleted
+    assert read_target(spark, t).count() == 0
