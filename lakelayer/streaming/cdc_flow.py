@@ -3,7 +3,7 @@
 Keys are spread over ``buckets`` hash buckets. Per micro-batch:
 1. the batch goes to the change log, partitioned by (bucket, batch_id), with
    dynamic partition overwrite: a retried batch replaces its own files only;
-2. the buckets it touches are listed (at most ``buckets`` values);
+2. the buckets it touches are listed (at most one value per bucket);
 3. those buckets are recomputed from their log partitions alone (the folder
    filter prunes every other bucket): SCD1 = latest change per key, SCD2 = the
    full version history, so late and out-of-order changes land in place;
@@ -37,7 +37,7 @@ class CdcTarget:
     scd_type: int = 1
     track_except: tuple[str, ...] | None = None
     delete_when: str | None = None
-    buckets: int = 64
+    buckets: int | None = None    # default: spark.sql.shuffle.partitions at creation; fixed afterwards
 
     @property
     def log(self) -> str:
@@ -47,18 +47,39 @@ class CdcTarget:
     def data(self) -> str:
         return f"{self.root.rstrip('/')}/data"
 
+    @property
+    def meta(self) -> str:
+        return f"{self.root.rstrip('/')}/meta"
+
+
+def bucket_count(spark: SparkSession, t: CdcTarget) -> int:
+    """The target's bucket count: stored with the target when it is created and
+    read back afterwards, because changing it would move keys between buckets.
+    Size it so one bucket holds roughly 0.5-1 GB of the target."""
+    try:
+        row = spark.read.schema("buckets int").json(t.meta).first()
+        if row is not None and row["buckets"]:
+            return int(row["buckets"])
+    except AnalysisException:
+        pass
+    n = int(t.buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("overwrite").json(t.meta)
+    return n
+
 
 def _seq(t: CdcTarget) -> list[str]:
     return [t.sequence_by] if isinstance(t.sequence_by, str) else list(t.sequence_by)
 
 
-def _bucket(t: CdcTarget):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in t.keys]), F.lit(t.buckets)).cast("int")
+def _bucket(t: CdcTarget, n: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in t.keys]), F.lit(n)).cast("int")
 
 
 def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: int) -> None:
     """Apply one micro-batch (also usable directly for batch loads)."""
-    (batch.withColumn(BUCKET, _bucket(t)).withColumn("batch_id", F.lit(batch_id))
+    n = bucket_count(spark, t)
+    # one writer per bucket: one file per touched bucket, not one per (task, bucket)
+    (batch.withColumn(BUCKET, _bucket(t, n)).withColumn("batch_id", F.lit(batch_id)).repartition(BUCKET)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET, "batch_id").parquet(t.log))
     log = spark.read.parquet(t.log)
@@ -71,11 +92,11 @@ def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: i
         fresh = scd1_apply(changes, keys, _seq(t), delete_when=t.delete_when)
     else:
         fresh = scd2_apply(changes, keys, t.sequence_by, track_except=t.track_except, delete_when=t.delete_when)
-    fresh = fresh.withColumn(BUCKET, _bucket(t)).withColumn(MARKER, F.lit(False))
+    fresh = fresh.withColumn(BUCKET, _bucket(t, n)).withColumn(MARKER, F.lit(False))
     markers = spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int").select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in fresh.schema.fields if f.name not in (BUCKET, MARKER)],
         F.col(BUCKET), F.lit(True).alias(MARKER))
-    (fresh.unionByName(markers).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (fresh.unionByName(markers).repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(t.data))
 
 
