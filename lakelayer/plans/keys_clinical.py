@@ -66,7 +66,7 @@ WITH p AS (SELECT 'Patient' AS resource_name, c_custkey // 50 AS page FROM custo
 @query("fhir_page_audit", oracle=_PAGES_SQL + f"""
 SELECT resource_name, DATE '{DAY}' AS ingest_date,
        CASE WHEN page % 17 = 0 THEN NULL ELSE CAST(page AS INTEGER) END AS page_number,
-       count(*) AS records_on_page, count(*) AS total_records, count(*) >= 50 AS has_next
+       CAST(count(*) AS INTEGER) AS records_on_page, count(*) AS total_records, count(*) >= 50 AS has_next
 FROM p GROUP BY resource_name, page""")
 def q_page_audit(spark, d):
     a = page_audit(_pages(spark, d), run_id="audit")

@@ -210,10 +210,11 @@ def q_ids_to_insert(spark, d):
 
 @query("scd2_empty_bootstrap", oracle="""
 SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint'
-                    WHEN 'DATE' THEN 'date' ELSE lower(column_type) END AS data_type, 0 AS n_rows
+                    WHEN 'DATE' THEN 'date' ELSE lower(column_type) END AS data_type, CAST(0 AS BIGINT) AS n_rows
 FROM (DESCRIBE SELECT user_id, CAST(ts AS DATE) AS ingest_date, event_type, 'h' AS record_hash FROM events)
-UNION ALL SELECT * FROM (VALUES ('effective_start_date', 'date', 0), ('effective_end_date', 'date', 0),
-  ('is_current', 'boolean', 0), ('record_version', 'int', 0), ('silver_load_timestamp', 'timestamp', 0))""")
+UNION ALL SELECT * FROM (VALUES ('effective_start_date', 'date', CAST(0 AS BIGINT)),
+  ('effective_end_date', 'date', 0), ('is_current', 'boolean', 0), ('record_version', 'int', 0),
+  ('silver_load_timestamp', 'timestamp', 0))""")
 def q_scd2_bootstrap(spark, d):
     empty = scd2_bootstrap(daily_snapshots(spark, d))
     n = empty.count()
