@@ -147,13 +147,18 @@ def ids_to_insert(silver: DataFrame, batch: DataFrame, key: str, hash_col: str =
 
 
 def scd2_hash_merge(silver: DataFrame, batch: DataFrame, key: str, day, load_ts: Column | None = None,
-                    hash_col: str = "record_hash") -> DataFrame:
+                    hash_col: str = "record_hash", same_day: str = "keep") -> DataFrame:
     """New full history after loading one day's snapshot ``batch`` (one row per key).
 
     unchanged hash -> no-op; changed -> current row closed (``is_current`` false,
     end = day - 1) and a new version (max + 1, start = day) added; new key ->
     version 1; keys absent from the batch untouched. Closed rows (history) pass
     through without a join; only current rows meet the batch.
+
+    ``same_day="keep"`` (default) treats a second, different load of the day the
+    current version started as a change (the old row ends the day before it
+    started). ``"replace"`` overwrites that same-day version instead: the row is
+    dropped and the new one keeps its version number.
     """
     day_c = F.to_date(F.lit(day)) if not isinstance(day, Column) else F.to_date(day)
     load_ts = F.current_timestamp() if load_ts is None else load_ts
@@ -175,6 +180,22 @@ def scd2_hash_merge(silver: DataFrame, batch: DataFrame, key: str, day, load_ts:
                .withColumn("is_current", F.lit(True))
                .withColumn("silver_load_timestamp", load_ts))
 
+    if same_day == "replace":
+        cur_start = cur.select(key, F.col("effective_start_date").alias("_ll_start"))
+        chg = (chg.join(cur_start, key, "left")
+               .withColumn("_ll_max", F.when(F.col("_ll_start") == day_c, F.col("_ll_max") - 1)
+                           .otherwise(F.col("_ll_max"))).drop("_ll_start"))
+        inserts = (batch.join(chg.unionByName(new).distinct(), key, "inner")
+                   .withColumn("record_version", (F.coalesce(F.col("_ll_max"), F.lit(0)) + F.lit(1)).cast("int"))
+                   .drop("_ll_max")
+                   .withColumn("effective_start_date", day_c)
+                   .withColumn("effective_end_date", F.lit(None).cast("date"))
+                   .withColumn("is_current", F.lit(True))
+                   .withColumn("silver_load_timestamp", load_ts))
+        cur = cur.join(chg.select(key), key, "left_anti").unionByName(
+            cur.join(chg.select(key), key, "left_semi").filter(F.col("effective_start_date") != day_c))
+    elif same_day != "keep":
+        raise ValueError("same_day must be 'keep' or 'replace'")
     flag = chg.select(key, F.lit(True).alias("_ll_chg"))
     hit = F.coalesce(F.col("_ll_chg"), F.lit(False))
     expired = (cur.join(flag, key, "left")

@@ -30,6 +30,7 @@ class CdcSource:
     read: Callable[[SparkSession], DataFrame]
     schema: str = "dbo"
     from_date: str = ""          # non-empty: replaces the stored watermark for this run
+    inclusive_key: tuple[str, ...] = ()   # non-empty: read >= watermark, skip keys already loaded
 
 
 def parquet_table(path: str) -> Callable[[SparkSession], DataFrame]:
@@ -79,16 +80,26 @@ def effective_watermark(stored: str | None, from_date: str | None) -> str | None
 
 # ── extract ──────────────────────────────────────────────────────────────────
 
-def extract(df: DataFrame, cdc_col: str, watermark: str | None) -> DataFrame:
-    """Rows strictly after the watermark (all rows when there is none).
+def extract(df: DataFrame, cdc_col: str, watermark: str | None, inclusive: bool = False,
+            key: list[str] | None = None, loaded: DataFrame | None = None) -> DataFrame:
+    """Rows after the watermark (all rows when there is none).
 
-    The literal is cast to the column's type so the comparison is typed and is
-    pushed into the scan.
+    Default is strict ``>``: rows that arrive later with the boundary value are
+    never read. ``inclusive=True`` reads ``>=`` and drops the boundary rows whose
+    ``key`` is already in ``loaded`` (the rows copied before), so late rows with
+    the boundary value are picked up without duplicates. The literal is cast to
+    the column's type so the comparison is typed and pushed into the scan.
     """
     if watermark is None:
         return df
     t = df.schema[cdc_col].dataType
-    return df.filter(F.col(cdc_col) > F.lit(watermark).cast(t))
+    wm = F.lit(watermark).cast(t)
+    if not inclusive:
+        return df.filter(F.col(cdc_col) > wm)
+    if not key or loaded is None:
+        raise ValueError("inclusive extraction needs the key columns and the loaded rows")
+    seen = loaded.filter(F.col(cdc_col) == wm).select(*key)
+    return df.filter(F.col(cdc_col) >= wm).join(seen, key, "left_anti")
 
 
 def max_watermark(df: DataFrame, cdc_col: str) -> DataFrame:
@@ -110,7 +121,11 @@ def run_table(spark: SparkSession, src: CdcSource, root: str, stamp: str, run_id
     wm = effective_watermark(stored, src.from_date)
     out = output_path(root, src.table, stamp)
     try:
-        batch = extract(src.read(spark), src.cdc_col, wm)
+        if src.inclusive_key and wm is not None:
+            batch = extract(src.read(spark), src.cdc_col, wm, inclusive=True, key=list(src.inclusive_key),
+                            loaded=read_bronze(spark, root, src.table))
+        else:
+            batch = extract(src.read(spark), src.cdc_col, wm)
         obs = Observation(f"cdc_{src.table}_{uuid.uuid4().hex[:8]}")
         observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"),
                                  F.max(src.cdc_col).cast("string").alias("wm"))

@@ -81,3 +81,14 @@ def test_fixture_loader(spark, scratch, tmp_path):
     import pytest
     with pytest.raises(ValueError):
         load_fixture(spark, str(tmp_path / "f.txt"))
+
+
+def test_inclusive_watermark_picks_up_late_boundary_rows(spark, scratch):
+    root = scratch("cdc")
+    df1 = spark.createDataFrame([(1, 10), (2, 20)], "id int, c int")
+    run_incremental(spark, [_src(df1)], root, stamp="r1")
+    late = spark.createDataFrame([(1, 10), (2, 20), (3, 20), (4, 30)], "id int, c int")
+    src = CdcSource(table="t", cdc_col="c", read=lambda s: late, inclusive_key=("id",))
+    a = run_incremental(spark, [src], root, stamp="r2").first()
+    assert (a.rows, a.new_watermark) == (2, "30")                  # id 3 (boundary, late) and id 4
+    assert sorted(r.id for r in read_bronze(spark, root, "t").collect()) == [1, 2, 3, 4]

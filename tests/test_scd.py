@@ -163,3 +163,14 @@ def test_hot_key_routing_matches_plain(spark):
         assert a == b
     finally:
         spark.conf.unset("lakelayer.hotKeyRows")
+
+
+def test_hash_merge_same_day_replace(spark):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    first = _snap(spark, [("a", "x", d1)])
+    silver = scd2_hash_merge(scd2_bootstrap(first), first, "id", F.lit(d1))
+    silver = spark.createDataFrame(silver.collect(), silver.schema)
+    again = scd2_hash_merge(silver, _snap(spark, [("a", "y", d1)]), "id", F.lit(d1), same_day="replace").collect()
+    assert [(r.v, r.record_version, r.is_current, r.effective_start_date) for r in again] == [("y", 1, True, d1)]
+    nxt = scd2_hash_merge(silver, _snap(spark, [("a", "y", d2)]), "id", F.lit(d2), same_day="replace").collect()
+    assert sorted((r.v, r.record_version, r.is_current) for r in nxt) == [("x", 1, False), ("y", 2, True)]
