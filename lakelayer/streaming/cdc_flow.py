@@ -78,8 +78,9 @@ def _bucket(t: CdcTarget, n: int):
 def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: int) -> None:
     """Apply one micro-batch (also usable directly for batch loads)."""
     n = bucket_count(spark, t)
-    # one writer per bucket: one file per touched bucket, not one per (task, bucket)
-    (batch.withColumn(BUCKET, _bucket(t, n)).withColumn("batch_id", F.lit(batch_id)).repartition(BUCKET)
+    # rows of a bucket go to one writer (one file per bucket, not one per task and
+    # bucket); AQE's rebalance splits a bucket that holds a hot key across tasks
+    (batch.withColumn(BUCKET, _bucket(t, n)).withColumn("batch_id", F.lit(batch_id)).hint("rebalance", BUCKET)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET, "batch_id").parquet(t.log))
     log = spark.read.parquet(t.log)
@@ -96,7 +97,7 @@ def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: i
     markers = spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int").select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in fresh.schema.fields if f.name not in (BUCKET, MARKER)],
         F.col(BUCKET), F.lit(True).alias(MARKER))
-    (fresh.unionByName(markers).repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (fresh.unionByName(markers).hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(t.data))
 
 
