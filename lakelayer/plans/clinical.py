@@ -20,6 +20,7 @@ from lakelayer.operators.dedup import latest_per_key
 from lakelayer.operators.flatten import ID_COLUMN, RESOURCES, flatten
 from lakelayer.operators.scd import scd2_hash_history, scd2_hash_merge
 from lakelayer.plans import gold
+from lakelayer.session import run_concurrently
 from lakelayer.plans.roles import ENCOUNTER, OBSERVATION, PATIENT, CONDITION, FROM_SQL, select_sql, table
 from lakelayer.sinks.tables import (latest_generation, read_generation, replace_partitions, write_generation,
                                     write_raw_pages)
@@ -274,8 +275,8 @@ def bronze_frames(pages, extraction_ts: Column | None = None) -> dict[str, DataF
 def load_bronze(spark: SparkSession, ctx: Context, extraction_ts: Column | None = None) -> None:
     """All raw days and resource types in one scan; each (resource, day) partition replaced."""
     frames = bronze_frames(lambda r: read_pages(spark, ctx.raw(), resource=r), extraction_ts)
-    for r, df in frames.items():
-        replace_partitions(df, ctx.bronze(r), ["ingest_date"])
+    run_concurrently([lambda r=r, df=df: replace_partitions(df, ctx.bronze(r), ["ingest_date"])
+                      for r, df in frames.items()])
 
 
 def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
@@ -288,22 +289,25 @@ def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
     import datetime as dt
     clock = clock or (lambda day: F.current_timestamp())
     s, e = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    for r in RESOURCES:
+
+    def one(r: str) -> None:                      # resources are independent of each other
         key, root = ID_COLUMN[r], ctx.silver(r)
         bronze = spark.read.parquet(ctx.bronze(r))
         in_range = bronze.filter((F.col("ingest_date") >= F.lit(s)) & (F.col("ingest_date") < F.lit(e)))
         last = latest_generation(spark, root)
         if last is None:
             write_generation(spark, scd2_hash_history(in_range, key, clock=clock), root, 0)
-            continue
+            return
         day, gen = s, last + 1
-        while day < e:
+        while day < e:                            # days in order: each depends on the one before
             silver = read_generation(spark, root)
             batch = in_range.filter(F.col("ingest_date") == F.lit(day))
             write_generation(spark, scd2_hash_merge(silver, batch, key, F.lit(day), load_ts=clock(F.lit(day))),
                              root, gen)
             day, gen = day + dt.timedelta(days=1), gen + 1
 
+    run_concurrently([lambda r=r: one(r) for r in RESOURCES])
+
 
 def gold_models(spark: SparkSession, ctx: Context) -> dict[str, DataFrame]:
     silver = {r.lower(): read_generation(spark, ctx.silver(r)) for r in RESOURCES}
@@ -317,6 +321,6 @@ def run_medallion(spark: SparkSession, ctx: Context, start: str, end: str,
     load_silver(spark, ctx, start, end, clock)
     models = gold_models(spark, ctx)
     if publish:
-        paths = gold.publish(models, ctx.gold())
+        paths = dict(run_concurrently([lambda n=n: (n, gold.publish(models, ctx.gold(), [n])[n]) for n in models]))
         return {k: spark.read.parquet(p) for k, p in paths.items()}
     return models

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +67,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/lakelayer/{label}-{uuid.uuid4().hex}"
+
+
+def run_concurrently(tasks: Iterable[Callable[[], object]], max_workers: int = 4) -> list:
+    """Submit independent Spark actions from a few driver threads.
+
+    Spark runs jobs from different threads at the same time on the same
+    executors, so small independent jobs (one per resource, per table) overlap
+    instead of queueing. Results come back in task order; the first error is
+    raised.
+    """
+    tasks = list(tasks)
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]
