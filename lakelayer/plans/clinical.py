@@ -59,10 +59,6 @@ def _meta() -> Column:
     return F.struct(F.lit("2024-01-01T00:00:00Z").alias("lastUpdated"))
 
 
-def _e(sql: str) -> Column:
-    return F.expr(sql)
-
-
 def _role(cols, name) -> Column:
     return F.expr(dict(cols)[name])
 

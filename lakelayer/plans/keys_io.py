@@ -10,10 +10,9 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakelayer.functions import record_hash
-from lakelayer.operators.dedup import latest_per_key
+from lakelayer.operators.dedup import first_seen, latest_per_key
 from lakelayer.operators.quality import expect_all_or_drop
 from lakelayer.operators.scd import (changed_ids, current_rows, ids_to_insert, new_ids, scd2_bootstrap,
                                      scd2_hash_history, scd2_hash_merge)
@@ -25,7 +24,6 @@ from lakelayer.sinks.tables import read_generation, read_slice, replace_partitio
 from lakelayer.sources.cdc import CdcSource, read_bronze, run_incremental
 from lakelayer.streaming.cdc_flow import CdcTarget, read_target, run_cdc_stream
 from lakelayer.streaming.ingest import file_stream, run_to_parquet
-from lakelayer.operators.dedup import first_seen
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
@@ -58,7 +56,7 @@ UNION ALL SELECT 'events', count(*), 'succeeded' FROM events WHERE ts > TIMESTAM
 def q_cdc_multi(spark, d):
     root = scratch_dir(spark, "cdc")
     srcs = [_frame_source(table(spark, d, t), t, c, f) for t, c, f in _MULTI]
-    return run_incremental(spark, srcs, root).select("table_name", "rows", "status")
+    return run_incremental(spark, srcs, root, parallel=3).select("table_name", "rows", "status")
 
 
 @query("cdc_run_audit", oracle="""

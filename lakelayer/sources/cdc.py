@@ -146,11 +146,19 @@ def run_table(spark: SparkSession, src: CdcSource, root: str, stamp: str, run_id
 
 def run_incremental(spark: SparkSession, sources: Sequence[CdcSource], root: str,
                     stamp: str | None = None, run_id: str | None = None,
-                    audit_path: str | None = None) -> DataFrame:
-    """Run every source in order; returns (and optionally appends) the audit rows."""
+                    audit_path: str | None = None, parallel: int = 1) -> DataFrame:
+    """Run every source; returns (and optionally appends) the audit rows.
+
+    Tables are independent: with ``parallel > 1`` their jobs are submitted from
+    that many driver threads and run side by side; a failing table still only
+    marks its own audit row.
+    """
+    from lakelayer.session import run_concurrently
     stamp = stamp or run_stamp()
     run_id = run_id or str(uuid.uuid4())
-    rows = [run_table(spark, s, root, stamp, run_id) for s in sources]
+    rows = run_concurrently([lambda s=s: run_table(spark, s, root, stamp, run_id) for s in sources],
+                            max_workers=max(1, parallel)) if parallel > 1 else \
+        [run_table(spark, s, root, stamp, run_id) for s in sources]
     audit = spark.createDataFrame([tuple(r[k] for k in (
         "run_id", "table_name", "rows", "old_watermark", "new_watermark", "status", "error",
         "output_path", "run_ts")) for r in rows], AUDIT_SCHEMA)

@@ -2,7 +2,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from lakelayer.operators.dedup import first_seen
 from lakelayer.plans.clinical import bronze_frames

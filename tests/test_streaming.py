@@ -1,7 +1,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from lakelayer.operators.scd import scd1_apply, scd2_apply
 from lakelayer.sources.files import with_rescued_data
