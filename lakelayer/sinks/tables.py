@@ -92,6 +92,11 @@ def read_generation(spark: SparkSession, root: str, gen: int | None = None, sche
 
 # ── raw pages ────────────────────────────────────────────────────────────────
 
+def page_file_name(page_number: int) -> str:
+    """Name of one stored page when pages are kept one per file."""
+    return f"page_{page_number:04d}.json"
+
+
 def write_raw_pages(pages: DataFrame, root: str) -> None:
     """Bundle JSON text, one document per line, under ``resource_name=<R>/date=<D>``.
 

@@ -37,12 +37,21 @@ def parquet_table(path: str) -> Callable[[SparkSession], DataFrame]:
     return lambda spark: spark.read.parquet(path)
 
 
-def jdbc_table(url: str, table: str, properties: dict | None = None, partition_column: str | None = None,
-               lower: int | None = None, upper: int | None = None, num_partitions: int | None = None,
-               query_timeout_s: int = 7200) -> Callable[[SparkSession], DataFrame]:
-    """JDBC reader; with a partition column the read is split into parallel range queries."""
+def jdbc_table(url: str, table: str | None = None, properties: dict | None = None,
+               partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
+               num_partitions: int | None = None, query_timeout_s: int = 7200,
+               query: str | None = None) -> Callable[[SparkSession], DataFrame]:
+    """JDBC reader; with a partition column the read is split into parallel range queries.
+
+    ``query`` runs a statement in the database instead of reading a table (e.g. the
+    global ``MAX(cdc_col)``, which the JDBC source does not push down itself).
+    """
+    if (table is None) == (query is None):
+        raise ValueError("give exactly one of table or query")
+
     def read(spark: SparkSession) -> DataFrame:
-        r = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
+        r = (spark.read.format("jdbc").option("url", url)
+             .option("dbtable" if table is not None else "query", table if table is not None else query)
              .option("queryTimeout", str(query_timeout_s)))
         for k, v in (properties or {}).items():
             r = r.option(k, v)

@@ -48,6 +48,11 @@ def file_stream(spark: SparkSession, source: str, schema: T.StructType | None =
     return df
 
 
+def table_stream(spark: SparkSession, name: str) -> DataFrame:
+    """Streaming read of a catalog table (new files of the table are new rows)."""
+    return spark.readStream.table(name)
+
+
 def run_to_parquet(df: DataFrame, target: str, checkpoint: str, full_reload: bool = False,
                    partition_cols=()) -> StreamRun:
     """Append a streaming DataFrame to ``target`` until the available input is done.
