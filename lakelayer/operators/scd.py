@@ -146,31 +146,40 @@ def ids_to_insert(silver: DataFrame, batch: DataFrame, key: str, hash_col: str =
     return changed_ids(silver, batch, key, hash_col).unionByName(new_ids(silver, batch, key)).distinct()
 
 
-def scd2_hash_merge(silver: DataFrame, batch: DataFrame, key: str, day, load_ts: Column | None = None,
-                    hash_col: str = "record_hash", same_day: str = "keep") -> DataFrame:
-    """New full history after loading one day's snapshot ``batch`` (one row per key).
+def scd2_hash_merge_parts(current: DataFrame, batch: DataFrame, key: str, day, load_ts: Column | None = None,
+                          hash_col: str = "record_hash", same_day: str = "keep",
+                          known_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """One day's snapshot against the current rows only: (rows closed today, new current rows).
 
     unchanged hash -> no-op; changed -> current row closed (``is_current`` false,
-    end = day - 1) and a new version (max + 1, start = day) added; new key ->
-    version 1; keys absent from the batch untouched. Closed rows (history) pass
-    through without a join; only current rows meet the batch.
+    end = day - 1) and a new version (current + 1, start = day); new key ->
+    version 1; keys absent from the batch untouched. ``known_ids``: every key
+    ever stored (default: the current keys, which is the same set for any
+    history built by these functions, since a row is only closed together with
+    a new version). Cost grows with current rows + batch, not with history.
 
     ``same_day="keep"`` (default) treats a second, different load of the day the
     current version started as a change (the old row ends the day before it
     started). ``"replace"`` overwrites that same-day version instead: the row is
     dropped and the new one keeps its version number.
     """
+    if same_day not in ("keep", "replace"):
+        raise ValueError("same_day must be 'keep' or 'replace'")
     day_c = F.to_date(F.lit(day)) if not isinstance(day, Column) else F.to_date(day)
     load_ts = F.current_timestamp() if load_ts is None else load_ts
-    hist = silver.filter(~_is_current(silver))
-    cur = current_rows(silver)
+    cur = current_rows(current)
+    seen = cur.select(key) if known_ids is None else known_ids.select(key)
 
-    cur_k = cur.select(key, F.col(hash_col).alias("_ll_cur_hash"), F.col("record_version").alias("_ll_ver"))
+    cur_k = cur.select(key, F.col(hash_col).alias("_ll_cur_hash"), F.col("record_version").alias("_ll_ver"),
+                       F.col("effective_start_date").alias("_ll_start"))
     chg = (batch.select(key, hash_col).join(cur_k, key, "inner")
            .filter(F.col(hash_col) != F.col("_ll_cur_hash"))
-           .select(key, F.col("_ll_ver").alias("_ll_max")))
-    new = new_ids(silver, batch, key).select(key, F.lit(None).cast("int").alias("_ll_max"))
-    ins_ids = chg.unionByName(new).distinct()
+           .select(key, "_ll_ver", "_ll_start"))
+    replace = (F.col("_ll_start") == day_c) if same_day == "replace" else F.lit(False)
+    new = batch.select(key).join(seen, key, "left_anti").distinct() \
+        .select(key, F.lit(None).cast("int").alias("_ll_max"))
+    ins_ids = chg.select(key, F.when(replace, F.col("_ll_ver") - 1).otherwise(F.col("_ll_ver")).alias("_ll_max")) \
+        .unionByName(new).distinct()
 
     inserts = (batch.join(ins_ids, key, "inner")
                .withColumn("record_version", (F.coalesce(F.col("_ll_max"), F.lit(0)) + F.lit(1)).cast("int"))
@@ -180,33 +189,31 @@ def scd2_hash_merge(silver: DataFrame, batch: DataFrame, key: str, day, load_ts:
                .withColumn("is_current", F.lit(True))
                .withColumn("silver_load_timestamp", load_ts))
 
-    if same_day == "replace":
-        cur_start = cur.select(key, F.col("effective_start_date").alias("_ll_start"))
-        chg = (chg.join(cur_start, key, "left")
-               .withColumn("_ll_max", F.when(F.col("_ll_start") == day_c, F.col("_ll_max") - 1)
-                           .otherwise(F.col("_ll_max"))).drop("_ll_start"))
-        inserts = (batch.join(chg.unionByName(new).distinct(), key, "inner")
-                   .withColumn("record_version", (F.coalesce(F.col("_ll_max"), F.lit(0)) + F.lit(1)).cast("int"))
-                   .drop("_ll_max")
-                   .withColumn("effective_start_date", day_c)
-                   .withColumn("effective_end_date", F.lit(None).cast("date"))
-                   .withColumn("is_current", F.lit(True))
-                   .withColumn("silver_load_timestamp", load_ts))
-        cur = cur.join(chg.select(key), key, "left_anti").unionByName(
-            cur.join(chg.select(key), key, "left_semi").filter(F.col("effective_start_date") != day_c))
-    elif same_day != "keep":
-        raise ValueError("same_day must be 'keep' or 'replace'")
-    flag = chg.select(key, F.lit(True).alias("_ll_chg"))
+    flagged = cur.join(chg.select(key, F.lit(True).alias("_ll_chg"), replace.alias("_ll_rep")), key, "left")
     hit = F.coalesce(F.col("_ll_chg"), F.lit(False))
-    expired = (cur.join(flag, key, "left")
-               .withColumn("effective_end_date",
-                           F.when(hit, F.date_sub(day_c, 1)).otherwise(F.col("effective_end_date")))
-               .withColumn("silver_load_timestamp",
-                           F.when(hit, load_ts).otherwise(F.col("silver_load_timestamp")))
-               .withColumn("is_current", F.when(hit, F.lit(False)).otherwise(F.col("is_current")))
-               .drop("_ll_chg"))
-    return (hist.unionByName(expired, allowMissingColumns=True)
-            .unionByName(inserts, allowMissingColumns=True))
+    dropped = F.coalesce(F.col("_ll_rep"), F.lit(False))
+    closed = (flagged.filter(hit & ~dropped)
+              .withColumn("effective_end_date", F.date_sub(day_c, 1))
+              .withColumn("silver_load_timestamp", load_ts)
+              .withColumn("is_current", F.lit(False))
+              .drop("_ll_chg", "_ll_rep"))
+    kept = flagged.filter(~hit).drop("_ll_chg", "_ll_rep")
+    return closed, kept.unionByName(inserts, allowMissingColumns=True)
+
+
+def scd2_hash_merge(silver: DataFrame, batch: DataFrame, key: str, day, load_ts: Column | None = None,
+                    hash_col: str = "record_hash", same_day: str = "keep") -> DataFrame:
+    """New full history after loading one day's snapshot ``batch`` (one row per key).
+
+    Closed rows pass through without a join; only current rows meet the batch
+    (see ``scd2_hash_merge_parts`` for the rules and ``same_day``). Keys stored
+    in any version count as known.
+    """
+    hist = silver.filter(~_is_current(silver))
+    closed, current = scd2_hash_merge_parts(current_rows(silver), batch, key, day, load_ts, hash_col, same_day,
+                                            known_ids=silver.select(key))
+    return (hist.unionByName(closed, allowMissingColumns=True)
+            .unionByName(current, allowMissingColumns=True))
 
 
 def scd2_hash_history(snapshots: DataFrame, key: str, day_col: str = "ingest_date",

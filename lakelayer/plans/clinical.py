@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from lakelayer.functions import record_hash
 from lakelayer.operators.dedup import latest_per_key
 from lakelayer.operators.flatten import ID_COLUMN, RESOURCES, flatten
-from lakelayer.operators.scd import scd2_hash_history, scd2_hash_merge
+from lakelayer.operators.scd import scd2_hash_history, scd2_hash_merge_parts
 from lakelayer.plans import gold
 from lakelayer.session import run_concurrently
 from lakelayer.plans.roles import ENCOUNTER, OBSERVATION, PATIENT, CONDITION, FROM_SQL, select_sql, table
-from lakelayer.sinks.tables import (latest_generation, read_generation, replace_partitions, write_generation,
-                                    write_raw_pages)
+from lakelayer.sinks.tables import (HistoryStore, replace_partitions, store_current, store_generation,
+                                    store_write, write_raw_pages)
 from lakelayer.sources.bundles import PAGE_SIZE, entries, read_pages
 
 BASE_URL = "https://fhir.example.org/R4"
@@ -287,26 +287,28 @@ def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
     s, e = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
 
     def one(r: str) -> None:                      # resources are independent of each other
-        key, root = ID_COLUMN[r], ctx.silver(r)
+        key, store = ID_COLUMN[r], HistoryStore(ctx.silver(r))
         bronze = spark.read.parquet(ctx.bronze(r))
         in_range = bronze.filter((F.col("ingest_date") >= F.lit(s)) & (F.col("ingest_date") < F.lit(e)))
-        last = latest_generation(spark, root)
-        if last is None:
-            write_generation(spark, scd2_hash_history(in_range, key, clock=clock), root, 0)
+        last = store_generation(spark, store)
+        if last is None:                          # first load: all days in one job
+            hist = scd2_hash_history(in_range, key, clock=clock)
+            store_write(spark, store, hist.filter(~F.col("is_current")), hist.filter(F.col("is_current")), 0)
             return
         day, gen = s, last + 1
         while day < e:                            # days in order: each depends on the one before
-            silver = read_generation(spark, root)
             batch = in_range.filter(F.col("ingest_date") == F.lit(day))
-            write_generation(spark, scd2_hash_merge(silver, batch, key, F.lit(day), load_ts=clock(F.lit(day))),
-                             root, gen)
+            closed, current = scd2_hash_merge_parts(store_current(spark, store), batch, key, F.lit(day),
+                                                    load_ts=clock(F.lit(day)))
+            store_write(spark, store, closed, current, gen)
             day, gen = day + dt.timedelta(days=1), gen + 1
 
     run_concurrently([lambda r=r: one(r) for r in RESOURCES])
 
 
 def gold_models(spark: SparkSession, ctx: Context) -> dict[str, DataFrame]:
-    silver = {r.lower(): read_generation(spark, ctx.silver(r)) for r in RESOURCES}
+    """Gold reads only the current part of each silver history."""
+    silver = {r.lower(): store_current(spark, HistoryStore(ctx.silver(r))) for r in RESOURCES}
     return gold.build_gold(silver)
 
 

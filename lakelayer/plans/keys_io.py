@@ -15,12 +15,12 @@ from lakelayer.functions import record_hash
 from lakelayer.operators.dedup import first_seen, latest_per_key
 from lakelayer.operators.quality import expect_all_or_drop
 from lakelayer.operators.scd import (changed_ids, current_rows, ids_to_insert, new_ids, scd2_bootstrap,
-                                     scd2_hash_history, scd2_hash_merge)
+                                     scd2_hash_history, scd2_hash_merge_parts)
 from lakelayer.plans.keys_batch import RULES, SCD1_SQL, SCD2_SQL, _STAGED_SQL, staged_events
 from lakelayer.plans.registry import query
 from lakelayer.plans.roles import table
 from lakelayer.session import scratch_dir
-from lakelayer.sinks.tables import read_generation, read_slice, replace_partitions, write_generation
+from lakelayer.sinks.tables import HistoryStore, read_slice, replace_partitions, store_current, store_table, store_write
 from lakelayer.sources.cdc import CdcSource, read_bronze, run_incremental
 from lakelayer.streaming.cdc_flow import CdcTarget, read_target, run_cdc_stream
 from lakelayer.streaming.ingest import file_stream, run_to_parquet
@@ -142,19 +142,21 @@ def q_scd2_hash_multi(spark, d):
 
 
 def hash_daily_loop(spark: SparkSession, snaps: DataFrame, key: str, root: str) -> DataFrame:
-    """Apply ``scd2_hash_merge`` day after day; each day's history is a written generation."""
+    """Apply the daily hash merge day after day; each day writes its closed rows and a new
+    current generation (``HistoryStore``), so a day costs current rows + batch."""
     bounds = snaps.agg(F.min("ingest_date").alias("s"), F.max("ingest_date").alias("e")).first()
-    silver = scd2_bootstrap(snaps)
+    store = HistoryStore(root)
     if bounds["s"] is None:
-        return silver
+        return scd2_bootstrap(snaps)
     day, gen = bounds["s"], 0
     while day <= bounds["e"]:
         batch = snaps.filter(F.col("ingest_date") == F.lit(day))
-        merged = scd2_hash_merge(silver, batch, key, F.lit(day), load_ts=_clock(F.lit(day)))
-        write_generation(spark, merged, root, gen)
-        silver = read_generation(spark, root, gen)
+        current = store_current(spark, store)
+        closed, current = scd2_hash_merge_parts(scd2_bootstrap(snaps) if current is None else current, batch,
+                                                key, F.lit(day), load_ts=_clock(F.lit(day)))
+        store_write(spark, store, closed, current, gen)
         day, gen = day + _dt.timedelta(days=1), gen + 1
-    return silver
+    return store_table(spark, store)
 
 
 @query("scd2_hash_daily", oracle=HASH_HISTORY_SQL)

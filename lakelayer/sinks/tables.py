@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -90,6 +91,54 @@ def read_generation(spark: SparkSession, root: str, gen: int | None = None, sche
     return spark.read.parquet(generation_path(root, g))
 
 
+# ── SCD2 history store: append-only closed rows + generations of current rows ─
+
+@dataclass(frozen=True)
+class HistoryStore:
+    """A type-2 history kept as two parts so a day's load never rewrites history.
+
+    ``history/closed_on=<day>``: rows closed by that day's load (replaced as a
+    whole partition, so re-running a day is idempotent); ``current/``: one
+    generation per load holding the open version of every key.
+    """
+    root: str
+
+    @property
+    def current(self) -> str:
+        return f"{self.root.rstrip('/')}/current"
+
+    @property
+    def history(self) -> str:
+        return f"{self.root.rstrip('/')}/history"
+
+
+def store_generation(spark: SparkSession, store: HistoryStore) -> int | None:
+    return latest_generation(spark, store.current)
+
+
+def store_current(spark: SparkSession, store: HistoryStore) -> DataFrame | None:
+    return read_generation(spark, store.current)
+
+
+def store_table(spark: SparkSession, store: HistoryStore) -> DataFrame | None:
+    """The whole history: closed rows and the current rows."""
+    cur = store_current(spark, store)
+    if cur is None:
+        return None
+    try:
+        hist = spark.read.parquet(store.history).drop("closed_on")
+    except AnalysisException:
+        return cur
+    return hist.unionByName(cur, allowMissingColumns=True)
+
+
+def store_write(spark: SparkSession, store: HistoryStore, closed: DataFrame, current: DataFrame, gen: int) -> None:
+    """Append the closed rows (by the day that closed them), then commit the new current generation."""
+    replace_partitions(closed.withColumn("closed_on", F.date_add("effective_end_date", 1)), store.history,
+                       ["closed_on"])
+    write_generation(spark, current, store.current, gen)
+
+
 # ── raw pages ────────────────────────────────────────────────────────────────
 
 def page_file_name(page_number: int) -> str:
