@@ -22,7 +22,7 @@ from lakelayer.plans.roles import table
 from lakelayer.session import scratch_dir
 from lakelayer.sinks.tables import HistoryStore, read_slice, replace_partitions, store_current, store_table, store_write
 from lakelayer.sources.cdc import CdcSource, read_bronze, run_incremental
-from lakelayer.streaming.cdc_flow import CdcTarget, read_target, run_cdc_stream
+from lakelayer.streaming.cdc_flow import CdcTarget, read_target, run_cdc_stream, suggest_buckets
 from lakelayer.streaming.ingest import file_stream, run_to_parquet
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -315,9 +315,11 @@ def q_rescued(spark, d):
 def _cdc_stream(spark, d, scd_type: int, late_first: bool) -> DataFrame:
     src, chunks = _event_stream_source(spark, d, "2024-01-15", late_first=late_first)
     root, ck = scratch_dir(spark, "gold"), scratch_dir(spark, "ckpt")
-    schema = table(spark, d, "events").schema
+    events = table(spark, d, "events")
+    schema = events.schema
+    # the target is sized from the change volume it will hold
     t = CdcTarget(root=root, keys=("user_id",), sequence_by=("ts", "event_id") if scd_type == 1 else "ts",
-                  scd_type=scd_type)
+                  scd_type=scd_type, buckets=suggest_buckets(events.count()))
     for c in chunks:
         _write_chunks(c, src, 3)
         run_cdc_stream(file_stream(spark, src, schema=schema, max_files_per_trigger=2), t, ck)

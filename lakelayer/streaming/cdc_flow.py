@@ -52,6 +52,11 @@ class CdcTarget:
         return f"{self.root.rstrip('/')}/meta"
 
 
+def suggest_buckets(expected_rows: int, rows_per_bucket: int = 2_000_000, max_buckets: int = 65_536) -> int:
+    """Bucket count for a target expected to hold ``expected_rows`` rows."""
+    return max(1, min(max_buckets, -(-int(expected_rows) // rows_per_bucket)))
+
+
 def bucket_count(spark: SparkSession, t: CdcTarget) -> int:
     """The target's bucket count: stored with the target when it is created and
     read back afterwards, because changing it would move keys between buckets.
