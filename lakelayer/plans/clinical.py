@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ from lakelayer.plans import gold
 from lakelayer.session import run_concurrently
 from lakelayer.plans.roles import ENCOUNTER, OBSERVATION, PATIENT, CONDITION, FROM_SQL, select_sql, table
 from lakelayer.sinks.tables import (HistoryStore, replace_partitions, store_current, store_generation,
-                                    store_write, write_raw_pages)
+                                    store_loaded_through, store_write, write_raw_pages)
 from lakelayer.sources.bundles import PAGE_SIZE, entries, read_pages
 
 BASE_URL = "https://fhir.example.org/R4"
@@ -288,19 +289,26 @@ def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
 
     def one(r: str) -> None:                      # resources are independent of each other
         key, store = ID_COLUMN[r], HistoryStore(ctx.silver(r))
-        bronze = spark.read.parquet(ctx.bronze(r))
+        try:
+            bronze = spark.read.parquet(ctx.bronze(r))
+        except AnalysisException:                 # no bronze data for this resource yet
+            return
         in_range = bronze.filter((F.col("ingest_date") >= F.lit(s)) & (F.col("ingest_date") < F.lit(e)))
         last = store_generation(spark, store)
         if last is None:                          # first load: all days in one job
             hist = scd2_hash_history(in_range, key, clock=clock)
-            store_write(spark, store, hist.filter(~F.col("is_current")), hist.filter(F.col("is_current")), 0)
+            store_write(spark, store, hist.filter(~F.col("is_current")), hist.filter(F.col("is_current")), 0,
+                        loaded_through=(e - dt.timedelta(days=1)).isoformat())
             return
+        done = store_loaded_through(spark, store)
         day, gen = s, last + 1
+        if done is not None:                      # resume after the last committed day (a rerun after a
+            day = max(s, dt.date.fromisoformat(done) + dt.timedelta(days=1))   # crash never replays a day)
         while day < e:                            # days in order: each depends on the one before
             batch = in_range.filter(F.col("ingest_date") == F.lit(day))
             closed, current = scd2_hash_merge_parts(store_current(spark, store), batch, key, F.lit(day),
                                                     load_ts=clock(F.lit(day)))
-            store_write(spark, store, closed, current, gen)
+            store_write(spark, store, closed, current, gen, loaded_through=day.isoformat())
             day, gen = day + dt.timedelta(days=1), gen + 1
 
     run_concurrently([lambda r=r: one(r) for r in RESOURCES])

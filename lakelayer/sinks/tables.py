@@ -69,8 +69,9 @@ def latest_generation(spark: SparkSession, root: str, before: int | None = None)
 
 
 def write_generation(spark: SparkSession, df: DataFrame, root: str, gen: int,
-                     partition_cols: Sequence[str] = ()) -> str:
-    """Write ``df`` as generation ``gen`` then commit it. Re-running the same ``gen`` is idempotent."""
+                     partition_cols: Sequence[str] = (), tag: str | None = None) -> str:
+    """Write ``df`` as generation ``gen`` then commit it (with an optional ``tag``, e.g.
+    the day it loaded). Re-running the same ``gen`` is idempotent."""
     path = generation_path(root, gen)
     obs = Observation(f"gen_{gen}_{uuid.uuid4().hex[:8]}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
@@ -78,11 +79,21 @@ def write_generation(spark: SparkSession, df: DataFrame, root: str, gen: int,
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
     rows = int(obs.get.get("rows", 0) or 0)
-    (spark.createDataFrame([(gen, rows)], "gen long, rows long").coalesce(1)
+    (spark.createDataFrame([(gen, rows, tag)], "gen long, rows long, tag string").coalesce(1)
      .write.mode("overwrite").json(f"{commit_path(root)}/gen={gen:020d}"))
     return path
 
 
+def generation_tag(spark: SparkSession, root: str) -> str | None:
+    """Tag of the newest committed generation (None if none or untagged)."""
+    try:
+        log = spark.read.schema("gen long, rows long, tag string").json(commit_path(root))
+    except AnalysisException:
+        return None
+    row = log.orderBy(F.col("gen").desc()).select("tag").first()
+    return None if row is None else row["tag"]
+
+
 def read_generation(spark: SparkSession, root: str, gen: int | None = None, schema=None) -> DataFrame | None:
     """A committed generation (the newest by default); None when nothing is committed."""
     g = latest_generation(spark, root) if gen is None else gen
@@ -132,11 +143,18 @@ def store_table(spark: SparkSession, store: HistoryStore) -> DataFrame | None:
     return hist.unionByName(cur, allowMissingColumns=True)
 
 
-def store_write(spark: SparkSession, store: HistoryStore, closed: DataFrame, current: DataFrame, gen: int) -> None:
-    """Append the closed rows (by the day that closed them), then commit the new current generation."""
+def store_write(spark: SparkSession, store: HistoryStore, closed: DataFrame, current: DataFrame, gen: int,
+                loaded_through: str | None = None) -> None:
+    """Append the closed rows (by the day that closed them), then commit the new current
+    generation, recording the last day it includes (``loaded_through``)."""
     replace_partitions(closed.withColumn("closed_on", F.date_add("effective_end_date", 1)), store.history,
                        ["closed_on"])
-    write_generation(spark, current, store.current, gen)
+    write_generation(spark, current, store.current, gen, tag=loaded_through)
+
+
+def store_loaded_through(spark: SparkSession, store: HistoryStore) -> str | None:
+    """Last day committed to the store (loads resume after it)."""
+    return generation_tag(spark, store.current)
 
 
 # ── raw pages ────────────────────────────────────────────────────────────────

@@ -90,3 +90,23 @@ def test_context_paths():
     c = Context("/r")
     assert (c.raw(), c.bronze("Patient"), c.silver("Encounter"), c.gold()) == \
         ("/r/raw", "/r/bronze/patient", "/r/silver/encounter", "/r/gold")
+
+
+def test_silver_load_resumes_after_last_committed_day(spark, scratch):
+    import datetime as dt
+    from lakelayer.plans.clinical import load_bronze, load_silver
+    from lakelayer.sinks.tables import HistoryStore, store_loaded_through, store_table
+    root = scratch("med")
+    ctx = Context(root)
+    for i, given in enumerate(["A", "B", "B", "C"]):
+        day = (dt.date(2024, 1, 1) + dt.timedelta(days=i)).isoformat()
+        _write_pages(ctx.raw(), "Patient", day, [{"resourceType": "Bundle", "entry": [
+            {"resource": {"resourceType": "Patient", "id": "p1", "name": [{"family": "F", "given": [given]}]}}]}])
+    load_bronze(spark, ctx)
+    clock = lambda d: F.to_timestamp(d)
+    load_silver(spark, ctx, "2024-01-01", "2024-01-03", clock)      # first load: closed form, days 1-2
+    load_silver(spark, ctx, "2024-01-01", "2024-01-05", clock)      # rerun over a wider range: days 3-4 only
+    store = HistoryStore(ctx.silver("Patient"))
+    assert store_loaded_through(spark, store) == "2024-01-04"
+    got = sorted((r.given_name, r.record_version, r.is_current) for r in store_table(spark, store).collect())
+    assert got == [("A", 1, False), ("B", 2, False), ("C", 3, True)]
