@@ -106,8 +106,9 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             out = out.withColumn(prefix_next + c, F.lead(c).over(w))
         return out
 
-    base = df.withColumn(SPLIT, split)
+    pre = df.withColumn(SPLIT, split)
     w = Window.partitionBy(*keys, SPLIT).orderBy(*order)
+    base = pre
     if prev_cols:
         base = base.withColumn("_ll_p", F.lag(F.struct(*prev_cols)).over(w))
     if next_cols:
@@ -121,7 +122,8 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if prev_cols:
         aggs.append(F.max(F.struct(*[F.col(o) for o in order],
                                    F.struct(*prev_cols).alias("v"))).alias("_ll_last"))
-    edges = base.filter(F.col(SPLIT).isNotNull()).groupBy(*keys, SPLIT).agg(*aggs)
+    # summaries come from the rows before the window, so the window runs once
+    edges = pre.filter(F.col(SPLIT).isNotNull()).groupBy(*keys, SPLIT).agg(*aggs)
     we = Window.partitionBy(*keys).orderBy(SPLIT)
     sel = [*keys, SPLIT]
     if prev_cols:
@@ -152,10 +154,10 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
         return df.withColumn(out, F.sum(value).over(w))
 
-    base = df.withColumn(SPLIT, split)
+    pre = df.withColumn(SPLIT, split)
     w = Window.partitionBy(*keys, SPLIT).orderBy(*order).rowsBetween(*upto)
-    base = base.withColumn("_ll_local", F.sum(value).over(w))
-    tot = base.filter(F.col(SPLIT).isNotNull()).groupBy(*keys, SPLIT).agg(F.sum(value).alias("_ll_tot"))
+    base = pre.withColumn("_ll_local", F.sum(value).over(w))
+    tot = pre.filter(F.col(SPLIT).isNotNull()).groupBy(*keys, SPLIT).agg(F.sum(value).alias("_ll_tot"))
     we = Window.partitionBy(*keys).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, SPLIT, F.coalesce(F.sum("_ll_tot").over(we), F.lit(0)).alias("_ll_base"))
     b, t = base.alias("_ll_b"), tot.alias("_ll_t")
