@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -296,9 +297,13 @@ def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
         in_range = bronze.filter((F.col("ingest_date") >= F.lit(s)) & (F.col("ingest_date") < F.lit(e)))
         last = store_generation(spark, store)
         if last is None:                          # first load: all days in one job
-            hist = scd2_hash_history(in_range, key, clock=clock)
-            store_write(spark, store, hist.filter(~F.col("is_current")), hist.filter(F.col("is_current")), 0,
-                        loaded_through=(e - dt.timedelta(days=1)).isoformat())
+            # both parts (closed rows, current rows) come from one computation
+            hist = scd2_hash_history(in_range, key, clock=clock).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                store_write(spark, store, hist.filter(~F.col("is_current")), hist.filter(F.col("is_current")), 0,
+                            loaded_through=(e - dt.timedelta(days=1)).isoformat())
+            finally:
+                hist.unpersist()
             return
         done = store_loaded_through(spark, store)
         day, gen = s, last + 1
