@@ -56,3 +56,12 @@ def test_bounded_stream_dedup(spark, scratch):
     s = first_seen(file_stream(spark, src), ["k"], event_time="ts", delay="1 hour")
     run_to_parquet(s, tgt, ck)
     assert sorted(r.k for r in spark.read.parquet(tgt).collect()) == [1, 2]
+
+
+def test_gold_publish_registers_comment(spark, scratch):
+    from lakelayer.plans.gold import publish
+    df = spark.createDataFrame([(1, "a")], "patient_id long, family_name string")
+    publish({"gold_patient": df}, scratch("gold"), schema="ll_gold")
+    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED ll_gold.gold_patient").collect()}
+    assert desc.get("Comment", "").startswith("Current patient dimension")
+    assert spark.table("ll_gold.gold_patient").count() == 1
