@@ -309,11 +309,12 @@ def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
         day, gen = s, last + 1
         if done is not None:                      # resume after the last committed day (a rerun after a
             day = max(s, dt.date.fromisoformat(done) + dt.timedelta(days=1))   # crash never replays a day)
+        current = store_current(spark, store, last)
         while day < e:                            # days in order: each depends on the one before
             batch = in_range.filter(F.col("ingest_date") == F.lit(day))
-            closed, current = scd2_hash_merge_parts(store_current(spark, store), batch, key, F.lit(day),
-                                                    load_ts=clock(F.lit(day)))
-            store_write(spark, store, closed, current, gen, loaded_through=day.isoformat())
+            closed, fresh = scd2_hash_merge_parts(current, batch, key, F.lit(day), load_ts=clock(F.lit(day)))
+            store_write(spark, store, closed, fresh, gen, loaded_through=day.isoformat())
+            current = store_current(spark, store, gen)      # the generation just committed
             day, gen = day + dt.timedelta(days=1), gen + 1
 
     run_concurrently([lambda r=r: one(r) for r in RESOURCES])

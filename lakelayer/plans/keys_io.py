@@ -148,13 +148,12 @@ def hash_daily_loop(spark: SparkSession, snaps: DataFrame, key: str, root: str)
     store = HistoryStore(root)
     if bounds["s"] is None:
         return scd2_bootstrap(snaps)
-    day, gen = bounds["s"], 0
+    day, gen, current = bounds["s"], 0, scd2_bootstrap(snaps)
     while day <= bounds["e"]:
         batch = snaps.filter(F.col("ingest_date") == F.lit(day))
-        current = store_current(spark, store)
-        closed, current = scd2_hash_merge_parts(scd2_bootstrap(snaps) if current is None else current, batch,
-                                                key, F.lit(day), load_ts=_clock(F.lit(day)))
-        store_write(spark, store, closed, current, gen)
+        closed, fresh = scd2_hash_merge_parts(current, batch, key, F.lit(day), load_ts=_clock(F.lit(day)))
+        store_write(spark, store, closed, fresh, gen, loaded_through=day.isoformat())
+        current = store_current(spark, store, gen)          # the generation just committed
         day, gen = day + _dt.timedelta(days=1), gen + 1
     return store_table(spark, store)
 

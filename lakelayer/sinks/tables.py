@@ -127,8 +127,10 @@ def store_generation(spark: SparkSession, store: HistoryStore) -> int | None:
     return latest_generation(spark, store.current)
 
 
-def store_current(spark: SparkSession, store: HistoryStore) -> DataFrame | None:
-    return read_generation(spark, store.current)
+def store_current(spark: SparkSession, store: HistoryStore, gen: int | None = None) -> DataFrame | None:
+    """Current rows: the newest committed generation, or generation ``gen`` when the
+    caller just committed it (saves the commit-log lookup)."""
+    return read_generation(spark, store.current, gen)
 
 
 def store_table(spark: SparkSession, store: HistoryStore) -> DataFrame | None:
