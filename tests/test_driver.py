@@ -51,3 +51,21 @@ def test_partition_pruning_on_day_slice(spark):
     df = read_slice(spark, path, "ingest_date", F.lit(SLICE_DAY).cast("date"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan
+
+
+def _exchanges(df) -> int:
+    import re
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)", plan))
+
+
+def test_scd2_without_hot_keys_is_one_shuffle(spark):
+    df = E.queries()["scd2_batch"](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    assert _exchanges(df) == 1
+
+
+def test_summary_aggregates_before_joining(spark):
+    df = E.queries()["gold_patient_health_summary"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [patient_id") == 3          # one pre-aggregate per fact side

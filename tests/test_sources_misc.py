@@ -65,3 +65,23 @@ def test_gold_publish_registers_comment(spark, scratch):
     desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED ll_gold.gold_patient").collect()}
     assert desc.get("Comment", "").startswith("Current patient dimension")
     assert spark.table("ll_gold.gold_patient").count() == 1
+
+
+def test_stream_from_catalog_table(spark, scratch):
+    from lakelayer.streaming.ingest import table_stream
+    loc = scratch("tbl")
+    spark.range(5).write.parquet(loc)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS ll_stream_src (id bigint) USING parquet LOCATION '{loc}'")
+    tgt, ck = scratch("tgt"), scratch("ck")
+    run_to_parquet(table_stream(spark, "ll_stream_src"), tgt, ck)
+    assert spark.read.parquet(tgt).count() == 5
+
+
+def test_jdbc_reader_needs_table_or_query():
+    import pytest
+    from lakelayer.sources.cdc import jdbc_table
+    with pytest.raises(ValueError):
+        jdbc_table("jdbc:none:x")
+    with pytest.raises(ValueError):
+        jdbc_table("jdbc:none:x", table="t", query="select 1")
+    assert callable(jdbc_table("jdbc:none:x", query="select max(c) from t"))
