@@ -70,7 +70,9 @@ def scd2_apply(changes: DataFrame, keys, sequence_by: str, track_except: Sequenc
     * ``track_except``: consecutive changes whose tracked columns are equal merge
       into one version that keeps the latest values of the untracked columns;
     * ``delete_when``: a matching change closes the open version and opens none.
-    Out-of-order input gives the same result as ordered input.
+    Out-of-order input gives the same result as ordered input. Building the plan
+    runs one small aggregate (row count per key) to find hot keys, which are then
+    split by ``split`` (``"auto"``: hour / day / 4096-value blocks of the sequence).
     """
     keys = _as_list(keys)
     cols = changes.columns

@@ -85,3 +85,19 @@ def test_jdbc_reader_needs_table_or_query():
     with pytest.raises(ValueError):
         jdbc_table("jdbc:none:x", table="t", query="select 1")
     assert callable(jdbc_table("jdbc:none:x", query="select max(c) from t"))
+
+
+def test_summary_string_vs_parsed_dates(spark):
+    import datetime as dt
+    from lakelayer.plans.gold import gold_patient_health_summary
+    pat = spark.createDataFrame([("p", "F", "G", "f", "1990", "c", "s", "x", True)],
+                                "patient_id string, family_name string, given_name string, gender string, "
+                                "birth_date string, city string, state string, country string, active boolean")
+    enc = spark.createDataFrame([("e1", "p", "2024-1-9"), ("e2", "p", "2024-01-10")],
+                                "encounter_id string, patient_id string, period_start string")
+    obs = spark.createDataFrame([], "observation_id string, patient_id string")
+    cnd = spark.createDataFrame([], "condition_id string, patient_id string, clinical_status string")
+    a = gold_patient_health_summary(pat, enc, obs, cnd).first()
+    assert (a.first_encounter_date, a.last_encounter_date) == ("2024-01-10", "2024-1-9")   # text order
+    b = gold_patient_health_summary(pat, enc, obs, cnd, parse_dates=True).first()
+    assert b.first_encounter_date == dt.datetime(2024, 1, 9) and b.last_encounter_date == dt.datetime(2024, 1, 10)
