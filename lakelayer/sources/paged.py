@@ -8,7 +8,8 @@ becomes a ``failed`` row and ends that partition (the other partitions go on).
 
 The transport is injected by name (option ``transport``):
 * ``folder:<path>`` replays recorded responses: the body for a URL is the file
-  ``<path>/<sha1(url)>.json`` (offline runs and tests);
+  ``<path>/<sha1(url)>.json`` (offline runs and tests; on a cluster the folder
+  must be a mount every executor can read);
 * ``<module>:<function>`` imports ``function(url) -> str`` on the executors.
 """
 
