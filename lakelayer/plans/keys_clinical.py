@@ -48,6 +48,8 @@ def _flat(resource: str):
         raw = scratch_dir(spark, "raw")
         synth_raw(spark, d, raw, DAY, resources=[resource])
         return flatten(entries(read_pages(spark, raw, resource=resource)), resource)
+    run.__name__ = f"q_flatten_{resource.lower()}"
+    run.__doc__ = f"{resource} pages synthesised from the tables, parsed and flattened."
     return run
 
 
