@@ -166,14 +166,15 @@ def page_file_name(page_number: int) -> str:
     return f"page_{page_number:04d}.json"
 
 
-def write_raw_pages(pages: DataFrame, root: str) -> None:
+def write_raw_pages(pages: DataFrame, root: str, compression: str = "none") -> None:
     """Bundle JSON text, one document per line, under ``resource_name=<R>/date=<D>``.
 
     ``pages`` has columns (resource, date, body); folders are
-    ``resource_name=<R>/date=<D>``. Only the folders present are replaced, so
-    reloading a day is idempotent.
+    ``resource_name=<R>/date=<D>``; ``compression="gzip"`` shrinks the landing zone
+    about 3x for some CPU (the JSON reader decompresses transparently). Only the
+    folders present are replaced, so reloading a day is idempotent.
     """
     replace = pages.select(F.col("body").alias("value"), F.col("resource").alias("resource_name"),
                            F.col("date").cast("string").alias("date"))
     (replace.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("resource_name", "date").text(root))
+     .option("compression", compression).partitionBy("resource_name", "date").text(root))
