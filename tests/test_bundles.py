@@ -110,3 +110,14 @@ def test_silver_load_resumes_after_last_committed_day(spark, scratch):
     assert store_loaded_through(spark, store) == "2024-01-04"
     got = sorted((r.given_name, r.record_version, r.is_current) for r in store_table(spark, store).collect())
     assert got == [("A", 1, False), ("B", 2, False), ("C", 3, True)]
+
+
+def test_raw_pages_round_trip_compressed(spark, scratch):
+    from lakelayer.sinks.tables import write_raw_pages
+    body = json.dumps({"resourceType": "Bundle", "total": 1,
+                       "entry": [{"resource": {"resourceType": "Patient", "id": "p9"}}]})
+    pages = spark.createDataFrame([("Patient", "2024-01-02", body)], "resource string, date string, body string")
+    root = scratch("raw")
+    write_raw_pages(pages, root, compression="gzip")
+    got = flatten(entries(read_pages(spark, root, resource="Patient")), "Patient").collect()
+    assert [r.patient_id for r in got] == ["p9"]
