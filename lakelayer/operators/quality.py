@@ -35,10 +35,14 @@ def expect_quarantine(df: DataFrame, rules: Mapping[str, str], column: str = "fa
 
 
 def expect_or_fail(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """Raise at execution time when a row breaks a rule."""
+    """Raise at execution time when a row breaks a rule.
+
+    The check is a filter predicate (a projected check column would be pruned
+    by the optimizer and never evaluated); passing rows flow through unchanged.
+    """
     cond = _all_pass(rules)
-    return df.withColumn("_ll_ok", F.when(cond, F.lit(True)).otherwise(
-        F.raise_error(F.lit("expectation failed: " + ", ".join(rules))))).drop("_ll_ok")
+    return df.filter(F.when(cond, F.lit(True)).otherwise(
+        F.raise_error(F.lit("expectation failed: " + ", ".join(rules)))))
 
 
 def expect_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

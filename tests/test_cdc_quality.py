@@ -92,3 +92,13 @@ def test_inclusive_watermark_picks_up_late_boundary_rows(spark, scratch):
     a = run_incremental(spark, [src], root, stamp="r2").first()
     assert (a.rows, a.new_watermark) == (2, "30")                  # id 3 (boundary, late) and id 4
     assert sorted(r.id for r in read_bronze(spark, root, "t").collect()) == [1, 2, 3, 4]
+
+
+def test_expect_or_fail(spark):
+    import pytest
+    from lakelayer.operators.quality import expect_or_fail
+    ok = spark.createDataFrame([(1,)], "user_id int")
+    assert expect_or_fail(ok, {"r1": "user_id IS NOT NULL"}).count() == 1
+    bad = spark.createDataFrame([(None,)], "user_id int")
+    with pytest.raises(Exception, match="expectation failed"):
+        expect_or_fail(bad, {"r1": "user_id IS NOT NULL"}).collect()
