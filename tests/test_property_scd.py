@@ -42,3 +42,25 @@ def test_scd2_matches_brute_force(spark, rows, track):
     finally:
         spark.conf.unset("lakelayer.hotKeyRows")
     assert got == brute(rows, track)
+
+
+rows1_st = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.sampled_from(["a", "b", "DEL"])),
+                    min_size=1, max_size=30)
+
+
+def brute_scd1(rows):
+    out = {}
+    for k in {r[0] for r in rows}:
+        best = max((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2]))   # seq, then greatest row
+        if best[2] != "DEL":
+            out[k] = best
+    return sorted(out.values())
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=rows1_st)
+def test_scd1_matches_brute_force(spark, rows):
+    from lakelayer.operators.scd import scd1_apply
+    df = spark.createDataFrame(rows, "k int, seq int, v string")
+    got = sorted(tuple(r) for r in scd1_apply(df, ["k"], ["seq"], delete_when="v = 'DEL'").collect())
+    assert got == brute_scd1(rows)
