@@ -22,14 +22,16 @@ def test_restart_is_exactly_once_and_full_reload(spark, scratch):
     df = spark.createDataFrame(_rows(1), SCHEMA).dropDuplicates(["k", "seq"])
     df.limit(50).write.parquet(src)
     schema = df.schema
-    run_to_parquet(file_stream(spark, src, schema=schema), tgt, ck)
-    run_to_parquet(file_stream(spark, src, schema=schema), tgt, ck)      # nothing new: no duplicates
+    first = run_to_parquet(file_stream(spark, src, schema=schema), tgt, ck)
+    assert first.rows == 50 and first.batches >= 1
+    again = run_to_parquet(file_stream(spark, src, schema=schema), tgt, ck)      # nothing new: no duplicates
+    assert again.rows == 0
     assert spark.read.parquet(tgt).count() == 50
     df.subtract(df.limit(50)).write.mode("append").parquet(src)
     run_to_parquet(file_stream(spark, src, schema=schema), tgt, ck)
     assert spark.read.parquet(tgt).count() == df.count()
-    again = run_to_parquet(file_stream(spark, src, schema=schema), tgt, ck, full_reload=True)
-    assert again.target != tgt and spark.read.parquet(again.target).count() == df.count()
+    reload = run_to_parquet(file_stream(spark, src, schema=schema), tgt, ck, full_reload=True)
+    assert reload.target != tgt and spark.read.parquet(reload.target).count() == df.count()
 
 
 def test_stream_cdc_equals_batch_any_split_and_order(spark, scratch):
