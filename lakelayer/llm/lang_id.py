@@ -17,8 +17,6 @@ repeated rows get the same answer; other columns are not read (or pass through `
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,20 +26,52 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lakelayer.llm.common import col, text_or_empty
 
-WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
 UNKNOWN = "und"
-
-
-def word_features(word: str) -> list[int]:
-    """Hashed feature numbers of a lower-cased word (lexicon features are added by the model)."""
-    w = f"^{word}$"
-    names = [f"w{word}"]
-    names += [f"p{word[:k]}" for k in range(1, min(4, len(word)) + 1)]
-    names += [f"s{word[-k:]}" for k in range(1, min(4, len(word)) + 1)]
-    short = w[:32] + w[-32:] if len(w) > 64 else w
-    names += [f"n{short[i:i + k]}" for k in (2, 3) for i in range(len(short) - k + 1)]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in dict.fromkeys(names)]
+_TABLE = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
+
+
+def words_of(text: str) -> list[bytes]:
+    """Lower-cased runs of letters a-z and non-ASCII characters; none if the text has no letter at all."""
+    words = text.lower().encode("utf-8", "surrogatepass").translate(_TABLE).split()
+    if words and not any(w.isalpha() for w in words) and not any(c.isalpha() for c in text):
+        return []
+    return words
+
+
+def _bucket(h: np.ndarray, kind: int) -> np.ndarray:
+    h = (h + np.uint64(kind)) * _MIX[0]
+    h ^= h >> np.uint64(29)
+    h *= _MIX[1]
+    return (h >> np.uint64(48)).astype(np.int64) % BUCKETS
+
+
+def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, hashed feature number) of all features of distinct words: the word, prefixes and suffixes of one
+    to four characters, and character bi- and trigrams over its edges."""
+    text = b" " + b" ".join(words) + b" "
+    c = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    gaps = np.flatnonzero(c == 32)
+    start, length = gaps[:-1] + 1, np.diff(gaps) - 1
+    who = np.arange(len(words))
+    w = np.repeat(who, length)
+    inside = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+    at = np.repeat(start, length) + inside
+    power = _MIX[2] ** (np.arange(int(length.max()) + 1, dtype=np.uint64) + np.uint64(1))
+    whole = np.add.reduceat(c[at] * power[inside], np.cumsum(length) - length)
+    out = [(who, _bucket(whole, 1))]
+    two = c[:-1] * _MIX[2] + c[1:] * _MIX[3]
+    three = two[:-1] + c[2:] * _MIX[1]
+    out += [(w, _bucket(two[at], 2)), (who, _bucket(two[start - 1], 2)), (w, _bucket(three[at - 1], 3))]
+    head = np.zeros(len(words), np.uint64)
+    tail = np.zeros(len(words), np.uint64)
+    for k in range(4):
+        has = length > k
+        head[has] = head[has] * _MIX[2] + c[start[has] + k]
+        tail[has] = tail[has] * _MIX[2] + c[start[has] + length[has] - 1 - k]
+        out += [(who[has], _bucket(head[has], 10 + k)), (who[has], _bucket(tail[has], 20 + k))]
+    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
 
 
 def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray, first: np.ndarray):
@@ -80,33 +110,32 @@ def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray, fi
 class Crf:
     """Feature weights, lexicon, transitions and the label order."""
 
-    def __init__(self, labels: list[str], lexicon: dict[str, int]):
+    def __init__(self, labels: list[str], lexicon: dict[bytes, int]):
         k = len(labels)
         self.labels, self.lexicon = labels, lexicon                 # lexicon: word -> bit set of labels
         self.weights = np.zeros((BUCKETS + (1 << k) if k <= 8 else BUCKETS, k))
         self.trans, self.first = np.eye(k) * 0.5, np.zeros(k)
 
-    def features(self, word: str) -> list[int]:
-        got = word_features(word)
-        bits = self.lexicon.get(word, 0)
-        return got + [BUCKETS + bits] if len(self.weights) > BUCKETS else got
+    def features(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        who, feature = word_features(words)
+        if len(self.weights) > BUCKETS:
+            bits = np.array([self.lexicon.get(w, 0) for w in words], np.int64)
+            who, feature = np.concatenate([who, np.arange(len(words))]), np.concatenate([feature, BUCKETS + bits])
+        return who, feature
 
-    def emissions(self, words: list[str]) -> np.ndarray:
-        feats = [self.features(w) for w in words]
-        n = np.array([len(f) for f in feats])
-        flat = np.fromiter((x for f in feats for x in f), np.int64, int(n.sum()))
-        at = np.concatenate([[0], np.cumsum(n)[:-1]])
-        return np.add.reduceat(self.weights[flat], at, axis=0)
+    def emissions(self, words: list[bytes]) -> np.ndarray:
+        who, feature = self.features(words)
+        return np.stack([np.bincount(who, self.weights[feature, c], len(words)) for c in range(len(self.labels))], axis=1)
 
-    def train(self, segments: list[tuple[list[str], int]], rounds: int, batch: int, rate: float, l2: float) -> None:
+    def train(self, segments: list[tuple[list[bytes], int]], rounds: int, batch: int, rate: float, l2: float) -> None:
         """Adagrad ascent of the conditional likelihood of the segments' word labels (all words of a segment share
         the label; its learned transitions come from segments joined in pairs)."""
-        vocab: dict[str, int] = {}
+        vocab: dict[bytes, int] = {}
         seqs = [(np.array([vocab.setdefault(w, len(vocab)) for w in words]), np.full(len(words), y))
                 for words, y in segments]
-        feats = [self.features(w) for w in vocab]
-        n = np.array([len(f) for f in feats])
-        flat = np.fromiter((x for f in feats for x in f), np.int64, int(n.sum()))
+        who, flat = self.features(list(vocab))
+        flat = flat[np.argsort(who, kind="stable")]
+        n = np.bincount(who, minlength=len(vocab))
         at = np.concatenate([[0], np.cumsum(n)])
         k = len(self.labels)
         rng = np.random.default_rng(7)
@@ -152,56 +181,100 @@ class Crf:
                 self.first += 0.3 * rate * gs / np.sqrt(st_sq)
 
 
+def mean_posteriors(emit: np.ndarray, length: np.ndarray, trans: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Mean posterior per label of padded sequences in order of falling length; ``emit`` holds exponentials. The
+    sequences still running at a step are a prefix of the lanes, so steps work on slices."""
+    steps, lanes, k = emit.shape
+    m, start = np.exp(trans).astype(emit.dtype), np.exp(first).astype(emit.dtype)
+    back = np.ascontiguousarray(m.T)
+    alive = np.searchsorted(-length, -np.arange(steps), side="left")       # lanes with length > t
+    cur = start * emit[0]
+    fwd = np.empty_like(emit)
+    for t in range(steps):
+        n = alive[t]
+        if t:
+            cur = (cur[:n] @ m) * emit[t, :n]
+        cur = cur / cur.sum(axis=1, keepdims=True)
+        fwd[t, :n] = cur
+    total = np.zeros((lanes, k))
+    b = np.ones((lanes, k), emit.dtype)
+    for t in range(steps - 1, -1, -1):
+        n = alive[t]
+        post = fwd[t, :n] * b[:n]
+        total[:n] += post / post.sum(axis=1, keepdims=True)
+        if t:
+            nxt = (emit[t, :n] * b[:n]) @ back
+            b[:n] = nxt / nxt.sum(axis=1, keepdims=True)
+    return total / length[:, None]
+
+
 class Labeller:
-    """Applies a model to texts; holds at most ``cap`` distinct words' emissions."""
+    """Applies a model to texts; holds the emissions of about ``cap`` distinct words."""
 
-    def __init__(self, model: Crf, cap: int = 200_000):
+    def __init__(self, model: Crf, cap: int = 400_000):
         self.model, self.cap = model, cap
-        self.index: dict[str, int] = {}
-        self.table = np.empty((0, len(model.labels)))
-
-    def _numbers(self, docs: list[list[str]]) -> list[np.ndarray]:
-        if len(self.index) > self.cap:
-            self.index, self.table = {}, self.table[:0]
-        new = [w for w in dict.fromkeys(w for d in docs for w in d) if w not in self.index]
-        for w in new:
-            self.index[w] = len(self.index)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.table = np.empty((1 << 12, len(self.model.labels)), np.float32)
+
+    def _numbers(self, words: list[list[bytes]]) -> list[np.ndarray]:
+        new = list({w for d in words for w in d}.difference(self.index))
         if new:
-            self.table = np.concatenate([self.table, self.model.emissions(new)])
+            at = len(self.index)
+            self.index.update(zip(new, range(at, at + len(new))))
+            if len(self.index) > len(self.table):
+                grown = np.empty((2 * len(self.index), self.table.shape[1]), np.float32)
+                grown[:at] = self.table[:at]
+                self.table = grown
+            e = self.model.emissions(new)
+            self.table[at:at + len(new)] = np.exp(np.maximum(e - e.max(axis=1, keepdims=True), -30))
         get = self.index.__getitem__
-        return [np.fromiter(map(get, d), np.int64, len(d)) for d in docs]
+        return [np.fromiter(map(get, d), np.int32, len(d)) for d in words]
 
     def posteriors(self, words: list[str]) -> np.ndarray:
         """(word, label) posteriors of one sequence of words."""
-        ids = self._numbers([[w.lower() for w in words]])[0]
-        emit = self.table[ids][:, None, :]
-        return forward_backward(emit, np.array([len(ids)]), self.model.trans, self.model.first)[0][:, 0]
+        emit = self.model.emissions([w.lower().encode() for w in words])[:, None, :]
+        return forward_backward(emit, np.array([len(words)]), self.model.trans, self.model.first)[0][:, 0]
 
-    def documents(self, texts: list[str], cells: int = 400_000) -> list[tuple[str, float]]:
+    def documents(self, texts: list[str], cells: int = 400_000, at_once: int = 2_000_000) -> list[tuple[str, float]]:
         out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
-        docs = [WORD.findall(t.lower()) for t in texts]
         if not self.model.labels:
             return out
-        order = sorted((i for i, d in enumerate(docs) if d), key=lambda i: len(docs[i]))
-        while order:
-            # lanes of like length, so that padding stays small; a batch holds about ``cells`` words
-            longest = len(docs[order[-1]])
-            lanes = [order.pop()]
-            while order and (len(lanes) + 1) * longest <= cells and (2 * len(docs[order[-1]]) >= longest or longest < 64):
-                lanes.append(order.pop())
-            ids = self._numbers([docs[i] for i in lanes])
-            length = np.array([len(x) for x in ids])
-            emit = np.zeros((int(length.max()), len(lanes), len(self.model.labels)))
+        held: list[tuple[int, np.ndarray]] = []
+        i = 0
+        while i < len(texts):
+            j, size = i, 0
+            while j < len(texts) and (j == i or size + len(texts[j]) <= at_once):
+                size += len(texts[j])
+                j += 1
+            if len(self.index) > self.cap:
+                self._run(held, out, cells)
+                held = []
+                self._forget()
+            held += [(i + k, ids) for k, ids in enumerate(self._numbers([words_of(t) for t in texts[i:j]])) if len(ids)]
+            i = j
+        self._run(held, out, cells)
+        return out
+
+    def _run(self, held: list[tuple[int, np.ndarray]], out: list, cells: int) -> None:
+        """Forward-backward over documents of like length, about ``cells`` words at a time."""
+        held = sorted(held, key=lambda x: len(x[1]))
+        while held:
+            longest = len(held[-1][1])
+            lanes = [held.pop()]
+            while held and (len(lanes) + 1) * longest <= cells and (2 * len(held[-1][1]) >= longest or longest < 64):
+                lanes.append(held.pop())
+            length = np.array([len(x) for _, x in lanes])
+            emit = np.ones((longest, len(lanes), self.table.shape[1]), np.float32)
             lane = np.repeat(np.arange(len(lanes)), length)
-            time = np.concatenate([np.arange(n) for n in length])
-            emit[time, lane] = self.table[np.concatenate(ids)]
-            post = forward_backward(emit, length, self.model.trans, self.model.first)[0]
-            post[np.arange(len(post))[:, None] >= length[None, :]] = 0
-            mean = post.sum(axis=0) / length[:, None]
-            for i, row in zip(lanes, mean):
+            time = np.arange(len(lane)) - np.repeat(np.cumsum(length) - length, length)
+            emit[time, lane] = self.table[np.concatenate([x for _, x in lanes])]
+            mean = mean_posteriors(emit, length, self.model.trans, self.model.first)
+            for (i, _), row in zip(lanes, mean):
                 best = int(np.argmax(row))
                 out[i] = (self.model.labels[best], float(min(1.0, max(0.0, row[best]))))
-        return out
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -222,17 +295,17 @@ def fit(df: DataFrame, labelled: Column, sample_rows: int = 4000, per_row: int =
         for b in batches:
             words, langs = [], []
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                w = WORD.findall(t.lower())
+                w = words_of(t)
                 most = min(per_row, -(-len(w) // segment))
                 for i in range(most):
                     at = (len(w) * (2 * i + 1) // (2 * most)) - segment // 2 if most > 1 else 0
                     at = max(0, min(at, len(w) - segment))
                     words.append(w[at:at + segment])
                     langs.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), pa.array(langs, pa.string())],
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.binary())), pa.array(langs, pa.string())],
                                              ["w", "y"])
 
-    got = [(r["w"], r["y"]) for r in chosen.mapInArrow(cut, "w array<string>, y string").toLocalIterator()]
+    got = [([bytes(x) for x in r["w"]], r["y"]) for r in chosen.mapInArrow(cut, "w array<binary>, y string").toLocalIterator()]
     got = sorted((w, y) for w, y in got if w)
     labels = sorted({y for _, y in got})
     number = {y: i for i, y in enumerate(labels)}
@@ -240,7 +313,7 @@ def fit(df: DataFrame, labelled: Column, sample_rows: int = 4000, per_row: int =
     for w, y in got:
         seen[number[y]].update(w)
     sums = np.array([max(1, sum(c.values())) for c in seen], float)
-    lexicon: dict[str, int] = {}
+    lexicon: dict[bytes, int] = {}
     for i, c in enumerate(seen):
         for w, n in c.items():
             rest = sum(o[w] for j, o in enumerate(seen) if j != i) / max(1.0, sums.sum() - sums[i])
@@ -267,12 +340,10 @@ def label(df: DataFrame, model: Crf, text_col: str = "text", lang_out: str = "la
         lab = Labeller(shared.value)
         for b in batches:
             texts = [t or "" for t in b.column(at).cast(pa.string()).to_pylist()]
-            for i in range(0, len(texts), 1000):
-                got = lab.documents(texts[i:i + 1000])
-                part = b.slice(i, 1000)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([g[0] for g in got], pa.string()),
-                     pa.array([g[1] for g in got], pa.float64())], [*b.schema.names, lang_out, score_out])
+            got = lab.documents(texts)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
+                [*b.schema.names, lang_out, score_out])
 
     return df.mapInArrow(run, schema)
 

@@ -14,52 +14,84 @@ import numpy as np
 
 _CUT = re.compile(r" (?=\S)")
 _GAP = re.compile(r" (?=\s|$)")
+_FIRST = "\ud800"       # marks a piece without a leading space; no valid text holds it
+_TAIL = ".,;:!?#$%&*)]"
 
 
 class PieceEncoder:
-    """Encodes texts to little-endian int32 bytes; remembers at most 2 x ``cap`` short pieces."""
+    """Encodes texts to little-endian int32 bytes; remembers the ids of at most 2 x ``cap`` short pieces."""
 
-    def __init__(self, path: str, cap: int = 200_000, longest: int = 48):
+    def __init__(self, path: str, cap: int = 400_000, longest: int = 48):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        norm = self.tok.normalizer
-        self.lead = "" if norm is not None else " "     # byte-level: a piece starts with its space
+        self.lead = "" if self.tok.normalizer is not None else " "     # byte-level: a piece starts with its space
+        self.sep_id, self.sep = max((i, t.content) for i, t in self.tok.get_added_tokens_decoder().items())
         self.cap, self.longest = cap, longest
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<i4").tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, fresh: list[str], at_once: int = 4000) -> list[bytes]:
+        """Ids of pieces, encoded many at a time between separator tokens (no piece holds one)."""
+        out = []
+        for i in range(0, len(fresh), at_once):
+            part = [p[1:] if p[:1] == _FIRST else self.lead + p for p in fresh[i:i + at_once]]
+            ids = np.array(self.tok.encode_batch_fast([self.sep.join(part)], add_special_tokens=False)[0].ids, "<i4")
+            cut = np.flatnonzero(ids == self.sep_id)
+            raw = ids.tobytes()
+            out += [raw[4 * s:4 * e] for s, e in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)])]
+        return out
+
+    def _learn(self, fresh: list[str]) -> list[bytes]:
+        """Ids of new pieces. Punctuation behind a letter or digit is a word of its own, so a piece is put together
+        from its core and its tail, which many pieces share."""
+        halves = []
+        for p in fresh:
+            core = p.rstrip(_TAIL)
+            tail = p[len(core):]
+            if tail and core[-1:].isalnum():
+                halves.append((core, _FIRST + tail))
+            else:
+                core = p
+                halves.append((p, None))
+            if not self.lead and core.isascii():       # the vocabulary lower-cases anyway
+                halves[-1] = (core.lower(), halves[-1][1])
+        known, old = self.new, self.old
+        need = list({x for h in halves for x in h if x is not None and x not in known and x not in old})
+        got = dict(zip(need, self._encode(need)))
+        for x, ids in got.items():
+            if len(x) <= self.longest:
+                known[x] = ids
+        def ids_of(x):
+            return got[x] if x in got else known[x] if x in known else old[x]
+        return [ids_of(core) if tail is None else ids_of(core) + ids_of(tail) for core, tail in halves]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.new) > self.cap:
+            self.old, self.new = self.new, {}
+        known, old = self.new, self.old
         split: list[list[str] | None] = []
-        seen: set[str] = set()
+        missing: set[str] = set()
         for t in texts:
             if "<|" in t:
                 split.append(None)
                 continue
             parts = t.split(" ") if not _GAP.search(t) else _CUT.split(t)
-            parts[0] = "\0" + parts[0]        # the first piece has no leading space
+            parts[0] = _FIRST + parts[0]       # the first piece has no leading space
             split.append(parts)
-            seen.update(parts)
-        if len(self.new) > self.cap:
-            self.old, self.new = self.new, {}
-        known, old = self.new, self.old
+            missing.update(set(parts).difference(known))
         fresh, brief = [], {}
-        for p in seen:
-            if p not in known:
-                got = old.get(p)
-                if got is None:
-                    fresh.append(p)
-                else:
-                    known[p] = got
-        for p, ids in zip(fresh, self._raw([p[1:] if p[:1] == "\0" else self.lead + p for p in fresh])):
+        for p in missing:
+            got = old.get(p)
+            if got is None:
+                fresh.append(p)
+            else:
+                known[p] = got
+        for p, ids in zip(fresh, self._learn(fresh)):
             (known if len(p) <= self.longest else brief)[p] = ids
         out = []
         for t, parts in zip(texts, split):
             if parts is None:
-                out.append(self._raw([t])[0])
+                out.append(np.array(self.tok.encode_batch_fast([t], add_special_tokens=False)[0].ids, "<i4").tobytes())
             elif brief:
                 out.append(b"".join([known[p] if p in known else brief[p] for p in parts]))
             else:
@@ -67,7 +99,7 @@ class PieceEncoder:
         return out
 
 
-def chunks(texts: list[str], limit: int = 2_000_000):
+def chunks(texts: list[str], limit: int = 4_000_000):
     """(start, stop) ranges of about ``limit`` characters; a longer text is a range of its own."""
     start = size = 0
     for i, t in enumerate(texts):
