@@ -283,13 +283,15 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def fit(df: DataFrame, labelled: Column, sample_rows: int = 4000, per_row: int = 3, segment: int = 32,
         rounds: int = 3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Crf:
-    """Fit a model. ``sample_rows`` rows with a label are taken by the smallest hashes of their text (all languages),
-    and from each up to ``per_row`` segments of ``segment`` words at places spread over the whole text: that bounds
+    """Fit a model. About ``sample_rows`` labelled rows (at most twice as many) are chosen by a hash of the row, and
+    from each up to ``per_row`` segments of ``segment`` words at places spread over the whole text: that bounds
     what the driver holds. The lexicon lists the words that the sample shows at least three times in a language, in
     that language more than four times as often as chance."""
     rows = (df.where(labelled & col(lang_col).isNotNull() & col(text_col).isNotNull())
-            .select(col(text_col).cast("string").alias("t"), col(lang_col).cast("string").alias("y")))
-    chosen = rows.orderBy(F.xxhash64("t"), "y").limit(sample_rows)
+            .select(col(text_col).cast("string").alias("t"), col(lang_col).cast("string").alias("y"),
+                    F.xxhash64(col(id_col).cast("string"), col(text_col)).alias("h")))
+    share = min(1.0, sample_rows / max(1, rows.count()))
+    chosen = rows.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).drop("h").limit(2 * sample_rows)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -40,6 +40,13 @@ def _line_oracle() -> str:
     return ORACLE
 
 
+@_query("op2_language_id")
+def language_id(spark, sf_dir):
+    """Language of every document by a word-level CRF."""
+    from lakelayer.llm.lang_id import language_query
+    return language_query(table(spark, sf_dir, "documents"))
+
+
 @_query("op3_warc_derivatives", _warc_oracle())
 def warc(spark, sf_dir):
     """Metadata and conversion records of every page, with their links and digests."""
@@ -88,6 +95,14 @@ def token_files(spark, sf_dir):
     return token_digests(read_tokens(spark, path))
 
 
+@_query("op7_personal_data")
+def personal_data(spark, sf_dir):
+    """Personal data spans of every document."""
+    from lakelayer.llm import pii
+    docs = table(spark, sf_dir, "documents")
+    return pii.personal_data(docs, pii.fit(docs))
+
+
 @_query("op8_packing")
 def packing(spark, sf_dir):
     """Sum-of-squares packing of all documents into windows of 2048 tokens."""
