@@ -40,6 +40,13 @@ def _line_oracle() -> str:
     return ORACLE
 
 
+@_query("op1_suffix_dedup")
+def suffix_dedup(spark, sf_dir):
+    """Bytes covered by 200-byte strings that occur elsewhere, over all documents."""
+    from lakelayer.llm.suffix_dedup import repeated_passages
+    return repeated_passages(table(spark, sf_dir, "documents"), length=200).drop("spans")
+
+
 @_query("op2_language_id")
 def language_id(spark, sf_dir):
     """Language of every document by a word-level CRF."""
