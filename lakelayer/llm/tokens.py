@@ -21,7 +21,7 @@ _TAIL = ".,;:!?#$%&*)]"
 class PieceEncoder:
     """Encodes texts to little-endian int32 bytes; remembers the ids of at most 2 x ``cap`` short pieces."""
 
-    def __init__(self, path: str, cap: int = 400_000, longest: int = 48):
+    def __init__(self, path: str, cap: int = 800_000, longest: int = 48):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.lead = "" if self.tok.normalizer is not None else " "     # byte-level: a piece starts with its space
