@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from lakelayer.llm.common import col, text_or_empty
-from lakelayer.llm.tokens import PieceEncoder, chunks
+from lakelayer.llm.tokens import chunks, encoder
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long")
@@ -122,7 +122,7 @@ def pack(df: DataFrame, tokenizer: str, end_id: int, window: int = 2048, open_li
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = PieceEncoder(tokenizer), np.array([end_id], "<i4").tobytes()
+        enc, end = encoder(tokenizer), np.array([end_id], "<i4").tobytes()
         packer = Packer(window, open_limit, TaskContext.get().partitionId() << 40)
 
         def rows():

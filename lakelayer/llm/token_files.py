@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lakelayer.llm.common import col, shuffle_partitions, text_or_empty
-from lakelayer.llm.tokens import PieceEncoder, chunks
+from lakelayer.llm.tokens import chunks, encoder
 
 SCHEMA = "doc_id long, first long, n_tokens int, tokens array<int>"
 
@@ -29,7 +29,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, end_id: int, id_
                       page_rows: int = 1000) -> None:
     """Encode every whole text, append ``end_id`` and write the files under ``path``."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end, first = PieceEncoder(tokenizer), np.array([end_id], "<i4").tobytes(), 0
+        enc, end, first = encoder(tokenizer), np.array([end_id], "<i4").tobytes(), 0
         for b in batches:
             texts = b.column(1).to_pylist()
             for i, j in chunks(texts):

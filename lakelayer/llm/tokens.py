@@ -9,6 +9,7 @@ cut: the ids of the pieces, joined, are the ids of the text (tests compare both
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -21,7 +22,7 @@ _TAIL = ".,;:!?#$%&*)]"
 class PieceEncoder:
     """Encodes texts to little-endian int32 bytes; remembers the ids of at most 2 x ``cap`` short pieces."""
 
-    def __init__(self, path: str, cap: int = 800_000, longest: int = 48):
+    def __init__(self, path: str, cap: int = 500_000, longest: int = 48):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.lead = "" if self.tok.normalizer is not None else " "     # byte-level: a piece starts with its space
@@ -99,6 +100,12 @@ class PieceEncoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> PieceEncoder:
+    """The encoder of this Python worker; tasks that run in it one after the other share its memory of pieces."""
+    return PieceEncoder(path)
+
+
 def chunks(texts: list[str], limit: int = 4_000_000):
     """(start, stop) ranges of about ``limit`` characters; a longer text is a range of its own."""
     start = size = 0
