@@ -29,3 +29,8 @@ def text_or_empty(name: str) -> Column:
 def col(name: str) -> Column:
     """A column by its literal name, whatever characters it holds."""
     return F.col(f"`{name}`")
+
+
+def small_batches(spark: SparkSession, rows: int = 2500) -> None:
+    """Hand Arrow batches of at most ``rows`` rows to Python, which bounds what a worker and its executor hold at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

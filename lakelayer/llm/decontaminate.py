@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lakelayer.llm.common import col, text_or_empty
+from lakelayer.llm.common import col, small_batches, text_or_empty
 
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
                for c in range(256))
@@ -165,6 +165,7 @@ def find_windows(df: DataFrame, items: DataFrame, window: int = 10, block_window
                  text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``df`` with ``n_words``, ``hit_spans`` (word ranges inside occurring windows, merged) and ``items`` (sorted ids
     as strings) appended."""
+    small_batches(df.sparkSession)
     spark = df.sparkSession
     docs = df.withColumn("_text", text_or_empty(text_col))
     docs = docs.withColumns({"n_words": F.lit(0).cast("long"),

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lakelayer.llm.common import col, text_or_empty
+from lakelayer.llm.common import col, small_batches, text_or_empty
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
@@ -333,6 +333,7 @@ def label(df: DataFrame, model: Crf, text_col: str = "text", lang_out: str = "la
     for name in (lang_out, score_out):
         if name.lower() in {c.lower() for c in df.columns}:
             raise ValueError(f"column {name} exists already")
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*df.schema.fields, T.StructField(lang_out, T.StringType()),
                            T.StructField(score_out, T.DoubleType())])

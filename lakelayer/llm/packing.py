@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lakelayer.llm.common import col, text_or_empty
+from lakelayer.llm.common import col, small_batches, text_or_empty
 from lakelayer.llm.tokens import chunks, encoder
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -119,6 +119,7 @@ class Packer:
 def pack(df: DataFrame, tokenizer: str, end_id: int, window: int = 2048, open_limit: int = 4096,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: where it lies in its document and in its sequence, and the CRC-32 of its ids."""
+    small_batches(df.sparkSession)
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,9 +132,9 @@ def pack(df: DataFrame, tokenizer: str, end_id: int, window: int = 2048, open_li
             return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names)
 
         for b in batches:
-            docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, j in chunks(texts):
-                for doc, ids in zip(docs[i:j], enc.encode(texts[i:j])):
+            docs = b.column(0).to_pylist()
+            for i, j, texts in chunks(b.column(1)):
+                for doc, ids in zip(docs[i:j], enc.encode(texts)):
                     packer.add(doc, ids + end)
                 yield rows()
         packer.finish()

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakelayer.llm.common import col, text_or_empty
+from lakelayer.llm.common import col, small_batches, text_or_empty
 from lakelayer.llm.lang_id import forward_backward
 
 KINDS = ("email", "ip", "card", "phone")
@@ -361,6 +361,7 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 def personal_data(df: DataFrame, model: BiLstmCrf | None, window: int = 96, sure: float = 0.9, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all), n_added."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

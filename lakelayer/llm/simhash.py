@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakelayer.llm.common import col, shuffle_partitions, stored, text_or_empty
+from lakelayer.llm.common import col, shuffle_partitions, small_batches, stored, text_or_empty
 
 SEGMENTS, WIDTH = 8, 8
 
@@ -42,6 +42,7 @@ def fingerprint(text: str, words: int = 3) -> int:
 
 def fingerprints(df: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (signed 64-bit) and text_hash of every row."""
+    small_batches(df.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakelayer.llm.common import col, shuffle_partitions, stored, text_or_empty
+from lakelayer.llm.common import col, shuffle_partitions, small_batches, stored, text_or_empty
 from lakelayer.session import scratch_dir
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)        # odd, so it has an inverse modulo 2 ** 64
@@ -359,6 +359,7 @@ def _cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_passages(df: DataFrame, length: int = 200, gram: int = 48, batches: int = 4, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed byte spans."""
+    small_batches(df.sparkSession)
     n = shuffle_partitions(df.sparkSession)
     keyed = df.select(col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     keyed = keyed.withColumns({"c1": F.xxhash64("text"), "c2": F.xxhash64(F.lit(1), "text")})

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lakelayer.llm.common import col, shuffle_partitions, text_or_empty
+from lakelayer.llm.common import col, shuffle_partitions, small_batches, text_or_empty
 from lakelayer.llm.tokens import chunks, encoder
 
 SCHEMA = "doc_id long, first long, n_tokens int, tokens array<int>"
@@ -28,12 +28,12 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, end_id: int, id_
                       text_col: str = "text", row_group_bytes: int = 32 << 20, page_bytes: int = 128 << 10,
                       page_rows: int = 1000) -> None:
     """Encode every whole text, append ``end_id`` and write the files under ``path``."""
+    small_batches(df.sparkSession)
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end, first = encoder(tokenizer), np.array([end_id], "<i4").tobytes(), 0
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for i, j in chunks(texts):
-                ids = [x + end for x in enc.encode(texts[i:j])]
+            for i, j, texts in chunks(b.column(1)):
+                ids = [x + end for x in enc.encode(texts)]
                 n = np.array([len(x) // 4 for x in ids], np.int32)
                 upto = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
                 flat = np.frombuffer(b"".join(ids), "<i4")

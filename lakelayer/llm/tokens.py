@@ -12,6 +12,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow.compute as pc
 
 _CUT = re.compile(r" (?=\S)")
 _GAP = re.compile(r" (?=\s|$)")
@@ -22,7 +23,7 @@ _TAIL = ".,;:!?#$%&*)]"
 class PieceEncoder:
     """Encodes texts to little-endian int32 bytes; remembers the ids of at most 2 x ``cap`` short pieces."""
 
-    def __init__(self, path: str, cap: int = 500_000, longest: int = 48):
+    def __init__(self, path: str, cap: int = 300_000, longest: int = 48):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.lead = "" if self.tok.normalizer is not None else " "     # byte-level: a piece starts with its space
@@ -106,13 +107,11 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def chunks(texts: list[str], limit: int = 4_000_000):
-    """(start, stop) ranges of about ``limit`` characters; a longer text is a range of its own."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+def chunks(texts, limit: int = 3_000_000):
+    """(start, stop, texts) of an Arrow string column, about ``limit`` bytes at a time; a longer text is alone."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start, done = 0, 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(upto, done + limit, "right")))
+        yield start, stop, texts.slice(start, stop - start).to_pylist()
+        start, done = stop, int(upto[stop - 1])
