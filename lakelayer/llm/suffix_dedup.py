@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lakelayer.llm.common import col, shuffle_partitions, small_batches, stored, text_or_empty
 from lakelayer.session import scratch_dir
@@ -144,19 +144,24 @@ def _contents(keyed: DataFrame, batches: int, n: int) -> DataFrame:
 def _bucketed(df: DataFrame, key: str, n: int, label: str, partition: str | None = None,
               compression: str = "zstd") -> DataFrame:
     """Store as a table bucketed (and sorted) by ``key`` under the shared scratch folder."""
-    path = scratch_dir(df.sparkSession, label)
-    name = "llm_" + path.rsplit("-", 1)[1]
-    w = df.write.bucketBy(n, key).sortBy(key).options(path=path, compression=compression)
-    (w.partitionBy(partition) if partition else w).saveAsTable(name)
-    return df.sparkSession.table(name)
+    return _Stored(df, key, n, label, partition, compression).rows
 
 
-def _forget(spark: SparkSession, table: DataFrame) -> None:
-    """Remove a consumed level: its table and its files."""
-    name = next(t for t in table.inputFiles()[:1])
-    folder = spark._jvm.org.apache.hadoop.fs.Path(name.rsplit("/", 1)[0])
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    spark.sql(f"DROP TABLE IF EXISTS llm_{name.rsplit('/', 2)[1].rsplit('-', 1)[1]}")
+class _Stored:
+    """A bucketed table and the folder that holds it."""
+
+    def __init__(self, df: DataFrame, key: str, n: int, label: str, partition: str | None = None,
+                 compression: str = "zstd"):
+        self.spark, self.path = df.sparkSession, scratch_dir(df.sparkSession, label)
+        self.name = "llm_" + self.path.rsplit("-", 1)[1]
+        w = df.write.bucketBy(n, key).sortBy(key).options(path=self.path, compression=compression)
+        (w.partitionBy(partition) if partition else w).saveAsTable(self.name)
+        self.rows = self.spark.table(self.name)
+
+    def remove(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _suffixes(contents: DataFrame, length: int, gram: int) -> DataFrame:
@@ -174,28 +179,27 @@ def _suffixes(contents: DataFrame, length: int, gram: int) -> DataFrame:
 
 def _index(contents: DataFrame, batches: int, n: int, length: int, gram: int) -> tuple[list[DataFrame], DataFrame]:
     """Feed the batches to the index family: the final levels, and the fingerprints with several places."""
-    spark = contents.sparkSession
-    levels: dict[int, DataFrame] = {}
+    levels: dict[int, _Stored] = {}
     found = []
     for b in range(batches):
         array = _suffixes(contents.where(F.col("batch") == b), length, gram)
-        new = _bucketed(array.repartition(n, "key"), "key", n, "suffixes")
-        hits = new.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
+        new = _Stored(array.repartition(n, "key"), "key", n, "suffixes")
+        hits = new.rows.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
         for old in levels.values():
-            hits = hits.union(new.select("key").join(old.select("key"), "key", "left_semi").distinct())
+            hits = hits.union(new.rows.select("key").join(old.rows.select("key"), "key", "left_semi").distinct())
         found.append(stored(hits.distinct(), "repeated"))
         size = 0
         while size in levels:
             old = levels.pop(size)
-            merged = _bucketed(new.unionByName(old).repartition(n, "key"), "key", n, "suffixes")
-            _forget(spark, old)
-            _forget(spark, new)
-            new, size = merged, size + 1
+            both = _Stored(new.rows.unionByName(old.rows).repartition(n, "key"), "key", n, "suffixes")
+            old.remove()
+            new.remove()
+            new, size = both, size + 1
         levels[size] = new
     keys = found[0]
     for f in found[1:]:
         keys = keys.union(f)
-    return list(levels.values()), keys.distinct()
+    return [level.rows for level in levels.values()], keys.distinct()
 
 
 def _runs_of(contents: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
