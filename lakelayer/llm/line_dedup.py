@@ -54,11 +54,13 @@ def _without_block(line: Column, length: Column, shorter: Column, j: Column, m:
 
 def _block_keys(line: Column, m: int) -> Column:
     """struct(key, d, j) of a line as the shorter or equal one (d = 0) and as the longer one (d = 1) of a pair."""
-    n = F.length(line)
-    return F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda j, d=d: F.struct(
-            _without_block(line, n, n - d, j, m).alias("key"), F.lit(d).alias("d"), j.alias("j")))
-        for d in (0, 1)]))
+    n, blocks = F.length(line), F.sequence(F.lit(0), F.lit(m - 1))
+
+    def side(d: int) -> Column:
+        return F.transform(blocks, lambda j: F.struct(_without_block(line, n, n - d, j, m).alias("key"),
+                                                      F.lit(d).alias("d"), j.alias("j")))
+
+    return F.concat(side(0), side(1))
 
 
 def _shared(rows: DataFrame, key: str) -> DataFrame:
