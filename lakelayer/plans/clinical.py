@@ -22,7 +22,7 @@ from lakelayer.operators.dedup import latest_per_key
 from lakelayer.operators.flatten import ID_COLUMN, RESOURCES, flatten
 from lakelayer.operators.scd import scd2_hash_history, scd2_hash_merge_parts
 from lakelayer.plans import gold
-from lakelayer.session import run_concurrently
+from lakelayer.session import missing_path, run_concurrently
 from lakelayer.plans.roles import ENCOUNTER, OBSERVATION, PATIENT, CONDITION, FROM_SQL, select_sql, table
 from lakelayer.sinks.tables import (HistoryStore, replace_partitions, store_current, store_generation,
                                     store_loaded_through, store_write, write_raw_pages)
@@ -291,8 +291,10 @@ def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
     def one(r: str) -> None:                      # resources are independent of each other
         key, store = ID_COLUMN[r], HistoryStore(ctx.silver(r))
         try:
-            bronze = spark.read.parquet(ctx.bronze(r))
-        except AnalysisException:                 # no bronze data for this resource yet
+            bronze = spark.read.option("mergeSchema", "true").parquet(ctx.bronze(r))
+        except AnalysisException as exc:                 # no bronze data for this resource yet
+            if not missing_path(exc):
+                raise
             return
         in_range = bronze.filter((F.col("ingest_date") >= F.lit(s)) & (F.col("ingest_date") < F.lit(e)))
         last = store_generation(spark, store)

@@ -301,8 +301,8 @@ WITH b AS (SELECT min(cast(ts AS date)) AS s, max(cast(ts AS date)) AS e FROM ev
 days AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS day FROM b),
 res AS (SELECT unnest(['Patient', 'Encounter', 'Observation', 'Condition']) AS resource)
 SELECT resource, day,
-       '{BASE_URL}/' || resource || '?_lastUpdated=ge' || strftime(day, '%Y-%m-%d') ||
-       '&_lastUpdated=lt' || strftime(day + 1, '%Y-%m-%d') || '&_count=50' AS url
+       '{BASE_URL}/' || resource || '?_lastUpdated=ge' || strftime(day, '%Y-%m-%d') || 'T00:00:00Z' ||
+       '&_lastUpdated=lt' || strftime(day + 1, '%Y-%m-%d') || 'T00:00:00Z&_count=50&_format=json' AS url
 FROM res, days""")
 def q_request_grid(spark, d):
     b = table(spark, d, "events").agg(F.min(F.to_date("ts")).alias("s"), F.max(F.to_date("ts")).alias("e"))

@@ -20,21 +20,9 @@ LOAD_DAY = "2024-01-01"
 LAST_UPDATED = "'2024-01-01T00:00:00Z'"
 
 
-_HANDLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table as a DataFrame.
-
-    The input tables are read-only snapshots, so one handle per session and path
-    is reused: the file listing and footer read happen once, not per query.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _HANDLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _HANDLES[key] = spark.read.parquet(path)
-    return df
+    """The driver table as a DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # (output column, SQL expression) — shared by Spark and the oracle.

@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the library relies on. All are session-scoped and safe to
@@ -50,13 +51,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
-    Reads ``spark.checkpoint.dir`` (or the directory already set on the context);
-    only when neither exists — a test session — a local one is created and set.
+    Reads ``spark.checkpoint.dir`` (or the directory already set on the context).
+    A session on a local master may name none (tests): a local folder is created
+    and set. On a cluster that would be each machine's own disk, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakelayer-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
@@ -64,6 +68,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def missing_path(error: AnalysisException) -> bool:
+    """Whether a read failed only because nothing is stored there yet; other failures must not pass for "empty"."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/lakelayer/{label}-{uuid.uuid4().hex}"

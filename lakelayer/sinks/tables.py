@@ -15,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakelayer.session import missing_path
+
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
@@ -34,7 +36,7 @@ def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None
 
 def read_slice(spark: SparkSession, path: str, column: str, value) -> DataFrame:
     """One partition of a partitioned table; the filter prunes folders at planning time."""
-    return spark.read.parquet(path).filter(F.col(column) == F.lit(value))
+    return spark.read.option("mergeSchema", "true").parquet(path).filter(F.col(column) == F.lit(value))
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str, location: str,
@@ -60,7 +62,9 @@ def latest_generation(spark: SparkSession, root: str, before: int | None = None)
     """Newest committed generation number (optionally older than ``before``)."""
     try:
         log = spark.read.schema("gen long, rows long").json(commit_path(root))
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         return None
     if before is not None:
         log = log.filter(F.col("gen") < before)
@@ -88,7 +92,9 @@ def generation_tag(spark: SparkSession, root: str) -> str | None:
     """Tag of the newest committed generation (None if none or untagged)."""
     try:
         log = spark.read.schema("gen long, rows long, tag string").json(commit_path(root))
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         return None
     row = log.orderBy(F.col("gen").desc()).select("tag").first()
     return None if row is None else row["tag"]
@@ -139,18 +145,23 @@ def store_table(spark: SparkSession, store: HistoryStore) -> DataFrame | None:
     if cur is None:
         return None
     try:
-        hist = spark.read.parquet(store.history).drop("closed_on")
-    except AnalysisException:
+        hist = spark.read.option("mergeSchema", "true").parquet(store.history)
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         return cur
+    # rows of a load that never committed its current part do not count
+    hist = hist.where(F.col("load_gen") <= store_generation(spark, store)).drop("closed_on", "load_gen")
     return hist.unionByName(cur, allowMissingColumns=True)
 
 
 def store_write(spark: SparkSession, store: HistoryStore, closed: DataFrame, current: DataFrame, gen: int,
                 loaded_through: str | None = None) -> None:
-    """Append the closed rows (by the day that closed them), then commit the new current
+    """Append the closed rows (by the day that closed them and this load, so a second load of a day adds to
+    the first and a retry replaces only its own rows), then commit the new current
     generation, recording the last day it includes (``loaded_through``)."""
-    replace_partitions(closed.withColumn("closed_on", F.date_add("effective_end_date", 1)), store.history,
-                       ["closed_on"])
+    replace_partitions(closed.withColumns({"closed_on": F.date_add("effective_end_date", 1), "load_gen": F.lit(gen)}),
+                       store.history, ["closed_on", "load_gen"])
     write_generation(spark, current, store.current, gen, tag=loaded_through)
 
 
@@ -174,7 +185,8 @@ def write_raw_pages(pages: DataFrame, root: str, compression: str = "none") -> N
     about 3x for some CPU (the JSON reader decompresses transparently). Only the
     folders present are replaced, so reloading a day is idempotent.
     """
-    replace = pages.select(F.col("body").alias("value"), F.col("resource").alias("resource_name"),
+    # JSON strings hold no raw line breaks, so a page of any layout fits one line unchanged in meaning
+    replace = pages.select(F.regexp_replace("body", "[\\r\\n]+", " ").alias("value"), F.col("resource").alias("resource_name"),
                            F.col("date").cast("string").alias("date"))
     (replace.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", compression).partitionBy("resource_name", "date").text(root))

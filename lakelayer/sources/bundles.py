@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakelayer.session import missing_path
+
 from lakelayer.functions.dates import day_sequence
 from lakelayer.operators.flatten import BUNDLE, RESOURCES, bundle_schema
 
@@ -34,7 +36,7 @@ def request_urls(days: DataFrame, base_url: str, resources: Sequence[str] = RESO
     day_s = F.date_format("day", "yyyy-MM-dd")
     next_s = F.date_format(F.date_add("day", 1), "yyyy-MM-dd")
     return grid.select("resource", "day",
-                       F.format_string("%s/%s?_lastUpdated=ge%s&_lastUpdated=lt%s&_count=%d", F.lit(base_url),
+                       F.format_string("%s/%s?_lastUpdated=ge%sT00:00:00Z&_lastUpdated=lt%sT00:00:00Z&_count=%d&_format=json", F.lit(base_url),
                                        F.col("resource"), day_s, next_s, F.lit(page_size)).alias("url"))
 
 
@@ -45,17 +47,17 @@ def empty_pages(spark: SparkSession) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False, resource: str | None = None) -> DataFrame:
-    """Bundle pages with their file path; a missing folder gives no rows.
+    """Bundle pages with their file path; a missing folder gives no rows, a page that is no JSON raises.
 
     With ``resource`` only that type's folder is listed and its entries are
     parsed with the fields that type reads (less JSON work per page).
     """
     try:
         src = f"{path.rstrip('/')}/resource_name={resource}" if resource else path
-        df = (spark.read.schema(bundle_schema(resource)).option("multiLine", multi_line)
+        df = (spark.read.schema(bundle_schema(resource)).option("multiLine", multi_line).option("mode", "FAILFAST")
               .option("basePath", path).json(src))
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+        if missing_path(exc):
             return empty_pages(spark)
         raise
     return df.withColumn("file_path", F.col("_metadata.file_path"))

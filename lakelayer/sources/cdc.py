@@ -18,6 +18,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakelayer.session import missing_path
+
 AUDIT_SCHEMA = ("run_id string, table_name string, rows long, old_watermark string, "
                 "new_watermark string, status string, error string, output_path string, run_ts string")
 
@@ -71,15 +73,25 @@ def watermark_path(root: str, table: str) -> str:
 def read_watermark(spark: SparkSession, root: str, table: str) -> str | None:
     """Stored watermark text, or None when none was ever written (= full load)."""
     try:
-        row = spark.read.schema("cdc string").json(watermark_path(root, table)).first()
-    except AnalysisException:
+        log = spark.read.schema("cdc string, n long").json(watermark_path(root, table))
+        row = log.orderBy(F.col("n").desc_nulls_last()).first()
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         return None
     return None if row is None else row["cdc"]
 
 
 def write_watermark(spark: SparkSession, root: str, table: str, value: str) -> None:
-    (spark.createDataFrame([(value,)], "cdc string").coalesce(1)
-     .write.mode("overwrite").json(watermark_path(root, table)))
+    """Append the next numbered record; the newest counts, so a crash while writing loses nothing."""
+    path = watermark_path(root, table)
+    try:
+        last = spark.read.schema("cdc string, n long").json(path).agg(F.max("n")).first()[0] or 0
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
+        last = 0
+    spark.createDataFrame([(value, last + 1)], "cdc string, n long").coalesce(1).write.mode("append").json(path)
 
 
 def effective_watermark(stored: str | None, from_date: str | None) -> str | None:
@@ -150,7 +162,7 @@ def run_table(spark: SparkSession, src: CdcSource, root: str, stamp: str, run_id
                     status=status, error=None, output_path=out if rows else None, run_ts=stamp)
     except Exception as exc:  # one table failing does not stop the others
         return dict(run_id=run_id, table_name=src.table, rows=0, old_watermark=wm, new_watermark=wm,
-                    status="failed", error=str(exc)[:2000], output_path=None, run_ts=stamp)
+                    status="failed", error=str(exc), output_path=None, run_ts=stamp)
 
 
 def run_incremental(spark: SparkSession, sources: Sequence[CdcSource], root: str,

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakelayer.session import missing_path
+
 RESCUED = "_rescued_data"
 
 
@@ -39,7 +41,9 @@ def union_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
 def load_stored_schema(spark: SparkSession, location: str) -> T.StructType | None:
     try:
         row = spark.read.text(location).first()
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         return None
     return None if row is None else T.StructType.fromJson(json.loads(row[0]))
 

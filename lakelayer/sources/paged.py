@@ -37,7 +37,8 @@ PAGE_SCHEMA = ("resource string, day date, page_number int, url string, status s
 
 def request_url(base_url: str, resource: str, day: dt.date, page_size: int = PAGE_SIZE) -> str:
     nxt = day + dt.timedelta(days=1)
-    return f"{base_url}/{resource}?_lastUpdated=ge{day.isoformat()}&_lastUpdated=lt{nxt.isoformat()}&_count={page_size}"
+    return (f"{base_url}/{resource}?_lastUpdated=ge{day.isoformat()}T00:00:00Z"
+            f"&_lastUpdated=lt{nxt.isoformat()}T00:00:00Z&_count={page_size}&_format=json")
 
 
 def recorded_name(url: str) -> str:
@@ -91,7 +92,7 @@ class PagedApiReader(DataSourceReader):
                     body = fetch(url)
                     break
                 except Exception as exc:  # network / server errors: retry, then give up
-                    error = str(exc)[:1000]
+                    error = str(exc)
                     if attempt + 1 < self.retries:
                         time.sleep(self.pause)
             if body is None:

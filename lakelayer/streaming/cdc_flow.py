@@ -23,6 +23,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakelayer.session import missing_path
+
 from lakelayer.operators.scd import scd1_apply, scd2_apply
 
 BUCKET = "_ll_bucket"
@@ -52,9 +54,9 @@ class CdcTarget:
         return f"{self.root.rstrip('/')}/meta"
 
 
-def suggest_buckets(expected_rows: int, rows_per_bucket: int = 2_000_000, max_buckets: int = 65_536) -> int:
+def suggest_buckets(expected_rows: int, rows_per_bucket: int = 2_000_000) -> int:
     """Bucket count for a target expected to hold ``expected_rows`` rows."""
-    return max(1, min(max_buckets, -(-int(expected_rows) // rows_per_bucket)))
+    return max(1, -(-int(expected_rows) // rows_per_bucket))
 
 
 def bucket_count(spark: SparkSession, t: CdcTarget) -> int:
@@ -65,10 +67,13 @@ def bucket_count(spark: SparkSession, t: CdcTarget) -> int:
         row = spark.read.schema("buckets int").json(t.meta).first()
         if row is not None and row["buckets"]:
             return int(row["buckets"])
-    except AnalysisException:
-        pass
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
+    if read_target(spark, t) is not None:
+        raise ValueError(f"{t.root} holds data but no bucket count; a new count would move keys between buckets")
     n = int(t.buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("overwrite").json(t.meta)
+    spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("append").json(t.meta)
     return n
 
 
@@ -125,6 +130,8 @@ def read_target(spark: SparkSession, t: CdcTarget) -> DataFrame | None:
     """The current target table (None before the first batch)."""
     try:
         df = spark.read.parquet(t.data)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         return None
     return df.filter(~F.col(MARKER)).drop(MARKER, BUCKET)

@@ -68,10 +68,12 @@ def run_to_parquet(df: DataFrame, target: str, checkpoint: str, full_reload: boo
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     q = w.start(target)
-    q.awaitTermination()
-    progress = q.recentProgress
-    return StreamRun(target, checkpoint, len([p for p in progress if p.get("numInputRows", 0) > 0]),
-                     sum(int(p.get("numInputRows", 0)) for p in progress))
+    rows: dict[int, int] = {}              # by batch: the query itself remembers only its last reports
+    ended = False
+    while not ended:
+        ended = q.awaitTermination(0.2)
+        rows |= {p["batchId"]: int(p["numInputRows"]) for p in q.recentProgress if p["numInputRows"]}
+    return StreamRun(target, checkpoint, len(rows), sum(rows.values()))
 
 
 def ingest(spark: SparkSession, source: str, target: str, checkpoint: str,

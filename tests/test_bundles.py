@@ -81,8 +81,8 @@ def test_bronze_dedup_latest_per_day(spark, tmp_path):
 
 def test_request_grid(spark):
     g = request_grid(spark, "http://h", "2024-01-01", "2024-01-03").collect()
-    assert len(g) == 8 and any(r.url == "http://h/Patient?_lastUpdated=ge2024-01-01&_lastUpdated=lt2024-01-02"
-                                        "&_count=50" for r in g)
+    assert len(g) == 8 and any(r.url == "http://h/Patient?_lastUpdated=ge2024-01-01T00:00:00Z"
+                                        "&_lastUpdated=lt2024-01-02T00:00:00Z&_count=50&_format=json" for r in g)
     assert request_grid(spark, "http://h", "2024-01-03", "2024-01-03").count() == 0
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from lakelayer.operators.columns import dropping, with_ingest_metadata
 from lakelayer.operators.scd import scd1_apply
 from lakelayer.operators.star import parse_specs, star_join
-from lakelayer.plans.sizing import broadcast_if_small, row_count_at_most
 from lakelayer.sources.cdc import max_watermark
 from lakelayer.streaming.cdc_flow import suggest_buckets
 
@@ -40,20 +39,13 @@ def test_star_specs(spark):
                   {"f": f, "d": d})
 
 
-def test_broadcast_probe(spark):
-    small, big = spark.range(5), spark.range(50)
-    assert row_count_at_most(small, 5) and not row_count_at_most(big, 5)
-    plan = small.join(broadcast_if_small(small.withColumnRenamed("id", "k"), 10), F.col("id") == F.col("k"))
-    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
-
-
 def test_scd1_except_columns(spark):
     df = spark.createDataFrame([(1, 1, "a", "tmp")], "k int, s int, v string, scratch string")
     assert scd1_apply(df, ["k"], ["s"], except_columns=["scratch"]).columns == ["k", "s", "v"]
 
 
 def test_suggest_buckets():
-    assert suggest_buckets(0) == 1 and suggest_buckets(2_000_001) == 2 and suggest_buckets(10**15) == 65_536
+    assert suggest_buckets(0) == 1 and suggest_buckets(2_000_001) == 2 and suggest_buckets(10**15) == 500_000_000
 
 
 def test_no_boolean_number_conversion(spark):
@@ -64,3 +56,60 @@ def test_no_boolean_number_conversion(spark):
     with pytest.raises(TypeError):
         convert_types(df, {"b": "int"})
     assert convert_types(df, {"s": "boolean"}).first().s is True
+
+
+def test_pretty_printed_page_is_one_document_and_a_cut_page_raises(spark, scratch):
+    import json
+
+    import pytest
+    from lakelayer.sinks.tables import write_raw_pages
+    from lakelayer.sources.bundles import entries, read_pages
+    page = json.dumps({"resourceType": "Bundle", "total": 1,
+                       "entry": [{"resource": {"resourceType": "Patient", "id": "p1"}}]}, indent=2)
+    path = scratch("pretty")
+    df = spark.createDataFrame([("Patient", "2024-01-01", page)], "resource string, date string, body string")
+    write_raw_pages(df, path)
+    pages = read_pages(spark, path)
+    assert pages.count() == 1 and entries(pages).count() == 1
+    cut = scratch("cut")
+    write_raw_pages(df.selectExpr("resource", "date", "substring(body, 1, 60) AS body"), cut)
+    with pytest.raises(Exception):
+        entries(read_pages(spark, cut)).collect()
+
+
+def test_watermark_keeps_the_newest_record(spark, scratch):
+    from lakelayer.sources.cdc import read_watermark, write_watermark
+    root = scratch("wm")
+    assert read_watermark(spark, root, "t") is None
+    for v in ("2024-01-09", "2024-01-10", "2024-01-02"):
+        write_watermark(spark, root, "t", v)
+    assert read_watermark(spark, root, "t") == "2024-01-02"
+
+
+def test_second_load_of_a_day_keeps_closed_rows(spark, scratch):
+    import datetime as dt
+    from lakelayer.sinks.tables import HistoryStore, store_table, store_write
+    store = HistoryStore(scratch("hist"))
+    schema = "k int, v string, effective_start_date date, effective_end_date date"
+    d = dt.date
+    row = lambda v, s, e: spark.createDataFrame([(1, v, s, e)], schema)
+    store_write(spark, store, row("x", d(2024, 1, 1), d(2024, 1, 1)), row("y", d(2024, 1, 2), None), 1)
+    store_write(spark, store, row("y", d(2024, 1, 2), d(2024, 1, 1)), row("z", d(2024, 1, 2), None), 2)
+    assert sorted(r.v for r in store_table(spark, store).collect()) == ["x", "y", "z"]
+
+
+def test_bucket_count_is_never_made_up_for_existing_data(spark, scratch):
+    import pytest
+    from lakelayer.streaming.cdc_flow import BUCKET, MARKER, CdcTarget, bucket_count
+    t = CdcTarget(scratch("tgt"), keys=["k"], sequence_by="s", buckets=4)
+    spark.createDataFrame([(1, 1, False, 0)], f"k int, s int, {MARKER} boolean, {BUCKET} int").write.parquet(t.data)
+    with pytest.raises(ValueError):
+        bucket_count(spark, t)
+
+
+def test_stream_counts_every_batch(spark, scratch):
+    from lakelayer.streaming.ingest import ingest
+    src, out, ck = scratch("src"), scratch("out"), scratch("ck")
+    spark.range(120).repartition(120).write.parquet(src)
+    run = ingest(spark, src, out, ck, schema=spark.range(1).schema, max_files_per_trigger=1)
+    assert run.rows == 120 == spark.read.parquet(out).count()
