@@ -31,6 +31,8 @@ def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def small_batches(spark: SparkSession, rows: int = 2500) -> None:
-    """Hand Arrow batches of at most ``rows`` rows to Python, which bounds what a worker and its executor hold at once."""
+def small_batches(spark: SparkSession, rows: int = 2500, size: str = "32m") -> None:
+    """Hand Arrow batches of at most ``rows`` rows, and of about ``size`` bytes unless one text is longer, to Python: that
+    bounds what a worker and its executor hold at once, however long the texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

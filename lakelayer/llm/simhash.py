@@ -35,8 +35,11 @@ def fingerprint(text: str, words: int = 3) -> int:
     else:
         grams = map(b" ".join, zip(*(w[k:] for k in range(words))))
     one = xxhash.xxh64_intdigest
-    h = np.array([one(g, 42) for g in grams], "<u8")
-    ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    h = np.fromiter((one(g, 42) for g in grams), "<u8")
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), 1 << 16):               # a long text's bits are counted in parts
+        part = h[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
