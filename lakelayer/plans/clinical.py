@@ -25,7 +25,7 @@ from lakelayer.plans import gold
 from lakelayer.session import missing_path, run_concurrently
 from lakelayer.plans.roles import ENCOUNTER, OBSERVATION, PATIENT, CONDITION, FROM_SQL, select_sql, table
 from lakelayer.sinks.tables import (HistoryStore, replace_partitions, store_current, store_generation,
-                                    store_loaded_through, store_write, write_raw_pages)
+                                    store_days, store_write, write_raw_pages)
 from lakelayer.sources.bundles import PAGE_SIZE, entries, read_pages
 
 BASE_URL = "https://fhir.example.org/R4"
@@ -282,7 +282,11 @@ def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
     """Apply the bronze day slices in ``[start, end)`` to each silver history, in day order.
 
     An empty history takes the closed form (one job for all days); an existing
-    one is merged day by day, each day written as a new generation.
+    one is merged day by day, each day written as a new generation. The store
+    records a mark (row count and hash sum) of every day it holds: a day that is
+    new, late or corrected is merged, and the days of the range behind it once
+    more in order, so the newest day has the last word. Days that are unchanged
+    and not behind such a day are left out.
     """
     import datetime as dt
     clock = clock or (lambda day: F.current_timestamp())
@@ -297,27 +301,30 @@ def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
                 raise
             return
         in_range = bronze.filter((F.col("ingest_date") >= F.lit(s)) & (F.col("ingest_date") < F.lit(e)))
+        mark = F.concat_ws(":", F.count(F.lit(1)), F.sum(F.xxhash64(key, "record_hash").cast("decimal(38,0)")))
+        held = {str(x["ingest_date"]): x["mark"] for x in in_range.groupBy("ingest_date").agg(mark.alias("mark")).collect()}
         last = store_generation(spark, store)
         if last is None:                          # first load: all days in one job
             # both parts (closed rows, current rows) come from one computation
             hist = scd2_hash_history(in_range, key, clock=clock).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 store_write(spark, store, hist.filter(~F.col("is_current")), hist.filter(F.col("is_current")), 0,
-                            loaded_through=(e - dt.timedelta(days=1)).isoformat())
+                            loaded_through=max(held, default=None), days=held)
             finally:
                 hist.unpersist()
             return
-        done = store_loaded_through(spark, store)
-        day, gen = s, last + 1
-        if done is not None:                      # resume after the last committed day (a rerun after a
-            day = max(s, dt.date.fromisoformat(done) + dt.timedelta(days=1))   # crash never replays a day)
-        current = store_current(spark, store, last)
-        while day < e:                            # days in order: each depends on the one before
-            batch = in_range.filter(F.col("ingest_date") == F.lit(day))
-            closed, fresh = scd2_hash_merge_parts(current, batch, key, F.lit(day), load_ts=clock(F.lit(day)))
-            store_write(spark, store, closed, fresh, gen, loaded_through=day.isoformat())
+        seen = store_days(spark, store)
+        first = min((d for d in held if seen.get(d) != held[d]), default=None)
+        current, gen = store_current(spark, store, last), last
+        for day in sorted(d for d in held if first is not None and d >= first):   # each depends on the one before
+            gen += 1
+            on = dt.date.fromisoformat(day)
+            batch = in_range.filter(F.col("ingest_date") == F.lit(on))
+            closed, fresh = scd2_hash_merge_parts(current, batch, key, F.lit(on), load_ts=clock(F.lit(on)))
+            # days behind this one are open until merged again, also after a crash
+            seen = seen | {day: held[day]} | {d: "" for d in held | seen if d > day}
+            store_write(spark, store, closed, fresh, gen, loaded_through=max(seen), days=seen)
             current = store_current(spark, store, gen)      # the generation just committed
-            day, gen = day + dt.timedelta(days=1), gen + 1
 
     run_concurrently([lambda r=r: one(r) for r in RESOURCES])
 

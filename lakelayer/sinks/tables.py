@@ -73,9 +73,10 @@ def latest_generation(spark: SparkSession, root: str, before: int | None = None)
 
 
 def write_generation(spark: SparkSession, df: DataFrame, root: str, gen: int,
-                     partition_cols: Sequence[str] = (), tag: str | None = None) -> str:
+                     partition_cols: Sequence[str] = (), tag: str | None = None,
+                     days: dict[str, str] | None = None) -> str:
     """Write ``df`` as generation ``gen`` then commit it (with an optional ``tag``, e.g.
-    the day it loaded). Re-running the same ``gen`` is idempotent."""
+    the day it loaded, and marks of the input days it holds). Re-running the same ``gen`` is idempotent."""
     path = generation_path(root, gen)
     obs = Observation(f"gen_{gen}_{uuid.uuid4().hex[:8]}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
@@ -83,7 +84,8 @@ def write_generation(spark: SparkSession, df: DataFrame, root: str, gen: int,
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
     rows = int(obs.get.get("rows", 0) or 0)
-    (spark.createDataFrame([(gen, rows, tag)], "gen long, rows long, tag string").coalesce(1)
+    (spark.createDataFrame([(gen, rows, tag, days or {})], "gen long, rows long, tag string, days map<string,string>")
+     .coalesce(1)
      .write.mode("overwrite").json(f"{commit_path(root)}/gen={gen:020d}"))
     return path
 
@@ -100,6 +102,18 @@ def generation_tag(spark: SparkSession, root: str) -> str | None:
     return None if row is None else row["tag"]
 
 
+def generation_days(spark: SparkSession, root: str) -> dict[str, str]:
+    """Newest committed mark of every input day (one small entry per day)."""
+    try:
+        log = spark.read.schema("gen long, days map<string,string>").json(commit_path(root))
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
+        return {}
+    marks = log.select("gen", F.explode("days").alias("day", "mark")).groupBy("day").agg(F.max_by("mark", "gen").alias("mark"))
+    return {r["day"]: r["mark"] for r in marks.collect()}
+
+
 def read_generation(spark: SparkSession, root: str, gen: int | None = None, schema=None) -> DataFrame | None:
     """A committed generation (the newest by default); None when nothing is committed."""
     g = latest_generation(spark, root) if gen is None else gen
@@ -156,20 +170,25 @@ def store_table(spark: SparkSession, store: HistoryStore) -> DataFrame | None:
 
 
 def store_write(spark: SparkSession, store: HistoryStore, closed: DataFrame, current: DataFrame, gen: int,
-                loaded_through: str | None = None) -> None:
+                loaded_through: str | None = None, days: dict[str, str] | None = None) -> None:
     """Append the closed rows (by the day that closed them and this load, so a second load of a day adds to
     the first and a retry replaces only its own rows), then commit the new current
-    generation, recording the last day it includes (``loaded_through``)."""
+    generation, recording the last day it includes (``loaded_through``) and the marks of its days."""
     replace_partitions(closed.withColumns({"closed_on": F.date_add("effective_end_date", 1), "load_gen": F.lit(gen)}),
                        store.history, ["closed_on", "load_gen"])
-    write_generation(spark, current, store.current, gen, tag=loaded_through)
+    write_generation(spark, current, store.current, gen, tag=loaded_through, days=days)
 
 
 def store_loaded_through(spark: SparkSession, store: HistoryStore) -> str | None:
-    """Last day committed to the store (loads resume after it)."""
+    """Last day committed to the store."""
     return generation_tag(spark, store.current)
 
 
+def store_days(spark: SparkSession, store: HistoryStore) -> dict[str, str]:
+    """Marks of the days the store holds."""
+    return generation_days(spark, store.current)
+
+
 # ── raw pages ────────────────────────────────────────────────────────────────
 
 def page_file_name(page_number: int) -> str:

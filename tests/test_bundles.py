@@ -112,6 +112,34 @@ def test_silver_load_resumes_after_last_committed_day(spark, scratch):
     assert got == [("A", 1, False), ("B", 2, False), ("C", 3, True)]
 
 
+def test_silver_takes_corrected_and_late_days(spark, scratch):
+    from lakelayer.plans.clinical import load_bronze, load_silver
+    from lakelayer.sinks.tables import HistoryStore, store_generation, store_table
+    ctx = Context(scratch("med"))
+    clock = lambda d: F.to_timestamp(d)
+    store = HistoryStore(ctx.silver("Patient"))
+
+    def load(*days):
+        for day, given in days:
+            _write_pages(ctx.raw(), "Patient", day, [{"resourceType": "Bundle", "entry": [
+                {"resource": {"resourceType": "Patient", "id": "p1", "name": [{"family": "F", "given": [given]}]}}]}])
+        load_bronze(spark, ctx)
+        load_silver(spark, ctx, "2024-01-01", "2024-01-05", clock)
+        rows = store_table(spark, store).collect()
+        return sorted((r.record_version, r.given_name, str(r.effective_start_date), r.is_current) for r in rows)
+
+    assert load(("2024-01-01", "A")) == [(1, "A", "2024-01-01", True)]       # the other days of the range are missing
+    fixed = load(("2024-01-01", "B"))
+    assert fixed == [(1, "A", "2024-01-01", False), (2, "B", "2024-01-01", True)]
+    gen = store_generation(spark, store)
+    assert load(("2024-01-01", "B")) == fixed and store_generation(spark, store) == gen   # nothing new, nothing written
+    third = load(("2024-01-03", "C"))
+    assert third == [(1, "A", "2024-01-01", False), (2, "B", "2024-01-01", False), (3, "C", "2024-01-03", True)]
+    late = load(("2024-01-02", "D"))                                         # merged, then the day behind it again
+    assert late == [(1, "A", "2024-01-01", False), (2, "B", "2024-01-01", False), (3, "C", "2024-01-03", False),
+                    (4, "D", "2024-01-02", False), (5, "C", "2024-01-03", True)]
+
+
 def test_raw_pages_round_trip_compressed(spark, scratch):
     from lakelayer.sinks.tables import write_raw_pages
     body = json.dumps({"resourceType": "Bundle", "total": 1,
