@@ -11,14 +11,20 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelayer.operators.dedup import latest_per_key, tie_break
 from lakelayer.operators.ordered import HOT_FLAG, auto_split, neighbours, route_hot_keys, running_sum
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
-SCD2_AUDIT = ("effective_start_date", "effective_end_date", "is_current", "record_version",
-              "silver_load_timestamp")
+# fixed values: the audit fields of a hash history
+AUDIT_SCHEMA = T.StructType([T.StructField("effective_start_date", T.DateType()),
+                             T.StructField("effective_end_date", T.DateType()),
+                             T.StructField("is_current", T.BooleanType()),
+                             T.StructField("record_version", T.IntegerType()),
+                             T.StructField("silver_load_timestamp", T.TimestampType())])
+SCD2_AUDIT = tuple(AUDIT_SCHEMA.names)
 
 
 def _as_list(x) -> list[str]:
@@ -115,13 +121,9 @@ def scd2_apply(changes: DataFrame, keys, sequence_by: str, track_except: Sequenc
 # ── SCD type 2 by record hash (daily snapshots) ──────────────────────────────
 
 def scd2_bootstrap(sample: DataFrame) -> DataFrame:
-    """Empty history table: the snapshot schema plus the five audit columns."""
-    return (sample.limit(0)
-            .withColumn("effective_start_date", F.current_date())
-            .withColumn("effective_end_date", F.lit(None).cast("date"))
-            .withColumn("is_current", F.lit(True))
-            .withColumn("record_version", F.lit(1).cast("int"))
-            .withColumn("silver_load_timestamp", F.current_timestamp()))
+    """Empty history for snapshots like ``sample``: its fields, then the audit fields. Reads nothing."""
+    own = [f for f in sample.schema.fields if f.name not in AUDIT_SCHEMA.names]
+    return sample.sparkSession.createDataFrame([], T.StructType(own + AUDIT_SCHEMA.fields))
 
 
 def _is_current(df: DataFrame) -> Column:
@@ -132,20 +134,26 @@ def current_rows(silver: DataFrame) -> DataFrame:
     return silver.filter(_is_current(silver))
 
 
+def key_states(silver: DataFrame, batch: DataFrame, key: str, hash_col: str = "record_hash") -> DataFrame:
+    """(key, state) of every batch row: ``new`` (stored in no version), ``changed`` (the stored current hash
+    differs; a NULL hash on either side is no difference) or ``same``. One aggregate, one join."""
+    held = silver.groupBy(key).agg(F.max(F.when(_is_current(silver), F.col(hash_col))).alias("_ll_held"),
+                                   F.lit(True).alias("_ll_known"))
+    state = (F.when(F.col("_ll_known").isNull(), "new")
+             .when(F.col("_ll_held") != F.col(hash_col), "changed").otherwise("same"))
+    return batch.select(key, hash_col).join(held, key, "left").select(key, state.alias("state"))
+
+
 def changed_ids(silver: DataFrame, batch: DataFrame, key: str, hash_col: str = "record_hash") -> DataFrame:
-    """Keys of the batch whose current stored hash differs (NULL-rejecting ``<>``)."""
-    cur = current_rows(silver).select(key, F.col(hash_col).alias("_ll_cur_hash"))
-    return (batch.select(key, hash_col).join(cur, key, "inner")
-            .filter(F.col(hash_col) != F.col("_ll_cur_hash")).select(key))
+    return key_states(silver, batch, key, hash_col).where("state = 'changed'").select(key)
 
 
-def new_ids(silver: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Keys of the batch never stored in any version."""
-    return batch.select(key).join(silver.select(key), key, "left_anti").distinct()
+def new_ids(silver: DataFrame, batch: DataFrame, key: str, hash_col: str = "record_hash") -> DataFrame:
+    return key_states(silver, batch, key, hash_col).where("state = 'new'").select(key).distinct()
 
 
 def ids_to_insert(silver: DataFrame, batch: DataFrame, key: str, hash_col: str = "record_hash") -> DataFrame:
-    return changed_ids(silver, batch, key, hash_col).unionByName(new_ids(silver, batch, key)).distinct()
+    return key_states(silver, batch, key, hash_col).where("state != 'same'").select(key).distinct()
 
 
 def scd2_hash_merge_parts(current: DataFrame, batch: DataFrame, key: str, day, load_ts: Column | None = None,
@@ -153,12 +161,12 @@ def scd2_hash_merge_parts(current: DataFrame, batch: DataFrame, key: str, day, l
                           known_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """One day's snapshot against the current rows only: (rows closed today, new current rows).
 
-    unchanged hash -> no-op; changed -> current row closed (``is_current`` false,
-    end = day - 1) and a new version (current + 1, start = day); new key ->
-    version 1; keys absent from the batch untouched. ``known_ids``: every key
-    ever stored (default: the current keys, which is the same set for any
-    history built by these functions, since a row is only closed together with
-    a new version). Cost grows with current rows + batch, not with history.
+    Stored and incoming rows meet in one full outer join on the key; each meeting has one outcome. Equal hash, or
+    no incoming row: the stored row stays. Different hash: the stored row is closed (end = day - 1) and the
+    incoming one opens the next version. No stored row: version 1. Incoming rows without a key are left out.
+    ``known_ids``: every key ever stored (default: the current keys, which is the same set for any history built
+    by these functions, since a row is only closed together with a new version). Both sides hold one row per key.
+    Cost grows with current rows + batch, not with history.
 
     ``same_day="keep"`` (default) treats a second, different load of the day the
     current version started as a change (the old row ends the day before it
@@ -169,38 +177,44 @@ def scd2_hash_merge_parts(current: DataFrame, batch: DataFrame, key: str, day, l
         raise ValueError("same_day must be 'keep' or 'replace'")
     day_c = F.to_date(F.lit(day)) if not isinstance(day, Column) else F.to_date(day)
     load_ts = F.current_timestamp() if load_ts is None else load_ts
-    cur = current_rows(current)
-    seen = cur.select(key) if known_ids is None else known_ids.select(key)
-
-    cur_k = cur.select(key, F.col(hash_col).alias("_ll_cur_hash"), F.col("record_version").alias("_ll_ver"),
-                       F.col("effective_start_date").alias("_ll_start"))
-    chg = (batch.select(key, hash_col).join(cur_k, key, "inner")
-           .filter(F.col(hash_col) != F.col("_ll_cur_hash"))
-           .select(key, "_ll_ver", "_ll_start"))
-    replace = (F.col("_ll_start") == day_c) if same_day == "replace" else F.lit(False)
-    new = batch.select(key).join(seen, key, "left_anti").distinct() \
-        .select(key, F.lit(None).cast("int").alias("_ll_max"))
-    ins_ids = chg.select(key, F.when(replace, F.col("_ll_ver") - 1).otherwise(F.col("_ll_ver")).alias("_ll_max")) \
-        .unionByName(new).distinct()
-
-    inserts = (batch.join(ins_ids, key, "inner")
-               .withColumn("record_version", (F.coalesce(F.col("_ll_max"), F.lit(0)) + F.lit(1)).cast("int"))
-               .drop("_ll_max")
-               .withColumn("effective_start_date", day_c)
-               .withColumn("effective_end_date", F.lit(None).cast("date"))
-               .withColumn("is_current", F.lit(True))
-               .withColumn("silver_load_timestamp", load_ts))
-
-    flagged = cur.join(chg.select(key, F.lit(True).alias("_ll_chg"), replace.alias("_ll_rep")), key, "left")
-    hit = F.coalesce(F.col("_ll_chg"), F.lit(False))
-    dropped = F.coalesce(F.col("_ll_rep"), F.lit(False))
-    closed = (flagged.filter(hit & ~dropped)
-              .withColumn("effective_end_date", F.date_sub(day_c, 1))
-              .withColumn("silver_load_timestamp", load_ts)
-              .withColumn("is_current", F.lit(False))
-              .drop("_ll_chg", "_ll_rep"))
-    kept = flagged.filter(~hit).drop("_ll_chg", "_ll_rep")
-    return closed, kept.unionByName(inserts, allowMissingColumns=True)
+    stored = current_rows(current)
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(f"`{key}`").alias("_ll_key"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+
+    incoming = packed(batch.where(F.col(f"`{key}`").isNotNull()), "_ll_new").withColumn("_ll_known", F.lit(False))
+    if known_ids is not None:
+        ever = known_ids.select(F.col(f"`{key}`").alias("_ll_key"), F.lit(True).alias("_ll_ever")).distinct()
+        incoming = (incoming.join(ever, "_ll_key", "left")
+                    .withColumn("_ll_known", F.coalesce("_ll_ever", "_ll_known")).drop("_ll_ever"))
+    met = packed(stored, "_ll_old").join(incoming, "_ll_key", "full_outer")
+
+    def old(c: str) -> Column:
+        return F.col(f"_ll_old.`{c}`") if c in stored.columns else F.lit(None)
+
+    def new(c: str) -> Column:
+        return F.col(f"_ll_new.`{c}`") if c in batch.columns else F.lit(None)
+
+    has_old, has_new = F.col("_ll_old").isNotNull(), F.col("_ll_new").isNotNull()
+    differs = F.coalesce(has_old & has_new & (old(hash_col) != new(hash_col)), F.lit(False))
+    overwritten = differs & (old("effective_start_date") == day_c) if same_day == "replace" else F.lit(False)
+    overwritten = F.coalesce(overwritten, F.lit(False))
+    version = F.coalesce(old("record_version"), F.lit(0))
+    outcome = (F.when(overwritten, "overwrite").when(differs, "change").when(has_old, "keep")
+               .when(has_new & ~F.col("_ll_known"), "add"))
+    met = met.withColumn("_ll_do", outcome)
+    opens = F.col("_ll_do") != "keep"
+
+    ends = {"effective_end_date": F.date_sub(day_c, 1), "is_current": F.lit(False), "silver_load_timestamp": load_ts}
+    closed = (met.where("_ll_do = 'change'")
+              .select(*[ends.get(c, old(c)).alias(c) for c in stored.columns]))
+    starts = {"effective_start_date": day_c, "effective_end_date": F.lit(None).cast("date"), "is_current": F.lit(True),
+              "record_version": F.when(F.col("_ll_do") == "overwrite", version).otherwise(version + 1).cast("int"),
+              "silver_load_timestamp": load_ts}
+    names = list(dict.fromkeys([*stored.columns, *batch.columns, *SCD2_AUDIT]))
+    fresh = (met.where(F.col("_ll_do").isNotNull())
+             .select(*[F.when(opens, starts.get(c, new(c))).otherwise(old(c)).alias(c) for c in names]))
+    return closed, fresh
 
 
 def scd2_hash_merge(silver: DataFrame, batch: DataFrame, key: str, day, load_ts: Column | None = None,

@@ -141,10 +141,8 @@ def encounter_resources(spark: SparkSession, d: str) -> DataFrame:
                     res.alias("res"))
 
 
-def _line_orders(spark, d, first_only: bool) -> DataFrame:
+def _line_orders(spark, d) -> DataFrame:
     li = table(spark, d, "lineitem")
-    if first_only:
-        li = li.filter(F.col("l_linenumber") == 1)
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
 
@@ -155,7 +153,7 @@ def _refs():
 
 
 def observation_resources(spark: SparkSession, d: str) -> DataFrame:
-    j = _by_page(_line_orders(spark, d, False), F.col("l_orderkey"), 8)
+    j = _by_page(_line_orders(spark, d), F.col("l_orderkey"), 8)
     subj, enc = _refs()
     day = _role(OBSERVATION, "effective_datetime")
     line2 = F.col("l_linenumber") == 2
@@ -176,7 +174,7 @@ def observation_resources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def condition_resources(spark: SparkSession, d: str) -> DataFrame:
-    j = _by_page(_line_orders(spark, d, True), F.col("l_orderkey"), PAGE_SIZE)
+    j = _by_page(_line_orders(spark, d), F.col("l_orderkey"), PAGE_SIZE)
     subj, enc = _refs()
     res = F.struct(
         F.lit("Condition").alias("resourceType"), _role(CONDITION, "condition_id").alias("id"),
@@ -270,9 +268,19 @@ def bronze_frames(pages, extraction_ts: Column | None = None) -> dict[str, DataF
     return out
 
 
-def load_bronze(spark: SparkSession, ctx: Context, extraction_ts: Column | None = None) -> None:
-    """All raw days and resource types in one scan; each (resource, day) partition replaced."""
-    frames = bronze_frames(lambda r: read_pages(spark, ctx.raw(), resource=r), extraction_ts)
+def raw_days(pages: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Pages of the landing days in ``[start, end)``; the ``date`` folders outside it are not read."""
+    day = F.col("date").cast("date")
+    if start is not None:
+        pages = pages.filter(day >= F.lit(start).cast("date"))
+    return pages if end is None else pages.filter(day < F.lit(end).cast("date"))
+
+
+def load_bronze(spark: SparkSession, ctx: Context, extraction_ts: Column | None = None, start: str | None = None,
+                end: str | None = None) -> None:
+    """Raw days in ``[start, end)`` (an open bound: all) of every resource type; each (resource, day) partition read is
+    replaced, other days stay."""
+    frames = bronze_frames(lambda r: raw_days(read_pages(spark, ctx.raw(), resource=r), start, end), extraction_ts)
     run_concurrently([lambda r=r, df=df: replace_partitions(df, ctx.bronze(r), ["ingest_date"])
                       for r, df in frames.items()])
 
@@ -338,7 +346,7 @@ def gold_models(spark: SparkSession, ctx: Context) -> dict[str, DataFrame]:
 def run_medallion(spark: SparkSession, ctx: Context, start: str, end: str,
                   clock: Callable[[Column], Column] | None = None, publish: bool = True) -> dict[str, DataFrame]:
     """raw pages (already fetched) -> bronze -> silver -> gold; returns the gold frames."""
-    load_bronze(spark, ctx)
+    load_bronze(spark, ctx, start=start, end=end)
     load_silver(spark, ctx, start, end, clock)
     models = gold_models(spark, ctx)
     if publish:

@@ -19,8 +19,8 @@ from lakelayer.sources.cdc import effective_watermark, extract
 
 # ── gold models (role mapping in roles.py) ───────────────────────────────────
 
-_PAT_SIDE = ("SELECT patient_id AS pat_id, concat_ws(' ', given_name, family_name) AS patient_name, "
-             "gender, birth_date FROM pat")
+_PERSON_SQL = ("(SELECT patient_id, concat_ws(' ', given_name, family_name) AS patient_name, gender, birth_date "
+               "FROM pat) USING (patient_id)")
 _ROLES_CTE = (f"WITH pat AS ({role_sql('patient')}), enc AS ({role_sql('encounter')}), "
               f"obs AS ({role_sql('observation')}), cnd AS ({role_sql('condition')})")
 
@@ -35,32 +35,23 @@ def q_gold_patient(spark, d):
     return gold.gold_patient(roles.patient(spark, d))
 
 
-@query("gold_encounter", oracle=f"""{_ROLES_CTE}, ps AS ({_PAT_SIDE})
-SELECT encounter_id, status, class_code, class_display, type_code, type_display, enc.patient_id,
-       patient_name, gender, birth_date, period_start, period_end, reason_code, reason_display,
-       service_provider, enc.effective_start_date, enc.record_version
-FROM enc LEFT JOIN ps ON enc.patient_id = ps.pat_id""")
+@query("gold_encounter", oracle=f"""{_ROLES_CTE}
+SELECT {', '.join(gold.ENCOUNTER_COLS)} FROM enc LEFT JOIN {_PERSON_SQL}""")
 def q_gold_encounter(spark, d):
     return gold.gold_encounter(roles.encounter(spark, d), roles.patient(spark, d))
 
 
-@query("gold_observation", oracle=f"""{_ROLES_CTE}, ps AS ({_PAT_SIDE}),
-es AS (SELECT encounter_id AS enc_id, class_code AS enc_class, period_start AS enc_start FROM enc)
-SELECT observation_id, status, category, code, code_display, obs.patient_id, patient_name, gender,
-       birth_date, obs.encounter_id, enc_class, enc_start, effective_datetime, issued, value_quantity,
-       value_unit, value_string, value_code, component_code, component_value, component_unit,
-       obs.effective_start_date, obs.record_version
-FROM obs LEFT JOIN ps ON obs.patient_id = ps.pat_id LEFT JOIN es ON obs.encounter_id = es.enc_id""")
+@query("gold_observation", oracle=f"""{_ROLES_CTE}
+SELECT {', '.join(gold.OBSERVATION_COLS)}
+FROM obs LEFT JOIN {_PERSON_SQL}
+LEFT JOIN (SELECT encounter_id, class_code AS enc_class, period_start AS enc_start FROM enc) USING (encounter_id)""")
 def q_gold_observation(spark, d):
     return gold.gold_observation(roles.observation(spark, d), roles.patient(spark, d), roles.encounter(spark, d))
 
 
-@query("gold_condition", oracle=f"""{_ROLES_CTE}, ps AS ({_PAT_SIDE}),
-es AS (SELECT encounter_id AS enc_id, class_code AS enc_class FROM enc)
-SELECT condition_id, clinical_status, verification_status, category, code, code_display,
-       cnd.patient_id, patient_name, gender, birth_date, cnd.encounter_id, enc_class, onset_datetime,
-       abatement_datetime, recorded_date, severity, cnd.effective_start_date, cnd.record_version
-FROM cnd LEFT JOIN ps ON cnd.patient_id = ps.pat_id LEFT JOIN es ON cnd.encounter_id = es.enc_id""")
+@query("gold_condition", oracle=f"""{_ROLES_CTE}
+SELECT {', '.join(gold.CONDITION_COLS)} FROM cnd LEFT JOIN {_PERSON_SQL}
+LEFT JOIN (SELECT encounter_id, class_code AS enc_class FROM enc) USING (encounter_id)""")
 def q_gold_condition(spark, d):
     return gold.gold_condition(roles.condition(spark, d), roles.patient(spark, d), roles.encounter(spark, d))
 

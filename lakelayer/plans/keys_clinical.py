@@ -31,8 +31,7 @@ _IDS_SQL = f"""
 SELECT 'Patient' AS resource_type, cast(c_custkey as string) AS id FROM customer
 UNION ALL SELECT 'Encounter', cast(o_orderkey as string) FROM orders
 UNION ALL SELECT 'Observation', {_OBS_ID} FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-UNION ALL SELECT 'Condition', {_COND_ID} FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_linenumber = 1"""
+UNION ALL SELECT 'Condition', {_COND_ID} FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
 @query("fhir_bundle_parse", oracle=f"""
@@ -61,8 +60,7 @@ _PAGES_SQL = """
 WITH p AS (SELECT 'Patient' AS resource_name, c_custkey // 50 AS page FROM customer
   UNION ALL SELECT 'Encounter', o_orderkey // 50 FROM orders
   UNION ALL SELECT 'Observation', l_orderkey // 8 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  UNION ALL SELECT 'Condition', l_orderkey // 50 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE l_linenumber = 1)"""
+  UNION ALL SELECT 'Condition', l_orderkey // 50 FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
 @query("fhir_page_audit", oracle=_PAGES_SQL + f"""

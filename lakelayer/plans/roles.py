@@ -81,8 +81,8 @@ OBSERVATION = [
 ]
 
 CONDITION = [
-    ("condition_id", "concat_ws('-', cast(l_orderkey as string), cast(l_partkey as string), "
-                     "cast(l_suppkey as string))"),
+    ("condition_id", "concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string), "
+                     "cast(l_partkey as string), cast(l_suppkey as string))"),
     ("clinical_status", "CASE l_linestatus WHEN 'O' THEN 'active' ELSE 'resolved' END"),
     ("verification_status", "'confirmed'"),
     ("category", "'problem-list-item'"),
@@ -115,7 +115,7 @@ FROM_SQL = {
                "LEFT JOIN region ON n_regionkey = r_regionkey",
     "encounter": "orders",
     "observation": "lineitem JOIN orders ON l_orderkey = o_orderkey",
-    "condition": "lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1",
+    "condition": "lineitem JOIN orders ON l_orderkey = o_orderkey",
 }
 ROLE_COLUMNS = {"patient": PATIENT, "encounter": ENCOUNTER, "observation": OBSERVATION,
                 "condition": CONDITION}
@@ -149,20 +149,18 @@ def encounter(spark: SparkSession, sf_dir: str, with_audit: bool = True) -> Data
     return table(spark, sf_dir, "orders").selectExpr(*_exprs(ENCOUNTER, with_audit))
 
 
-def _line_orders(spark: SparkSession, sf_dir: str, first_line_only: bool) -> DataFrame:
+def _line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    if first_line_only:
-        li = li.filter(F.col("l_linenumber") == 1)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
 
 
 def observation(spark: SparkSession, sf_dir: str, with_audit: bool = True) -> DataFrame:
-    return _line_orders(spark, sf_dir, False).selectExpr(*_exprs(OBSERVATION, with_audit))
+    return _line_orders(spark, sf_dir).selectExpr(*_exprs(OBSERVATION, with_audit))
 
 
 def condition(spark: SparkSession, sf_dir: str, with_audit: bool = True) -> DataFrame:
-    return _line_orders(spark, sf_dir, True).selectExpr(*_exprs(CONDITION, with_audit))
+    return _line_orders(spark, sf_dir).selectExpr(*_exprs(CONDITION, with_audit))
 
 
 ROLE_FRAMES = {"patient": patient, "encounter": encounter, "observation": observation, "condition": condition}

@@ -21,9 +21,10 @@ from lakelayer.session import missing_path
 def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
 
-    An empty ``df`` leaves every existing partition in place.
+    An empty ``df`` leaves every existing partition in place. Rows are gathered by partition first, so a partition
+    gets a few files and not one per task; AQE cuts a large partition into several tasks.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
 
 

@@ -147,6 +147,9 @@ def run_table(spark: SparkSession, src: CdcSource, root: str, stamp: str, run_id
                             loaded=read_bronze(spark, root, src.table))
         else:
             batch = extract(src.read(spark), src.cdc_col, wm)
+        if batch.isEmpty():                     # nothing is written, so no empty folder stays behind
+            return dict(run_id=run_id, table_name=src.table, rows=0, old_watermark=wm, new_watermark=wm,
+                        status="empty", error=None, output_path=None, run_ts=stamp)
         obs = Observation(f"cdc_{src.table}_{uuid.uuid4().hex[:8]}")
         observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"),
                                  F.max(src.cdc_col).cast("string").alias("wm"))

@@ -149,3 +149,29 @@ def test_raw_pages_round_trip_compressed(spark, scratch):
     write_raw_pages(pages, root, compression="gzip")
     got = flatten(entries(read_pages(spark, root, resource="Patient")), "Patient").collect()
     assert [r.patient_id for r in got] == ["p9"]
+
+
+def test_bronze_reads_only_the_days_of_its_range(spark, scratch):
+    from lakelayer.plans.clinical import load_bronze, raw_days
+    from lakelayer.sinks.tables import write_raw_pages
+    ctx = Context(scratch("range"))
+    body = '{"resourceType":"Bundle","total":1,"entry":[{"resource":{"resourceType":"Patient","id":"%s"}}]}'
+    write_raw_pages(spark.createDataFrame([("Patient", f"2024-01-0{k}", body % k) for k in (1, 2, 3)],
+                                          "resource string, date string, body string"), ctx.raw())
+    pages = raw_days(read_pages(spark, ctx.raw(), resource="Patient"), "2024-01-02", "2024-01-03")
+    assert len(pages.inputFiles()) == 3 and pages.count() == 1
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2024-01-02" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    load_bronze(spark, ctx, start="2024-01-02", end="2024-01-03")
+    assert [r.patient_id for r in spark.read.parquet(ctx.bronze("Patient")).collect()] == ["2"]
+    load_bronze(spark, ctx, start="2024-01-03")
+    assert sorted(r.patient_id for r in spark.read.parquet(ctx.bronze("Patient")).collect()) == ["2", "3"]
+
+
+def test_partition_replace_writes_few_files(spark, scratch):
+    from lakelayer.sinks.tables import replace_partitions
+    path = scratch("few")
+    df = spark.range(10_000).repartition(32).selectExpr("id", "id % 30 AS day")
+    replace_partitions(df, path, ["day"])
+    back = spark.read.parquet(path)
+    assert back.count() == 10_000 and len(back.inputFiles()) <= 60

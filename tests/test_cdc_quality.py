@@ -102,3 +102,15 @@ def test_expect_or_fail(spark):
     bad = spark.createDataFrame([(None,)], "user_id int")
     with pytest.raises(Exception, match="expectation failed"):
         expect_or_fail(bad, {"r1": "user_id IS NOT NULL"}).collect()
+
+
+def test_empty_extract_leaves_no_folder(spark, scratch):
+    import os
+    from lakelayer.sources.cdc import CdcSource, parquet_table, run_incremental
+    src, root = scratch("src_empty"), scratch("lake_empty")
+    spark.createDataFrame([(1, "2024-01-01")], "id long, c string").write.parquet(src)
+    one = [CdcSource("t", "c", parquet_table(src))]
+    assert run_incremental(spark, one, root, stamp="a").first().rows == 1
+    second = run_incremental(spark, one, root, stamp="b").first()
+    assert (second.status, second.rows, second.new_watermark) == ("empty", 0, "2024-01-01")
+    assert sorted(os.listdir(f"{root}/bronze/t")) == ["t_a"]
