@@ -2,7 +2,7 @@
 
 Of all lines, ordered by (document id, hash of the document's text, line number), a line is removed if an equal line, or
 one within one character edit, stands earlier. Lines shorter than ``near_length`` characters are only compared for
-equality, and empty lines are never removed.
+equality (1: every line takes part; the SQL of ``op10_line_dedup`` fixes 20), and empty lines are never removed.
 
 Two lines within one edit have a deletion variant in common: taking out the same position (a changed character), or the
 one line being the other without a character. Variants travel as 128-bit hashed keys with the earliest place per key, so
@@ -191,3 +191,6 @@ SELECT d.doc_id, count(t.no) AS n_lines, count(t.no) FILTER (again OR near) AS n
        coalesce(string_agg(t.no::VARCHAR, ',' ORDER BY t.no) FILTER (again OR near), '') AS removed_lines
 FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id GROUP BY d.doc_id
 """
+
+# the same without a least length
+EVERY_LINE_ORACLE = ORACLE.replace(" WHERE n >= 20", "")

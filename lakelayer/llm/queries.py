@@ -40,6 +40,11 @@ def _line_oracle() -> str:
     return ORACLE
 
 
+def _every_line_oracle() -> str:
+    from lakelayer.llm.line_dedup import EVERY_LINE_ORACLE
+    return EVERY_LINE_ORACLE
+
+
 @_query("op1_suffix_dedup")
 def suffix_dedup(spark, sf_dir):
     """Bytes covered by 200-byte strings that occur elsewhere, over all documents."""
@@ -134,3 +139,10 @@ def line_dedup(spark, sf_dir):
     """Lines with an equal or one-edit earlier line, per document."""
     from lakelayer.llm.line_dedup import line_dedup_query
     return line_dedup_query(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_line_dedup_every_line", _every_line_oracle())
+def line_dedup_every_line(spark, sf_dir):
+    """Lines with an equal or one-edit earlier line, per document, whatever their length."""
+    from lakelayer.llm.line_dedup import line_dedup_query
+    return line_dedup_query(table(spark, sf_dir, "documents"), near_length=1)

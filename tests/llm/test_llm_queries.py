@@ -445,6 +445,31 @@ def test_lines_match_brute_force(spark):
     assert line_dedup.duplicate_lines(edge(spark)).count() == 10       # the two equal rows are one document
 
 
+def test_short_lines_match_brute_force(spark):
+    r = random.Random(12)
+    lines = ["".join(r.choice("ab é😀") for _ in range(r.randint(0, 22))) for _ in range(220)]
+    lines += ["With, to to.", "With to to.", "Heti, eror anesti.", "Heti eror anesti.", "a", "b", "é", "ab", "x" * 19, "x" * 20]
+    r.shuffle(lines)
+    rows = [(i, "\n".join(lines[i * 3:i * 3 + 3])) for i in range(77)] + [(900, None), (901, "")]
+    want, before = {}, []
+    for d, t in rows:
+        own = [] if t is None else t.split("\n")
+        gone, near = [], 0
+        for no, line in enumerate(own):
+            if line and any(edit_one(line, o) for o in before):
+                gone.append(no)
+                near += line not in before
+            before += [line] if line else []
+        want[d] = (len(own), len(gone), near, ",".join(map(str, gone)))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {x.doc_id: tuple(x)[1:] for x in line_dedup.line_dedup_query(df, near_length=1).collect()}
+    assert got == want
+    # the registered query takes the short lines in, too
+    path = scratch_dir(spark, "lines")
+    df.coalesce(1).write.parquet(f"{path}/documents.parquet")
+    assert {x.doc_id: tuple(x)[1:] for x in QUERIES["op10_line_dedup_every_line"](spark, path).collect()} == want
+
+
 # ---- pipeline ----
 
 def test_pipeline_against_brute_force(spark):
