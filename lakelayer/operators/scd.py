@@ -156,6 +156,19 @@ def ids_to_insert(silver: DataFrame, batch: DataFrame, key: str, hash_col: str =
     return key_states(silver, batch, key, hash_col).where("state != 'same'").select(key).distinct()
 
 
+def key_states_by_day(snapshots: DataFrame, key: str, day_col: str = "ingest_date", hash_col: str = "record_hash",
+                      split="auto") -> DataFrame:
+    """(day, key, state) of every snapshot row against the state its day's batch would meet, as ``key_states`` gives it
+    day after day: ``new`` on the key's first day, ``changed`` where the hash differs from the key's previous present
+    day, else ``same``. Rows without a key are left out, as the merge does. One window over the snapshots."""
+    held = snapshots.where(F.col(key).isNotNull()).select(day_col, key, hash_col)
+    held, sp = route_hot_keys(held, [key], _split_for(held, day_col, split))
+    n = neighbours(held, [key], [day_col], prev_cols=[day_col, hash_col], split=sp)
+    state = (F.when(F.col("_prev_" + day_col).isNull(), "new")
+             .when(F.col("_prev_" + hash_col) != F.col(hash_col), "changed").otherwise("same"))
+    return n.select(day_col, key, state.alias("state"))
+
+
 def scd2_hash_merge_parts(current: DataFrame, batch: DataFrame, key: str, day, load_ts: Column | None = None,
                           hash_col: str = "record_hash", same_day: str = "keep",
                           known_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from lakelayer.functions import record_hash
 from lakelayer.operators.dedup import first_seen, latest_per_key
 from lakelayer.operators.quality import expect_all_or_drop
-from lakelayer.operators.scd import (changed_ids, current_rows, ids_to_insert, new_ids, scd2_bootstrap,
-                                     scd2_hash_history, scd2_hash_merge_parts)
+from lakelayer.operators.scd import (changed_ids, current_rows, ids_to_insert, key_states_by_day, new_ids,
+                                     scd2_bootstrap, scd2_hash_history, scd2_hash_merge_parts)
 from lakelayer.plans.keys_batch import RULES, SCD1_SQL, SCD2_SQL, _STAGED_SQL, staged_events
 from lakelayer.plans.registry import query
 from lakelayer.plans.roles import table
@@ -207,6 +207,34 @@ def q_ids_to_insert(spark, d):
     return ids_to_insert(*_cut(spark, d), "user_id")
 
 
+# the same ids for the batch of every day, each against the state before it
+_BY_DAY_SQL = f"""WITH {_DAYS_SQL},
+p AS (SELECT *, lag(day) OVER w AS prev_day, lag(event_type) OVER w AS prev FROM d WHERE user_id IS NOT NULL
+      WINDOW w AS (PARTITION BY user_id ORDER BY day)),
+chg AS (SELECT day AS ingest_date, user_id FROM p WHERE prev_day IS NOT NULL AND prev <> event_type),
+nw AS (SELECT day AS ingest_date, user_id FROM p WHERE prev_day IS NULL)"""
+
+
+def _by_day(spark, d, *states: str) -> DataFrame:
+    return (key_states_by_day(daily_snapshots(spark, d), "user_id").where(F.col("state").isin(*states))
+            .select("ingest_date", "user_id"))
+
+
+@query("scd2_changed_ids_by_day", oracle=_BY_DAY_SQL + " SELECT ingest_date, user_id FROM chg")
+def q_changed_ids_by_day(spark, d):
+    return _by_day(spark, d, "changed")
+
+
+@query("scd2_new_ids_by_day", oracle=_BY_DAY_SQL + " SELECT ingest_date, user_id FROM nw")
+def q_new_ids_by_day(spark, d):
+    return _by_day(spark, d, "new")
+
+
+@query("scd2_ids_to_insert_by_day", oracle=_BY_DAY_SQL + " SELECT * FROM chg UNION ALL SELECT * FROM nw")
+def q_ids_to_insert_by_day(spark, d):
+    return _by_day(spark, d, "changed", "new")
+
+
 @query("scd2_empty_bootstrap", oracle="""
 SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint'
                     WHEN 'DATE' THEN 'date' ELSE lower(column_type) END AS data_type, CAST(0 AS BIGINT) AS n_rows

@@ -195,3 +195,37 @@ def test_history_store_daily_equals_closed_form(spark, scratch):
     got = sorted(tuple(r) for r in store_table(spark, store).select(cols).collect())
     want = sorted(tuple(r) for r in scd2_hash_history(snaps, "id", clock=_clock).select(cols).collect())
     assert got == want
+
+
+def test_key_states_by_day_cover_every_day(spark):
+    from lakelayer.operators.ordered import auto_split
+    from lakelayer.operators.scd import key_states, key_states_by_day
+    rng = random.Random(23)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(8)]
+    rows = [(f"id{i}", rng.choice("pq"), d) for d in days for i in range(12) if d >= days[i % 7] and rng.random() < 0.7]
+    snaps = _snap(spark, rows + [(None, "p", days[2]), ("late", "p", days[-1])])
+    want = set()
+    for d in days:
+        before = scd2_hash_history(snaps.filter((F.col("ingest_date") < d) & F.col("id").isNotNull()), "id", clock=_clock)
+        batch = snaps.filter((F.col("ingest_date") == d) & F.col("id").isNotNull())
+        want |= {(d, r.id, r.state) for r in key_states(before, batch, "id").collect()}
+    got = key_states_by_day(snaps, "id").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert (days[-1], "late", "new") in want and {s for d, _, s in want if d == days[-1]} >= {"new", "changed"}
+    spark.conf.set("lakelayer.hotKeyRows", "3")
+    try:
+        split = {tuple(r) for r in key_states_by_day(snaps, "id", split=auto_split(snaps, "ingest_date")).collect()}
+    finally:
+        spark.conf.unset("lakelayer.hotKeyRows")
+    assert split == want
+
+
+def test_ids_by_day_hold_new_ids_and_late_days(spark):
+    from lakelayer.plans.registry import QUERIES, load_all
+    load_all()
+    sf = "/root/testdata/sf0.001"
+    new = QUERIES["scd2_new_ids_by_day"](spark, sf)
+    users, last = spark.read.parquet(f"{sf}/events.parquet").agg(
+        F.countDistinct("user_id"), F.max(F.to_date("ts"))).first()
+    assert new.count() == new.select("user_id").distinct().count() == users > 0
+    assert QUERIES["scd2_ids_to_insert_by_day"](spark, sf).where(F.col("ingest_date") == last).count() > 0
