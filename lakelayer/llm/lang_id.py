@@ -110,18 +110,19 @@ def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray, fi
 class Crf:
     """Feature weights, lexicon, transitions and the label order."""
 
-    def __init__(self, labels: list[str], lexicon: dict[bytes, int]):
+    def __init__(self, labels: list[str], lexicon: dict[bytes, list[int]]):
         k = len(labels)
-        self.labels, self.lexicon = labels, lexicon                 # lexicon: word -> bit set of labels
-        self.weights = np.zeros((BUCKETS + (1 << k) if k <= 8 else BUCKETS, k))
+        self.labels, self.lexicon = labels, lexicon                 # lexicon: word -> numbers of its labels
+        self.weights = np.zeros((BUCKETS + k, k))
         self.trans, self.first = np.eye(k) * 0.5, np.zeros(k)
 
     def features(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``word_features``, and one feature for each language whose lexicon holds the word."""
         who, feature = word_features(words)
-        if len(self.weights) > BUCKETS:
-            bits = np.array([self.lexicon.get(w, 0) for w in words], np.int64)
-            who, feature = np.concatenate([who, np.arange(len(words))]), np.concatenate([feature, BUCKETS + bits])
-        return who, feature
+        held = [self.lexicon.get(w, ()) for w in words]
+        at = np.repeat(np.arange(len(words)), [len(x) for x in held])
+        rows = np.array([BUCKETS + y for x in held for y in x], np.int64)
+        return np.concatenate([who, at]), np.concatenate([feature, rows])
 
     def emissions(self, words: list[bytes]) -> np.ndarray:
         who, feature = self.features(words)
@@ -315,12 +316,12 @@ def fit(df: DataFrame, labelled: Column, sample_rows: int = 4000, per_row: int =
     for w, y in got:
         seen[number[y]].update(w)
     sums = np.array([max(1, sum(c.values())) for c in seen], float)
-    lexicon: dict[bytes, int] = {}
+    lexicon: dict[bytes, list[int]] = {}
     for i, c in enumerate(seen):
         for w, n in c.items():
             rest = sum(o[w] for j, o in enumerate(seen) if j != i) / max(1.0, sums.sum() - sums[i])
             if n >= 3 and n / sums[i] > 4 * rest:
-                lexicon[w] = lexicon.get(w, 0) | (1 << i if len(labels) <= 8 else 0)
+                lexicon.setdefault(w, []).append(i)
     model = Crf(labels, lexicon)
     if len(labels) > 1:
         model.train([(w, number[y]) for w, y in got], rounds=rounds, batch=128, rate=0.5, l2=1e-6)

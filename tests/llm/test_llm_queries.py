@@ -98,6 +98,29 @@ def test_language_edges_and_switching(spark):
     assert best[0] == "en" and best[-1] == "de"
 
 
+def test_lexicon_serves_more_than_eight_labels(spark):
+    r = random.Random(13)
+    k = 11
+    own = [["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(12)] for _ in range(k)]
+    pair = ["zzyzx"]                               # in the lexicons of two languages
+    rows = [(i, " ".join(r.choice(own[i % k] + (pair if i % k < 2 else [])) for _ in range(30)), f"l{i % k:02}")
+            for i in range(60 * k)]
+    df = spark.createDataFrame(rows, SCHEMA + ", lang string")
+    model = lang_id.fit(df, ~lang_id.held_out())
+    assert len(model.labels) == k and model.weights.shape == (lang_id.BUCKETS + k, k)
+    assert model.lexicon[b"zzyzx"] == [0, 1]
+    for y, words in enumerate(own):
+        for w in words:
+            assert model.lexicon[w.encode()] == [y]
+        assert model.weights[lang_id.BUCKETS + y].argmax() == y
+    who, feature = model.features([b"zzyzx", b"unseen", own[10][0].encode()])
+    lex = feature >= lang_id.BUCKETS
+    assert list(zip(who[lex], feature[lex] - lang_id.BUCKETS)) == [(0, 0), (0, 1), (2, 10)]
+    assert lang_id.word_features([b"unseen"])[1].tolist() == model.features([b"unseen"])[1].tolist()
+    got = lang_id.label(df, model).where(lang_id.held_out())
+    assert got.where("lang != lang_pred").count() == 0
+
+
 def test_forward_backward_matches_enumeration():
     import itertools
     r = np.random.default_rng(1)
