@@ -328,16 +328,23 @@ def fit(df: DataFrame, labelled: Column, sample_rows: int = 4000, per_row: int =
     return model
 
 
+def has_letter(text: str) -> bool:
+    """Whether ``words_of`` finds any word."""
+    return any(map(str.isalpha, text))
+
+
 def label(df: DataFrame, model: Crf, text_col: str = "text", lang_out: str = "lang_pred",
-          score_out: str = "score") -> DataFrame:
-    """``df`` with the predicted language and its score appended (their names must be free)."""
-    for name in (lang_out, score_out):
+          score_out: str = "score", letter_out: str | None = None) -> DataFrame:
+    """``df`` with the predicted language and its score appended, and with ``letter_out`` whether the text has a letter,
+    which does not depend on the model (their names must be free)."""
+    names = [lang_out, score_out] + ([letter_out] if letter_out else [])
+    for name in names:
         if name.lower() in {c.lower() for c in df.columns}:
             raise ValueError(f"column {name} exists already")
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*df.schema.fields, T.StructField(lang_out, T.StringType()),
-                           T.StructField(score_out, T.DoubleType())])
+    kinds = [T.StringType(), T.DoubleType(), T.BooleanType()]
+    schema = T.StructType([*df.schema.fields, *map(T.StructField, names, kinds)])
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,9 +352,10 @@ def label(df: DataFrame, model: Crf, text_col: str = "text", lang_out: str = "la
         for b in batches:
             texts = [t or "" for t in b.column(at).cast(pa.string()).to_pylist()]
             got = lab.documents(texts)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                [*b.schema.names, lang_out, score_out])
+            new = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
+            if letter_out:
+                new.append(pa.array([has_letter(t) for t in texts], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*b.columns, *new], [*b.schema.names, *names])
 
     return df.mapInArrow(run, schema)
 

@@ -525,3 +525,17 @@ def test_pipeline_against_brute_force(spark):
     assert {p.doc_id for p in pieces} == keep - dirty
     assert Counter(map(tuple, c.run(spark, SF).select("doc_id", "start", "doc_tokens").where("start = 0").collect())) == Counter(
         (p.doc_id, p.start, p.doc_tokens) for p in pieces if p.start == 0)
+
+
+def test_language_stage_needs_no_labels(spark):
+    import corpus_pipeline as c
+    texts = [None, "", " 12 -", "one", "\u0663\u0664", "\u65e5\u672c", "caf\u00e9 1", "\u2167", "K", "1\u00e9"]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], SCHEMA + ", lang string")
+    out = c.language(spark, df, SF)
+    assert out.columns == df.columns
+    want = [i for i, t in enumerate(texts) if any(ch.isalpha() for ch in t or "")]
+    assert sorted(r.doc_id for r in out.collect()) == want == [3, 5, 6, 8, 9]
+    assert [lang_id.has_letter(t or "") for t in texts] == [bool(lang_id.words_of(t or "")) for t in texts]
+    bare = c.language(spark, docs(spark).withColumn("lang", F.lit(None).cast("string")), SF)
+    full = c.language(spark, docs(spark), SF)
+    assert sorted(r.doc_id for r in bare.collect()) == sorted(r.doc_id for r in full.collect()) != []
