@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakelayer.llm.common import col
 
-# patterns shared with the SQL form; both engines read them alike
+# patterns shared with the SQL form; both engines read them alike, but LINK is the SQL form's own: it knows double quotes only
 COMMENT = r"(?s)<!--.*?(-->|\z)"
 SKIP = [rf"(?is)<{t}\b[^>]*>.*?(</{t}\s*>|\z)" for t in ("script", "style", "noscript", "template")]
 BLOCK = (r"(?i)</?(p|div|br|li|ul|ol|tr|h[1-6]|article|section|header|footer|nav|table|title|head|body|html|"
@@ -34,6 +34,10 @@ ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#
 BLANKS, BREAKS, ENDS = r"[ \t\r\f\x0B]+", r" ?\n[ \n]*", r"^[ \n]+|[ \n]+\z"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 LINK = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
+# a link's tag up to its end (a quoted value may hold >), its href or another quoted value, and its href
+ANCHOR = r"""(?i)<a\s(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+){0,1000}+"""
+QUOTED = r"""(?i)((?<=[\s"'])href\s*=\s*(?:"[^"]*"|'[^']*'))|=\s*(?:"[^"]*"|'[^']*')"""
+HREF = r"""(?i)(?<=[\s"'])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
 CRLF = "\r\n"
 
 
@@ -50,6 +54,13 @@ def _fold(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(s, BLANKS, " "), BREAKS, "\n"), ENDS, "")
 
 
+def _links(html: Column) -> Column:
+    """The href values of all links in order: in double quotes, in single quotes or bare."""
+    tags = F.transform(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0)), lambda t: F.regexp_replace(t, QUOTED, "$1 "))
+    return F.transform(F.filter(tags, lambda t: t.rlike(HREF)),
+                       lambda t: F.concat(*[F.regexp_extract(t, HREF, k) for k in (1, 2, 3)]))
+
+
 def _urn(*parts: Column) -> Column:
     h = F.sha2(F.concat_ws(" ", *parts), 256)
     cut = [F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("8"), F.substring(h, 14, 3)),
@@ -80,7 +91,7 @@ def derived_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "u
     src = src.withColumn("refers_to", _urn(F.lit("response"), F.col("target_uri"),
                                            F.coalesce("page_id", F.lit("")), F.col("source_digest")))
     title = F.regexp_replace(_fold(F.regexp_extract("payload", TITLE, 1)), "\n", " ")
-    links = F.regexp_extract_all("payload", F.lit(LINK), F.lit(1))
+    links = _links(F.col("payload"))
     fields = F.concat(
         F.lit("status: "), F.regexp_extract("source_headers", r"^HTTP/[0-9.]+ +([0-9]+)", 1), F.lit(CRLF),
         F.lit("source-content-type: "),

@@ -161,6 +161,28 @@ def test_warc_round_trip_and_edges(spark):
     assert warc.derived_records(pages.limit(0)).count() == 0
 
 
+def test_warc_links_in_every_quoting(spark):
+    from html.parser import HTMLParser
+
+    class Links(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            found.extend(v for k, v in attrs[:] if tag == "a" and k == "href" and v is not None)
+
+    pages = ["<a href='/one'>1</a><a href=/two>2</a><A HREF=\"/three\">3</A>", "<a class=x href = '/a b' id=q>l</a><abbr href='/no'>",
+             "<a title='see href=/no' href='/yes'>l</a>", "<a data-href='/no' href=/yes?a=b&c>l</a><a name=x>t</a>",
+             "<a title=\"a > b\" href='/q\"r'>x</a>", "<a\nhref=''>e</a><a href=\"/x='y'\">f</a>", "no link <p href=/z>", "",
+             "i <a then " + "word \"q\" it's = 'v' " * 20000, "<a " + "x='1' " * 50 + "href=/far>"]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").withColumn("url", F.lit("u"))
+    got = {int(r.page_id): re.findall(r"outlink: (.*?) L a/@href\r\n", r.block)
+           for r in warc.derived_records(df).where("record_type = 'metadata'").collect()}
+    for i, page in enumerate(pages):
+        found: list[str] = []
+        if i != 8:                                  # no tag, but a long run of text after an open one
+            Links(convert_charrefs=False).feed(page)
+        assert got[i] == found, page[:80]
+    assert sum(map(len, got.values())) == 10
+
+
 # ---- 4 SimHash ----
 
 def brute_fingerprint(text):
