@@ -190,13 +190,25 @@ class BiLstmCrf:
             g[f"x{way}"], g[f"r{way}"] = gx, gr
         return g
 
-    def train(self, codes: np.ndarray, tags: np.ndarray, rounds: int, batch: int, rate: float) -> None:
-        """Adam over windows (window, time)."""
+    def likelihood(self, codes: np.ndarray, tags: np.ndarray) -> float:
+        """Mean log-likelihood per character of windows (window, time)."""
+        t = tags.T
+        emit = self.scores(codes.T)[0]
+        step, lane = np.indices(t.shape)
+        gold = emit[step, lane, t].sum() + self.p["first"][t[0]].sum() + self.trans()[t[:-1], t[1:]].sum()
+        logz = forward_backward(emit, np.full(t.shape[1], t.shape[0]), self.trans(), self.p["first"])[1]
+        return float((gold - logz.sum()) / t.size)
+
+    def train(self, codes: np.ndarray, tags: np.ndarray, rounds: int, batch: int, rate: float,
+              held: tuple[np.ndarray, np.ndarray] | None = None, most: int = 0) -> None:
+        """Adam over windows (window, time). After ``rounds`` it goes on, up to ``most`` rounds in all, as long as every
+        ``rounds`` more make the windows ``held`` likelier; the likeliest weights stay."""
+        best, kept = -np.inf, None
         r = np.random.default_rng(9)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
         step = 0
-        for _ in range(rounds):
+        for done in range(1, max(rounds, most if held else 0) + 1):
             order = r.permutation(len(codes))
             for s in range(0, len(order), batch):
                 pick = order[s:s + batch]
@@ -206,6 +218,12 @@ class BiLstmCrf:
                     m[k] = 0.9 * m[k] + 0.1 * x
                     v[k] = 0.999 * v[k] + 0.001 * x * x
                     self.p[k] += rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-7)
+            if held and done % rounds == 0:
+                now = self.likelihood(*held)
+                if now <= best:
+                    self.p = kept
+                    break
+                best, kept = now, {k: x.copy() for k, x in self.p.items()}
 
 
 def viterbi(emit: np.ndarray, trans: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -317,9 +335,10 @@ def _rewrites(text: str, spans: list[tuple[str, int, int]]) -> tuple[str, list[t
 
 
 def fit(df: DataFrame, sample_rows: int = 3000, most_windows: int = 3000, window: int = 96, hidden: int = 16,
-        rounds: int = 5, id_col: str = "doc_id", text_col: str = "text") -> BiLstmCrf | None:
+        rounds: int = 5, id_col: str = "doc_id", text_col: str = "text", most_rounds: int = 20) -> BiLstmCrf | None:
     """Train on at most ``most_windows`` windows of about ``sample_rows`` texts that hold a digit or an at sign, chosen
-    by a hash of the row; each sampled text gives up to four windows. None if the sample shows no span."""
+    by a hash of the row; each sampled text gives up to four windows. Every tenth window is held out and decides whether
+    training goes on after ``rounds``, up to ``most_rounds``. None if the sample shows no span."""
     rows = df.select(col(id_col).cast("string").alias("i"), text_or_empty(text_col).alias("t")).where(
         F.col("t").rlike("[0-9@]"))
     share = sample_rows / max(1, rows.count())
@@ -349,7 +368,9 @@ def fit(df: DataFrame, sample_rows: int = 3000, most_windows: int = 3000, window
     for k, (t, y) in enumerate(got):
         codes[k, :len(t)], tags[k, :len(y)] = char_codes(t), y
     model = BiLstmCrf(hidden)
-    model.train(codes, tags, rounds=rounds, batch=64, rate=0.02)
+    out = np.arange(len(got)) % 10 == 9
+    held = (codes[out], tags[out]) if out.any() else None
+    model.train(codes[~out], tags[~out], rounds=rounds, batch=64, rate=0.02, held=held, most=most_rounds)
     model.p = {k: v.astype(np.float32) for k, v in model.p.items()}
     return model
 

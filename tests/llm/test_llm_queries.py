@@ -407,6 +407,30 @@ def test_model_learns_and_adds(spark):
     assert pii.personal_data(empty(spark), model).count() == 0
 
 
+def test_defaults_add_numbers_off_the_patterns(spark):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    r = random.Random(3)
+    filler = d.where("text rlike '^[^0-9@]+$'").orderBy("doc_id").limit(300).select("text").collect()
+    cards = [c for c in (f"4{r.randrange(10 ** 15):015}" for _ in range(600)) if pii.luhn(c)]
+    rows, want = [], {}
+    for i, x in enumerate(filler):
+        n = (f"1 ({r.randint(200, 999)}) 555-{r.randint(1000, 9999)}" if i % 10 == 0 else
+             ".".join(cards[i // 10][k:k + 4] for k in range(0, 16, 4)) if i % 10 == 1 else
+             f"in {r.randint(1900, 2030)} about {r.randint(10, 99)}.{r.randint(1, 9)} of {r.randint(1000, 9999)}")
+        t = f"{x.text[:80]} {n} {x.text[80:160]}"
+        rows.append((-1 - i, t))
+        if i % 10 < 2:
+            assert not pii.base_spans(t)
+            want[-1 - i] = f"{('phone', 'card')[i % 10]}:{t.index(n)}:{t.index(n) + len(n)}"
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = pii.fit(d)
+    got = {x.doc_id: x for x in pii.personal_data(df, model).collect()}
+    for kind in ("phone", "card"):
+        mine = [i for i, w in want.items() if w.startswith(kind)]
+        assert sum(got[i].spans == want[i] and got[i].n_added == 1 for i in mine) >= 0.8 * len(mine), kind
+    assert sum(got[i].n_added for i, _ in rows if i not in want) == 0
+
+
 def test_gradients_match_differences():
     m = pii.BiLstmCrf(hidden=3)
     r = np.random.default_rng(0)
