@@ -18,6 +18,3 @@ def spark():
 def scratch(spark):
     from lakelayer.session import scratch_dir
     return lambda label="t": scratch_dir(spark, label)
-
-
-SF_SMALL = "/root/testdata/sf0.001"

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from lakelayer.plans.registry import ORACLES, load_all
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from oracle_check import compare, duck
 

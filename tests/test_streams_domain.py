@@ -6,7 +6,7 @@ from lakelayer.plans.streams import (FLOWS, gold_batch, gold_stream, silver_pass
                                      silver_users, star_report)
 from lakelayer.streaming.cdc_flow import CdcTarget, read_target
 from lakelayer.streaming.ingest import file_stream
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 T0 = dt.datetime(2024, 1, 1)
 
