@@ -146,3 +146,15 @@ def line_dedup_every_line(spark, sf_dir):
     """Lines with an equal or one-edit earlier line, per document, whatever their length."""
     from lakelayer.llm.line_dedup import line_dedup_query
     return line_dedup_query(table(spark, sf_dir, "documents"), near_length=1)
+
+
+def _vector_code_oracle() -> str:
+    from lakelayer.llm.vector_codes import oracle
+    return oracle()
+
+
+@_query("op13_vector_codes", _vector_code_oracle())
+def vector_codes(spark, sf_dir):
+    """Product codes of every usable vector, with codebooks learned in integers."""
+    from lakelayer.llm.vector_codes import vector_codes_query
+    return vector_codes_query(table(spark, sf_dir, "embeddings"))
