@@ -158,3 +158,22 @@ def vector_codes(spark, sf_dir):
     """Product codes of every usable vector, with codebooks learned in integers."""
     from lakelayer.llm.vector_codes import vector_codes_query
     return vector_codes_query(table(spark, sf_dir, "embeddings"))
+
+
+def _hard_negative_oracle() -> str:
+    from lakelayer.llm.hard_negatives import ORACLE
+    return ORACLE
+
+
+@_query("op11_hard_negatives", _hard_negative_oracle())
+def hard_negatives(spark, sf_dir):
+    """For every anchor and positive, the first rows of another label within the score window."""
+    from lakelayer.llm.hard_negatives import hard_negative_query
+    return hard_negative_query(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op12_license_scan")
+def license_scan(spark, sf_dir):
+    """Licence signatures in every document: base phrases, all labels, confidence."""
+    from lakelayer.llm.licenses import license_query
+    return license_query(table(spark, sf_dir, "documents"))

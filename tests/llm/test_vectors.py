@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakelayer.llm import vector_codes
+from lakelayer.llm import hard_negatives, vector_codes
 from lakelayer.llm.vector_codes import Gnat
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -96,3 +96,52 @@ def test_tree_finds_the_lowest_nearest_entry(m, degree, spread):
 def test_too_large_vectors_raise(spark):
     with pytest.raises(Exception, match="norm reaches"):
         vector_codes.encode(frame(spark, [(1, [1e9] * 8, 1)]))
+
+
+# ---- 11 hard negatives ----
+
+def brute_negatives(rows):
+    x = [(i, (lab + 1) % 10 if i % 7 == 0 else lab, np.floor(256 * np.array(v)).astype(np.int64))
+         for i, v, lab in usable(rows) if i is not None and lab is not None]
+    out = Counter()
+    for i, lab, v in x:
+        if i % 100:
+            continue
+        score = lambda w: int(v[:len(w)] @ w[:len(v)])
+        scored = sorted((-score(w), j, other == lab) for j, other, w in x if j != i)
+        for neg, pos, _ in [s for s in scored if s[2]][:5]:
+            p = -neg
+            fit = [s for s in scored if not s[2] and 30 * p <= -100 * s[0] <= 90 * p][:10]
+            out.update((i, pos, k + 1, j, p, -n) for k, (n, j, _) in enumerate(fit))
+    return out
+
+
+@pytest.mark.parametrize("sizes", [dict(), dict(block_rows=7, anchor_rows=3, directions=3), dict(directions=1, sample_rows=1)])
+@pytest.mark.parametrize("rows", [vectors() + EDGE, vectors(hot=150), vectors(500, dim=2, seed=5) + [(900, [], 1), (None, [1.0], 1)],
+                                  EDGE], ids=["mixed", "hot", "flat", "edge"])
+def test_negatives_match_brute_force(spark, rows, sizes):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    got = hard_negatives.mine(frame(spark, rows), F.col("vec_id") % 100 == 0, label, **sizes)
+    assert Counter(map(tuple, got.collect())) == brute_negatives(rows)
+
+
+def test_negatives_of_nothing(spark):
+    got = hard_negatives.hard_negative_query(frame(spark, []))
+    assert got.collect() == [] and dict(got.dtypes)["rank"] == "int"
+
+
+def test_bounds_hold_every_score():
+    r = np.random.default_rng(1)
+    v = np.floor(256 * r.normal(size=(300, 6)))
+    v[:20] = v[0]
+    v[20] = 0
+    refs = hard_negatives.reference_directions(v[:50], 5)
+    norm = np.linalg.norm(v, axis=1)
+    angles = np.arccos(np.clip(v / np.where(norm > 0, norm, 1)[:, None] @ refs.T, -1, 1)).astype("f4").astype(float)
+    block = object.__new__(hard_negatives._Block)
+    block.norms, block.cos, block.sin, block.vectors = norm, np.cos(angles.T), np.sin(angles.T), v
+    for i in range(300):
+        low, high = block.bounds(block, i)
+        score = block.scores(block, i, np.arange(300))
+        assert (low <= score).all() and (score <= high).all()
+        assert (high - low)[:20].max() < 0.01 * norm[0] ** 2 or i >= 20
