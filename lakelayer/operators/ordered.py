@@ -1,166 +1,123 @@
-"""Per-key ordered scans (previous / next row, running count) that survive hot keys.
+"""Per-key ordered scans (previous / next row, running sum) in segments, so that a key of any size is shared out.
 
-A plain ``Window.partitionBy(key)`` sends every row of a key to one task; a key
-holding a third of the table then runs in one task. Here a hot key is cut into
-sub-ranges by a ``split`` column that grows with the order (for example the hour
-of a timestamp): the row-level window runs per (key, split), and the rows that
-sit on the edge of a split are completed from a second window over one summary
-row per (key, split) of the hot keys only.
+A plain ``Window.partitionBy(key)`` sends every row of a key to one task; a key holding a third of the table then runs
+in one task. Here ``segmented`` cuts the (key, order) sequence of the whole table at sampled points into segments of about
+equal count: the points of the smallest hashes are a uniform sample, whatever the types of key and order. A row's segment is
+the number of its key's cuts at or before it. Rows of a key without a cut share segment -1, so small keys are scanned
+whole, as in a plain window; a large key gets cuts, and is dealt out, in proportion to its size.
 
-``route_hot_keys`` decides which keys are hot from one partial-aggregated count
-per key (at most ``max_hot`` keys come back to the driver: a checked bound);
-other keys keep ``split`` NULL and take the plain per-key window, so data
-without hot keys pays one cheap aggregate and nothing else.
+The row-level window runs per (key, segment). Only keys that hold a cut need more: one summary row per (key, segment) is
+scanned per key, and its edges (last row before, first row after, total before) are joined back. Both broadcasts are
+bounded by the number of cuts: one row per key that holds one, and at most twice as many summary rows as cuts.
 
-The order columns must be unique within a key (callers deduplicate first).
+It is one plan at every size and no job runs while it is built. The cuts depend on the rows' values alone, so every part
+of a plan, and a task that runs again, cuts alike. Copies of one (key, order) point are one point of the
+sample but may fill it: that costs balance, never a result.
+
+The order columns must be unique within a key where rows are numbered (callers collapse ties first). Nulls are values of
+their own and come first, in keys and in orders.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SPLIT = "_ll_split"
-HOT_FLAG = "_ll_hot"
+SEGMENT = "_ll_segment"
+WHOLE = -1                 # segment of the keys that hold no cut
 
-# A key with more rows than this is cut into sub-ranges (session conf
-# ``lakelayer.hotKeyRows`` overrides it); at most MAX_HOT keys are routed by list.
-HOT_KEY_ROWS = 2_000_000
-MAX_HOT = 10_000
 
+def cut_count(df: DataFrame) -> int:
+    """Cuts per table: ``lakelayer.segmentCuts``, by default four for each shuffle partition."""
+    conf = df.sparkSession.conf
+    return int(conf.get("lakelayer.segmentCuts", None) or 4 * int(conf.get("spark.sql.shuffle.partitions")))
 
-def route_hot_keys(df: DataFrame, keys: Sequence[str], split: Column | None,
-                   hot_rows: int | None = None, max_hot: int = MAX_HOT) -> tuple[DataFrame, Column | None]:
-    """(frame, split column) where only hot keys carry a split value.
 
-    Runs one aggregate (count per key, combined map-side). No hot key -> split
-    None (plain windows). Up to ``max_hot`` hot keys -> split only those (a
-    broadcast of that bounded key list). More -> split every key.
-    """
-    if split is None:
-        return df, None
-    keys = list(keys)
-    if hot_rows is None:
-        hot_rows = int(df.sparkSession.conf.get("lakelayer.hotKeyRows", str(HOT_KEY_ROWS)))
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ll_n")).filter(F.col("_ll_n") > hot_rows)
-           .select(*keys).limit(max_hot + 1).collect())
-    if not hot:
-        return df, None
-    if len(hot) > max_hot:
-        return df, split
-    if len(keys) == 1:
-        return df, F.when(F.col(keys[0]).isin([r[0] for r in hot]), split)
-    schema = T.StructType([df.schema[k] for k in keys])
-    hot_df = df.sparkSession.createDataFrame([tuple(r) for r in hot], schema).withColumn(HOT_FLAG, F.lit(True))
-    flagged = df.join(F.broadcast(hot_df), keys, "left")
-    return flagged, F.when(F.col(HOT_FLAG), split)
-
-
-def auto_split(df: DataFrame, seq: str) -> Column | None:
-    """Default sub-range for a sequence column.
-
-    Timestamps: hour; dates: the day itself; integers: blocks of 4096 values.
-    Other types are not split (plain per-key window).
-    """
-    dt = df.schema[seq].dataType
-    c = F.col(seq)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("hour", c)
-    if isinstance(dt, T.DateType):
-        return c
-    if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return F.floor(c / F.lit(4096))
-    return None
-
-
-def _key_match(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    """Plain equality: the same expressions as the window partitioning, so the
-    big side keeps its partitioning and sort order. Rows whose split is NULL
-    (or whose key is NULL) need no edge and simply find none."""
-    cond = None
-    for c in cols:
-        e = left[c] == right[c]
-        cond = e if cond is None else cond & e
+def _point(cols: Sequence[str], names: str) -> Column:
+    return F.struct(*[F.col(f"`{c}`").alias(f"{names}{i}") for i, c in enumerate(cols)])
+
+
+def segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: int | None = None) -> DataFrame:
+    """``df`` with a column ``SEGMENT``; rows of one key are in the order of their segments."""
+    n = cut_count(df) if cuts is None else cuts
+    stride = math.isqrt(max(1, n))
+    names = {k: f"_ll_k{i}" for i, k in enumerate(keys)}
+    points = df.select(*[F.col(f"`{k}`").alias(c) for k, c in names.items()], _point(order, "o").alias("_ll_at"))
+    held = (points.orderBy(F.xxhash64(*names.values(), "_ll_at"), *names.values(), "_ll_at").limit(n)
+            .groupBy(*names.values()).agg(F.array_sort(F.collect_list("_ll_at")).alias("_ll_cuts"))
+            .withColumn("_ll_every", F.filter("_ll_cuts", lambda c, i: (i + 1) % stride == 0)))
+    out = df.join(F.broadcast(held), _same([(df[f"`{k}`"], held[c]) for k, c in names.items()]), "left")
+    # in two steps, of about the square root of the number of cuts each
+    out = out.withColumn("_ll_at", _point(order, "o"))
+    out = out.withColumn("_ll_skip", F.size(F.filter("_ll_every", lambda c: c <= F.col("_ll_at"))) * stride)
+    near = F.filter(F.slice("_ll_cuts", F.col("_ll_skip") + 1, F.lit(stride)), lambda c: c <= F.col("_ll_at"))
+    segment = F.when(F.col("_ll_cuts").isNull(), WHOLE).otherwise(F.col("_ll_skip") + F.size(near))
+    return out.withColumn(SEGMENT, segment).select(*[F.col(f"`{c}`") for c in df.columns if c != SEGMENT], SEGMENT)
+
+
+def _same(pairs: Sequence[tuple[Column, Column]]) -> Column:
+    """Equal keys; a null key equals a null key."""
+    cond = F.lit(True)
+    for a, b in pairs:
+        cond = cond & a.eqNullSafe(b)
     return cond
 
 
+def _window(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*[F.col(f"`{k}`") for k in keys], SEGMENT).orderBy(*[F.col(f"`{o}`") for o in order])
+
+
+def _edges(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
+    """One summary row per (key, segment) of the keys that hold a cut."""
+    return df.where(F.col(SEGMENT) != WHOLE).groupBy(*[F.col(f"`{k}`") for k in keys], SEGMENT).agg(*aggs)
+
+
+def _with_edges(df: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join the summary rows to every row of their segment; they are at most twice as many as the cuts."""
+    names = {c: f"_ll_e{i}" for i, c in enumerate([*keys, SEGMENT])}
+    e = edges.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()],
+                     *[F.col(c) for c in edges.columns if c not in names])
+    same = _same([(df[f"`{c}`"], e[n]) for c, n in names.items()])
+    return df.join(F.broadcast(e), same, "left").drop(*names.values())
+
+
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                prev_cols: Sequence[str] = (), next_cols: Sequence[str] = (),
-               split: Column | None = None, prefix_prev: str = "_prev_",
-               prefix_next: str = "_next_") -> DataFrame:
-    """Add ``_prev_<c>`` (value on the previous row of the key) and ``_next_<c>``.
+               prefix_prev: str = "_prev_", prefix_next: str = "_next_") -> DataFrame:
+    """Add ``_prev_<c>`` (value on the previous row of the key) and ``_next_<c>``; ``df`` comes from ``segmented``.
 
     Rows are ordered ascending by ``order`` inside each key.
     """
     keys, order = list(keys), list(order)
-    prev_cols, next_cols = list(prev_cols), list(next_cols)
-    if split is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = df
-        for c in prev_cols:
-            out = out.withColumn(prefix_prev + c, F.lag(c).over(w))
-        for c in next_cols:
-            out = out.withColumn(prefix_next + c, F.lead(c).over(w))
-        return out
-
-    pre = df.withColumn(SPLIT, split)
-    w = Window.partitionBy(*keys, SPLIT).orderBy(*order)
-    base = pre
-    if prev_cols:
-        base = base.withColumn("_ll_p", F.lag(F.struct(*prev_cols)).over(w))
-    if next_cols:
-        base = base.withColumn("_ll_n", F.lead(F.struct(*next_cols)).over(w))
-
-    # one summary row per (key, split): its first and last row by order
-    aggs = []
-    if next_cols:
-        aggs.append(F.min(F.struct(*[F.col(o) for o in order],
-                                   F.struct(*next_cols).alias("v"))).alias("_ll_first"))
-    if prev_cols:
-        aggs.append(F.max(F.struct(*[F.col(o) for o in order],
-                                   F.struct(*prev_cols).alias("v"))).alias("_ll_last"))
-    # summaries come from the rows before the window, so the window runs once
-    edges = pre.filter(F.col(SPLIT).isNotNull()).groupBy(*keys, SPLIT).agg(*aggs)
-    we = Window.partitionBy(*keys).orderBy(SPLIT)
-    sel = [*keys, SPLIT]
-    if prev_cols:
-        sel.append(F.lag(F.col("_ll_last.v")).over(we).alias("_ll_pe"))
-    if next_cols:
-        sel.append(F.lead(F.col("_ll_first.v")).over(we).alias("_ll_ne"))
-    edges = edges.select(*sel)
-
-    e = edges.alias("_ll_e")
-    b = base.alias("_ll_b")
-    joined = b.join(e, _key_match(b, e, [*keys, SPLIT]), "left")
-    out_cols = [F.col(f"_ll_b.`{c}`") for c in df.columns]
-    for c in prev_cols:
-        out_cols.append(F.when(F.col("_ll_b._ll_p").isNull(), F.col(f"_ll_e._ll_pe.`{c}`"))
-                        .otherwise(F.col(f"_ll_b._ll_p.`{c}`")).alias(prefix_prev + c))
-    for c in next_cols:
-        out_cols.append(F.when(F.col("_ll_b._ll_n").isNull(), F.col(f"_ll_e._ll_ne.`{c}`"))
-                        .otherwise(F.col(f"_ll_b._ll_n.`{c}`")).alias(prefix_next + c))
-    return joined.select(*out_cols)
-
-
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                out: str, split: Column | None = None) -> DataFrame:
-    """``out`` = sum of ``value`` over the rows of the key up to and including this one."""
-    keys, order = list(keys), list(order)
-    upto = (Window.unboundedPreceding, Window.currentRow)
-    if split is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
-        return df.withColumn(out, F.sum(value).over(w))
-
-    pre = df.withColumn(SPLIT, split)
-    w = Window.partitionBy(*keys, SPLIT).orderBy(*order).rowsBetween(*upto)
-    base = pre.withColumn("_ll_local", F.sum(value).over(w))
-    tot = pre.filter(F.col(SPLIT).isNotNull()).groupBy(*keys, SPLIT).agg(F.sum(value).alias("_ll_tot"))
-    we = Window.partitionBy(*keys).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(*keys, SPLIT, F.coalesce(F.sum("_ll_tot").over(we), F.lit(0)).alias("_ll_base"))
-    b, t = base.alias("_ll_b"), tot.alias("_ll_t")
-    joined = b.join(t, _key_match(b, t, [*keys, SPLIT]), "left")
-    return joined.select(*[F.col(f"_ll_b.`{c}`") for c in df.columns],
-                         (F.col("_ll_b._ll_local") + F.coalesce(F.col("_ll_t._ll_base"), F.lit(0))).alias(out))
+    w, by = _window(keys, order), _point(order, "o")
+    out, aggs = df, []
+    for cols, shift, name, pick in ((prev_cols, F.lag, "_ll_before", F.max_by), (next_cols, F.lead, "_ll_after", F.min_by)):
+        if cols:
+            value = F.struct(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)])
+            out = out.withColumn(name, shift(value).over(w))
+            aggs.append(pick(value, by).alias(name + "_seg"))
+    per_key = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(SEGMENT)
+    edges = _edges(df, keys, *aggs).select(
+        *[F.col(f"`{k}`") for k in keys], SEGMENT,
+        *([F.lag("_ll_before_seg").over(per_key).alias("_ll_before_edge")] if prev_cols else []),
+        *([F.lead("_ll_after_seg").over(per_key).alias("_ll_after_edge")] if next_cols else []))
+    out = _with_edges(out, edges, keys)
+    for cols, name, prefix in ((prev_cols, "_ll_before", prefix_prev), (next_cols, "_ll_after", prefix_next)):
+        for i, c in enumerate(cols):
+            out = out.withColumn(prefix + c, F.when(F.col(name).isNull(), F.col(f"{name}_edge")[f"v{i}"])
+                                 .otherwise(F.col(name)[f"v{i}"]))
+    return out.drop("_ll_before", "_ll_after", "_ll_before_edge", "_ll_after_edge")
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
+    """``out`` = sum of ``value`` over the rows of the key up to and including this one; ``df`` comes from ``segmented``."""
+    keys = list(keys)
+    w = _window(keys, list(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_key = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    edges = _edges(df, keys, F.sum(value).alias("_ll_total"))
+    edges = edges.select(*[F.col(f"`{k}`") for k in keys], SEGMENT, F.sum("_ll_total").over(per_key).alias("_ll_earlier"))
+    summed = _with_edges(df.withColumn(out, F.sum(value).over(w)), edges, keys)
+    return summed.withColumn(out, F.col(out) + F.coalesce("_ll_earlier", F.lit(0))).drop("_ll_earlier")

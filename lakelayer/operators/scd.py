@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelayer.operators.dedup import latest_per_key, tie_break
-from lakelayer.operators.ordered import HOT_FLAG, auto_split, neighbours, route_hot_keys, running_sum
+from lakelayer.operators.dedup import latest_per_key
+from lakelayer.operators.ordered import SEGMENT, neighbours, running_sum, segmented
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -43,12 +43,6 @@ def quarantine(changes: DataFrame, keys, sequence_by) -> DataFrame:
     return changes.filter(~_valid(changes, _as_list(keys) + _as_list(sequence_by)))
 
 
-def _split_for(df: DataFrame, seq: str, split):
-    if isinstance(split, str) and split == "auto":
-        return auto_split(df, seq)
-    return split
-
-
 # ── SCD type 1 ────────────────────────────────────────────────────────────────
 
 def scd1_apply(changes: DataFrame, keys, sequence_by, delete_when: str | None = None,
@@ -60,7 +54,7 @@ def scd1_apply(changes: DataFrame, keys, sequence_by, delete_when: str | None =
     """
     keys, seq = _as_list(keys), _as_list(sequence_by)
     valid = changes.filter(_valid(changes, keys + seq))
-    latest = latest_per_key(valid, keys, seq, tie=tie_break(valid, exclude=keys + seq))
+    latest = latest_per_key(valid, keys, seq)
     if delete_when:
         latest = latest.filter(~F.coalesce(F.expr(delete_when), F.lit(False)))
     return latest.drop(*except_columns)
@@ -68,33 +62,34 @@ def scd1_apply(changes: DataFrame, keys, sequence_by, delete_when: str | None =
 
 # ── SCD type 2 by sequence ───────────────────────────────────────────────────
 
+def change_points(changes: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
+    """One row per (key, sequence), the greatest of its rows, with the segment of its key's scan."""
+    cut = segmented(changes, keys, [sequence_by])
+    cut = cut.repartition(*[F.col(f"`{k}`") for k in keys], SEGMENT)
+    return latest_per_key(cut, [*keys, SEGMENT, sequence_by], [])
+
+
 def scd2_apply(changes: DataFrame, keys, sequence_by: str, track_except: Sequence[str] | None = None,
-               delete_when: str | None = None, split="auto") -> DataFrame:
+               delete_when: str | None = None) -> DataFrame:
     """Version history with ``__START_AT`` / ``__END_AT`` (NULL = current).
 
     * one version per (key, sequence) after collapsing ties (greatest row wins);
     * ``track_except``: consecutive changes whose tracked columns are equal merge
       into one version that keeps the latest values of the untracked columns;
     * ``delete_when``: a matching change closes the open version and opens none.
-    Out-of-order input gives the same result as ordered input. Building the plan
-    runs one small aggregate (row count per key) to find hot keys, which are then
-    split by ``split`` (``"auto"``: hour / day / 4096-value blocks of the sequence).
+    Out-of-order input gives the same result as ordered input. The scan runs in segments (``operators.ordered``), so
+    the sequence may have any orderable type and a key any size; rows are shuffled once, by (key, segment), which serves
+    both the tie collapse and the scan.
     """
     keys = _as_list(keys)
     cols = changes.columns
     valid = changes.filter(_valid(changes, keys + [sequence_by]))
-    tie = tie_break(valid, exclude=keys + [sequence_by])
-    valid, sp = route_hot_keys(valid, keys, _split_for(valid, sequence_by, split))
-    if sp is None:
-        # no hot key: one hash partitioning by key serves both the tie collapse
-        # (grouped by key + sequence) and the per-key window -> a single shuffle
-        valid = valid.repartition(*keys)
-    one = latest_per_key(valid, keys + [sequence_by], [], tie=tie)
+    one = change_points(valid, keys, sequence_by)
     one = one.withColumn("_ll_del", F.coalesce(F.expr(delete_when), F.lit(False))
                          if delete_when else F.lit(False))
 
     if track_except is None:
-        n = neighbours(one, keys, [sequence_by], next_cols=[sequence_by], split=sp)
+        n = neighbours(one, keys, [sequence_by], next_cols=[sequence_by])
         return (n.filter(~F.col("_ll_del"))
                 .select(*[F.col(f"`{c}`") for c in cols],
                         F.col(sequence_by).alias(START_AT),
@@ -103,19 +98,17 @@ def scd2_apply(changes: DataFrame, keys, sequence_by: str, track_except: Sequenc
     ex = set(track_except)
     tracked = [c for c in cols if c not in keys and c not in ex]
     one = one.withColumn("_ll_trk", F.struct(*[F.col(f"`{c}`") for c in tracked], F.col("_ll_del")))
-    n = neighbours(one, keys, [sequence_by], prev_cols=["_ll_trk"], next_cols=[sequence_by], split=sp)
+    n = neighbours(one, keys, [sequence_by], prev_cols=["_ll_trk"], next_cols=[sequence_by])
     n = n.withColumn("_ll_new", F.when(F.col("_prev__ll_trk").isNull()
                                        | ~F.col("_prev__ll_trk").eqNullSafe(F.col("_ll_trk")), 1)
                      .otherwise(0))
-    n = running_sum(n, keys, [sequence_by], "_ll_new", "_ll_island", split=sp)
+    n = running_sum(n, keys, [sequence_by], "_ll_new", "_ll_island")
     row = F.struct(*[F.col(f"`{c}`") for c in cols], F.col("_ll_del"))
     v = (n.groupBy(*keys, "_ll_island")
-         .agg(F.min(sequence_by).alias(START_AT),
-              F.max(F.struct(F.col(sequence_by), F.col("_next_" + sequence_by).alias("nx"))).alias("_ll_end"),
-              F.max(F.struct(F.col(sequence_by).alias("_ll_s"), row.alias("r"))).alias("_ll_last")))
-    return (v.filter(~F.col("_ll_last.r._ll_del"))
-            .select(*[F.col(f"_ll_last.r.`{c}`").alias(c) for c in cols],
-                    F.col(START_AT), F.col("_ll_end.nx").alias(END_AT)))
+         .agg(F.min(sequence_by).alias(START_AT), F.max_by("_next_" + sequence_by, sequence_by).alias(END_AT),
+              F.max_by(row, sequence_by).alias("_ll_last")))
+    return (v.filter(~F.col("_ll_last._ll_del"))
+            .select(*[F.col(f"_ll_last.`{c}`").alias(c) for c in cols], F.col(START_AT), F.col(END_AT)))
 
 
 # ── SCD type 2 by record hash (daily snapshots) ──────────────────────────────
@@ -156,14 +149,13 @@ def ids_to_insert(silver: DataFrame, batch: DataFrame, key: str, hash_col: str =
     return key_states(silver, batch, key, hash_col).where("state != 'same'").select(key).distinct()
 
 
-def key_states_by_day(snapshots: DataFrame, key: str, day_col: str = "ingest_date", hash_col: str = "record_hash",
-                      split="auto") -> DataFrame:
+def key_states_by_day(snapshots: DataFrame, key: str, day_col: str = "ingest_date",
+                      hash_col: str = "record_hash") -> DataFrame:
     """(day, key, state) of every snapshot row against the state its day's batch would meet, as ``key_states`` gives it
     day after day: ``new`` on the key's first day, ``changed`` where the hash differs from the key's previous present
-    day, else ``same``. Rows without a key are left out, as the merge does. One window over the snapshots."""
+    day, else ``same``. Rows without a key are left out, as the merge does. One scan over the snapshots."""
     held = snapshots.where(F.col(key).isNotNull()).select(day_col, key, hash_col)
-    held, sp = route_hot_keys(held, [key], _split_for(held, day_col, split))
-    n = neighbours(held, [key], [day_col], prev_cols=[day_col, hash_col], split=sp)
+    n = neighbours(segmented(held, [key], [day_col]), [key], [day_col], prev_cols=[day_col, hash_col])
     state = (F.when(F.col("_prev_" + day_col).isNull(), "new")
              .when(F.col("_prev_" + hash_col) != F.col(hash_col), "changed").otherwise("same"))
     return n.select(day_col, key, state.alias("state"))
@@ -246,8 +238,7 @@ def scd2_hash_merge(silver: DataFrame, batch: DataFrame, key: str, day, load_ts:
 
 
 def scd2_hash_history(snapshots: DataFrame, key: str, day_col: str = "ingest_date",
-                      hash_col: str = "record_hash", clock: Callable[[Column], Column] | None = None,
-                      split="auto") -> DataFrame:
+                      hash_col: str = "record_hash", clock: Callable[[Column], Column] | None = None) -> DataFrame:
     """Closed form of applying ``scd2_hash_merge`` day by day, in order, from empty.
 
     A version starts on a day whose hash differs from the key's previous present
@@ -256,13 +247,11 @@ def scd2_hash_history(snapshots: DataFrame, key: str, day_col: str = "ingest_dat
     """
     clock = clock or (lambda d: F.current_timestamp())
     cols = snapshots.columns
-    snapshots, sp = route_hot_keys(snapshots, [key], _split_for(snapshots, day_col, split))
-    n = neighbours(snapshots, [key], [day_col], prev_cols=[hash_col], split=sp)
-    keep = cols + ([HOT_FLAG] if HOT_FLAG in snapshots.columns else [])
+    n = neighbours(segmented(snapshots, [key], [day_col]), [key], [day_col], prev_cols=[hash_col])
     starts = (n.filter(F.col("_prev_" + hash_col).isNull() | (F.col("_prev_" + hash_col) != F.col(hash_col)))
-              .select(*keep).withColumn("_ll_one", F.lit(1)))
-    v = neighbours(starts, [key], [day_col], next_cols=[day_col], split=sp)
-    v = running_sum(v, [key], [day_col], "_ll_one", "_ll_ver", split=sp)
+              .select(*cols, SEGMENT).withColumn("_ll_one", F.lit(1)))
+    v = neighbours(starts, [key], [day_col], next_cols=[day_col])
+    v = running_sum(v, [key], [day_col], "_ll_one", "_ll_ver")
     nxt = F.col("_next_" + day_col)
     return v.select(
         *[F.col(f"`{c}`") for c in cols],

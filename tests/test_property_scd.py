@@ -35,12 +35,12 @@ def brute(rows, track_v_only: bool):
 @given(rows=rows_st, track=st.booleans())
 def test_scd2_matches_brute_force(spark, rows, track):
     df = spark.createDataFrame(rows, "k int, seq long, v string, w int")
-    spark.conf.set("lakelayer.hotKeyRows", "2")          # most keys are hot: the split path runs
+    spark.conf.set("lakelayer.segmentCuts", "9")         # most keys hold cuts
     try:
         got = scd2_apply(df, ["k"], "seq", track_except=["seq", "w"] if track else None)
         got = sorted(tuple(r) for r in got.select("k", "seq", "v", "w", START_AT, END_AT).collect())
     finally:
-        spark.conf.unset("lakelayer.hotKeyRows")
+        spark.conf.unset("lakelayer.segmentCuts")
     assert got == brute(rows, track)
 
 
@@ -94,10 +94,10 @@ def test_hash_history_matches_brute_force(spark, rows):
     df = spark.createDataFrame([(str(k), v, base + dt.timedelta(days=d)) for k, d, v in rows],
                                "id string, v string, ingest_date date")
     df = df.withColumn("record_hash", record_hash(df))
-    spark.conf.set("lakelayer.hotKeyRows", "2")
+    spark.conf.set("lakelayer.segmentCuts", "9")         # most keys hold cuts
     try:
         got = scd2_hash_history(df, "id").select("id", "v", "effective_start_date", "effective_end_date",
                                                  "is_current", "record_version").collect()
     finally:
-        spark.conf.unset("lakelayer.hotKeyRows")
+        spark.conf.unset("lakelayer.segmentCuts")
     assert sorted((tuple(r) for r in got), key=str) == brute_hash_history(rows)

@@ -1,10 +1,13 @@
 import datetime as dt
 import random
+from collections import Counter
+
+import pytest
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakelayer.operators.ordered import neighbours, running_sum
+from lakelayer.operators.ordered import SEGMENT, neighbours, running_sum, segmented
 from lakelayer.operators.scd import (END_AT, START_AT, quarantine, scd1_apply, scd2_apply, scd2_bootstrap,
                                      scd2_hash_history, scd2_hash_merge)
 
@@ -66,20 +69,31 @@ def test_scd2_track_except_collapses(spark):
         ("a", 4.0, T0 + dt.timedelta(hours=3), None)]
 
 
-def test_split_scan_equals_plain_window_on_hot_key(spark):
-    # one key holds most rows and spans many hour splits
+SEQUENCES = {"timestamp": "seq", "text": "concat('s', lpad(i, 6, '0'))", "decimal": "cast(i / 7 as decimal(20,6))",
+             "epoch ms": "unix_millis(timestamp(seq))", "double": "i / 3D", "struct": "named_struct('a', i div 10, 'b', i)"}
+
+
+@pytest.mark.parametrize("kind", SEQUENCES)
+def test_segmented_scan_equals_plain_window_on_hot_key(spark, kind):
+    # one key holds most rows; a null key is a key; any orderable type
     rng = random.Random(3)
-    rows = [(0 if rng.random() < 0.7 else rng.randint(1, 9), T0 + dt.timedelta(seconds=i * 97), rng.random())
-            for i in range(2000)]
-    df = spark.createDataFrame(rows, "k long, seq timestamp_ntz, x double").withColumn("one", F.lit(1))
-    split = F.date_trunc("hour", "seq")
-    a = neighbours(df, ["k"], ["seq"], prev_cols=["x"], next_cols=["seq"], split=split)
-    a = running_sum(a, ["k"], ["seq"], "one", "n", split=split)
+    rows = [(0 if rng.random() < 0.7 else rng.choice([None, *range(1, 9)]), T0 + dt.timedelta(seconds=i * 97), i,
+             rng.random()) for i in range(2000)]
+    df = (spark.createDataFrame(rows, "k long, t timestamp_ntz, i long, x double").withColumnRenamed("t", "seq")
+          .withColumn("seq", F.expr(SEQUENCES[kind])).withColumn("one", F.lit(1)).repartition(5))
     w = Window.partitionBy("k").orderBy("seq")
     b = (df.withColumn("_prev_x", F.lag("x").over(w)).withColumn("_next_seq", F.lead("seq").over(w))
          .withColumn("n", F.sum("one").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    cols = ["k", "seq", "x", "_prev_x", "_next_seq", "n"]
-    assert sorted(tuple(r) for r in a.select(cols).collect()) == sorted(tuple(r) for r in b.select(cols).collect())
+    cols = ["k", "i", "x", "_prev_x", "_next_seq", "n"]
+    want = Counter(tuple(r) for r in b.select(cols).collect())
+    for cuts in (1, 16, 300):
+        cut = segmented(df, ["k"], ["seq"], cuts=cuts)
+        a = neighbours(cut, ["k"], ["seq"], prev_cols=["x"], next_cols=["seq"])
+        a = running_sum(a, ["k"], ["seq"], "one", "n")
+        assert Counter(tuple(r) for r in a.select(cols).collect()) == want, cuts
+    shares = [r["count"] for r in cut.where("k = 0").groupBy(SEGMENT).count().collect()]
+    assert len(shares) > 100 and max(shares) < 100               # the hot key is dealt out about evenly
+    assert segmented(df.where("false"), ["k"], ["seq"]).collect() == []
 
 
 def _snap(spark, rows):
@@ -135,34 +149,55 @@ def test_hash_history_equals_daily_loop(spark):
     assert loop == closed
 
 
-def test_hot_key_routing_matches_plain(spark):
+def test_segments_do_not_change_histories(spark):
     rng = random.Random(9)
     rows = [(0 if rng.random() < 0.6 else rng.randint(1, 20), 7 if rng.random() < 0.5 else 8,
              T0 + dt.timedelta(seconds=i * 61), rng.choice("ab")) for i in range(1500)]
     df = spark.createDataFrame(rows, "k long, k2 int, seq timestamp_ntz, v string")
-    want = {}
-    for keys in (["k"], ["k", "k2"]):
-        for te in (None, ["seq"]):
-            want[(len(keys), te is None)] = sorted(
-                tuple(r) for r in scd2_apply(df, keys, "seq", track_except=te, split=None).collect())
-    spark.conf.set("lakelayer.hotKeyRows", "100")
+    snaps = _snap(spark, [(f"id{i % 3}", rng.choice("pq"), dt.date(2024, 1, 1) + dt.timedelta(days=i // 3))
+                          for i in range(600)])
+    cols = ["id", "effective_start_date", "effective_end_date", "record_version", "is_current"]
+
+    def histories():
+        out = [scd2_apply(df, keys, "seq", track_except=te) for keys in (["k"], ["k", "k2"]) for te in (None, ["seq"])]
+        return [sorted(map(str, x.collect())) for x in [*out, scd2_hash_history(snaps, "id").select(cols)]]
+
+    found = []
+    for cuts in ("1", "400"):
+        spark.conf.set("lakelayer.segmentCuts", cuts)
+        try:
+            found.append(histories())
+        finally:
+            spark.conf.unset("lakelayer.segmentCuts")
+    assert found[0] == found[1]
+
+
+def test_no_job_runs_while_the_plan_is_built(spark):
+    ran = []
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("seq"), F.lit("v").alias("v"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "building a plan")
     try:
-        from lakelayer.operators.ordered import route_hot_keys
-        _, sp = route_hot_keys(df, ["k"], F.date_trunc("hour", "seq"))
-        assert sp is not None
-        for keys in (["k"], ["k", "k2"]):
-            for te in (None, ["seq"]):
-                got = sorted(tuple(r) for r in scd2_apply(df, keys, "seq", track_except=te).collect())
-                assert got == want[(len(keys), te is None)]
-        snaps = _snap(spark, [(f"id{i % 3}", rng.choice("pq"), dt.date(2024, 1, 1) + dt.timedelta(days=i // 3))
-                              for i in range(600)])
-        spark.conf.set("lakelayer.hotKeyRows", "50")
-        cols = ["id", "effective_start_date", "effective_end_date", "record_version", "is_current"]
-        a = sorted(tuple(r) for r in scd2_hash_history(snaps, "id", split=None).select(cols).collect())
-        b = sorted(tuple(r) for r in scd2_hash_history(snaps, "id").select(cols).collect())
-        assert a == b
+        scd2_apply(df, ["k"], "seq", track_except=["seq"])
+        ran = tracker.getJobIdsForGroup("plan-only")
     finally:
-        spark.conf.unset("lakelayer.hotKeyRows")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not ran
+
+
+def test_latest_row_with_map_and_variant_columns(spark):
+    from lakelayer.operators.dedup import latest_per_key
+    df = spark.sql("""SELECT * FROM VALUES (1, 1, map('a', 1), 'x'), (1, 2, map('b', 2), 'y'), (1, 2, map('b', 3), 'y'),
+                      (2, 1, map('c', 1), NULL), (3, NULL, NULL, 'z') AS t(k, seq, m, v)""")
+    df = df.withColumn("var", F.parse_json(F.to_json("m")))
+    got = {r.k: (r.seq, r.m, r.v) for r in latest_per_key(df, ["k"], ["seq"]).collect()}
+    assert got == {1: (2, {"b": 3}, "y"), 2: (1, {"c": 1}, None), 3: (None, None, "z")}
+    assert latest_per_key(df.select("k"), ["k"], []).count() == 3
+    scd1 = scd1_apply(df, ["k"], ["seq"])
+    assert {r.k: r.m for r in scd1.collect()} == {1: {"b": 3}, 2: {"c": 1}}
+    versions = scd2_apply(df, ["k"], "seq").select("k", "m", START_AT, END_AT).collect()
+    assert sorted((r.k, str(r.m), r[START_AT], r[END_AT]) for r in versions) == [
+        (1, "{'a': 1}", 1, 2), (1, "{'b': 3}", 2, None), (2, "{'c': 1}", 1, None)]
 
 
 def test_hash_merge_same_day_replace(spark):
@@ -198,7 +233,6 @@ def test_history_store_daily_equals_closed_form(spark, scratch):
 
 
 def test_key_states_by_day_cover_every_day(spark):
-    from lakelayer.operators.ordered import auto_split
     from lakelayer.operators.scd import key_states, key_states_by_day
     rng = random.Random(23)
     days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(8)]
@@ -212,11 +246,11 @@ def test_key_states_by_day_cover_every_day(spark):
     got = key_states_by_day(snaps, "id").collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert (days[-1], "late", "new") in want and {s for d, _, s in want if d == days[-1]} >= {"new", "changed"}
-    spark.conf.set("lakelayer.hotKeyRows", "3")
+    spark.conf.set("lakelayer.segmentCuts", "60")
     try:
-        split = {tuple(r) for r in key_states_by_day(snaps, "id", split=auto_split(snaps, "ingest_date")).collect()}
+        split = {tuple(r) for r in key_states_by_day(snaps, "id").collect()}
     finally:
-        spark.conf.unset("lakelayer.hotKeyRows")
+        spark.conf.unset("lakelayer.segmentCuts")
     assert split == want
 
 
