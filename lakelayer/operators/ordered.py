@@ -21,13 +21,14 @@ their own and come first, in keys and in orders.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEGMENT = "_ll_segment"
 WHOLE = -1                 # segment of the keys that hold no cut
+NEW, ISLAND, NEXT_START = "_ll_new", "_ll_island", "_ll_next_start"
 
 
 def cut_count(df: DataFrame) -> int:
@@ -66,58 +67,77 @@ def _same(pairs: Sequence[tuple[Column, Column]]) -> Column:
     return cond
 
 
-def _window(keys: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*[F.col(f"`{k}`") for k in keys], SEGMENT).orderBy(*[F.col(f"`{o}`") for o in order])
+def _differs(before: Column, now: Column) -> Column:
+    return ~before.eqNullSafe(now)
 
 
-def _edges(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
-    """One summary row per (key, segment) of the keys that hold a cut."""
-    return df.where(F.col(SEGMENT) != WHOLE).groupBy(*[F.col(f"`{k}`") for k in keys], SEGMENT).agg(*aggs)
+def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], prev_cols: Sequence[str] = (),
+         next_cols: Sequence[str] = (), island_of: str | None = None, differs: Callable[[Column, Column], Column] = _differs,
+         starts_only: bool = False) -> DataFrame:
+    """One pass over a ``segmented`` table in the order of its keys. Adds ``_prev_<c>`` and ``_next_<c>`` (values on the
+    previous and next row of the key).
 
-
-def _with_edges(df: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join the summary rows to every row of their segment; they are at most twice as many as the cuts."""
-    names = {c: f"_ll_e{i}" for i, c in enumerate([*keys, SEGMENT])}
-    e = edges.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()],
-                     *[F.col(c) for c in edges.columns if c not in names])
-    same = _same([(df[f"`{c}`"], e[n]) for c, n in names.items()])
-    return df.join(F.broadcast(e), same, "left").drop(*names.values())
-
-
-def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               prev_cols: Sequence[str] = (), next_cols: Sequence[str] = (),
-               prefix_prev: str = "_prev_", prefix_next: str = "_next_") -> DataFrame:
-    """Add ``_prev_<c>`` (value on the previous row of the key) and ``_next_<c>``; ``df`` comes from ``segmented``.
-
-    Rows are ordered ascending by ``order`` inside each key.
+    ``island_of`` adds ``NEW`` (first row of its key, or ``differs(value on the previous row, value)``) and ``ISLAND``
+    (how many of the key's rows up to this one are new). With ``starts_only`` the new rows alone come back, each
+    with ``NEXT_START``: the order, as a struct of o0, o1, ..., of the key's next new row.
     """
     keys, order = list(keys), list(order)
-    w, by = _window(keys, order), _point(order, "o")
-    out, aggs = df, []
-    for cols, shift, name, pick in ((prev_cols, F.lag, "_ll_before", F.max_by), (next_cols, F.lead, "_ll_after", F.min_by)):
-        if cols:
-            value = F.struct(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)])
-            out = out.withColumn(name, shift(value).over(w))
-            aggs.append(pick(value, by).alias(name + "_seg"))
-    per_key = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(SEGMENT)
-    edges = _edges(df, keys, *aggs).select(
-        *[F.col(f"`{k}`") for k in keys], SEGMENT,
-        *([F.lag("_ll_before_seg").over(per_key).alias("_ll_before_edge")] if prev_cols else []),
-        *([F.lead("_ll_after_seg").over(per_key).alias("_ll_after_edge")] if next_cols else []))
-    out = _with_edges(out, edges, keys)
-    for cols, name, prefix in ((prev_cols, "_ll_before", prefix_prev), (next_cols, "_ll_after", prefix_next)):
-        for i, c in enumerate(cols):
-            out = out.withColumn(prefix + c, F.when(F.col(name).isNull(), F.col(f"{name}_edge")[f"v{i}"])
-                                 .otherwise(F.col(name)[f"v{i}"]))
-    return out.drop("_ll_before", "_ll_after", "_ll_before_edge", "_ll_after_edge")
-
-
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
-    """``out`` = sum of ``value`` over the rows of the key up to and including this one; ``df`` comes from ``segmented``."""
-    keys = list(keys)
-    w = _window(keys, list(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_key = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    edges = _edges(df, keys, F.sum(value).alias("_ll_total"))
-    edges = edges.select(*[F.col(f"`{k}`") for k in keys], SEGMENT, F.sum("_ll_total").over(per_key).alias("_ll_earlier"))
-    summed = _with_edges(df.withColumn(out, F.sum(value).over(w)), edges, keys)
-    return summed.withColumn(out, F.col(out) + F.coalesce("_ll_earlier", F.lit(0))).drop("_ll_earlier")
+    key_cols = [F.col(f"`{k}`") for k in keys]
+    w = Window.partitionBy(*key_cols, SEGMENT).orderBy(*[F.col(f"`{o}`") for o in order])
+    per_key = Window.partitionBy(*key_cols).orderBy(SEGMENT)
+    at = _point(order, "o")
+
+    def values(cols):
+        return F.struct(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)])
+
+    seen = [*prev_cols, *([island_of] if island_of else [])]
+    local, parts, edges = df, [], []
+    if seen:
+        local = local.withColumn("_ll_before", F.lag(values(seen)).over(w))
+        parts.append(F.max_by(values(seen), at).alias("_ll_last"))
+        edges.append(F.lag("_ll_last").over(per_key).alias("_ll_before_edge"))
+    if next_cols:
+        local = local.withColumn("_ll_after", F.lead(values(next_cols)).over(w))
+        parts.append(F.min_by(values(next_cols), at).alias("_ll_first"))
+        edges.append(F.lead("_ll_first").over(per_key).alias("_ll_after_edge"))
+    last = f"v{len(seen) - 1}"
+    if island_of:
+        # the first row of a segment counts as new until the segment before it is known
+        opens = F.col("_ll_before").isNull()
+        changed = F.coalesce(differs(F.col("_ll_before")[last], F.col(f"`{island_of}`")), F.lit(False))
+        local = local.withColumn(NEW, opens | changed)
+        parts += [F.sum(F.col(NEW).cast("long")).alias("_ll_news"), F.min_by(F.col(f"`{island_of}`"), at).alias("_ll_value"),
+                  F.min(at).alias("_ll_from"), F.min(F.when(~opens & F.col(NEW), at)).alias("_ll_inner")]
+    summary = local.where(F.col(SEGMENT) != WHOLE).groupBy(*key_cols, SEGMENT).agg(*parts)
+    if island_of:
+        summary = summary.withColumn("_ll_held", F.lag("_ll_last").over(per_key))
+        opens_new = F.col("_ll_held").isNull() | F.coalesce(differs(F.col("_ll_held")[last], F.col("_ll_value")), F.lit(False))
+        summary = summary.withColumn("_ll_opens", opens_new)
+        upto = per_key.rowsBetween(Window.unboundedPreceding, -1)
+        beyond = per_key.rowsBetween(1, Window.unboundedFollowing)
+        edges += [F.col("_ll_opens"),
+                  F.sum(F.col("_ll_news") - (~F.col("_ll_opens")).cast("long")).over(upto).alias("_ll_earlier"),
+                  F.min(F.when(F.col("_ll_opens"), F.col("_ll_from")).otherwise(F.col("_ll_inner"))).over(beyond).alias("_ll_later")]
+    names = {c: f"_ll_e{i}" for i, c in enumerate([*keys, SEGMENT])}
+    edge = summary.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], *edges)
+
+    if island_of:
+        local = local.withColumn(ISLAND, F.sum(F.col(NEW).cast("long")).over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    if starts_only:
+        # a segment's first row may turn out not to be new; then it is no start for the rows before it, which lie in
+        # other segments, so the next start within the segment is the next row kept here
+        local = local.where(NEW).withColumn(NEXT_START, F.lead(at).over(w))
+    out = local.join(F.broadcast(edge), _same([(local[f"`{c}`"], edge[n]) for c, n in names.items()]), "left")
+    for i, c in enumerate(prev_cols):
+        out = out.withColumn(f"_prev_{c}", F.coalesce("_ll_before", "_ll_before_edge")[f"v{i}"])
+    for i, c in enumerate(next_cols):
+        out = out.withColumn(f"_next_{c}", F.coalesce("_ll_after", "_ll_after_edge")[f"v{i}"])
+    if island_of:
+        opens = F.coalesce("_ll_opens", F.lit(True))
+        out = (out.withColumn(NEW, F.when(F.col("_ll_before").isNull(), opens).otherwise(F.col(NEW)))
+               .withColumn(ISLAND, F.col(ISLAND) + F.coalesce("_ll_earlier", F.lit(0)) - (~opens).cast("long")))
+    if starts_only:
+        out = out.where(NEW).withColumn(NEXT_START, F.coalesce(NEXT_START, "_ll_later"))
+    return out.drop(*names.values(), "_ll_before", "_ll_after", "_ll_before_edge", "_ll_after_edge", "_ll_opens",
+                    "_ll_earlier", "_ll_later")

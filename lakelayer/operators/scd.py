@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelayer.operators.dedup import latest_per_key
-from lakelayer.operators.ordered import SEGMENT, neighbours, running_sum, segmented
+from lakelayer.operators.ordered import ISLAND, NEXT_START, SEGMENT, scan, segmented
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -89,7 +89,7 @@ def scd2_apply(changes: DataFrame, keys, sequence_by: str, track_except: Sequenc
                          if delete_when else F.lit(False))
 
     if track_except is None:
-        n = neighbours(one, keys, [sequence_by], next_cols=[sequence_by])
+        n = scan(one, keys, [sequence_by], next_cols=[sequence_by])
         return (n.filter(~F.col("_ll_del"))
                 .select(*[F.col(f"`{c}`") for c in cols],
                         F.col(sequence_by).alias(START_AT),
@@ -98,13 +98,9 @@ def scd2_apply(changes: DataFrame, keys, sequence_by: str, track_except: Sequenc
     ex = set(track_except)
     tracked = [c for c in cols if c not in keys and c not in ex]
     one = one.withColumn("_ll_trk", F.struct(*[F.col(f"`{c}`") for c in tracked], F.col("_ll_del")))
-    n = neighbours(one, keys, [sequence_by], prev_cols=["_ll_trk"], next_cols=[sequence_by])
-    n = n.withColumn("_ll_new", F.when(F.col("_prev__ll_trk").isNull()
-                                       | ~F.col("_prev__ll_trk").eqNullSafe(F.col("_ll_trk")), 1)
-                     .otherwise(0))
-    n = running_sum(n, keys, [sequence_by], "_ll_new", "_ll_island")
+    n = scan(one, keys, [sequence_by], next_cols=[sequence_by], island_of="_ll_trk")
     row = F.struct(*[F.col(f"`{c}`") for c in cols], F.col("_ll_del"))
-    v = (n.groupBy(*keys, "_ll_island")
+    v = (n.groupBy(*keys, ISLAND)
          .agg(F.min(sequence_by).alias(START_AT), F.max_by("_next_" + sequence_by, sequence_by).alias(END_AT),
               F.max_by(row, sequence_by).alias("_ll_last")))
     return (v.filter(~F.col("_ll_last._ll_del"))
@@ -155,7 +151,7 @@ def key_states_by_day(snapshots: DataFrame, key: str, day_col: str = "ingest_dat
     day after day: ``new`` on the key's first day, ``changed`` where the hash differs from the key's previous present
     day, else ``same``. Rows without a key are left out, as the merge does. One scan over the snapshots."""
     held = snapshots.where(F.col(key).isNotNull()).select(day_col, key, hash_col)
-    n = neighbours(segmented(held, [key], [day_col]), [key], [day_col], prev_cols=[day_col, hash_col])
+    n = scan(segmented(held, [key], [day_col]), [key], [day_col], prev_cols=[day_col, hash_col])
     state = (F.when(F.col("_prev_" + day_col).isNull(), "new")
              .when(F.col("_prev_" + hash_col) != F.col(hash_col), "changed").otherwise("same"))
     return n.select(day_col, key, state.alias("state"))
@@ -247,17 +243,14 @@ def scd2_hash_history(snapshots: DataFrame, key: str, day_col: str = "ingest_dat
     """
     clock = clock or (lambda d: F.current_timestamp())
     cols = snapshots.columns
-    n = neighbours(segmented(snapshots, [key], [day_col]), [key], [day_col], prev_cols=[hash_col])
-    starts = (n.filter(F.col("_prev_" + hash_col).isNull() | (F.col("_prev_" + hash_col) != F.col(hash_col)))
-              .select(*cols, SEGMENT).withColumn("_ll_one", F.lit(1)))
-    v = neighbours(starts, [key], [day_col], next_cols=[day_col])
-    v = running_sum(v, [key], [day_col], "_ll_one", "_ll_ver")
-    nxt = F.col("_next_" + day_col)
+    v = scan(segmented(snapshots, [key], [day_col]), [key], [day_col], island_of=hash_col, starts_only=True,
+             differs=lambda before, now: before.isNull() | (before != now))
+    nxt = F.col(f"{NEXT_START}.o0")
     return v.select(
         *[F.col(f"`{c}`") for c in cols],
         F.to_date(F.col(day_col)).alias("effective_start_date"),
         F.date_sub(nxt, 1).alias("effective_end_date"),
         nxt.isNull().alias("is_current"),
-        F.col("_ll_ver").cast("int").alias("record_version"),
+        F.col(ISLAND).cast("int").alias("record_version"),
         F.when(nxt.isNull(), clock(F.col(day_col))).otherwise(clock(nxt)).alias("silver_load_timestamp"),
     )

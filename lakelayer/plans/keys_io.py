@@ -23,7 +23,8 @@ from lakelayer.session import scratch_dir
 from lakelayer.sinks.tables import HistoryStore, read_slice, replace_partitions, store_current, store_table, store_write
 from lakelayer.sources.cdc import CdcSource, read_bronze, run_incremental
 from lakelayer.streaming.cdc_flow import CdcTarget, read_target, run_cdc_stream, suggest_buckets
-from lakelayer.streaming.ingest import file_stream, run_to_parquet
+from lakelayer.sources.files import evolve_schema
+from lakelayer.streaming.ingest import file_stream, read_rescued_table, run_rescued, run_to_parquet
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
@@ -329,14 +330,15 @@ SELECT event_id, ts, user_id, event_type, TRY_CAST(value_text AS DOUBLE) AS valu
          AS _rescued_data
 FROM r""")
 def q_rescued(spark, d):
+    """Files whose ``value`` is a double and files whose ``value`` is text, in one stream."""
     src = scratch_dir(spark, "bronze-drift")
     tgt, ck = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
     ev = table(spark, d, "events")
-    drift = ev.selectExpr("event_id", "ts", "user_id", "event_type", f"{_BAD} AS value", "props")
-    _write_chunks(drift, src, 3)
-    run_to_parquet(file_stream(spark, src, schema=drift.schema, rescue_as=ev.schema,
-                               max_files_per_trigger=2), tgt, ck)
-    return spark.read.parquet(tgt)
+    _write_chunks(ev.where("event_id % 2 = 1"), src, 2)
+    _write_chunks(ev.selectExpr("event_id", "ts", "user_id", "event_type", f"{_BAD} AS value", "props")
+                  .where("event_id % 2 = 0"), src, 2)
+    run_rescued(spark, src, ev.schema, tgt, ck, max_files_per_trigger=3)
+    return read_rescued_table(spark, tgt)
 
 
 def _cdc_stream(spark, d, scd_type: int, late_first: bool) -> DataFrame:
@@ -366,3 +368,37 @@ def q_scd2_stream(spark, d):
 @query("scd2_out_of_order", oracle=SCD2_SQL)
 def q_scd2_out_of_order(spark, d):
     return _cdc_stream(spark, d, 2, late_first=True)
+
+
+@query("scd2_stream_late_repair", oracle=SCD2_SQL)
+def q_scd2_late_repair(spark, d):
+    """Ten micro-batches in which every file mixes all days, so most changes are late and split stored versions; sixteen
+    buckets, runs merged on the way."""
+    src, root, ck = scratch_dir(spark, "bronze-events"), scratch_dir(spark, "gold"), scratch_dir(spark, "ckpt")
+    events = table(spark, d, "events")
+    events.repartition(10, F.xxhash64("event_id")).write.parquet(src)
+    t = CdcTarget(root=root, keys=("user_id",), sequence_by="ts", scd_type=2, buckets=16)
+    run_cdc_stream(file_stream(spark, src, schema=events.schema, max_files_per_trigger=1), t, ck)
+    return read_target(spark, t)
+
+
+@query("schema_kept_everywhere", oracle="""
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate > DATE '1998-01-01' THEN o_orderstatus END AS o_orderstatus,
+       o_totalprice, o_orderdate, CASE WHEN o_orderdate <= DATE '1998-01-01' THEN o_orderpriority END AS o_orderpriority
+FROM orders""")
+def q_schema_kept(spark, d):
+    """Two extract runs that each bring a column the other lacks, through bronze, a stream and its type 1 target."""
+    root, gold, ck = scratch_dir(spark, "cdc"), scratch_dir(spark, "gold"), scratch_dir(spark, "ckpt")
+    orders = table(spark, d, "orders")
+    early = orders.where(F.col("o_orderdate") <= F.lit("1998-01-01").cast("timestamp_ntz")).drop("o_orderstatus")
+    late = orders.drop("o_orderpriority")
+    t = CdcTarget(root=gold, keys=("o_orderkey",), sequence_by="o_orderdate", buckets=4)
+    for stamp, df in (("run1", early), ("run2", late)):
+        run_incremental(spark, [_frame_source(df, "orders", "o_orderdate")], root, stamp=stamp)
+        schema = evolve_schema(spark, f"{root}/bronze/orders/orders_{stamp}", f"{gold}/stream-schema")
+        run_cdc_stream(file_stream(spark, f"{root}/bronze/orders/*", schema=schema), t, ck)
+    # the extract's own table must tell the same of the two columns
+    bronze = read_bronze(spark, root, "orders").select("o_orderkey", F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("p"))
+    both = read_target(spark, t).join(bronze, "o_orderkey")
+    return (both.where(F.col("o_orderstatus").eqNullSafe(F.col("s")) & F.col("o_orderpriority").eqNullSafe(F.col("p")))
+            .select(*orders.columns))

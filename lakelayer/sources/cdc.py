@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayer.session import missing_path
+from lakelayer.sinks.schemas import conform, grow_schema, stored_schema
 
 AUDIT_SCHEMA = ("run_id string, table_name string, rows long, old_watermark string, "
                 "new_watermark string, status string, error string, output_path string, run_ts string")
@@ -150,6 +151,7 @@ def run_table(spark: SparkSession, src: CdcSource, root: str, stamp: str, run_id
         if batch.isEmpty():                     # nothing is written, so no empty folder stays behind
             return dict(run_id=run_id, table_name=src.table, rows=0, old_watermark=wm, new_watermark=wm,
                         status="empty", error=None, output_path=None, run_ts=stamp)
+        batch = conform(batch, grow_schema(spark, schema_location(root, src.table), batch.schema))
         obs = Observation(f"cdc_{src.table}_{uuid.uuid4().hex[:8]}")
         observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"),
                                  F.max(src.cdc_col).cast("string").alias("wm"))
@@ -191,6 +193,14 @@ def run_incremental(spark: SparkSession, sources: Sequence[CdcSource], root: str
     return audit
 
 
+def schema_location(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/schema/{table}"
+
+
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All run folders of one table (one Parquet scan over the table folder)."""
-    return spark.read.option("recursiveFileLookup", "true").parquet(f"{root.rstrip('/')}/bronze/{table}")
+    """All run folders of one table (one Parquet scan over the table folder), with every column that any run brought:
+    the schema is the one kept beside the table, footers are read only for a table older than its schema record."""
+    schema = stored_schema(spark, schema_location(root, table))
+    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
+    return reader.parquet(f"{root.rstrip('/')}/bronze/{table}")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelayer.session import missing_path
+from lakelayer.session import run_concurrently
+from lakelayer.sinks.schemas import grow_schema
 
 RESCUED = "_rescued_data"
 
@@ -30,37 +31,9 @@ def discover_schema(spark: SparkSession, path: str) -> T.StructType:
     return spark.read.option("mergeSchema", True).parquet(path).schema
 
 
-def union_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
-    """Old columns keep their position and type; columns seen for the first time are appended."""
-    if old is None:
-        return new
-    names = {f.name.lower() for f in old.fields}
-    return T.StructType(list(old.fields) + [f for f in new.fields if f.name.lower() not in names])
-
-
-def load_stored_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(location).first()
-    except AnalysisException as exc:
-        if not missing_path(exc):
-            raise
-        return None
-    return None if row is None else T.StructType.fromJson(json.loads(row[0]))
-
-
 def evolve_schema(spark: SparkSession, path: str, location: str) -> T.StructType:
-    """Schema for the next stream run: stored schema grown by newly seen columns, saved back."""
-    merged = union_schema(load_stored_schema(spark, location), discover_schema(spark, path))
-    (spark.createDataFrame([(merged.json(),)], "value string").coalesce(1)
-     .write.mode("overwrite").text(location))
-    return merged
-
-
-def align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project to ``schema``: missing columns become NULL, extra columns are dropped."""
-    have = {c.lower(): c for c in df.columns}
-    return df.select(*[(F.col(f"`{have[f.name.lower()]}`").cast(f.dataType) if f.name.lower() in have
-                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+    """Schema for the next stream run: the schema kept at ``location``, grown by newly seen columns."""
+    return grow_schema(spark, location, discover_schema(spark, path))
 
 
 # ── rescued data ─────────────────────────────────────────────────────────────
@@ -78,7 +51,9 @@ def with_rescued_data(raw: DataFrame, declared: T.StructType, column: str = RESC
     for f in declared.fields:
         if f.name.lower() in have:
             src = F.col(f"`{have[f.name.lower()]}`")
-            cast = src.try_cast(f.dataType)
+            # another type goes by its text, so 1.5 does not silently become 1
+            same = raw.schema[have[f.name.lower()]].dataType == f.dataType
+            cast = src if same else src.cast("string").try_cast(f.dataType)
             rescued.append(F.when(src.isNotNull() & cast.isNull(), src.cast("string")).alias(f.name))
             out.append(cast.alias(f.name))
         else:
@@ -90,10 +65,24 @@ def with_rescued_data(raw: DataFrame, declared: T.StructType, column: str = RESC
     return raw.select(*out, F.nullif(js, F.lit("{}")).alias(column))
 
 
-def as_strings(df: DataFrame) -> DataFrame:
-    """Every column as text (how a drifting source is read before rescue)."""
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-
-
-def rescued_to_column(df: DataFrame, name: str, column: str = RESCUED) -> Column:
-    return F.get_json_object(F.col(column), f"$.{name}")
+def file_groups(spark: SparkSession, paths: Sequence[str], max_workers: int = 16) -> list[tuple[T.StructType, list[str]]]:
+    """Parquet files by the schema in their footers. Footers are read one by one from a few driver threads; the
+    caller bounds the number of files (a micro-batch)."""
+    groups: dict[str, list[str]] = {}
+    seen = run_concurrently([lambda p=p: spark.read.parquet(p).schema for p in paths], max_workers)
+    for path, schema in zip(paths, seen):
+        groups.setdefault(schema.json(), []).append(path)
+    return [(T.StructType.fromJson(json.loads(k)), v) for k, v in sorted(groups.items())]
+
+
+def read_rescued(spark: SparkSession, paths: Sequence[str], declared: T.StructType, column: str = RESCUED) -> DataFrame:
+    """Files whose columns may differ in name and physical type: one scan for each footer schema, cast to ``declared``
+    with what does not fit kept in ``column``, united."""
+    parts = [with_rescued_data(spark.read.schema(schema).parquet(*mine), declared, column)
+             for schema, mine in file_groups(spark, paths)]
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*declared.fields, T.StructField(column, T.StringType())]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

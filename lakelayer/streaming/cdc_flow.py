@@ -1,18 +1,23 @@
-"""Streaming change application (SCD type 1 / type 2) with ``foreachBatch``.
-
-Keys are spread over ``buckets`` hash buckets. Per micro-batch:
-1. the batch goes to the change log, partitioned by (bucket, batch_id), with
-   dynamic partition overwrite: a retried batch replaces its own files only;
-2. the buckets it touches are listed (at most one value per bucket);
-3. those buckets are recomputed from their log partitions alone (the folder
-   filter prunes every other bucket): SCD1 = latest change per key, SCD2 = the
-   full version history, so late and out-of-order changes land in place;
-4. the target's touched bucket partitions are replaced (dynamic overwrite);
-   untouched buckets are not read or written.
-The target is a pure function of the log, so a re-run batch gives the same
-table, and after any split or order of batches it equals the batch operator on
-all changes. Each touched bucket also gets one marker row, so a bucket whose
-keys were all deleted is still replaced (readers drop the markers).
+"""Streaming change application (SCD type 1 / type 2) with ``foreachBatch``, by key.
+
+A target is a set of runs. A batch is merged with what is stored for its keys only, and what that changes is written as one
+new run; no stored file is rewritten for it. Type 1 stores the latest change per key. Type 2 stores change points,
+one row per (key, sequence) with the sequence of the key's next point (``_ll_next``): a late change splits the version
+it falls into, so its own point and the point before it are written anew. Of equal points the newest run counts. Changes
+that delete are stored like others and left out when the table is read, so older changes that come later still
+find their place.
+
+Per micro-batch:
+1. the batch's points (equal ones collapsed) are kept, and its keys looked up in the stored runs: only the bucket
+   folders of its keys are read, and only files and pages that can hold them when they are few (pushed filters);
+2. stored and new points of these keys are scanned once in order, in segments, so one key may hold any share of the rows;
+3. new points and the points before them are written as a run, and one record makes the run visible;
+4. runs are merged geometrically: while the newest run has at least half the rows of the one before it, the
+   two become one. So there are about log2(rows) runs and a row is rewritten about as often.
+
+A batch is recorded under its source (the stream's checkpoint) and number: a batch that is applied again after
+its record is left out, one that failed before its record is computed again from the same runs. Stored runs are never
+changed, so readers see whole batches only; folders of merged runs stay until ``drop_merged``.
 """
 
 from __future__ import annotations
@@ -20,20 +25,25 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakelayer.operators.dedup import latest_per_key
+from lakelayer.operators.ordered import SEGMENT, scan, segmented
+from lakelayer.operators.scd import END_AT, START_AT, scd2_apply
 from lakelayer.session import missing_path
+from lakelayer.sinks.schemas import conform, grow_schema, stored_schema
 
-from lakelayer.operators.scd import scd1_apply, scd2_apply
-
-BUCKET = "_ll_bucket"
-MARKER = "_ll_marker"
+BUCKET, NEXT, BATCH, TOUCHED = "_ll_bucket", "_ll_next", "_ll_batch", "_ll_touched"
+RUN = "number long, first long, last long, rows long, source string, batch long, read long, path string"
+RUN_FIELDS = [f.split()[0] for f in RUN.split(", ")]
+FEW_KEYS = 1000            # up to so many keys of a batch are pushed into the scan as values
 
 
 @dataclass(frozen=True)
 class CdcTarget:
-    root: str                     # target folder: data/ and log/
+    root: str                     # target folder: runs/, log/, schema/, meta/
     keys: tuple[str, ...]
     sequence_by: str | tuple[str, ...]
     scd_type: int = 1
@@ -41,17 +51,17 @@ class CdcTarget:
     delete_when: str | None = None
     buckets: int | None = None    # default: spark.sql.shuffle.partitions at creation; fixed afterwards
 
-    @property
-    def log(self) -> str:
-        return f"{self.root.rstrip('/')}/log"
+    def path(self, part: str) -> str:
+        return f"{self.root.rstrip('/')}/{part}"
 
     @property
-    def data(self) -> str:
-        return f"{self.root.rstrip('/')}/data"
+    def sequence(self) -> list[str]:
+        return [self.sequence_by] if isinstance(self.sequence_by, str) else list(self.sequence_by)
 
     @property
-    def meta(self) -> str:
-        return f"{self.root.rstrip('/')}/meta"
+    def identity(self) -> list[str]:
+        """What one stored row stands for: a key (type 1) or a point of a key (type 2)."""
+        return [*self.keys, *(self.sequence if self.scd_type == 2 else [])]
 
 
 def suggest_buckets(expected_rows: int, rows_per_bucket: int = 2_000_000) -> int:
@@ -59,56 +69,171 @@ def suggest_buckets(expected_rows: int, rows_per_bucket: int = 2_000_000) -> int
     return max(1, -(-int(expected_rows) // rows_per_bucket))
 
 
-def bucket_count(spark: SparkSession, t: CdcTarget) -> int:
-    """The target's bucket count: stored with the target when it is created and
-    read back afterwards, because changing it would move keys between buckets.
-    Size it so one bucket holds roughly 0.5-1 GB of the target."""
+def _json(spark: SparkSession, schema: str, path: str) -> list:
     try:
-        row = spark.read.schema("buckets int").json(t.meta).first()
-        if row is not None and row["buckets"]:
-            return int(row["buckets"])
+        return spark.read.schema(schema).json(path).collect()
     except AnalysisException as exc:
         if not missing_path(exc):
             raise
-    if read_target(spark, t) is not None:
+        return []
+
+
+def bucket_count(spark: SparkSession, t: CdcTarget) -> int:
+    """The target's bucket count: stored with the target when it is created and
+    read back afterwards, because changing it would move keys between buckets.
+    Size it so one bucket holds roughly 0.5-1 GB of the target."""
+    rows = _json(spark, "buckets int", t.path("meta"))
+    if rows:
+        return int(rows[0]["buckets"])
+    if runs(spark, t):
         raise ValueError(f"{t.root} holds data but no bucket count; a new count would move keys between buckets")
     n = int(t.buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("append").json(t.meta)
+    spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("append").json(t.path("meta"))
     return n
 
 
-def _seq(t: CdcTarget) -> list[str]:
-    return [t.sequence_by] if isinstance(t.sequence_by, str) else list(t.sequence_by)
+def _log(spark: SparkSession, t: CdcTarget) -> list:
+    """Every run ever recorded, in order."""
+    return sorted(_json(spark, RUN, t.path("log")), key=lambda r: r["number"])
 
 
-def _bucket(t: CdcTarget, n: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in t.keys]), F.lit(n)).cast("int")
+def runs(spark: SparkSession, t: CdcTarget, log: list | None = None) -> list:
+    """The runs that make up the table: those not merged into a wider one."""
+    log = _log(spark, t) if log is None else log
+    live = [r for r in log if not any(o["first"] <= r["first"] and r["last"] <= o["last"] and o["number"] > r["number"]
+                                      for o in log)]
+    return sorted(live, key=lambda r: r["first"])
 
 
-def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: int) -> None:
-    """Apply one micro-batch (also usable directly for batch loads)."""
+def _record(spark: SparkSession, t: CdcTarget, log: list, **run) -> list:
+    """Append a record; returns the log with it."""
+    row = Row(*RUN_FIELDS)(*[run.get(n) for n in RUN_FIELDS])
+    spark.createDataFrame([row], RUN).coalesce(1).write.mode("append").json(t.path("log"))
+    return [*log, row]
+
+
+def _bucket(t: CdcTarget, n: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in t.keys]), F.lit(n)).cast("int")
+
+
+def _stored(spark: SparkSession, t: CdcTarget, live: list, columns: T.StructType) -> DataFrame | None:
+    """Rows of these runs, each with the number of the run that wrote it."""
+    if not live:
+        return None
+    fields = list(columns.fields) + [T.StructField(BATCH, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
+    if t.scd_type == 2:
+        fields.insert(-2, T.StructField(NEXT, columns[t.sequence[0]].dataType))
+    parts = [spark.read.schema(T.StructType(fields)).parquet(r["path"]) for r in live]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _newest(t: CdcTarget, stored: DataFrame) -> DataFrame:
+    """One row per identity: the one that the newest run wrote."""
+    ids = [F.col(f"`{c}`") for c in t.identity]
+    rest = [c for c in stored.columns if c not in t.identity]
+    best = stored.groupBy(*ids).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), BATCH).alias("_ll_row"))
+    return best.select(*ids, *[F.col(f"_ll_row.`{c}`").alias(c) for c in rest])
+
+
+def _write(df: DataFrame, path: str, t: CdcTarget) -> int:
+    """Rows of a bucket go to one writer, sorted by key so that files and pages hold key ranges; AQE's rebalance cuts a
+    bucket that a hot key fills into several tasks."""
+    seen = Observation()
+    (df.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", BUCKET)
+     .sortWithinPartitions(BUCKET, *[F.col(f"`{k}`") for k in t.keys])
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path))
+    return int(seen.get.get("rows") or 0)
+
+
+def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: int, source: str = "") -> dict | None:
+    """Apply one micro-batch (also usable directly for batch loads). Returns the number of its ``keys`` (if few), of
+    stored rows ``read`` and of rows ``written``; None for a batch already applied or without a row."""
+    log = _log(spark, t)
+    if any(r["source"] == source and r["batch"] is not None and r["batch"] >= batch_id for r in log):
+        return None
     n = bucket_count(spark, t)
-    # rows of a bucket go to one writer (one file per bucket, not one per task and
-    # bucket); AQE's rebalance splits a bucket that holds a hot key across tasks
-    (batch.withColumn(BUCKET, _bucket(t, n)).withColumn("batch_id", F.lit(batch_id)).hint("rebalance", BUCKET)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET, "batch_id").parquet(t.log))
-    log = spark.read.parquet(t.log)
-    touched = [r[0] for r in log.filter(F.col("batch_id") == batch_id).select(BUCKET).distinct().collect()]
-    if not touched:
-        return
-    changes = log.filter(F.col(BUCKET).isin(touched)).drop("batch_id", BUCKET)
-    keys = list(t.keys)
+    valid = F.lit(True)
+    for c in [*t.keys, *t.sequence]:
+        valid = valid & F.col(f"`{c}`").isNotNull()
+    changes = batch.where(valid)
+    points = latest_per_key(changes, t.identity, [] if t.scd_type == 2 else t.sequence).withColumn(BUCKET, _bucket(t, n)).persist()
+    held = None
+    try:
+        keys = points.select(*[F.col(f"`{k}`") for k in t.keys], BUCKET).distinct()
+        few = keys.limit(FEW_KEYS + 1).collect()
+        if not few:
+            return None
+        known = len(few) <= FEW_KEYS
+        touched = {r[BUCKET] for r in (few if known else keys.select(BUCKET).distinct().collect())}   # at most all buckets
+        columns = grow_schema(spark, t.path("schema"), batch.schema)
+        new = conform(points, columns).withColumn(TOUCHED, F.lit(True))
+        live, seen = runs(spark, t, log), Observation()
+        stored, read = _stored(spark, t, live, columns), 0
+        if stored is not None:
+            mine = stored.where(F.col(BUCKET).isin(sorted(touched)))
+            if known:
+                for k in t.keys:
+                    mine = mine.where(F.col(f"`{k}`").isin(list({r[k] for r in few})))
+            mine = mine.observe(seen, F.count(F.lit(1)).alias("read"))
+            held = _newest(t, mine.join(keys.drop(BUCKET), list(t.keys), "left_semi")).drop(BUCKET, BATCH, NEXT).persist()
+            held.count()
+            read = int(seen.get.get("read") or 0)
+            new = new.unionByName(held.withColumn(TOUCHED, F.lit(False)).select(*new.columns))
+        number = max((r["number"] for r in log), default=0) + 1
+        path = t.path(f"runs/{number:012d}")
+        rows = _write(_merged(t, new, columns).withColumns({BATCH: F.lit(number).cast("long"), BUCKET: _bucket(t, n)}), path, t)
+        log = _record(spark, t, log, number=number, first=number, last=number, rows=rows, source=source, batch=batch_id,
+                      read=read, path=path)
+        merge_runs(spark, t, log, columns)
+        return {"keys": len(few) if known else None, "read": read, "written": rows}
+    finally:
+        points.unpersist()
+        if held is not None:
+            held.unpersist()
+
+
+def _merged(t: CdcTarget, both: DataFrame, columns: T.StructType) -> DataFrame:
+    """Rows to store: of type 1 the latest change per key; of type 2 the touched points and the points before them."""
     if t.scd_type == 1:
-        fresh = scd1_apply(changes, keys, _seq(t), delete_when=t.delete_when)
-    else:
-        fresh = scd2_apply(changes, keys, t.sequence_by, track_except=t.track_except, delete_when=t.delete_when)
-    fresh = fresh.withColumn(BUCKET, _bucket(t, n)).withColumn(MARKER, F.lit(False))
-    markers = spark.createDataFrame([(b,) for b in touched], f"{BUCKET} int").select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in fresh.schema.fields if f.name not in (BUCKET, MARKER)],
-        F.col(BUCKET), F.lit(True).alias(MARKER))
-    (fresh.unionByName(markers).hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(t.data))
+        return latest_per_key(both.drop(TOUCHED), list(t.keys), t.sequence)
+    seq = t.sequence[0]
+    cut = segmented(both, t.keys, [seq]).repartition(*[F.col(f"`{k}`") for k in t.keys], SEGMENT)
+    # of equal points the greatest row wins, whichever batch brought it; a touched one stays touched
+    one = latest_per_key(cut, [*t.keys, SEGMENT, seq], [], also={TOUCHED: F.max(TOUCHED)})
+    after = scan(one, t.keys, [seq], next_cols=[seq, TOUCHED])
+    return (after.where(F.col(TOUCHED) | F.coalesce(F.col(f"_next_{TOUCHED}"), F.lit(False)))
+            .select(*[F.col(f"`{c}`") for c in columns.names], F.col(f"`_next_{seq}`").alias(NEXT)))
+
+
+def merge_runs(spark: SparkSession, t: CdcTarget, log: list | None = None, columns: T.StructType | None = None) -> int:
+    """Merge the newest runs while one has at least half the rows of the run before it; returns the live runs left."""
+    log = _log(spark, t) if log is None else log
+    columns = stored_schema(spark, t.path("schema")) if columns is None else columns
+    live = runs(spark, t, log)
+    n = len(live)
+    while n > 1 and 2 * sum(r["rows"] for r in live[n - 1:]) >= live[n - 2]["rows"]:
+        n -= 1
+    if n < len(live):                                  # the runs from n - 1 on become one
+        tail = live[n - 1:]
+        number = max(r["number"] for r in log) + 1
+        path = t.path(f"runs/{number:012d}")
+        rows = _write(_newest(t, _stored(spark, t, tail, columns)), path, t)
+        _record(spark, t, log, number=number, first=tail[0]["first"], last=tail[-1]["last"], rows=rows, path=path)
+    return n
+
+
+def drop_merged(spark: SparkSession, t: CdcTarget) -> int:
+    """Delete the folders of runs that were merged into others (readers that started before may need them)."""
+    live = {r["path"] for r in runs(spark, t)}
+    gone = 0
+    for r in _log(spark, t):
+        if r["path"] not in live:
+            path = spark._jvm.org.apache.hadoop.fs.Path(r["path"])
+            gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
 
 
 def run_cdc_stream(stream: DataFrame, t: CdcTarget, checkpoint: str) -> int:
@@ -117,7 +242,7 @@ def run_cdc_stream(stream: DataFrame, t: CdcTarget, checkpoint: str) -> int:
     seen = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(spark, t, batch, batch_id)
+        apply_batch(spark, t, batch, batch_id, source=checkpoint)
         seen.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -127,11 +252,19 @@ def run_cdc_stream(stream: DataFrame, t: CdcTarget, checkpoint: str) -> int:
 
 
 def read_target(spark: SparkSession, t: CdcTarget) -> DataFrame | None:
-    """The current target table (None before the first batch)."""
-    try:
-        df = spark.read.parquet(t.data)
-    except AnalysisException as exc:
-        if not missing_path(exc):
-            raise
+    """The current target table (None before the first batch). A single run is read as it is; several are merged by key."""
+    live = runs(spark, t)
+    columns = stored_schema(spark, t.path("schema"))
+    stored = _stored(spark, t, live, columns) if live else None
+    if stored is None:
         return None
-    return df.filter(~F.col(MARKER)).drop(MARKER, BUCKET)
+    rows = (stored if len(live) == 1 else _newest(t, stored)).drop(BATCH, BUCKET)
+    if t.scd_type == 2 and t.track_except is not None:
+        return scd2_apply(rows.drop(NEXT), list(t.keys), t.sequence[0], track_except=t.track_except, delete_when=t.delete_when)
+    if t.delete_when:
+        rows = rows.where(~F.coalesce(F.expr(t.delete_when), F.lit(False)))
+    rows = rows.select(*[F.col(f"`{c}`") for c in columns.names], *([NEXT] if t.scd_type == 2 else []))
+    if t.scd_type == 2:
+        rows = rows.withColumn(START_AT, F.col(f"`{t.sequence[0]}`")).withColumnRenamed(NEXT, END_AT)
+        rows = rows.select(*columns.names, START_AT, END_AT)
+    return rows

@@ -13,10 +13,14 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelayer.sources.files import RESCUED, discover_schema, evolve_schema, with_rescued_data
+from lakelayer.sinks.tables import replace_partitions
+from lakelayer.sources.files import RESCUED, discover_schema, evolve_schema, read_rescued, with_rescued_data
+
+BATCH = "_ll_batch"
 
 
 @dataclass(frozen=True)
@@ -48,6 +52,38 @@ def file_stream(spark: SparkSession, source: str, schema: T.StructType | None =
     return df
 
 
+def run_rescued(spark: SparkSession, source: str, declared: T.StructType, target: str, checkpoint: str,
+                max_files_per_trigger: int | None = None, transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamRun:
+    """Append new files of a folder to ``target``, whatever the physical types of their columns.
+
+    A file stream reads all files by one schema and ends at a file whose column has another type. This one streams the
+    file names; each micro-batch reads its files by their own footers (``read_rescued``) and replaces its own
+    partition of the target, so a batch that runs again adds nothing. Read the target with ``read_rescued_table``.
+    """
+    names = (spark.readStream.schema("path string, modificationTime timestamp, length long, content binary")
+             .format("binaryFile").option("pathGlobFilter", "*.parquet"))
+    if max_files_per_trigger:
+        names = names.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    rows: dict[int, int] = {}
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        paths = sorted(r["path"] for r in batch.select("path").collect())          # bounded by max_files_per_trigger
+        out = read_rescued(spark, paths, declared)
+        out = (transform(out) if transform is not None else out).withColumn(BATCH, F.lit(batch_id))
+        seen = Observation()
+        replace_partitions(out.observe(seen, F.count(F.lit(1)).alias("rows")), target, [BATCH])
+        rows[batch_id] = int(seen.get.get("rows") or 0)
+
+    q = (names.load(source).select("path").writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return StreamRun(target, checkpoint, len(rows), sum(rows.values()))
+
+
+def read_rescued_table(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(target).drop(BATCH)
+
+
 def table_stream(spark: SparkSession, name: str) -> DataFrame:
     """Streaming read of a catalog table (new files of the table are new rows)."""
     return spark.readStream.table(name)

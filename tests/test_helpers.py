@@ -100,9 +100,12 @@ def test_second_load_of_a_day_keeps_closed_rows(spark, scratch):
 
 def test_bucket_count_is_never_made_up_for_existing_data(spark, scratch):
     import pytest
-    from lakelayer.streaming.cdc_flow import BUCKET, MARKER, CdcTarget, bucket_count
-    t = CdcTarget(scratch("tgt"), keys=["k"], sequence_by="s", buckets=4)
-    spark.createDataFrame([(1, 1, False, 0)], f"k int, s int, {MARKER} boolean, {BUCKET} int").write.parquet(t.data)
+    from lakelayer.streaming.cdc_flow import CdcTarget, apply_batch, bucket_count
+    t = CdcTarget(scratch("tgt"), keys=("k",), sequence_by="s", buckets=4)
+    apply_batch(spark, t, spark.createDataFrame([(1, 1)], "k int, s int"), 0)
+    assert bucket_count(spark, t) == 4 == bucket_count(spark, CdcTarget(t.root, keys=("k",), sequence_by="s", buckets=9))
+    path = spark._jvm.org.apache.hadoop.fs.Path(t.path("meta"))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     with pytest.raises(ValueError):
         bucket_count(spark, t)
 

@@ -88,3 +88,69 @@ def test_bucketed_target_delete_and_retry(spark, scratch):
     late = spark.createDataFrame([(1, T0 + dt.timedelta(minutes=30), "late")], SCHEMA)
     apply_batch(spark, t, late, 2)                         # older than the delete: still deleted
     assert read_target(spark, t).count() == 0
+
+
+def test_batches_read_only_their_keys_and_runs_stay_few(spark, scratch):
+    """Twenty batches of five keys each: what a batch reads does not grow with the table, and late rows land in place."""
+    from lakelayer.streaming.cdc_flow import apply_batch, drop_merged, merge_runs, runs
+    rng = random.Random(11)
+    t = CdcTarget(root=scratch("tgt"), keys=("k",), sequence_by="seq", scd_type=2, buckets=64)
+    rows, reads = [], []
+    first = [(k, T0 + dt.timedelta(minutes=i), f"{k}-{i}") for k in range(1000) for i in range(4)]
+    apply_batch(spark, t, spark.createDataFrame(first, SCHEMA), 0)
+    rows += first
+    for b in range(1, 20):
+        keys = rng.sample(range(1000), 5)
+        batch = [(k, T0 + dt.timedelta(minutes=rng.randint(-50, 50), seconds=b), f"late{b}") for k in keys for _ in range(3)]
+        held = sum(r[0] in keys for r in rows)
+        m = apply_batch(spark, t, spark.createDataFrame(batch, SCHEMA), b)
+        rows += batch
+        reads.append((m["read"], held))
+        assert m["keys"] == 5 and m["written"] <= 2 * len(batch)
+    # stored rows of the keys, each perhaps in several runs, and no rows of other keys
+    assert all(read <= 3 * held for read, held in reads), reads
+    assert len(runs(spark, t)) <= 8
+    everything = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(tuple(r) for r in scd2_apply(everything, ["k"], "seq").collect())
+    assert sorted(tuple(r) for r in read_target(spark, t).collect()) == want
+    assert apply_batch(spark, t, spark.createDataFrame(rows[-1:], SCHEMA), 19) is None       # recorded before
+    merge_runs(spark, t)
+    assert drop_merged(spark, t) > 0
+    assert sorted(tuple(r) for r in read_target(spark, t).collect()) == want
+
+
+def test_failed_batch_is_computed_again(spark, scratch, monkeypatch):
+    from lakelayer.streaming import cdc_flow
+    t = CdcTarget(root=scratch("tgt"), keys=("k",), sequence_by="seq", scd_type=2, buckets=2)
+    one, two = ([(1, T0 + dt.timedelta(hours=h), v) for h, v in x] for x in ([(0, "a"), (4, "c")], [(2, "b"), (6, "d")]))
+    cdc_flow.apply_batch(spark, t, spark.createDataFrame(one, SCHEMA), 0)
+    before = sorted(map(tuple, read_target(spark, t).collect()))
+
+    def dies(*a, **k):
+        raise RuntimeError("lost before the record")
+    with monkeypatch.context() as m:
+        m.setattr(cdc_flow, "_record", dies)
+        try:
+            cdc_flow.apply_batch(spark, t, spark.createDataFrame(two, SCHEMA), 1)
+        except RuntimeError:
+            pass
+    assert sorted(map(tuple, read_target(spark, t).collect())) == before      # nothing of the lost batch is seen
+    cdc_flow.apply_batch(spark, t, spark.createDataFrame(two, SCHEMA), 1)
+    want = sorted(map(tuple, scd2_apply(spark.createDataFrame(one + two, SCHEMA), ["k"], "seq").collect()))
+    assert sorted(map(tuple, read_target(spark, t).collect())) == want
+
+
+def test_target_with_untracked_columns_deletes_and_added_columns(spark, scratch):
+    from lakelayer.streaming.cdc_flow import apply_batch
+    schema, wide = "k long, seq long, v string, w int", "k long, seq long, v string, w int, extra string"
+    rows = [(k, s, v, s) for k in (1, 2) for s, v in ((1, "a"), (3, "a"), (5, "b"), (7, "DEL"), (9, "b"))]
+    late = [(1, 2, "a", 0, "x"), (1, 6, "a", 0, None), (2, 8, "DEL", 0, "y"), (2, 5, "c", 0, "z"), (None, 1, "a", 0, "")]
+    t = CdcTarget(root=scratch("tgt"), keys=("k",), sequence_by="seq", scd_type=2, track_except=("seq", "w", "extra"),
+                  delete_when="v = 'DEL'", buckets=3)
+    apply_batch(spark, t, spark.createDataFrame(rows[::2], schema), 0)
+    apply_batch(spark, t, spark.createDataFrame(late, wide), 1)
+    apply_batch(spark, t, spark.createDataFrame(rows[1::2], schema), 2)
+    everything = spark.createDataFrame([(*r, None) for r in rows] + late, wide)
+    want = scd2_apply(everything, ["k"], "seq", track_except=["seq", "w", "extra"], delete_when="v = 'DEL'")
+    got = read_target(spark, t)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
