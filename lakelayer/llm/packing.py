@@ -134,8 +134,10 @@ def pack(df: DataFrame, tokenizer: str, end_id: int, window: int = 2048, open_li
         for b in batches:
             docs = b.column(0).to_pylist()
             for i, j, texts in chunks(b.column(1)):
-                for doc, ids in zip(docs[i:j], enc.encode(texts)):
-                    packer.add(doc, ids + end)
+                ids, at = enc.encode_column(texts)
+                raw = ids.tobytes()
+                for doc, first, last in zip(docs[i:j], at[:-1].tolist(), at[1:].tolist()):
+                    packer.add(doc, raw[4 * first:4 * last] + end)
                 yield rows()
         packer.finish()
         yield rows()

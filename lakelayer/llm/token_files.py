@@ -30,13 +30,13 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, end_id: int, id_
     """Encode every whole text, append ``end_id`` and write the files under ``path``."""
     small_batches(df.sparkSession)
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end, first = encoder(tokenizer), np.array([end_id], "<i4").tobytes(), 0
+        enc, first = encoder(tokenizer), 0
         for b in batches:
             for i, j, texts in chunks(b.column(1)):
-                ids = [x + end for x in enc.encode(texts)]
-                n = np.array([len(x) // 4 for x in ids], np.int32)
-                upto = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
-                flat = np.frombuffer(b"".join(ids), "<i4")
+                ids, at = enc.encode_column(texts)
+                flat = np.insert(ids, at[1:], end_id).astype("<i4")
+                upto = at + np.arange(len(at))
+                n = np.diff(upto).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(first + upto[:-1]), pa.array(n),
                      pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(flat))],

@@ -1,105 +1,148 @@
 """Token ids of whole texts with the public tokenizers, one encoding per distinct piece.
 
-A text is cut before every space that is followed by a visible character. Byte-level patterns keep such a space with the
+A text is cut before spaces that are followed by a visible character. Byte-level patterns keep such a space with the
 word behind it, and the word-end vocabulary drops white space, so no piece of the tokenizer's own splitting crosses a
 cut: the ids of the pieces, joined, are the ids of the text (tests compare both on whole documents). Texts that hold
 ``<|`` might name an added token and are encoded whole.
+
+The cuts are found on the bytes of an Arrow column, its pieces are dictionary-encoded, and only the dictionary reaches
+Python; the ids of the texts are gathered from the ids of the distinct pieces with numpy.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 
-_CUT = re.compile(r" (?=\S)")
-_GAP = re.compile(r" (?=\s|$)")
-_FIRST = "\ud800"       # marks a piece without a leading space; no valid text holds it
-_TAIL = ".,;:!?#$%&*)]"
+# bytes that may follow a space where a text is cut: no ASCII white space or control, and none of the bytes that white
+# space beyond ASCII starts with (a cut left out does no harm)
+_VISIBLE = np.ones(256, bool)
+_VISIBLE[:33] = False
+_VISIBLE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
+
+
+# pieces of known shape: a space and a visible run (byte level), or letters and a run of ASCII punctuation (word ends)
+_RUN = re.compile(r" [^\s<][^ <]*")
+_WORD = re.compile(r" ?([^\W\d_]+)([!-;=-@\[-`{-~]*)")
 
 
 class PieceEncoder:
-    """Encodes texts to little-endian int32 bytes; remembers the ids of at most 2 x ``cap`` short pieces."""
+    """Encodes texts; remembers the ids of at most 2 x ``cap`` short pieces."""
 
-    def __init__(self, path: str, cap: int = 300_000, longest: int = 48):
+    def __init__(self, path: str, cap: int = 400_000, longest: int = 48):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.lead = "" if self.tok.normalizer is not None else " "     # byte-level: a piece starts with its space
         self.sep_id, self.sep = max((i, t.content) for i, t in self.tok.get_added_tokens_decoder().items())
+        self.word_ends = self.tok.normalizer is not None
+        self.edge = np.zeros(self.tok.get_vocab_size(), bool)           # ids that end a word, or that start with a space
+        for t, i in self.tok.get_vocab().items():
+            self.edge[i] = t.endswith("</w>") if self.word_ends else t.startswith("\u0120")
         self.cap, self.longest = cap, longest
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _encode(self, fresh: list[str], at_once: int = 4000) -> list[bytes]:
-        """Ids of pieces, encoded many at a time between separator tokens (no piece holds one)."""
-        out = []
-        for i in range(0, len(fresh), at_once):
-            part = [p[1:] if p[:1] == _FIRST else self.lead + p for p in fresh[i:i + at_once]]
-            ids = np.array(self.tok.encode_batch_fast([self.sep.join(part)], add_special_tokens=False)[0].ids, "<i4")
-            cut = np.flatnonzero(ids == self.sep_id)
-            raw = ids.tobytes()
-            out += [raw[4 * s:4 * e] for s, e in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)])]
-        return out
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<i4")
 
-    def _learn(self, fresh: list[str]) -> list[bytes]:
-        """Ids of new pieces. Punctuation behind a letter or digit is a word of its own, so a piece is put together
-        from its core and its tail, which many pieces share."""
-        halves = []
-        for p in fresh:
-            core = p.rstrip(_TAIL)
-            tail = p[len(core):]
-            if tail and core[-1:].isalnum():
-                halves.append((core, _FIRST + tail))
-            else:
-                core = p
-                halves.append((p, None))
-            if not self.lead and core.isascii():       # the vocabulary lower-cases anyway
-                halves[-1] = (core.lower(), halves[-1][1])
-        known, old = self.new, self.old
-        need = list({x for h in halves for x in h if x is not None and x not in known and x not in old})
-        got = dict(zip(need, self._encode(need)))
-        for x, ids in got.items():
-            if len(x) <= self.longest:
-                known[x] = ids
-        def ids_of(x):
-            return got[x] if x in got else known[x] if x in known else old[x]
-        return [ids_of(core) if tail is None else ids_of(core) + ids_of(tail) for core, tail in halves]
+    def _shaped(self, pieces: list[str]) -> list[bytes] | None:
+        """Ids of pieces of known shape, encoded as one text and cut where the shape says; None if they don't add up."""
+        if self.word_ends:
+            ids = self._encode(" ".join(pieces))
+            ends = np.flatnonzero(self.edge[ids]) + 1
+            words = np.cumsum([1 + (not p[-1].isalpha()) for p in pieces])
+            if len(ends) != words[-1] or ends[-1] != len(ids):
+                return None
+            stop = ends[words - 1]
+            start = np.concatenate([[0], stop[:-1]])
+        else:
+            ids = self._encode("".join(pieces))
+            start = np.flatnonzero(self.edge[ids])
+            if len(start) != len(pieces) or start[0]:
+                return None
+            stop = np.append(start[1:], len(ids))
+        raw = ids.tobytes()
+        return [raw[4 * s:4 * e] for s, e in zip(start.tolist(), stop.tolist())]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _apart(self, pieces: list[str]) -> list[bytes]:
+        """Ids of any pieces, encoded between separator tokens; texts that might hold one, each alone."""
+        ids = self._encode(self.sep.join("" if "<|" in p else p for p in pieces))
+        cut = np.flatnonzero(ids == self.sep_id)
+        raw = ids.tobytes()
+        out = [raw[4 * s:4 * e] for s, e in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)])]
+        return [self._encode(p).tobytes() if "<|" in p else x for p, x in zip(pieces, out)]
+
+    def _learn(self, fresh: list[str], at_once: int = 4000) -> list[bytes]:
+        """Ids of new pieces, many at a time."""
+        shape = (_WORD if self.word_ends else _RUN).fullmatch
+        out: list[bytes] = [b""] * len(fresh)
+        known = [k for k, p in enumerate(fresh) if shape(p)]
+        others = sorted(set(range(len(fresh))).difference(known))
+        for way, places in ((self._shaped, known), (self._apart, others)):
+            for i in range(0, len(places), at_once):
+                mine = places[i:i + at_once]
+                part = [fresh[k] for k in mine]
+                for k, ids in zip(mine, way(part) or self._apart(part)):
+                    out[k] = ids
+        return out
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, from memory where they are known."""
         if len(self.new) > self.cap:
             self.old, self.new = self.new, {}
         known, old = self.new, self.old
-        split: list[list[str] | None] = []
-        missing: set[str] = set()
-        for t in texts:
-            if "<|" in t:
-                split.append(None)
-                continue
-            parts = t.split(" ") if not _GAP.search(t) else _CUT.split(t)
-            parts[0] = _FIRST + parts[0]       # the first piece has no leading space
-            split.append(parts)
-            missing.update(set(parts).difference(known))
-        fresh, brief = [], {}
-        for p in missing:
-            got = old.get(p)
-            if got is None:
-                fresh.append(p)
-            else:
-                known[p] = got
-        for p, ids in zip(fresh, self._learn(fresh)):
-            (known if len(p) <= self.longest else brief)[p] = ids
-        out = []
-        for t, parts in zip(texts, split):
-            if parts is None:
-                out.append(np.array(self.tok.encode_batch_fast([t], add_special_tokens=False)[0].ids, "<i4").tobytes())
-            elif brief:
-                out.append(b"".join([known[p] if p in known else brief[p] for p in parts]))
+        out = [known.get(p) for p in pieces]
+        missing = [k for k, ids in enumerate(out) if ids is None]
+        fresh = []
+        for k in missing:
+            ids = old.get(pieces[k])
+            if ids is None:
+                fresh.append(k)
             else:
-                out.append(b"".join([known[p] for p in parts]))
+                out[k] = known[pieces[k]] = ids
+        for k, ids in zip(fresh, self._learn([pieces[k] for k in fresh])):
+            out[k] = ids
+            if len(pieces[k]) <= self.longest:
+                known[pieces[k]] = ids
         return out
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts as little-endian int32, where each text's ids start, and the end). Null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = texts.buffers()[2]
+        if data is None or at[-1] == at[0]:
+            return np.empty(0, "<i4"), np.zeros(len(texts) + 1, np.int64)
+        raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]]
+        at = at - at[0]
+        cut = np.zeros(len(raw), bool)
+        cut[:-1] = (raw[:-1] == 32) & _VISIBLE[raw[1:]]
+        ends = at[1:][np.diff(at) > 0]
+        cut[ends - 1] = False                              # a text's last space is followed by nothing
+        for k in np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)):
+            cut[at[k]:at[k + 1]] = False
+        cut[at[:-1][np.diff(at) > 0]] = True
+        starts = np.flatnonzero(cut)
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)),
+                                                  pa.py_buffer(np.ascontiguousarray(raw))).dictionary_encode()
+        ids = self._ids(pieces.dictionary.to_pylist())
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        first = np.cumsum(size) - size
+        which = pieces.indices.to_numpy()
+        n = size[which]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        take = np.repeat(first[which] - upto[:-1], n) + np.arange(upto[-1])
+        return np.frombuffer(b"".join(ids), "<i4")[take], upto[np.searchsorted(starts, at)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        flat, at = self.encode_column(pa.array(texts, pa.large_string()))
+        raw = flat.tobytes()
+        return [raw[4 * s:4 * e] for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
@@ -107,11 +150,11 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def chunks(texts, limit: int = 3_000_000):
+def chunks(texts: pa.Array, limit: int = 8_000_000) -> Iterator[tuple[int, int, pa.Array]]:
     """(start, stop, texts) of an Arrow string column, about ``limit`` bytes at a time; a longer text is alone."""
     upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start, done = 0, 0
     while start < len(texts):
         stop = max(start + 1, int(np.searchsorted(upto, done + limit, "right")))
-        yield start, stop, texts.slice(start, stop - start).to_pylist()
+        yield start, stop, texts.slice(start, stop - start)
         start, done = stop, int(upto[stop - 1])
