@@ -24,6 +24,7 @@ from lakelayer.operators.scd import scd2_hash_history, scd2_hash_merge_parts
 from lakelayer.plans import gold
 from lakelayer.session import missing_path, run_concurrently
 from lakelayer.plans.roles import ENCOUNTER, OBSERVATION, PATIENT, CONDITION, FROM_SQL, select_sql, table
+from lakelayer.sinks.history import ReplayedHistory, replay
 from lakelayer.sinks.tables import (HistoryStore, replace_partitions, store_current, store_generation,
                                     store_days, store_write, write_raw_pages)
 from lakelayer.sources.bundles import PAGE_SIZE, entries, read_pages
@@ -45,6 +46,9 @@ class Context:
     def silver(self, resource: str) -> str:
         return f"{self.root.rstrip('/')}/silver/{resource.lower()}"
 
+    def replayed(self, resource: str) -> str:
+        return f"{self.root.rstrip('/')}/silver_replayed/{resource.lower()}"
+
     def gold(self) -> str:
         return f"{self.root.rstrip('/')}/gold"
 
@@ -337,6 +341,22 @@ def load_silver(spark: SparkSession, ctx: Context, start: str, end: str,
     run_concurrently([lambda r=r: one(r) for r in RESOURCES])
 
 
+def replay_silver(spark: SparkSession, ctx: Context, clock: Callable[[Column], Column] | None = None) -> dict[str, list]:
+    """Bring a history of each resource type up to all of its bronze days: late, corrected and missing days are replayed
+    for the keys they affect (``sinks.history``). Returns the changed days. ``load_silver`` applies days in load
+    order instead and keeps what an earlier order made of them."""
+    def one(r: str) -> list:
+        try:
+            bronze = spark.read.option("mergeSchema", "true").parquet(ctx.bronze(r))
+        except AnalysisException as exc:                 # no bronze data for this resource yet
+            if not missing_path(exc):
+                raise
+            return []
+        return replay(spark, ReplayedHistory(ctx.replayed(r), ID_COLUMN[r]), bronze, clock)
+
+    return dict(zip(RESOURCES, run_concurrently([lambda r=r: one(r) for r in RESOURCES])))
+
+
 def gold_models(spark: SparkSession, ctx: Context) -> dict[str, DataFrame]:
     """Gold reads only the current part of each silver history."""
     silver = {r.lower(): store_current(spark, HistoryStore(ctx.silver(r))) for r in RESOURCES}

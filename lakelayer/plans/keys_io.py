@@ -20,6 +20,7 @@ from lakelayer.plans.keys_batch import RULES, SCD1_SQL, SCD2_SQL, _STAGED_SQL, s
 from lakelayer.plans.registry import query
 from lakelayer.plans.roles import table
 from lakelayer.session import scratch_dir
+from lakelayer.sinks.history import ReplayedHistory, read_history, replay
 from lakelayer.sinks.tables import HistoryStore, read_slice, replace_partitions, store_current, store_table, store_write
 from lakelayer.sources.cdc import CdcSource, read_bronze, run_incremental
 from lakelayer.streaming.cdc_flow import CdcTarget, read_target, run_cdc_stream, suggest_buckets
@@ -159,6 +160,46 @@ def hash_daily_loop(spark: SparkSession, snaps: DataFrame, key: str, root: str)
     return store_table(spark, store)
 
 
+def _replayed(spark, loads: list[DataFrame]) -> DataFrame:
+    """A history brought up to one state of the daily folders after the other; a state is written and read as bronze."""
+    h = ReplayedHistory(scratch_dir(spark, "replayed"), "user_id", buckets=4)
+    for snaps in loads:
+        bronze = scratch_dir(spark, "bronze-days")
+        replace_partitions(snaps, bronze, ["ingest_date"])
+        replay(spark, h, spark.read.parquet(bronze), clock=_clock)
+    return read_history(spark, h).select(*HASH_OUT)
+
+
+def _day(text: str):
+    return F.lit(text).cast("date")
+
+
+@query("silver_late_day", oracle=HASH_HISTORY_SQL)
+def q_silver_late_day(spark, d):
+    """2024-01-10 arrives after every other day."""
+    snaps = daily_snapshots(spark, d)
+    return _replayed(spark, [snaps.where(F.col("ingest_date") != _day("2024-01-10")), snaps])
+
+
+@query("silver_same_day_reload", oracle=HASH_HISTORY_SQL)
+def q_silver_same_day_reload(spark, d):
+    """2024-01-08 first comes without a third of its users and with wrong values for another third, then right."""
+    snaps = daily_snapshots(spark, d)
+    on = F.col("ingest_date") == _day("2024-01-08")
+    wrong = snaps.where(~(on & (F.col("user_id") % 3 == 0))).withColumn(
+        "event_type", F.when(on & (F.col("user_id") % 3 == 1), "wrong").otherwise(F.col("event_type")))
+    return _replayed(spark, [wrong.withColumn("record_hash", record_hash(wrong.drop("record_hash"))), snaps])
+
+
+@query("silver_gap_first_load", oracle=HASH_HISTORY_SQL)
+def q_silver_gap_first_load(spark, d):
+    """The first load holds 2024-01-10 to 2024-01-20 without the 15th; the days before, the gap and the rest follow."""
+    snaps = daily_snapshots(spark, d)
+    day = F.col("ingest_date")
+    middle = (day >= _day("2024-01-10")) & (day <= _day("2024-01-20")) & (day != _day("2024-01-15"))
+    return _replayed(spark, [snaps.where(middle), snaps.where(middle | (day < _day("2024-01-10"))), snaps])
+
+
 @query("scd2_hash_daily", oracle=HASH_HISTORY_SQL)
 def q_scd2_hash_daily(spark, d):
     root = scratch_dir(spark, "silver")

@@ -152,7 +152,7 @@ def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: i
     """Apply one micro-batch (also usable directly for batch loads). Returns the number of its ``keys`` (if few), of
     stored rows ``read`` and of rows ``written``; None for a batch already applied or without a row."""
     log = _log(spark, t)
-    if any(r["source"] == source and r["batch"] is not None and r["batch"] >= batch_id for r in log):
+    if last_batch(spark, t, source, log) >= batch_id:
         return None
     n = bucket_count(spark, t)
     valid = F.lit(True)
@@ -195,6 +195,12 @@ def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: i
             held.unpersist()
 
 
+def last_batch(spark: SparkSession, t: CdcTarget, source: str = "", log: list | None = None) -> int:
+    """The newest recorded batch of a source; -1 before the first."""
+    log = _log(spark, t) if log is None else log
+    return max((r["batch"] for r in log if r["source"] == source and r["batch"] is not None), default=-1)
+
+
 def _merged(t: CdcTarget, both: DataFrame, columns: T.StructType) -> DataFrame:
     """Rows to store: of type 1 the latest change per key; of type 2 the touched points and the points before them."""
     if t.scd_type == 1:
