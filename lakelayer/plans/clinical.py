@@ -86,7 +86,7 @@ ENCOUNTER_FLAT_SQL = {
 
 
 def _page(key: Column, per_page: int) -> Column:
-    return (key / per_page).cast("long")
+    return F.call_function("div", key, F.lit(per_page))
 
 
 def _by_page(df: DataFrame, key: Column, per_page: int) -> DataFrame:
@@ -205,7 +205,7 @@ def _page_url(resource: Column, day: Column, page: Column) -> Column:
                            F.date_format(day, "yyyy-MM-dd"), F.lit(PAGE_SIZE), page.cast("int"))
 
 
-def bundle_pages(resources: DataFrame, day: str) -> DataFrame:
+def bundle_pages(resources: DataFrame, day: str, keep_page: bool = False) -> DataFrame:
     """Group resources into pages (bounded: one key range per page) and render the bundle JSON.
 
     Each entry is rendered to JSON text before the shuffle, so only strings move.
@@ -223,7 +223,7 @@ def bundle_pages(resources: DataFrame, day: str) -> DataFrame:
                      lambda x: x.isNotNull())
     body = F.concat(F.lit('{"resourceType":"Bundle","total":'), n.cast("string"), F.lit(',"link":'),
                     F.to_json(links), F.lit(',"entry":['), F.array_join("items", ","), F.lit("]}"))
-    return pages.select("resource", d.alias("date"), body.alias("body"))
+    return pages.select("resource", d.alias("date"), body.alias("body"), *(["page"] if keep_page else []))
 
 
 def synth_raw(spark: SparkSession, d: str, raw_root: str, day: str = "2024-01-01",

@@ -247,6 +247,68 @@ def q_star_join_theta(spark, d):
     return star_join(spark, THETA_SPECS, lambda name: table(spark, d, name))
 
 
+RANGE_SPECS = [
+    JoinSpec("orders", "o", "o.o_orderkey, coalesce(o.o_orderpriority, 'none') AS priority"),
+    JoinSpec("part", "p", "p.p_partkey, concat(p.p_brand, ',', p.p_name) AS part",
+             condition="p.p_partkey % 5 = o.o_custkey % 5",
+             within=("o.o_totalprice", "p.p_retailprice * 100", "p.p_retailprice * 100 + p.p_size * 10")),
+]
+
+
+@query("star_join_range", oracle="""
+SELECT o.o_orderkey, coalesce(o.o_orderpriority, 'none') AS priority, p.p_partkey, p.p_brand || ',' || p.p_name AS part
+FROM orders AS o LEFT JOIN part AS p ON p.p_partkey % 5 = o.o_custkey % 5
+ AND p.p_retailprice * 100 <= o.o_totalprice AND o.o_totalprice < p.p_retailprice * 100 + p.p_size * 10""")
+def q_star_join_range(spark, d):
+    """Each order's price among intervals of part prices: no column is equal on both sides."""
+    return star_join(spark, RANGE_SPECS, lambda name: table(spark, d, name))
+
+
+SEQUENCE_SQL = {
+    "text": "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')",
+    "decimal": "CAST(CAST(epoch_us(ts) AS DECIMAL(20,0)) AS VARCHAR)",
+    "epoch_ms": "CAST(epoch_us(ts) // 1000 AS VARCHAR)",
+}
+SEQUENCES = {
+    "text": "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+    "decimal": "CAST(unix_micros(CAST(ts AS timestamp)) AS DECIMAL(20,0))",
+    "epoch_ms": "unix_millis(CAST(ts AS timestamp))",
+}
+
+
+@query("scd2_hot_key_sequences", oracle=" UNION ALL ".join(f"""
+SELECT '{kind}' AS kind, k, event_id, seq AS start_at, lead(seq) OVER (PARTITION BY k ORDER BY seq) AS end_at
+FROM (SELECT k, seq, max(event_id) AS event_id FROM (SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS k, event_id,
+      {sql} AS seq FROM events) GROUP BY k, seq)""" for kind, sql in SEQUENCE_SQL.items()))
+def q_scd2_hot_key_sequences(spark, d):
+    """Histories in which one key holds a third of all rows, by a text, a decimal and an epoch-millisecond sequence."""
+    out = None
+    for kind, expr in SEQUENCES.items():
+        ev = table(spark, d, "events").selectExpr("CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS k", "event_id",
+                                                  f"{expr} AS seq")
+        v = scd2_apply(ev, ["k"], "seq").select(F.lit(kind).alias("kind"), "k", "event_id",
+                                                F.col("__START_AT").cast("string").alias("start_at"),
+                                                F.col("__END_AT").cast("string").alias("end_at"))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+LATEST_SQL = """
+SELECT user_id, event_id, element AS kind_of_event FROM (SELECT user_id, arg_max(event_id, ts) AS event_id,
+  arg_max(event_type, ts) AS element FROM events GROUP BY user_id)"""
+
+
+@query("latest_row_any_type", oracle=LATEST_SQL)
+def q_latest_row_any_type(spark, d):
+    """Rows that hold a map and a variant column: the latest per user, and the same through the type 1 target."""
+    ev = table(spark, d, "events").select("user_id", "ts", "event_id", F.create_map(F.lit("kind"), "event_type").alias("m"))
+    ev = ev.withColumn("v", F.parse_json(F.to_json("m")))
+    latest = latest_per_key(ev, ["user_id"], ["ts"]).select("user_id", F.col("m")["kind"].alias("kind_of_event"))
+    applied = scd1_apply(ev, ["user_id"], "ts").select("user_id", "event_id",
+                                                       F.variant_get("v", "$.kind", "string").alias("kind_of_event"))
+    return applied.join(latest, ["user_id", "kind_of_event"]).select("user_id", "event_id", "kind_of_event")
+
+
 # ── incremental extract (pure parts) ─────────────────────────────────────────
 
 @query("cdc_incremental_extract", oracle="SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01'")

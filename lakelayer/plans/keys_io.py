@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakelayer.functions import record_hash
@@ -23,6 +23,8 @@ from lakelayer.session import scratch_dir
 from lakelayer.sinks.history import ReplayedHistory, read_history, replay
 from lakelayer.sinks.tables import HistoryStore, read_slice, replace_partitions, store_current, store_table, store_write
 from lakelayer.sources.cdc import CdcSource, read_bronze, run_incremental
+from lakelayer.plans.streams import FLOWS, gold_stream, gold_target
+from lakelayer.streaming.metrics import RuleMetrics
 from lakelayer.streaming.cdc_flow import CdcTarget, read_target, run_cdc_stream, suggest_buckets
 from lakelayer.sources.files import evolve_schema
 from lakelayer.streaming.ingest import file_stream, read_rescued_table, run_rescued, run_to_parquet
@@ -319,16 +321,37 @@ def q_stream_passthrough(spark, d):
     return spark.read.parquet(tgt)
 
 
-@query("stream_dedup_keys", oracle="SELECT DISTINCT user_id FROM events")
+@query("stream_dedup_keys", oracle="""
+SELECT event_id, user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""")
 def q_stream_dedup(spark, d):
-    src, chunks = _event_stream_source(spark, d, "2024-01-15")
-    tgt, ck = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
-    schema = table(spark, d, "events").schema
-    for c in chunks:
-        _write_chunks(c, src, 3)
-        s = first_seen(file_stream(spark, src, schema=schema, max_files_per_trigger=2), ["user_id"])
+    """The first row of a key that a stream sees survives: the first arrival holds each user's first event, the second
+    arrival all others."""
+    src, tgt, ck = scratch_dir(spark, "bronze-events"), scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
+    ev = table(spark, d, "events")
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    numbered = ev.withColumn("n", F.row_number().over(order))
+    for c in (numbered.where("n = 1"), numbered.where("n > 1")):
+        _write_chunks(c.drop("n"), src, 3)
+        s = first_seen(file_stream(spark, src, schema=ev.schema, max_files_per_trigger=2), ["user_id"])
         run_to_parquet(s, tgt, ck)
-    return spark.read.parquet(tgt).select("user_id")
+    return spark.read.parquet(tgt).select("event_id", "user_id")
+
+
+@query("expect_stream_metrics", oracle=f"""
+WITH s AS ({_STAGED_SQL})
+SELECT rule, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(failed) AS BIGINT) AS failed FROM (
+""" + " UNION ALL ".join(f"SELECT '{n}' AS rule, count(*) AS rows, count(*) FILTER (WHERE NOT coalesce({p}, false)) AS failed FROM s"
+                         for n, p in RULES.items()) + ") GROUP BY rule")
+def q_expect_stream_metrics(spark, d):
+    """Counters of every rule and micro-batch, stored by a streaming listener; summed over the batches."""
+    src, metrics = scratch_dir(spark, "bronze-staged"), scratch_dir(spark, "metrics")
+    tgt, ck = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
+    staged = staged_events(spark, d)
+    _write_chunks(staged, src, 4)
+    stream = file_stream(spark, src, schema=staged.schema, max_files_per_trigger=1)
+    with RuleMetrics(spark, metrics) as listener:
+        run_to_parquet(expect_all_or_drop(listener.watch(stream, RULES), RULES), tgt, ck)
+    return listener.read().groupBy("rule").agg(F.sum("rows").alias("rows"), F.sum("failed").alias("failed"))
 
 
 @query("expect_stream_drop", oracle=f"""
@@ -411,6 +434,34 @@ def q_scd2_out_of_order(spark, d):
     return _cdc_stream(spark, d, 2, late_first=True)
 
 
+def _gold_flow(spark, d, name: str, changes: DataFrame) -> DataFrame:
+    flow = next(f for f in FLOWS if f.name == name)
+    src, root = scratch_dir(spark, f"silver-{name}"), scratch_dir(spark, "gold")
+    _write_chunks(changes, src, 3)
+    gold_stream(flow, file_stream(spark, src, schema=changes.schema, max_files_per_trigger=2), root)
+    return read_target(spark, gold_target(flow, root))
+
+
+@query("gold_dimtrack", oracle="""
+SELECT event_id AS track_id, track_name, updated_at, updated_at AS __START_AT,
+       lead(updated_at) OVER (PARTITION BY event_id ORDER BY updated_at) AS __END_AT
+FROM (SELECT event_id % 200 AS event_id, ts AS updated_at, max(event_type) AS track_name FROM events GROUP BY 1, 2)""")
+def q_gold_dimtrack(spark, d):
+    """The track dimension's flow over a stream of track changes."""
+    return _gold_flow(spark, d, "dimtrack", table(spark, d, "events").selectExpr(
+        "event_id % 200 AS track_id", "event_type AS track_name", "ts AS updated_at"))
+
+
+@query("gold_dimdate", oracle="""
+SELECT date_key, date, label, date AS __START_AT, lead(date) OVER (PARTITION BY date_key ORDER BY date) AS __END_AT
+FROM (SELECT CAST(strftime(ts, '%Y%m') AS INTEGER) AS date_key, CAST(ts AS DATE) AS date, max(event_type) AS label
+      FROM events GROUP BY 1, 2)""")
+def q_gold_dimdate(spark, d):
+    """The date dimension's flow: changes of a month's row by day."""
+    return _gold_flow(spark, d, "dimdate", table(spark, d, "events").selectExpr(
+        "CAST(date_format(ts, 'yyyyMM') AS INT) AS date_key", "CAST(ts AS DATE) AS date", "event_type AS label"))
+
+
 @query("scd2_stream_late_repair", oracle=SCD2_SQL)
 def q_scd2_late_repair(spark, d):
     """Ten micro-batches in which every file mixes all days, so most changes are late and split stored versions; sixteen

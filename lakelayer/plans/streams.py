@@ -68,12 +68,17 @@ def gold_batch(flow: Flow, changes: DataFrame) -> DataFrame:
     return scd2_apply(changes, list(flow.keys), flow.sequence_by)
 
 
-def gold_stream(flow: Flow, stream: DataFrame, root: str, checkpoint: str) -> int:
-    """The same flow as a streaming query (foreachBatch); returns the number of batches."""
+def gold_target(flow: Flow, root: str) -> CdcTarget:
+    """The flow's table under ``root``, named after the flow."""
+    return CdcTarget(root=f"{root.rstrip('/')}/{flow.name}", keys=flow.keys, sequence_by=flow.sequence_by, scd_type=flow.scd_type)
+
+
+def gold_stream(flow: Flow, stream: DataFrame, root: str, checkpoint: str | None = None) -> int:
+    """The same flow as a streaming query (foreachBatch); returns the number of batches. The flow's name names its table
+    and, by default, its checkpoint."""
     if flow.rules:
         stream = expect_all_or_drop(stream, flow.rules)
-    t = CdcTarget(root=root, keys=flow.keys, sequence_by=flow.sequence_by, scd_type=flow.scd_type)
-    return run_cdc_stream(stream, t, checkpoint)
+    return run_cdc_stream(stream, gold_target(flow, root), checkpoint or f"{root.rstrip('/')}/_checkpoints/{flow.name}")
 
 
 STAR = [

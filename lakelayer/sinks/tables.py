@@ -192,21 +192,17 @@ def store_days(spark: SparkSession, store: HistoryStore) -> dict[str, str]:
 
 # ── raw pages ────────────────────────────────────────────────────────────────
 
-def page_file_name(page_number: int) -> str:
-    """Name of one stored page when pages are kept one per file."""
-    return f"page_{page_number:04d}.json"
-
-
 def write_raw_pages(pages: DataFrame, root: str, compression: str = "none") -> None:
     """Bundle JSON text, one document per line, under ``resource_name=<R>/date=<D>``.
 
     ``pages`` has columns (resource, date, body); folders are
     ``resource_name=<R>/date=<D>``; ``compression="gzip"`` shrinks the landing zone
     about 3x for some CPU (the JSON reader decompresses transparently). Only the
-    folders present are replaced, so reloading a day is idempotent.
+    folders present are replaced, so reloading a day is idempotent. Pages are gathered by folder first, so a folder
+    gets a few files and not one per task; AQE cuts a large folder into several tasks.
     """
     # JSON strings hold no raw line breaks, so a page of any layout fits one line unchanged in meaning
     replace = pages.select(F.regexp_replace("body", "[\\r\\n]+", " ").alias("value"), F.col("resource").alias("resource_name"),
                            F.col("date").cast("string").alias("date"))
-    (replace.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (replace.hint("rebalance", "resource_name", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", compression).partitionBy("resource_name", "date").text(root))

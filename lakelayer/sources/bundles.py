@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelayer.session import missing_path
 
@@ -46,21 +47,38 @@ def empty_pages(spark: SparkSession) -> DataFrame:
         F.lit(None).cast("date").alias("date"))
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False, resource: str | None = None) -> DataFrame:
-    """Bundle pages with their file path; a missing folder gives no rows, a page that is no JSON raises.
+    """Bundle pages with their file path; a missing folder gives no rows.
 
-    With ``resource`` only that type's folder is listed and its entries are
-    parsed with the fields that type reads (less JSON work per page).
+    A page that is no JSON, or whose fields have other types, comes as a row with its text in ``CORRUPT``: it has no
+    entries (``entries``), is a failed row of the audit, and stops no other page. With ``resource`` only that
+    type's folder is listed and its entries are parsed with the fields that type reads (less JSON work per page).
     """
     try:
         src = f"{path.rstrip('/')}/resource_name={resource}" if resource else path
-        df = (spark.read.schema(bundle_schema(resource)).option("multiLine", multi_line).option("mode", "FAILFAST")
-              .option("basePath", path).json(src))
+        schema = T.StructType([*bundle_schema(resource).fields, T.StructField(CORRUPT, T.StringType())])
+        df = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT).option("basePath", path).json(src))
     except AnalysisException as exc:
         if missing_path(exc):
             return empty_pages(spark)
         raise
-    return df.withColumn("file_path", F.col("_metadata.file_path"))
+    # Spark refuses a scan of the corrupt text alone, so it is read with one more field (of which nothing is added)
+    text = F.concat(F.col(CORRUPT), F.left(F.coalesce(F.col("total").cast("string"), F.lit("")), F.lit(0)))
+    return df.withColumns({"file_path": F.col("_metadata.file_path"), CORRUPT: text})
+
+
+def failed_pages(pages: DataFrame) -> DataFrame:
+    """The quarantined pages: where each came from and its text."""
+    return pages.where(_broken(pages)).select("resource_name", F.to_date("date").alias("ingest_date"), "file_path",
+                                              F.col(CORRUPT).alias("body"))
+
+
+def _broken(pages: DataFrame) -> Column:
+    return F.col(CORRUPT).isNotNull() if CORRUPT in pages.columns else F.lit(False)
 
 
 def _link(relation: str):
@@ -81,30 +99,31 @@ def page_info(pages: DataFrame) -> DataFrame:
 
 
 def entries(pages: DataFrame, keep: Sequence[str] = ("api_url",)) -> DataFrame:
-    """One row per entry (a NULL or missing ``entry`` gives no rows)."""
-    info = page_info(pages)
+    """One row per entry of the whole pages (a NULL or missing ``entry`` gives no rows)."""
+    info = page_info(pages.where(~_broken(pages)))
     extra = [c for c in ("resource_name", "date") if c in pages.columns]
     return info.select(*keep, *extra, F.explode("entry").alias("e")).select(*keep, *extra, "e.resource")
 
 
 def page_audit(pages: DataFrame, run_id: str, extraction_ts=None) -> DataFrame:
     """Audit row per page (the api_metadata table), one job for all pages."""
-    info = page_info(pages)
+    info = page_info(pages).withColumn("_failed", _broken(pages))
     ts = F.current_timestamp() if extraction_ts is None else F.to_timestamp(F.lit(extraction_ts))
     return info.select(
         F.lit(run_id).alias("run_id"),
         F.col("resource_name"),
         F.to_date("date").alias("ingest_date"),
-        "page_number", "api_url", "records_on_page", "total_records",
+        "page_number", "api_url", F.when(F.col("_failed"), 0).otherwise(F.col("records_on_page")).alias("records_on_page"),
+        F.when(F.col("_failed"), 0).otherwise(F.col("total_records")).cast("long").alias("total_records"),
         ts.alias("extraction_timestamp"),
-        F.lit("success").alias("status"),
-        F.lit(None).cast("string").alias("error_message"),
+        F.when(F.col("_failed"), "failed").otherwise("success").alias("status"),
+        F.when(F.col("_failed"), "the page is no bundle in JSON").alias("error_message"),
         "next_url",
     )
 
 
 def page_totals(pages: DataFrame) -> DataFrame:
-    """Pages and records per (resource, day)."""
-    info = page_info(pages)
+    """Whole pages and their records per (resource, day)."""
+    info = page_info(pages.where(~_broken(pages)))
     return (info.groupBy(F.col("resource_name"), F.to_date("date").alias("ingest_date"))
             .agg(F.count(F.lit(1)).alias("pages"), F.sum("records_on_page").alias("records")))

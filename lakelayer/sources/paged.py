@@ -86,19 +86,21 @@ class PagedApiReader(DataSourceReader):
         day = dt.date.fromisoformat(partition.day)
         url, page = request_url(self.base_url, partition.resource, day, self.page_size), 1
         while url:
-            body, error = None, None
+            body, doc, error = None, None, None
             for attempt in range(self.retries):
                 try:
                     body = fetch(url)
-                    break
-                except Exception as exc:  # network / server errors: retry, then give up
-                    error = str(exc)
-                    if attempt + 1 < self.retries:
-                        time.sleep(self.pause)
-            if body is None:
-                yield (partition.resource, day, page, url, "failed", error, None, 0, 0, None)
+                    doc = json.loads(body)
+                    if isinstance(doc, dict):
+                        break
+                    doc, error = None, "the body is no JSON object"
+                except Exception as exc:  # network / server errors, a body that is no JSON: retry, then give up
+                    doc, error = None, str(exc)
+                if attempt + 1 < self.retries:
+                    time.sleep(self.pause)
+            if doc is None:
+                yield (partition.resource, day, page, url, "failed", error, body, 0, 0, None)
                 return
-            doc = json.loads(body)
             nxt = next((l.get("url") for l in doc.get("link") or [] if l.get("relation") == "next"), None)
             yield (partition.resource, day, page, url, "success", None, body, len(doc.get("entry") or []),
                    int(doc.get("total") or 0), nxt)

@@ -2,9 +2,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lakelayer.plans.streams import (FLOWS, gold_batch, gold_stream, silver_passthrough, silver_tracks,
+from lakelayer.plans.streams import (FLOWS, gold_batch, gold_stream, gold_target, silver_passthrough, silver_tracks,
                                      silver_users, star_report)
-from lakelayer.streaming.cdc_flow import CdcTarget, read_target
+from lakelayer.streaming.cdc_flow import read_target
 from lakelayer.streaming.ingest import file_stream
 from paths import SF_SMALL
 
@@ -34,8 +34,7 @@ def test_gold_flows_stream_equals_batch(spark, scratch):
         src, ck, root = scratch("src"), scratch("ck"), scratch("gold")
         df.repartition(3).write.parquet(src)
         gold_stream(flow, file_stream(spark, src, schema=df.schema, max_files_per_trigger=1), root, ck)
-        t = CdcTarget(root=root, keys=flow.keys, sequence_by=flow.sequence_by, scd_type=flow.scd_type)
-        got = sorted(tuple(r) for r in read_target(spark, t).collect())
+        got = sorted(tuple(r) for r in read_target(spark, gold_target(flow, root)).collect())
         want = sorted(tuple(r) for r in gold_batch(flow, df).collect())
         assert got == want and len(got) > 0
     report = star_report(spark, {"factstream": gold_batch(FLOWS[3], facts),
