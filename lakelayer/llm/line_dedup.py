@@ -1,8 +1,8 @@
 """Line dedup by deletion neighbourhoods, in DataFrame code.
 
 Of all lines, ordered by (document id, hash of the document's text, line number), a line is removed if an equal line, or
-one within one character edit, stands earlier. Lines shorter than ``near_length`` characters are only compared for
-equality (1: every line takes part; the SQL of ``op10_line_dedup`` fixes 20), and empty lines are never removed.
+one within one character edit, stands earlier. Every line takes part, however short (``near_length`` can exempt short
+ones from the edit); empty lines are never removed.
 
 Two lines within one edit have a deletion variant in common: taking out the same position (a changed character), or the
 one line being the other without a character. Variants travel as 128-bit hashed keys with the earliest place per key, so
@@ -117,7 +117,7 @@ def near_lines(first: DataFrame, lines: DataFrame, near_length: int) -> DataFram
             .select("h1", "h2").distinct())
 
 
-def duplicate_lines(df: DataFrame, near_length: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def duplicate_lines(df: DataFrame, near_length: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, th (hash of its text), n_lines, n_removed, n_near (removed without an equal earlier
     line) and the removed line numbers in order."""
     h1, h2 = _hashes(F.col("line"))
@@ -157,7 +157,7 @@ def without_lines(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
                       for c in df.columns]))
 
 
-def line_dedup_query(df: DataFrame, near_length: int = 20) -> DataFrame:
+def line_dedup_query(df: DataFrame, near_length: int = 1) -> DataFrame:
     return duplicate_lines(df, near_length).select(
         "doc_id", "n_lines", "n_removed", "n_near",
         F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
@@ -170,10 +170,10 @@ WITH l AS (
                   unnest(range(len(string_split(d.text, chr(10))))) AS no) u),
 f AS (SELECT line, min(struct_pack(d := doc_id, n := no)) AS ord, length(line) AS n FROM l WHERE line <> '' GROUP BY line),
 k AS (
-  SELECT line, ord, n, n AS s, 0 AS j, substr(line, n // 2 + 1) AS key FROM f WHERE n >= 20
-  UNION ALL SELECT line, ord, n, n, 1, substr(line, 1, n // 2) FROM f WHERE n >= 20
-  UNION ALL SELECT line, ord, n, n - 1, 0, substr(line, (n - 1) // 2 + 2) FROM f WHERE n >= 20
-  UNION ALL SELECT line, ord, n, n - 1, 1, substr(line, 1, (n - 1) // 2) FROM f WHERE n >= 20),
+  SELECT line, ord, n, n AS s, 0 AS j, substr(line, n // 2 + 1) AS key FROM f
+  UNION ALL SELECT line, ord, n, n, 1, substr(line, 1, n // 2) FROM f
+  UNION ALL SELECT line, ord, n, n - 1, 0, substr(line, (n - 1) // 2 + 2) FROM f
+  UNION ALL SELECT line, ord, n, n - 1, 1, substr(line, 1, (n - 1) // 2) FROM f),
 p AS (
   SELECT DISTINCT a.line, b.line AS other, a.n AS n, b.n AS m FROM k a JOIN k b
   ON a.s = b.s AND a.j = b.j AND a.key = b.key AND b.ord < a.ord),
@@ -191,6 +191,3 @@ SELECT d.doc_id, count(t.no) AS n_lines, count(t.no) FILTER (again OR near) AS n
        coalesce(string_agg(t.no::VARCHAR, ',' ORDER BY t.no) FILTER (again OR near), '') AS removed_lines
 FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id GROUP BY d.doc_id
 """
-
-# the same without a least length
-EVERY_LINE_ORACLE = ORACLE.replace(" WHERE n >= 20", "")

@@ -35,7 +35,7 @@ BLANKS, BREAKS, ENDS = r"[ \t\r\f\x0B]+", r" ?\n[ \n]*", r"^[ \n]+|[ \n]+\z"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 LINK = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
 # a link's tag up to its end (a quoted value may hold >), its href or another quoted value, and its href
-ANCHOR = r"""(?i)<a\s(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+){0,1000}+"""
+ANCHOR = r"""(?i)<a\s(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
 QUOTED = r"""(?i)((?<=[\s"'])href\s*=\s*(?:"[^"]*"|'[^']*'))|=\s*(?:"[^"]*"|'[^']*')"""
 HREF = r"""(?i)(?<=[\s"'])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
 CRLF = "\r\n"

@@ -504,7 +504,7 @@ def test_lines_match_brute_force(spark):
             before += [line] if line else []
         want[d] = (0 if t is None else len(t.split("\n")), gone)
     df = spark.createDataFrame(rows, SCHEMA)
-    found = line_dedup.duplicate_lines(df)
+    found = line_dedup.duplicate_lines(df, near_length=20)
     got = {x.doc_id: (x.n_lines, list(x.removed)) for x in found.collect()}
     assert got == want
     clean = {x.doc_id: x.text for x in line_dedup.without_lines(df, found).collect()}
@@ -536,7 +536,7 @@ def test_short_lines_match_brute_force(spark):
     # the registered query takes the short lines in, too
     path = scratch_dir(spark, "lines")
     df.coalesce(1).write.parquet(f"{path}/documents.parquet")
-    assert {x.doc_id: tuple(x)[1:] for x in QUERIES["op10_line_dedup_every_line"](spark, path).collect()} == want
+    assert {x.doc_id: tuple(x)[1:] for x in QUERIES["op10_line_dedup"](spark, path).collect()} == want
 
 
 # ---- pipeline ----
@@ -585,3 +585,31 @@ def test_language_stage_needs_no_labels(spark):
     bare = c.language(spark, docs(spark).withColumn("lang", F.lit(None).cast("string")), SF)
     full = c.language(spark, docs(spark), SF)
     assert sorted(r.doc_id for r in bare.collect()) == sorted(r.doc_id for r in full.collect()) != []
+
+
+CLASH = {c: i for i, c in enumerate(["_text", "n_words", "items", "hit_spans", "_no_text", "_row", "_id", "_wth", "_wid", "_lang_pred",
+                                     "_lang_letter", "kept", "h", "corpus_pipeline_carried_columns2", "key"])}
+
+
+@pytest.mark.parametrize("name", ["language_id", "exact_dedup", "simhash_near_dedup", "decontamination"])
+def test_stages_keep_columns_of_any_name(spark, name):
+    import corpus_pipeline as c
+    rows = [(1, None), (2, ""), (3, "one"), (3, "one"), (None, "one"), (5, "an only text here"), (6, "x" * 3000), (None, None)]
+    df = spark.createDataFrame([(i, t, "en") for i, t in rows], SCHEMA + ", lang string").withColumns(
+        {k: F.lit(f"{k}-{v}") for k, v in CLASH.items()})
+    out = dict(c.STAGES)[name](spark, df, SF)
+    got = out.collect()
+    assert out.columns == df.columns and got
+    for r in got:
+        assert (r.doc_id, r.text) in rows and all(r[k] == f"{k}-{v}" for k, v in CLASH.items())
+    assert dict(c.STAGES)[name](spark, df.where("false"), SF).collect() == []
+    if name == "decontamination":
+        assert len(got) == len(rows)
+    if name == "exact_dedup":
+        assert sorted(r.doc_id or 0 for r in got) == [1, 3, 5, 6]
+
+
+def test_links_of_tags_with_many_attributes(spark):
+    from lakelayer.llm.warc import _links
+    html = "<a " + " ".join(f"data-{i}='{i}>'" for i in range(20_000)) + " href='/far'>x</a><a href=/near>y</a>"
+    assert spark.createDataFrame([(html,)], "html string").select(_links(F.col("html"))).first()[0] == ["/far", "/near"]
