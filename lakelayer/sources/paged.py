@@ -57,6 +57,25 @@ def _transport(spec: str):
     return getattr(importlib.import_module(mod), fn)
 
 
+def fetch_page(transport: str, url: str, retries: int = MAX_RETRIES, pause: float = RETRY_PAUSE_S) -> tuple:
+    """(status, error, body, records, total, next URL) of one page. Network and server errors, and a body that is no JSON
+    object, are tried again; after the last try the page is ``failed`` (with the body, if any) and links nowhere."""
+    fetch, body, error = _transport(transport), None, None
+    for attempt in range(retries):
+        try:
+            body = fetch(url)
+            doc = json.loads(body)
+            if not isinstance(doc, dict):
+                raise ValueError("the body is no JSON object")
+            nxt = next((l.get("url") for l in doc.get("link") or [] if l.get("relation") == "next"), None)
+            return "success", None, body, len(doc.get("entry") or []), int(doc.get("total") or 0), nxt
+        except Exception as exc:
+            error = str(exc)
+            if attempt + 1 < retries:
+                time.sleep(pause)
+    return "failed", error, body, 0, 0, None
+
+
 class _Request(InputPartition):
     def __init__(self, resource: str, day: str):
         super().__init__((resource, day))
@@ -82,28 +101,11 @@ class PagedApiReader(DataSourceReader):
         return [_Request(r, day) for r in self.resources for day in days]
 
     def read(self, partition: _Request):
-        fetch = _transport(self.transport)
         day = dt.date.fromisoformat(partition.day)
         url, page = request_url(self.base_url, partition.resource, day, self.page_size), 1
         while url:
-            body, doc, error = None, None, None
-            for attempt in range(self.retries):
-                try:
-                    body = fetch(url)
-                    doc = json.loads(body)
-                    if isinstance(doc, dict):
-                        break
-                    doc, error = None, "the body is no JSON object"
-                except Exception as exc:  # network / server errors, a body that is no JSON: retry, then give up
-                    doc, error = None, str(exc)
-                if attempt + 1 < self.retries:
-                    time.sleep(self.pause)
-            if doc is None:
-                yield (partition.resource, day, page, url, "failed", error, body, 0, 0, None)
-                return
-            nxt = next((l.get("url") for l in doc.get("link") or [] if l.get("relation") == "next"), None)
-            yield (partition.resource, day, page, url, "success", None, body, len(doc.get("entry") or []),
-                   int(doc.get("total") or 0), nxt)
+            status, error, body, records, total, nxt = fetch_page(self.transport, url, self.retries, self.pause)
+            yield (partition.resource, day, page, url, status, error, body, records, total, nxt)
             url, page = nxt, page + 1
 
 
@@ -131,6 +133,65 @@ def fetch_pages(spark: SparkSession, base_url: str, start: str, end: str, transp
             .option("retry_pause_s", str(retry_pause_s)).load())
 
 
+REQUEST_SCHEMA = "resource string, day date, page_number int, url string"
+
+
+def crawl(spark: SparkSession, requests: DataFrame, root: str, transport: str, tasks: int = 32,
+          max_retries: int = MAX_RETRIES, retry_pause_s: float = RETRY_PAUSE_S) -> DataFrame:
+    """Fetch the pages of ``requests`` (resource, day, url) and all that they link to, resumably; returns the page rows.
+
+    Requests are files under ``root``, and a stream over that folder is the memory of what was asked: its offsets
+    say which (resource, day, link) are done. Each micro-batch fetches one page for every new request, in ``tasks`` tasks,
+    stores the pages, and files their ``next`` links as new requests, until no page links on. After a failure, also
+    of the driver, the same call goes on where it stopped: stored pages are not fetched again, and a batch whose
+    pages were stored only files its links once more. Requests are taken from ``requests`` at the first call only.
+    """
+    from pyspark.sql import functions as F
+    root = root.rstrip("/")
+    asked, pages = f"{root}/requests", f"{root}/pages"
+
+    def stored(path: str) -> bool:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+    if not stored(f"{asked}/from=first"):
+        (requests.select("resource", F.col("day").cast("date").alias("day"), F.lit(1).alias("page_number"), "url")
+         .write.mode("overwrite").parquet(f"{asked}/from=first"))
+
+    def fetch(batches):
+        import pyarrow as pa
+        for b in batches:
+            for r in b.to_pylist():
+                got = fetch_page(transport, r["url"], max_retries, retry_pause_s)
+                row = (r["resource"], r["day"], r["page_number"], r["url"], *got)
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    schema = spark.createDataFrame([], PAGE_SCHEMA).schema
+    arrow = to_arrow_schema(schema)
+    names, types = arrow.names, arrow.types
+    followed = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        mine, links = f"{pages}/batch={batch_id}", f"{asked}/from={batch_id}"
+        if not stored(mine):
+            batch.repartition(tasks).mapInArrow(fetch, schema).write.mode("overwrite").parquet(mine)
+        onward = spark.read.schema(schema).parquet(mine).where("next_url IS NOT NULL").select(
+            "resource", "day", (F.col("page_number") + 1).alias("page_number"), F.col("next_url").alias("url"))
+        if not stored(links):
+            onward.coalesce(1).write.mode("overwrite").parquet(links)
+        followed.append(not onward.isEmpty())
+
+    while True:
+        followed.clear()
+        q = (spark.readStream.schema(REQUEST_SCHEMA).parquet(f"{asked}/from=*").writeStream.foreachBatch(each)
+             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+        if not any(followed):
+            break
+    return spark.read.schema(schema).parquet(f"{pages}/batch=*")
+
+
 def land_pages(spark: SparkSession, pages: DataFrame, root: str, run_id: str) -> DataFrame:
     """Fetch once, then write the raw layer and append the audit rows.
 

@@ -58,12 +58,11 @@ def test_no_boolean_number_conversion(spark):
     assert convert_types(df, {"s": "boolean"}).first().s is True
 
 
-def test_pretty_printed_page_is_one_document_and_a_cut_page_raises(spark, scratch):
+def test_pretty_printed_page_is_one_document_and_a_cut_page_is_quarantined(spark, scratch):
     import json
 
-    import pytest
     from lakelayer.sinks.tables import write_raw_pages
-    from lakelayer.sources.bundles import entries, read_pages
+    from lakelayer.sources.bundles import entries, failed_pages, page_audit, read_pages
     page = json.dumps({"resourceType": "Bundle", "total": 1,
                        "entry": [{"resource": {"resourceType": "Patient", "id": "p1"}}]}, indent=2)
     path = scratch("pretty")
@@ -72,9 +71,13 @@ def test_pretty_printed_page_is_one_document_and_a_cut_page_raises(spark, scratc
     pages = read_pages(spark, path)
     assert pages.count() == 1 and entries(pages).count() == 1
     cut = scratch("cut")
-    write_raw_pages(df.selectExpr("resource", "date", "substring(body, 1, 60) AS body"), cut)
-    with pytest.raises(Exception):
-        entries(read_pages(spark, cut)).collect()
+    write_raw_pages(df.selectExpr("resource", "date", "substring(body, 1, 60) AS body").union(df), cut)
+    mixed = read_pages(spark, cut)
+    assert [r.resource.id for r in entries(mixed).collect()] == ["p1"]
+    audit = page_audit(mixed, "run").orderBy("status").collect()
+    assert [(r.status, r.records_on_page, r.error_message is None) for r in audit] == [("failed", 0, False), ("success", 1, True)]
+    assert failed_pages(mixed).first().body.startswith("{") and failed_pages(mixed).count() == 1
+    assert read_pages(spark, cut, resource="Patient").where("_corrupt_record IS NOT NULL").count() == 1
 
 
 def test_watermark_keeps_the_newest_record(spark, scratch):
