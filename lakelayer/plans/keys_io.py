@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from lakelayer.functions import record_hash
 from lakelayer.operators.dedup import first_seen, latest_per_key
 from lakelayer.operators.quality import expect_all_or_drop
-from lakelayer.operators.scd import (changed_ids, current_rows, ids_to_insert, key_states_by_day, new_ids,
-                                     scd2_bootstrap, scd2_hash_history, scd2_hash_merge_parts)
+from lakelayer.operators.scd import (current_rows, key_states_by_day, scd2_bootstrap, scd2_hash_history,
+                                     scd2_hash_merge_parts)
 from lakelayer.plans.keys_batch import RULES, SCD1_SQL, SCD2_SQL, _STAGED_SQL, staged_events
 from lakelayer.plans.registry import query
 from lakelayer.plans.roles import table
@@ -220,38 +220,7 @@ def q_scd2_current(spark, d):
     return current_rows(hist).select("user_id", "event_type", "record_version")
 
 
-CUTOFF = "2024-01-11"
-_CUT_SQL = f"""WITH {_DAYS_SQL},
-lastv AS (SELECT user_id, arg_max(event_type, day) AS event_type FROM d WHERE day < DATE '{CUTOFF}'
-          GROUP BY user_id),
-b AS (SELECT user_id, event_type FROM d WHERE day = DATE '{CUTOFF}'),
-chg AS (SELECT b.user_id FROM b JOIN lastv ON b.user_id = lastv.user_id WHERE b.event_type <> lastv.event_type),
-nw AS (SELECT DISTINCT user_id FROM b WHERE user_id NOT IN (SELECT user_id FROM d WHERE day < DATE '{CUTOFF}'))"""
-
-
-def _cut(spark, d):
-    snaps = daily_snapshots(spark, d)
-    cut = F.lit(CUTOFF).cast("date")
-    silver = scd2_hash_history(snaps.filter(F.col("ingest_date") < cut), "user_id", clock=_clock)
-    return silver, snaps.filter(F.col("ingest_date") == cut)
-
-
-@query("scd2_changed_ids", oracle=_CUT_SQL + " SELECT user_id FROM chg")
-def q_changed_ids(spark, d):
-    return changed_ids(*_cut(spark, d), "user_id")
-
-
-@query("scd2_new_ids", oracle=_CUT_SQL + " SELECT user_id FROM nw")
-def q_new_ids(spark, d):
-    return new_ids(*_cut(spark, d), "user_id")
-
-
-@query("scd2_ids_to_insert", oracle=_CUT_SQL + " SELECT user_id FROM chg UNION SELECT user_id FROM nw")
-def q_ids_to_insert(spark, d):
-    return ids_to_insert(*_cut(spark, d), "user_id")
-
-
-# the same ids for the batch of every day, each against the state before it
+# ids that the batch of every day brings or changes, each against the state before it
 _BY_DAY_SQL = f"""WITH {_DAYS_SQL},
 p AS (SELECT *, lag(day) OVER w AS prev_day, lag(event_type) OVER w AS prev FROM d WHERE user_id IS NOT NULL
       WINDOW w AS (PARTITION BY user_id ORDER BY day)),

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakelayer.operators.columns import dropping, with_ingest_metadata
 from lakelayer.operators.scd import scd1_apply
