@@ -53,7 +53,7 @@ def file_stream(spark: SparkSession, source: str, schema: T.StructType | None =
 
 
 def run_rescued(spark: SparkSession, source: str, declared: T.StructType, target: str, checkpoint: str,
-                max_files_per_trigger: int | None = None, transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamRun:
+                max_files_per_trigger: int = 1000, transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamRun:
     """Append new files of a folder to ``target``, whatever the physical types of their columns.
 
     A file stream reads all files by one schema and ends at a file whose column has another type. This one streams the
@@ -61,9 +61,7 @@ def run_rescued(spark: SparkSession, source: str, declared: T.StructType, target
     partition of the target, so a batch that runs again adds nothing. Read the target with ``read_rescued_table``.
     """
     names = (spark.readStream.schema("path string, modificationTime timestamp, length long, content binary")
-             .format("binaryFile").option("pathGlobFilter", "*.parquet"))
-    if max_files_per_trigger:
-        names = names.option("maxFilesPerTrigger", str(max_files_per_trigger))
+             .format("binaryFile").option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", str(max_files_per_trigger)))
     rows: dict[int, int] = {}
 
     def each(batch: DataFrame, batch_id: int) -> None:

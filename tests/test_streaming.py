@@ -154,3 +154,19 @@ def test_target_with_untracked_columns_deletes_and_added_columns(spark, scratch)
     want = scd2_apply(everything, ["k"], "seq", track_except=["seq", "w", "extra"], delete_when="v = 'DEL'")
     got = read_target(spark, t)
     assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_state_of_dedup_within_a_delay_is_released(spark, scratch):
+    """Every batch brings new keys an hour later; with a delay of ten minutes the state holds a batch's keys or so, not all."""
+    from lakelayer.operators.dedup import first_seen
+    src, out, ck = scratch("src"), scratch("out"), scratch("ck")
+    for b in range(6):
+        rows = [(1000 * b + i % 50, T0 + dt.timedelta(hours=b, seconds=i), "v") for i in range(100)]
+        spark.createDataFrame(rows, SCHEMA).selectExpr("k", "CAST(seq AS timestamp) AS seq", "v").coalesce(1).write.mode("append").parquet(src)
+    stream = file_stream(spark, src, max_files_per_trigger=1)
+    q = (first_seen(stream, ["k"], event_time="seq", delay="10 minutes").writeStream.format("parquet")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert spark.read.parquet(out).count() == 300 and held[-1] <= 100
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
