@@ -12,8 +12,8 @@ Per micro-batch:
    folders of its keys are read, and only files and pages that can hold them when they are few (pushed filters);
 2. stored and new points of these keys are scanned once in order, in segments, so one key may hold any share of the rows;
 3. new points and the points before them are written as a run, and one record makes the run visible;
-4. runs are merged geometrically: while the newest run has at least half the rows of the one before it, the
-   two become one. So there are about log2(rows) runs and a row is rewritten about as often.
+4. runs are merged geometrically: when the newest few (``FAN``) each have, with those behind them, at least half the rows
+   of the one before, they become one. So there are about log2(rows) runs and a row is rewritten at most about as often.
 
 A batch is recorded under its source (the stream's checkpoint) and number: a batch that is applied again after
 its record is left out, one that failed before its record is computed again from the same runs. Stored runs are never
@@ -38,6 +38,7 @@ from lakelayer.sinks.schemas import conform, grow_schema, stored_schema
 BUCKET, NEXT, BATCH, TOUCHED = "_ll_bucket", "_ll_next", "_ll_batch", "_ll_touched"
 RUN = "number long, first long, last long, rows long, source string, batch long, read long, path string"
 RUN_FIELDS = [f.split()[0] for f in RUN.split(", ")]
+FAN = 4                    # so many runs are merged at once, or more
 FEW_KEYS = 1000            # up to so many keys of a batch are pushed into the scan as values
 
 
@@ -215,19 +216,21 @@ def _merged(t: CdcTarget, both: DataFrame, columns: T.StructType) -> DataFrame:
 
 
 def merge_runs(spark: SparkSession, t: CdcTarget, log: list | None = None, columns: T.StructType | None = None) -> int:
-    """Merge the newest runs while one has at least half the rows of the run before it; returns the live runs left."""
+    """Merge the newest runs, each with at least half the rows of the run before it, once there are ``FAN`` of them;
+    returns the live runs left."""
     log = _log(spark, t) if log is None else log
     columns = stored_schema(spark, t.path("schema")) if columns is None else columns
     live = runs(spark, t, log)
     n = len(live)
     while n > 1 and 2 * sum(r["rows"] for r in live[n - 1:]) >= live[n - 2]["rows"]:
         n -= 1
-    if n < len(live):                                  # the runs from n - 1 on become one
-        tail = live[n - 1:]
-        number = max(r["number"] for r in log) + 1
-        path = t.path(f"runs/{number:012d}")
-        rows = _write(_newest(t, _stored(spark, t, tail, columns)), path, t)
-        _record(spark, t, log, number=number, first=tail[0]["first"], last=tail[-1]["last"], rows=rows, path=path)
+    tail = live[n - 1:]
+    if len(tail) < FAN:
+        return len(live)
+    number = max(r["number"] for r in log) + 1
+    path = t.path(f"runs/{number:012d}")
+    rows = _write(_newest(t, _stored(spark, t, tail, columns)), path, t)
+    _record(spark, t, log, number=number, first=tail[0]["first"], last=tail[-1]["last"], rows=rows, path=path)
     return n
 
 
