@@ -265,8 +265,8 @@ def test_contamination_blocks_and_edges(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma"), (1, "alpha beta gamma"), (2, None), (3, "!!"), (None, "solo"),
                                    (10, " ".join(f"k{i}" for i in range(14)))], "item_id long, text string")
     rows = EDGE + [(20, "so ALPHA, beta: gamma. alpha beta"), (21, " ".join(f"k{i}" for i in range(2, 14))), (22, "solo solo")]
-    for block in (200_000, 2):
-        got = {r.doc_id: r for r in decontaminate.contamination(edge(spark, rows), items, block_windows=block).collect()}
+    for bits in (1 << 26, 64):                 # with 64 bits the filter passes nearly every shingle on
+        got = {r.doc_id: r for r in decontaminate.contamination(edge(spark, rows), items, filter_bits=bits).collect()}
         assert (got[20].n_words, got[20].n_hit, got[20].n_items) == (6, 3, 1)
         assert (got[21].n_hit, got[21].items_sha256) == (12, hashlib.sha256(b"10").hexdigest())
         assert (got[22].n_hit, got[22].n_items) == (2, 1) and got[22].items_sha256 == hashlib.sha256(b"").hexdigest()
@@ -275,6 +275,39 @@ def test_contamination_blocks_and_edges(spark):
     assert decontaminate.contamination(edge(spark), items.limit(0)).where("contaminated").count() == 0
 
 
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def test_contamination_equals_brute_force(spark):
+    r = random.Random(8)
+    vocab = ["a", "B", "c", "É", "日本", "x" * 300_000]       # a word longer than what is hashed at once
+
+    def text(n):
+        return "".join(r.choice(vocab[:5]) + r.choice([" ", "  ", ", ", "\n", "-"]) for _ in range(n))
+    items = [(i, text(r.choice([0, 1, 2, 3, 5, 6, 7]))) for i in range(40)] + [(40, f"a {vocab[5]} c"), (41, "a " * 40)]
+    rows = [(i, text(r.randint(0, 60))) for i in range(80)]
+    rows += [(80, f"B a {vocab[5].upper()} c"), (81, f"a {vocab[5]}x c"), (82, "a " * 70), (82, "a " * 70), (83, None)]
+    df = spark.createDataFrame([(i, t, i, "kept", "own") for i, t in rows],
+                               "doc_id long, text string, n_words long, key string, items string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_windows(df, bench, window=4, filter_bits=1 << 16).collect()
+    assert len(got) == len(rows)
+    wanted = [(i, w[s:s + 4]) for i, t in items if (w := words(t)) for s in range(max(1, len(w) - 3))]
+    texts = dict(rows)
+    for row in got:
+        w = words(texts[row.doc_id])
+        hit, names = set(), set()
+        for i, win in wanted:
+            for s in range(len(w) - len(win) + 1):
+                if w[s:s + len(win)] == win:
+                    hit.update(range(s, s + len(win)))
+                    names.add(str(i))
+        assert row.key == "kept" and row.n_words == len(w) and row["items"] == sorted(names)
+        assert [p for s in row.hit_spans for p in range(s.start, s.stop)] == sorted(hit)
+        assert all(a.stop < b.start for a, b in zip(row.hit_spans, row.hit_spans[1:]))
+
+
 # ---- 6 and 8 tokens ----
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
