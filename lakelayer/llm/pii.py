@@ -2,6 +2,8 @@
 
 The base spans are exact. The model (numpy) learns from windows of a bounded sample labelled with those spans, and with
 two rewritings of them that the patterns miss (a phone number without its plus sign, a card number grouped with dots).
+Whether a number of 10 to 19 digits outside those spans is personal data is not known, so its characters are masked in the
+loss: the likelihood sums over all their labels.
 Every kind of span holds a digit or an at sign, so the label sequence of a window without either is all "outside" by
 constraint, and only windows with one are scored. Overlapping windows are reconciled over the whole text: neighbouring
 windows form a region, a character's scores are the mean of its windows' scores weighted by the distance to their edges,
@@ -33,6 +35,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_NUMBER = re.compile(r"\+?[0-9](?:[ ().-]{0,3}[0-9])+")
 
 
 def luhn(digits: str) -> bool:
@@ -113,6 +116,15 @@ def tags_of(spans: list[tuple[str, int, int]], n: int) -> np.ndarray:
     return tags
 
 
+def masked_tags(text: str, spans: list[tuple[str, int, int]]) -> np.ndarray:
+    """``tags_of`` with -1 (unknown) on numbers of 10 to 19 digits that touch no span."""
+    tags = tags_of(spans, len(text))
+    for m in _NUMBER.finditer(text):
+        if 10 <= len(_digits(m[0])) <= 19 and not tags[m.start():m.end()].any():
+            tags[m.start():m.end()] = -1
+    return tags
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -161,18 +173,25 @@ class BiLstmCrf:
         both = np.concatenate([hf, hb], axis=2)
         return both @ self.p["out"] + self.p["bias"], both, (sf, sb)
 
+    def _paths(self, emit: np.ndarray):
+        """Posteriors, normalisers and label pairs of windows of equal length."""
+        return forward_backward(emit, np.full(emit.shape[1], emit.shape[0]), self.trans(), self.p["first"])
+
+    @staticmethod
+    def _given(emit: np.ndarray, tags: np.ndarray) -> np.ndarray:
+        """Scores that leave only the given labels, and every label where the tag is unknown (-1)."""
+        other = (tags[..., None] >= 0) & (tags[..., None] != np.arange(LABELS))
+        return np.where(other, emit - 1000.0, emit)
+
     def gradients(self, codes: np.ndarray, tags: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradient of the mean log-likelihood per character of windows (time, lane)."""
-        steps, lanes = codes.shape
+        """Gradient of the mean log-likelihood per character of windows (time, lane); unknown tags are summed over."""
         emit, both, saved = self.scores(codes, keep=True)
-        post, _, pairs = forward_backward(emit, np.full(lanes, steps), self.trans(), self.p["first"])
-        d = -post
-        t, n = np.indices(tags.shape)
-        d[t, n, tags] += 1
-        d /= tags.size
+        post, _, pairs = self._paths(emit)
+        gold, _, gold_pairs = self._paths(self._given(emit, tags))
+        d = (gold - post) / tags.size
         g = {"out": both.reshape(-1, both.shape[2]).T @ d.reshape(-1, LABELS), "bias": d.sum(axis=(0, 1)),
-             "trans": -pairs / tags.size, "first": d[0].sum(axis=0)}
-        np.add.at(g["trans"], (tags[:-1], tags[1:]), 1 / tags.size)
+             "trans": (gold_pairs - pairs) / tags.size, "first": d[0].sum(axis=0)}
+        lanes = codes.shape[1]
         g["trans"][~self.allowed] = 0
         dh = d @ self.p["out"].T
         for k, (way, part) in enumerate(zip("fb", saved)):
@@ -192,12 +211,8 @@ class BiLstmCrf:
 
     def likelihood(self, codes: np.ndarray, tags: np.ndarray) -> float:
         """Mean log-likelihood per character of windows (window, time)."""
-        t = tags.T
         emit = self.scores(codes.T)[0]
-        step, lane = np.indices(t.shape)
-        gold = emit[step, lane, t].sum() + self.p["first"][t[0]].sum() + self.trans()[t[:-1], t[1:]].sum()
-        logz = forward_backward(emit, np.full(t.shape[1], t.shape[0]), self.trans(), self.p["first"])[1]
-        return float((gold - logz.sum()) / t.size)
+        return float((self._paths(self._given(emit, tags.T))[1] - self._paths(emit)[1]).sum() / tags.size)
 
     def train(self, codes: np.ndarray, tags: np.ndarray, rounds: int, batch: int, rate: float,
               held: tuple[np.ndarray, np.ndarray] | None = None, most: int = 0) -> None:
@@ -349,7 +364,7 @@ def fit(df: DataFrame, sample_rows: int = 3000, most_windows: int = 3000, window
             texts, labels = [], []
             for t in b.column(1).to_pylist():
                 for text, spans in [(t, base := base_spans(t)), _rewrites(t, base)]:
-                    tags = tags_of(spans, len(text))
+                    tags = masked_tags(text, spans)
                     marks = [m.start() for m in re.finditer(r"[0-9@]+", text)]
                     for m in marks[::max(1, len(marks) // 2)][:2]:
                         s = max(0, min(m - window // 2, len(text) - window))
@@ -362,7 +377,7 @@ def fit(df: DataFrame, sample_rows: int = 3000, most_windows: int = 3000, window
     got = [(r["t"], r["y"]) for r in rows.where(place).limit(2 * sample_rows)
            .mapInArrow(cut, "t string, y array<long>").toLocalIterator()]
     got = sorted(got, key=lambda x: hashlib.md5(x[0].encode("utf-8", "surrogatepass")).digest())[:most_windows]
-    if not any(any(y) for _, y in got):
+    if not any(max(y, default=0) > 0 for _, y in got):
         return None
     codes, tags = np.full((len(got), window), 95), np.zeros((len(got), window), np.int64)
     for k, (t, y) in enumerate(got):

@@ -440,7 +440,8 @@ def test_model_learns_and_adds(spark):
     assert pii.personal_data(empty(spark), model).count() == 0
 
 
-def test_defaults_add_numbers_off_the_patterns(spark):
+@pytest.mark.parametrize("inside", [False, True])          # whether the model learns from the planted rows, too
+def test_defaults_add_numbers_off_the_patterns(spark, inside):
     d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     r = random.Random(3)
     filler = d.where("text rlike '^[^0-9@]+$'").orderBy("doc_id").limit(300).select("text").collect()
@@ -456,7 +457,7 @@ def test_defaults_add_numbers_off_the_patterns(spark):
             assert not pii.base_spans(t)
             want[-1 - i] = f"{('phone', 'card')[i % 10]}:{t.index(n)}:{t.index(n) + len(n)}"
     df = spark.createDataFrame(rows, SCHEMA)
-    model = pii.fit(d)
+    model = pii.fit(d.union(df) if inside else d)
     got = {x.doc_id: x for x in pii.personal_data(df, model).collect()}
     for kind in ("phone", "card"):
         mine = [i for i, w in want.items() if w.startswith(kind)]
@@ -464,6 +465,28 @@ def test_defaults_add_numbers_off_the_patterns(spark):
     assert sum(got[i].n_added for i, _ in rows if i not in want) == 0
 
 
+def test_unknown_tags_are_summed_over():
+    m = pii.BiLstmCrf(hidden=3)
+    r = np.random.default_rng(1)
+    m.p["trans"] = r.normal(0, 0.5, m.p["trans"].shape)
+    codes, tags = r.integers(0, 98, (1, 5)), np.array([[0, -1, -1, 0, 3]])
+    filled = [np.array([[0, a, b, 0, 3]]) for a in range(pii.LABELS) for b in range(pii.LABELS)]
+    want = np.logaddexp.reduce([5 * m.likelihood(codes, t) for t in filled])
+    assert np.isclose(5 * m.likelihood(codes, tags), want)
+    g = m.gradients(codes.T, tags.T)
+    for k in ("out", "trans", "rf", "xb"):
+        flat = m.p[k].reshape(-1)
+        for i in np.argsort(-np.abs(g[k].reshape(-1)))[:3]:
+            old, flat[i] = flat[i], flat[i] + 1e-5
+            up = m.likelihood(codes, tags)
+            flat[i] = old - 1e-5
+            down = m.likelihood(codes, tags)
+            flat[i] = old
+            assert np.isclose((up - down) / 2e-5, g[k].reshape(-1)[i], rtol=1e-3, atol=1e-7), k
+    assert pii.masked_tags("a 123 456-7890 b", []).tolist() == [0, 0] + [-1] * 12 + [0, 0]
+    assert pii.masked_tags("12345678901", [("phone", 0, 11)]).min() > 0 and pii.masked_tags("1234567 1/2", []).max() == 0
+
+
 def test_gradients_match_differences():
     m = pii.BiLstmCrf(hidden=3)
     r = np.random.default_rng(0)
