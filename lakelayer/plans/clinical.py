@@ -89,20 +89,29 @@ def _page(key: Column, per_page: int) -> Column:
     return F.call_function("div", key, F.lit(per_page))
 
 
-def _by_page(df: DataFrame, key: Column, per_page: int) -> DataFrame:
+ROWS_PER_TASK = 250_000    # rendered entries that one task groups into pages
+
+
+def _page_tasks(df: DataFrame) -> int:
+    """Tasks that ``df`` is dealt to by page. The count comes from the file footers; without it AQE would size the tasks by
+    the narrow source rows, a tenth of the text they become, and the grouping would spill that text."""
+    return -(-df.count() // ROWS_PER_TASK) or 1
+
+
+def _by_page(df: DataFrame, key: Column, per_page: int, tasks: int) -> DataFrame:
     """Hash-partition the source rows by page before rendering them.
 
     Grouping entries into pages needs this shuffle anyway; doing it first lets
     the per-entry JSON rendering run on every task instead of on the scan tasks.
     """
-    return df.repartition(_page(key, per_page))
+    return df.repartition(tasks, _page(key, per_page))
 
 
 def patient_resources(spark: SparkSession, d: str) -> DataFrame:
     c, n, r = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
     k = F.col("c_custkey")
-    j = _by_page(j, k, PAGE_SIZE)
+    j = _by_page(j, k, PAGE_SIZE, _page_tasks(c))
     name = F.when(k % 5 == 0, F.lit(None)).otherwise(F.array(F.struct(
         F.col("c_name").alias("family"),
         F.when(k % 3 == 0, F.array().cast("array<string>"))
@@ -128,7 +137,8 @@ def patient_resources(spark: SparkSession, d: str) -> DataFrame:
 
 def encounter_resources(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
-    o = _by_page(table(spark, d, "orders"), k, PAGE_SIZE)
+    o = table(spark, d, "orders")
+    o = _by_page(o, k, PAGE_SIZE, _page_tasks(o))
     subject = F.when(k % 11 == 0, F.lit(None)).otherwise(F.struct(
         F.when(k % 13 == 0, F.concat(F.lit(f"{BASE_URL}/Patient/"), F.col("o_custkey").cast("string")))
         .otherwise(F.concat(F.lit("Patient/"), F.col("o_custkey").cast("string"))).alias("reference")))
@@ -145,10 +155,14 @@ def encounter_resources(spark: SparkSession, d: str) -> DataFrame:
                     res.alias("res"))
 
 
-def _line_orders(spark, d) -> DataFrame:
+def _lines_by_page(spark, d, per_page: int) -> DataFrame:
+    """Lines with their order, by page. Both tables are dealt by page first, so the join and the grouping into pages move
+    the lines no second time."""
     li = table(spark, d, "lineitem")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    tasks, line, order = _page_tasks(li), F.col("l_orderkey"), F.col("o_orderkey")
+    return _by_page(li, line, per_page, tasks).join(
+        _by_page(o, order, per_page, tasks), (_page(line, per_page) == _page(order, per_page)) & (line == order), "inner")
 
 
 def _refs():
@@ -157,7 +171,7 @@ def _refs():
 
 
 def observation_resources(spark: SparkSession, d: str) -> DataFrame:
-    j = _by_page(_line_orders(spark, d), F.col("l_orderkey"), 8)
+    j = _lines_by_page(spark, d, 8)
     subj, enc = _refs()
     day = _role(OBSERVATION, "effective_datetime")
     line2 = F.col("l_linenumber") == 2
@@ -178,7 +192,7 @@ def observation_resources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def condition_resources(spark: SparkSession, d: str) -> DataFrame:
-    j = _by_page(_line_orders(spark, d), F.col("l_orderkey"), PAGE_SIZE)
+    j = _lines_by_page(spark, d, PAGE_SIZE)
     subj, enc = _refs()
     res = F.struct(
         F.lit("Condition").alias("resourceType"), _role(CONDITION, "condition_id").alias("id"),
@@ -236,7 +250,12 @@ def synth_raw(spark: SparkSession, d: str, raw_root: str, day: str = "2024-01-01
             res = adjust(r, res)
         p = bundle_pages(res, day)
         out = p if out is None else out.unionByName(p)
-    write_raw_pages(out, raw_root)
+    land_pages(out, raw_root)
+
+
+def land_pages(pages: DataFrame, raw_root: str) -> None:
+    """Write grouped pages from the tasks that grouped them, compressed: their text is neither moved nor stored plainly."""
+    write_raw_pages(pages, raw_root, compression="gzip", gather=False)
 
 
 # ── oracle text for the flatteners ───────────────────────────────────────────

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelayer.operators.flatten import RESOURCES, flatten
-from lakelayer.plans.clinical import RESOURCE_BUILDERS, Context, bundle_pages, flat_sql, run_medallion, synth_raw
+from lakelayer.plans.clinical import RESOURCE_BUILDERS, Context, bundle_pages, flat_sql, land_pages, run_medallion, synth_raw
 from lakelayer.plans.keys_batch import summary_sql
 from lakelayer.plans.registry import query
 from lakelayer.plans.roles import OBSERVATION, CONDITION
 from lakelayer.session import run_concurrently, scratch_dir
-from lakelayer.sinks.tables import write_raw_pages
 from lakelayer.sources.bundles import entries, page_audit, page_totals, read_pages
 
 DAY = "2024-01-01"
@@ -94,7 +93,7 @@ def q_page_landing(spark, d):
         pages = p if pages is None else pages.unionByName(p)
     cut = F.when(F.col("page") % 13 == 5, F.expr("substring(body, 1, CAST(length(body) / 2 AS int))")).otherwise(F.col("body"))
     raw = scratch_dir(spark, "raw")
-    write_raw_pages(pages.withColumn("body", cut), raw)
+    land_pages(pages.withColumn("body", cut), raw)
     landed = read_pages(spark, raw)
     audit = page_audit(landed, run_id="landing").groupBy("resource_name", "ingest_date", "status").agg(
         F.count(F.lit(1)).alias("pages"))
