@@ -150,9 +150,11 @@ def encounter(spark: SparkSession, sf_dir: str, with_audit: bool = True) -> Data
 
 
 def _line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their order, joined by the key as the text it becomes (``encounter_id``): a later join by that id
+    finds the rows where they lie."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    return li.join(o, li.l_orderkey.cast("string") == o.o_orderkey.cast("string"), "inner")
 
 
 def observation(spark: SparkSession, sf_dir: str, with_audit: bool = True) -> DataFrame:

@@ -59,3 +59,14 @@ def test_tasks_that_group_pages_grow_with_the_rows(spark, tables, monkeypatch):
     assert clinical.observation_resources(spark, tables).rdd.getNumPartitions() == 4
     assert clinical.patient_resources(spark, tables).rdd.getNumPartitions() == 1
     assert clinical._page_tasks(roles.table(spark, tables, "lineitem").limit(0)) == 1
+
+
+@pytest.mark.parametrize("name", ["gold_observation", "gold_condition"])
+def test_facts_find_their_visit_where_their_order_put_them(spark, tables, no_broadcast, name):
+    from lakelayer.plans import gold
+    role = name.removeprefix("gold_")
+    got = gold.build(name, {r: roles.ROLE_FRAMES[r](spark, tables) for r in (role, "encounter", "patient")})
+    by_visit = [x for x in exchanges(got) if "encounter_id" in x or "orderkey" in x]
+    assert len(by_visit) == 3, by_visit                               # lines, their orders and the visits, each once
+    rows = got.selectExpr("count(*) AS n", "count(enc_class) AS visits", "count(patient_name) AS people").first()
+    assert tuple(rows) == (400, 400, 400)
