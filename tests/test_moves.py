@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakelayer.plans import clinical, roles
 from lakelayer.sources.bundles import entries, read_pages
@@ -70,3 +71,18 @@ def test_facts_find_their_visit_where_their_order_put_them(spark, tables, no_bro
     assert len(by_visit) == 3, by_visit                               # lines, their orders and the visits, each once
     rows = got.selectExpr("count(*) AS n", "count(enc_class) AS visits", "count(patient_name) AS people").first()
     assert tuple(rows) == (400, 400, 400)
+
+
+def test_range_join_does_not_move_its_pairs(spark, no_broadcast):
+    """A hundred rows meet a hundred intervals each: no exchange sees the ten thousand pairs."""
+    from lakelayer.operators.ranges import range_join
+    f = spark.range(100).selectExpr("id", "500 + id AS v", "map('k', id) AS m").alias("f")
+    s = spark.range(100).selectExpr("id AS sid", "id % 2 AS h", "id AS lo", "1000 + id AS hi").alias("s")
+    for cond, how, n in ((None, "left", 10_000), (F.expr("f.id % 4 = s.h"), "left", 2_550), (None, "inner", 10_000)):
+        got = range_join(f, s, F.expr("f.v"), F.expr("s.lo"), F.expr("s.hi"), "s", cond, how)
+        rows = got.select("f.id", "s.sid").collect()
+        assert len(rows) == n and set(got.columns) == {"id", "v", "m", "sid", "h", "lo", "hi"}
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0].splitlines()
+        above = [x for x in final[:next(i for i, x in enumerate(final) if "SortMergeJoin" in x)] if "Exchange" in x]
+        assert not above, plan
