@@ -147,7 +147,11 @@ def q_scd2_hash_multi(spark, d):
 
 def hash_daily_loop(spark: SparkSession, snaps: DataFrame, key: str, root: str) -> DataFrame:
     """Apply the daily hash merge day after day; each day writes its closed rows and a new
-    current generation (``HistoryStore``), so a day costs current rows + batch."""
+    current generation (``HistoryStore``), so a day costs current rows + batch. The snapshots are made once and kept by
+    day; otherwise every day would make its own from the whole input."""
+    kept = scratch_dir(spark, "snapshots")
+    replace_partitions(snaps, kept, ["ingest_date"])
+    snaps = spark.read.schema(snaps.schema).parquet(kept).select(*snaps.columns)
     bounds = snaps.agg(F.min("ingest_date").alias("s"), F.max("ingest_date").alias("e")).first()
     store = HistoryStore(root)
     if bounds["s"] is None:

@@ -86,3 +86,25 @@ def test_range_join_does_not_move_its_pairs(spark, no_broadcast):
         final = plan.split("== Initial Plan ==")[0].splitlines()
         above = [x for x in final[:next(i for i, x in enumerate(final) if "SortMergeJoin" in x)] if "Exchange" in x]
         assert not above, plan
+
+
+def test_daily_loop_makes_its_snapshots_once(spark, scratch):
+    """Whatever making the snapshots costs, it is paid once and not for every day."""
+    from lakelayer.operators.scd import scd2_hash_history
+    from lakelayer.plans.keys_io import HASH_OUT, hash_daily_loop
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = [(u, f"2024-01-0{day}", "ab"[(u * day) % 2]) for u in range(5) for day in (1, 2, 4)] + [(None, "2024-01-02", "a"), (9, None, "a")]
+    snaps = (spark.createDataFrame(rows, "user_id long, day string, event_type string")
+             .selectExpr("user_id", "CAST(day AS date) AS ingest_date", "event_type", "event_type AS record_hash"))
+    got = hash_daily_loop(spark, snaps.mapInArrow(count, snaps.schema), "user_id", scratch("silver")).select(*HASH_OUT)
+    assert made.value == len(rows)
+    want = scd2_hash_history(snaps.where("user_id IS NOT NULL AND ingest_date IS NOT NULL"), "user_id").select(*HASH_OUT)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    empty = hash_daily_loop(spark, snaps.limit(0), "user_id", scratch("silver"))
+    assert empty.count() == 0 and set(HASH_OUT) <= set(empty.columns)
