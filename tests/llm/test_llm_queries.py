@@ -275,6 +275,15 @@ def test_contamination_blocks_and_edges(spark):
     assert decontaminate.contamination(edge(spark), items.limit(0)).where("contaminated").count() == 0
 
 
+def test_contamination_counts_words_by_their_bytes(spark):
+    """Words are counted on Arrow columns, not cut out one by one with a regular expression."""
+    texts = [None, "", " ", "a", " a", "a ", "a b", "A1-b2_c3\td\n", "É日本 x\u00a0y", "\x7f\x00", "@[`{", "é" * 5, "a" * 70_000, "a " * 70_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = decontaminate.find_windows(df, spark.createDataFrame([(1, "no such item")], "item_id long, text string"))
+    assert "regexp" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.doc_id: r.n_words for r in out.collect()} == {i: len(words(t)) for i, t in enumerate(texts)}
+
+
 def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
