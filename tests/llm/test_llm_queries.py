@@ -332,6 +332,17 @@ def test_piece_encoder_equals_direct(spark, name):
         assert enc.encode(texts[i:i + 50]) == want
 
 
+def test_word_pieces_are_kept_once():
+    """A word is one remembered piece, whatever its case and the signs behind it."""
+    from tokenizers import Tokenizer
+    name = "word_bpe_49k.json"
+    enc, direct = PieceEncoder(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
+    texts = [" Word, WORD. word! Word2 wOrd", " WORD", None, "H\u0331 K\u0301. don'T x'S!'s I'LL <\u0338 a<b<|ENDOFTEXT|> A"]
+    got = enc.encode(texts)
+    assert got == [np.array(direct.encode(t or "", add_special_tokens=False).ids, "<i4").tobytes() for t in texts]
+    assert {p for p in enc.new if "word" in p.lower()} == {" word"}
+
+
 def ids_of(name, text):
     from tokenizers import Tokenizer
     return Tokenizer.from_file(tokenizer_path(name)).encode(text or "", add_special_tokens=False).ids + [1]
