@@ -8,9 +8,11 @@ that delete are stored like others and left out when the table is read, so older
 find their place.
 
 Per micro-batch:
-1. the batch's points (equal ones collapsed) are kept, and its keys looked up in the stored runs: only the bucket
-   folders of its keys are read, and only files and pages that can hold them when they are few (pushed filters);
-2. stored and new points of these keys are scanned once in order, in segments, so one key may hold any share of the rows;
+1. the batch's rows are dealt out, its points (equal ones collapsed) are kept, and its keys looked up in the stored runs:
+   only the bucket folders of its keys are read, and only files and pages that can hold them when they are few (pushed
+   filters);
+2. stored and new points of these keys are moved and sorted once, equal ones of several runs collapsed on the way, and
+   scanned in order, in segments, so one key may hold any share of the rows;
 3. new points and the points before them are written as a run, and one record makes the run visible;
 4. runs are merged geometrically: when the newest few (``FAN``) each have, with those behind them, at least half the rows
    of the one before, they become one. So there are about log2(rows) runs and a row is rewritten at most about as often.
@@ -35,7 +37,7 @@ from lakelayer.operators.scd import END_AT, START_AT, scd2_apply
 from lakelayer.session import missing_path
 from lakelayer.sinks.schemas import conform, grow_schema, stored_schema
 
-BUCKET, NEXT, BATCH, TOUCHED = "_ll_bucket", "_ll_next", "_ll_batch", "_ll_touched"
+BUCKET, NEXT, BATCH, TOUCHED, SPREAD = "_ll_bucket", "_ll_next", "_ll_batch", "_ll_touched", "_ll_spread"
 RUN = "number long, first long, last long, rows long, source string, batch long, read long, path string"
 RUN_FIELDS = [f.split()[0] for f in RUN.split(", ")]
 FAN = 4                    # so many runs are merged at once, or more
@@ -109,10 +111,17 @@ def runs(spark: SparkSession, t: CdcTarget, log: list | None = None) -> list:
 def _record(spark: SparkSession, t: CdcTarget, log: list, **run) -> list:
     """Append a record; returns the log with it."""
     row = Row(*RUN_FIELDS)(*[run.get(n) for n in RUN_FIELDS])
-    spark.createDataFrame([row], RUN).coalesce(1).write.mode("append").json(t.path("log"))
+    values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, T.StructType.fromDDL(RUN))]
+    spark.range(1).coalesce(1).select(*values).write.mode("append").json(t.path("log"))
     return [*log, row]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly over the tasks: a micro-batch may be one file that one task reads, and its rows are still to
+    be sorted."""
+    return df.withColumn(SPREAD, F.monotonically_increasing_id()).repartition(SPREAD).drop(SPREAD)
+
+
 def _bucket(t: CdcTarget, n: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in t.keys]), F.lit(n)).cast("int")
 
@@ -131,11 +140,13 @@ def _stored(spark: SparkSession, t: CdcTarget, live: list, columns: T.StructType
     return out
 
 
-def _newest(t: CdcTarget, stored: DataFrame) -> DataFrame:
-    """One row per identity: the one that the newest run wrote."""
-    ids = [F.col(f"`{c}`") for c in t.identity]
-    rest = [c for c in stored.columns if c not in t.identity]
-    best = stored.groupBy(*ids).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), BATCH).alias("_ll_row"))
+def _newest(t: CdcTarget, stored: DataFrame, per: list[str] | None = None) -> DataFrame:
+    """One row per identity: the one that the newest run wrote. Rows are moved before they are sorted, once, as few are
+    dropped; ``per``: names to group by instead, of rows that lie together already."""
+    names = per or t.identity
+    ids = [F.col(f"`{c}`") for c in names]
+    rest = [c for c in stored.columns if c not in names]
+    best = (stored if per else stored.repartition(*ids)).groupBy(*ids).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), BATCH).alias("_ll_row"))
     return best.select(*ids, *[F.col(f"_ll_row.`{c}`").alias(c) for c in rest])
 
 
@@ -159,7 +170,7 @@ def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: i
     valid = F.lit(True)
     for c in [*t.keys, *t.sequence]:
         valid = valid & F.col(f"`{c}`").isNotNull()
-    changes = batch.where(valid)
+    changes = spread(batch.where(valid))
     points = latest_per_key(changes, t.identity, [] if t.scd_type == 2 else t.sequence).withColumn(BUCKET, _bucket(t, n)).persist()
     held = None
     try:
@@ -170,7 +181,8 @@ def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: i
         known = len(few) <= FEW_KEYS
         touched = {r[BUCKET] for r in (few if known else keys.select(BUCKET).distinct().collect())}   # at most all buckets
         columns = grow_schema(spark, t.path("schema"), batch.schema)
-        new = conform(points, columns).withColumn(TOUCHED, F.lit(True))
+        number = max((r["number"] for r in log), default=0) + 1
+        new = conform(points, columns)
         live, seen = runs(spark, t, log), Observation()
         stored, read = _stored(spark, t, live, columns), 0
         if stored is not None:
@@ -179,13 +191,11 @@ def apply_batch(spark: SparkSession, t: CdcTarget, batch: DataFrame, batch_id: i
                 for k in t.keys:
                     mine = mine.where(F.col(f"`{k}`").isin(list({r[k] for r in few})))
             mine = mine.observe(seen, F.count(F.lit(1)).alias("read"))
-            held = _newest(t, mine.join(keys.drop(BUCKET), list(t.keys), "left_semi")).drop(BUCKET, BATCH, NEXT).persist()
+            held = mine.join(keys.drop(BUCKET), list(t.keys), "left_semi").drop(BUCKET, NEXT).persist()
             held.count()
             read = int(seen.get.get("read") or 0)
-            new = new.unionByName(held.withColumn(TOUCHED, F.lit(False)).select(*new.columns))
-        number = max((r["number"] for r in log), default=0) + 1
         path = t.path(f"runs/{number:012d}")
-        rows = _write(_merged(t, new, columns).withColumns({BATCH: F.lit(number).cast("long"), BUCKET: _bucket(t, n)}), path, t)
+        rows = _write(_merged(t, new, held, number, columns).withColumns({BATCH: F.lit(number).cast("long"), BUCKET: _bucket(t, n)}), path, t)
         log = _record(spark, t, log, number=number, first=number, last=number, rows=rows, source=source, batch=batch_id,
                       read=read, path=path)
         merge_runs(spark, t, log, columns)
@@ -202,14 +212,22 @@ def last_batch(spark: SparkSession, t: CdcTarget, source: str = "", log: list |
     return max((r["batch"] for r in log if r["source"] == source and r["batch"] is not None), default=-1)
 
 
-def _merged(t: CdcTarget, both: DataFrame, columns: T.StructType) -> DataFrame:
-    """Rows to store: of type 1 the latest change per key; of type 2 the touched points and the points before them."""
+def _merged(t: CdcTarget, new: DataFrame, held: DataFrame | None, number: int, columns: T.StructType) -> DataFrame:
+    """Rows to store: of type 1 the latest change per key; of type 2 the touched points and the points before them.
+    ``held``: stored rows of the batch's keys, as the runs hold them."""
     if t.scd_type == 1:
-        return latest_per_key(both.drop(TOUCHED), list(t.keys), t.sequence)
+        both = new if held is None else new.unionByName(_newest(t, held).select(*new.columns))
+        return latest_per_key(both, list(t.keys), t.sequence)
     seq = t.sequence[0]
+    both = new.withColumns({BATCH: F.lit(number).cast("long"), TOUCHED: F.lit(True)})
+    if held is not None:
+        both = both.unionByName(held.withColumn(TOUCHED, F.lit(False)).select(*both.columns))
     cut = segmented(both, t.keys, [seq]).repartition(*[F.col(f"`{k}`") for k in t.keys], SEGMENT)
+    # the rows of a segment lie together now: one sort serves the three steps that follow
+    at = [*t.keys, SEGMENT, seq]
+    cut = _newest(t, cut, [*at, TOUCHED]).drop(BATCH)
     # of equal points the greatest row wins, whichever batch brought it; a touched one stays touched
-    one = latest_per_key(cut, [*t.keys, SEGMENT, seq], [], also={TOUCHED: F.max(TOUCHED)})
+    one = latest_per_key(cut, at, [], also={TOUCHED: F.max(TOUCHED)})
     after = scan(one, t.keys, [seq], next_cols=[seq, TOUCHED])
     return (after.where(F.col(TOUCHED) | F.coalesce(F.col(f"_next_{TOUCHED}"), F.lit(False)))
             .select(*[F.col(f"`{c}`") for c in columns.names], F.col(f"`_next_{seq}`").alias(NEXT)))

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 
 from lakelayer.operators.scd import scd1_apply, scd2_apply
 from lakelayer.sources.files import with_rescued_data
@@ -119,6 +121,33 @@ def test_batches_read_only_their_keys_and_runs_stay_few(spark, scratch):
     assert sorted(tuple(r) for r in read_target(spark, t).collect()) == want
 
 
+def test_batch_from_one_file_is_dealt_out_before_it_is_sorted(spark):
+    from lakelayer.streaming.cdc_flow import spread
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        one = spark.range(10_000, numPartitions=1).withColumn("v", F.lit(1))
+        got = spread(one).groupBy(F.spark_partition_id().alias("p")).agg(F.count("id").alias("n"), F.sum("id").alias("s")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spread(one).columns == ["id", "v"] and sum(r.s for r in got) == sum(range(10_000))
+    assert len(got) > 2 and max(r.n for r in got) < 2 * 10_000 / len(got)
+
+
+def test_stored_rows_of_several_runs_are_sorted_once(spark):
+    from lakelayer.streaming import cdc_flow
+    t = CdcTarget(root="unused", keys=("k",), sequence_by="seq", scd_type=2)
+    hour = [T0 + dt.timedelta(hours=h) for h in range(4)]
+    new = spark.createDataFrame([(1, hour[1], "b"), (2, hour[0], "z"), (2, hour[3], "a")], SCHEMA)
+    # the same point in three runs, and points that the batch brings again with a smaller and a greater row
+    held = spark.createDataFrame([(1, hour[0], "old", 1), (1, hour[0], "newest", 5), (1, hour[0], "older", 2), (1, hour[2], "c", 1),
+                                  (2, hour[0], "b", 4), (2, hour[3], "y", 4)], SCHEMA + f", {cdc_flow.BATCH} long")
+    got = cdc_flow._merged(t, new, held, 6, new.schema).collect()
+    assert sorted(map(tuple, got)) == [(1, hour[0], "newest", hour[1]), (1, hour[1], "b", hour[2]),
+                                       (2, hour[0], "z", hour[3]), (2, hour[3], "y", None)]
+    plan = cdc_flow._newest(t, held)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.index("SortAggregate") < plan.index("Exchange"), plan
+
+
 def test_failed_batch_is_computed_again(spark, scratch, monkeypatch):
     from lakelayer.streaming import cdc_flow
     t = CdcTarget(root=scratch("tgt"), keys=("k",), sequence_by="seq", scd_type=2, buckets=2)
