@@ -108,3 +108,20 @@ def test_daily_loop_makes_its_snapshots_once(spark, scratch):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     empty = hash_daily_loop(spark, snaps.limit(0), "user_id", scratch("silver"))
     assert empty.count() == 0 and set(HASH_OUT) <= set(empty.columns)
+
+
+def test_bronze_rows_are_written_where_their_latest_one_was_chosen(spark, scratch, monkeypatch):
+    from lakelayer.sinks.tables import replace_partitions
+    rows = spark.range(300, numPartitions=3).withColumn("ingest_date", F.lit("2024-01-01").cast("date"))
+    files = {}
+    for gather in (True, False):
+        path = scratch(f"bronze-{gather}")
+        replace_partitions(rows, path, ["ingest_date"], gather=gather)
+        files[gather] = len(spark.read.parquet(path).inputFiles())
+        assert spark.read.parquet(path).count() == 300
+    assert files == {True: 1, False: 3}
+    asked = []
+    monkeypatch.setattr(clinical, "bronze_frames", lambda pages, ts: dict.fromkeys(clinical.RESOURCES, rows))
+    monkeypatch.setattr(clinical, "replace_partitions", lambda df, path, cols, gather=True: asked.append(gather))
+    clinical.load_bronze(spark, clinical.Context(scratch("root")))
+    assert asked == [False] * len(clinical.RESOURCES)

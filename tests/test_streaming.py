@@ -3,7 +3,6 @@ import random
 
 from pyspark.sql import functions as F
 
-
 from lakelayer.operators.scd import scd1_apply, scd2_apply
 from lakelayer.sources.files import with_rescued_data
 from lakelayer.streaming.cdc_flow import CdcTarget, read_target, run_cdc_stream
