@@ -87,3 +87,48 @@ def test_a_first_load_is_not_held_for_its_two_parts(spark, scratch, changes):
         cols = sorted(part(spark, want).columns)
         assert sorted(part(spark, got).columns) == cols
         assert sorted(map(str, part(spark, got).select(cols).collect())) == sorted(map(str, part(spark, want).select(cols).collect()))
+
+
+def texts(spark, raw) -> list[str]:
+    """Every page as text; the order of a page's entries is that of the task that grouped them."""
+    return sorted("".join(sorted(r.value)) + r.resource_name for r in spark.read.option("basePath", raw).text(raw).collect())
+
+
+def test_pages_land_in_shares_of_their_rows(spark, tables, scratch, monkeypatch):
+    """A share moves its own rows only; together they are the pages that one share lands, also when a day is landed again."""
+    whole, raw = scratch("whole"), scratch("raw")
+    clinical.synth_raw(spark, tables, whole)
+    monkeypatch.setattr(clinical, "ROWS_PER_SHARE", 150)
+    moved, write = [], clinical.land_pages
+
+    def land(pages, root, add=False):
+        moved.append((pages.select("resource").distinct().collect(), add))
+        write(pages, root, add)
+
+    monkeypatch.setattr(clinical, "land_pages", land)
+    for _ in range(2):
+        clinical.synth_raw(spark, tables, raw)
+        assert texts(spark, raw) == texts(spark, whole)
+    shares = [clinical.observation_resources(spark, tables, (i, 3)).count() for i in range(3)]
+    assert sum(shares) == 400 and max(shares) < 400
+    assert len(moved) == 2 * (1 + 2 + 3 + 3) and all(len(r) <= 1 for r, _ in moved)
+
+
+def test_pages_that_land_leave_no_moved_rows_behind(spark, tables, scratch):
+    held = shuffle_files(spark)
+    clinical.synth_raw(spark, tables, scratch("raw"))
+    assert not [f for f in shuffle_files(spark) - held if f.endswith(".data")]
+
+
+def test_a_first_share_without_pages_does_not_keep_old_ones(spark, tables, scratch, monkeypatch):
+    """All rows of one page are in one share, whichever it is: the folder's old pages go with the first pages written."""
+    monkeypatch.setattr(clinical, "ROWS_PER_SHARE", 6)
+    raw = scratch("raw")
+    for _ in range(2):
+        clinical.synth_raw(spark, tables, raw, resources=["Patient"])          # 30 keys, one page, five shares
+        assert spark.read.text(raw).count() == 1
+    empty = scratch("empty")
+    for t in ("customer", "nation", "region"):
+        spark.read.parquet(f"{tables}/{t}.parquet").limit(0).write.parquet(f"{empty}/{t}.parquet")
+    clinical.synth_raw(spark, empty, raw, resources=["Patient"])
+    assert spark.read.text(raw).count() == 1
