@@ -80,7 +80,7 @@ def test_a_first_load_is_not_held_for_its_two_parts(spark, scratch, changes):
     once = scd2_hash_history(source, "id", clock=clock)
     once.write.format("noop").mode("overwrite").save()
     per_run, read.value = read.value, 0
-    store_first(spark, got, once, "2024-01-02", {"2024-01-02": "m"})
+    store_first(spark, got, [once], "2024-01-02", {"2024-01-02": "m"})
     assert read.value == per_run * (2 if changes else 1)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
     for part in (store_current, store_table):
@@ -89,6 +89,32 @@ def test_a_first_load_is_not_held_for_its_two_parts(spark, scratch, changes):
         assert sorted(map(str, part(spark, got).select(cols).collect())) == sorted(map(str, part(spark, want).select(cols).collect()))
 
 
+def test_silver_and_gold_in_turns_are_the_same_rows(spark, tables, scratch, monkeypatch):
+    """Late days of patients too: closed rows of several turns are all kept."""
+    ctx = {n: clinical.Context(scratch("turns")) for n in ("whole", "turns")}
+    rename = lambda r, res: res.withColumn("res", F.col("res").withField("gender", F.when(F.col("_k") % 4 == 0, F.lit("x")).otherwise(F.col("res.gender"))))
+    out = {}
+    for n, c in ctx.items():
+        clinical.synth_raw(spark, tables, c.raw(), "2024-01-01")
+        clinical.synth_raw(spark, tables, c.raw(), "2024-01-02", resources=["Patient"], adjust=rename)
+        if n == "turns":
+            monkeypatch.setattr(clinical, "ROWS_PER_TURN", 25)
+        gold = clinical.run_medallion(spark, c, "2024-01-01", "2024-01-03", clock=lambda day: F.to_timestamp(day))
+        silver = {f"silver_{r}": store_table(spark, HistoryStore(c.silver(r))).drop("api_url", "extraction_timestamp", "bronze_load_timestamp")
+                  for r in clinical.RESOURCES}
+        out[n] = {k: sorted(map(str, df.select(sorted(df.columns)).collect())) for k, df in (gold | silver).items()}
+    assert out["turns"] == out["whole"]
+    assert len(out["turns"]["silver_Patient"]) == 30 + 8 and len(out["turns"]["gold_observation"]) == 400
+
+
+def test_a_share_is_cut_out_before_rows_move(spark, scratch):
+    from lakelayer.sinks.tables import shared
+    ids = spark.createDataFrame([(i,) for i in range(50)] + [(None,), (None,)], "id long")
+    parts = [p.collect() for p in shared(ids, "id", 4)]
+    assert sorted(len(p) for p in parts)[-1] < 52 and sum(map(len, parts)) == 52
+    assert sum(any(r.id is None for r in p) for p in parts) == 1
+
+
 def texts(spark, raw) -> list[str]:
     """Every page as text; the order of a page's entries is that of the task that grouped them."""
     return sorted("".join(sorted(r.value)) + r.resource_name for r in spark.read.option("basePath", raw).text(raw).collect())
