@@ -158,3 +158,24 @@ def test_a_first_share_without_pages_does_not_keep_old_ones(spark, tables, scrat
         spark.read.parquet(f"{tables}/{t}.parquet").limit(0).write.parquet(f"{empty}/{t}.parquet")
     clinical.synth_raw(spark, empty, raw, resources=["Patient"])
     assert spark.read.text(raw).count() == 1
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_values_outside_all_intervals_are_not_moved_for_every_level(spark, how):
+    from lakelayer.operators.ranges import range_join
+    nan = float("nan")
+    values = [(i, float(v)) for i, v in enumerate([*range(-500, 500), nan, float("inf")])] + [(9999, None)]
+    left = spark.createDataFrame(values, "id long, v double").alias("f")
+    ends = [(0, 10.0, 11.0), (1, 10.0, 14.0), (2, 12.0, 20.0), (3, None, 9.0), (4, 5.0, 5.0)]
+    spans = spark.createDataFrame(ends, "sid long, lo double, hi double")
+    for spare, ends_ in ((spans, ends), (spans.limit(0), []), (spans.union(spark.createDataFrame([(5, 15.0, nan)], spans.schema)),
+                                                              [*ends, (5, 15.0, nan)])):
+        got = range_join(left, spare.alias("s"), F.expr("f.v"), F.expr("s.lo"), F.expr("s.hi"), "s", None, how).select("f.id", "s.sid")
+        want = set()
+        for i, v in values:
+            met = [s for s, lo, hi in ends_ if v is not None and lo is not None and v == v and lo <= v
+                   and (hi != hi or v < hi) and (hi != hi or lo < hi)]
+            want |= {(i, s) for s in met} or ({(i, None)} if how == "left" else set())
+        assert {tuple(r) for r in got.collect()} == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert not ends_ or ("min(_ll_low" in plan and "max(_ll_high" in plan)
